@@ -19,8 +19,12 @@ def parse(raw: DataFrame, source: str, *keep: str) -> DataFrame:
     filter on its fields is pushed through a projection and would parse the
     text a second time; it stays above a generator.
     """
-    spec = schemas.source(source)
-    parsed = F.from_json("raw_json", f"{spec.message}, {schemas.CORRUPT} STRING", READ_OPTIONS)
+    return parse_as(raw, schemas.source(source).message, *keep)
+
+
+def parse_as(raw: DataFrame, schema: str, *keep: str) -> DataFrame:
+    """`parse` for a schema given as text."""
+    parsed = F.from_json("raw_json", f"{schema}, {schemas.CORRUPT} STRING", READ_OPTIONS)
     return raw.select(*keep, F.inline(F.array(parsed)))
 
 

@@ -18,11 +18,11 @@ DELIVERY = {
 }
 
 
-def to_kafka_records(messages: DataFrame, source: str) -> DataFrame:
+def to_kafka_records(messages: DataFrame, source: str, *carry: str) -> DataFrame:
     """(key, value, topic): the entity id as text and the message as one JSON object.
 
     An empty id becomes a null key. Columns that are not message fields, such as
-    the feed position, stay out of the value.
+    the feed position, stay out of the value; `carry` keeps some next to it.
     """
     spec = schemas.source(source)
     value = object_text(spec.schema.names, spec.raw_json_field)
@@ -30,6 +30,7 @@ def to_kafka_records(messages: DataFrame, source: str) -> DataFrame:
         null_if_empty(F.col(spec.key).cast("string")).alias("key"),
         value.alias("value"),
         F.lit(spec.topic).alias("topic"),
+        *carry,
     )
 
 

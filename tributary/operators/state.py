@@ -18,7 +18,7 @@ def save_history(history: DataFrame, root: str, run: str | None = None) -> str:
     """Write the state of a run and return its folder; run names sort by time."""
     name = run or datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
     path = f"{root.rstrip('/')}/run={name}"
-    history.select(*HISTORY.names).write.mode("errorifexists").parquet(path)
+    history.select("source", "key", "seen_at").write.mode("errorifexists").parquet(path)
     return path
 
 

@@ -44,11 +44,11 @@ VIDEO_ENVELOPE = (
 )
 SEARCH_ENVELOPE = "items ARRAY<STRUCT<id: STRUCT<videoId: STRING>>>"
 
-KAFKA_RECORD = T.StructType.fromDDL(
+KAFKA_RECORD = (
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "
     "timestamp TIMESTAMP, timestampType INT"
 )
-HISTORY = T.StructType.fromDDL("source STRING, key STRING, seen_at TIMESTAMP")
+HISTORY = "source STRING, key STRING, seen_at TIMESTAMP"
 
 TYPE_FAMILIES: dict[str, tuple[type[T.DataType], ...]] = {
     "INTEGER": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),

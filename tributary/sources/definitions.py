@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tributary.operators.rules import Rule, Suite
 
@@ -16,13 +15,13 @@ TOPIC_SETTINGS = (
     "MAP<STRING, STRUCT<partitions: INT, retention_ms: BIGINT, "
     "cleanup_policy: STRING, description: STRING>>"
 )
-CATALOGUE = T.StructType.fromDDL(f"topics {TOPIC_SETTINGS}, common_config MAP<STRING, BIGINT>")
-SUITE = T.StructType.fromDDL(
+CATALOGUE = f"topics {TOPIC_SETTINGS}, common_config MAP<STRING, BIGINT>"
+SUITE = (
     "expectation_suite_name STRING, expectations ARRAY<STRUCT<expectation_type: STRING, "
     "kwargs: STRUCT<column: STRING, min_value: BIGINT, max_value: BIGINT, "
     "value_set: ARRAY<STRING>, type_: STRING>>>"
 )
-CHECKPOINT = T.StructType.fromDDL(
+CHECKPOINT = (
     "name STRING, run_name_template STRING, validations ARRAY<STRUCT<"
     "batch_request: STRUCT<data_asset_name: STRING>, expectation_suite_name: STRING>>"
 )
