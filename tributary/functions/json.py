@@ -32,34 +32,19 @@ def to_json_text(c: Column | str) -> Column:
 def object_text(fields: list[str], raw_field: str | None = None) -> Column:
     """JSON object of the named columns, in order.
 
-    `raw_field` holds JSON object text already and is put in as it is, so that
-    it stays an object and keeps its own key order.
+    `raw_field` holds JSON object text already and is put in as it is, so that it
+    stays an object and keeps its own key order. It is written as null first and
+    then replaced; quotes inside text values are escaped, so the mark occurs once.
     """
     if raw_field is None or raw_field not in fields:
         return to_json_text(F.struct(*fields))
-    at = fields.index(raw_field)
-    raw = F.coalesce(
-        F.when(F.col(raw_field).rlike(r"^\s*\{(?s:.*)\}\s*$"), F.col(raw_field)),
-        _bare_value(raw_field),
+    nothing = F.lit(None).cast("string").alias(raw_field)
+    frame = to_json_text(F.struct(*[nothing if f == raw_field else F.col(f) for f in fields]))
+    member = F.concat(F.lit(f'"{raw_field}":'), F.col(raw_field))
+    is_object = F.startswith(F.col(raw_field), F.lit("{")) & F.endswith(F.col(raw_field), F.lit("}"))
+    return F.when(is_object, F.replace(frame, F.lit(f'"{raw_field}":null'), member)).otherwise(
+        to_json_text(F.struct(*fields))
     )
-    pieces = [F.lit("{")]
-    if at > 0:
-        pieces += [_body(fields[:at]), F.lit(",")]
-    pieces += [F.lit(f'"{raw_field}":'), raw]
-    if at + 1 < len(fields):
-        pieces += [F.lit(","), _body(fields[at + 1 :])]
-    return F.concat(*pieces, F.lit("}"))
-
-
-def _body(fields: list[str]) -> Column:
-    text = to_json_text(F.struct(*fields))
-    return F.substring(text, F.lit(2), F.length(text) - 2)
-
-
-def _bare_value(field: str) -> Column:
-    """The field's value as JSON, cut out of its one-field object."""
-    text = to_json_text(F.struct(field))
-    return F.substring(text, F.lit(len(field) + 5), F.length(text) - len(field) - 5)
 
 
 def to_bytes(c: Column | str) -> Column:

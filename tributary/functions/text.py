@@ -71,13 +71,16 @@ def contains_ignoring_case(c: Column | str, needle: str) -> Column:
 def matched_queries(columns: Iterable[Column | str], queries: list[str]) -> Column:
     """Positions of the queries found in any of the columns, in query order.
 
-    Each column is lowered once; nothing is joined.
+    The lowered texts are bound to a lambda variable, so that each text is lowered
+    once however many queries there are. Nothing is joined.
     """
-    lowered = [F.lower(default_text(c)) for c in columns]
-    flags = []
-    for rank, query in enumerate(queries):
-        hit = F.lit(False)
-        for c in lowered:
-            hit = hit | F.contains(c, F.lit(query.lower()))
-        flags.append(F.when(hit, F.lit(rank)))
-    return F.array_compact(F.array(*flags))
+    lowered = F.array(*[F.lower(default_text(c)) for c in columns])
+    wanted = F.array(*[F.lit(q.lower()) for q in queries])
+    ranks = F.array(*[F.lit(rank) for rank in range(len(queries))])
+
+    def found_in(texts: Column) -> Column:
+        return F.filter(
+            ranks, lambda rank: F.exists(texts, lambda text: F.contains(text, F.get(wanted, rank)))
+        )
+
+    return F.get(F.transform(F.array(lowered), found_in), F.lit(0))

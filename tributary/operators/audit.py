@@ -47,20 +47,20 @@ def landed(frame: DataFrame, source: str, required: list[str]) -> DataFrame:
 
 
 def landing_audit(
-    spark: SparkSession, root: str, required: dict[str, list[str]]
+    spark: SparkSession, root: str, required: dict[str, list[str]], merge_schema: bool = False
 ) -> DataFrame:
-    """One row per source in `required`; a source that never landed fails every check."""
+    """One row per source in `required`; a source that never landed fails every check.
+
+    The columns are those of the files, not the declared ones: of one file, or of
+    all of them with `merge_schema`.
+    """
     parts = []
     for source, columns in required.items():
         if folders.exists(spark, bronze.leaf_path(root, source)):
-            frame = bronze.read(spark, root, source)
+            frame = bronze.read_leaf(spark, bronze.leaf_path(root, source), merge_schema)
+            parts.append(landed(frame, source, columns))
         else:
-            frame = None
-        parts.append(
-            _never_landed(spark, source, columns)
-            if frame is None
-            else landed(frame, source, columns)
-        )
+            parts.append(_never_landed(spark, source, columns))
     return reduce(DataFrame.unionByName, parts)
 
 

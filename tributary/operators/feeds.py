@@ -120,12 +120,13 @@ def not_last(feed: DataFrame, key: str, last: str | int | None) -> DataFrame:
 
 
 def not_in_history(feed: DataFrame, history: DataFrame, key: str) -> DataFrame:
-    """Rows whose key no earlier run has seen.
+    """Rows whose key no earlier run has seen; the history holds each key once.
 
-    The planner broadcasts the history while it measures small and shuffles
-    both sides otherwise; a hot feed key is then split by the adaptive skew join.
+    The planner broadcasts the history while it measures small and shuffles both
+    sides otherwise. A hot feed key is then split by the adaptive skew join, which
+    needs the history to go into the join as it comes, without a `distinct` here.
     """
-    return feed.join(history.select(key).distinct(), key, "left_anti")
+    return feed.join(history.select(key), key, "left_anti")
 
 
 def look_up(ids: DataFrame, items: DataFrame, key: str) -> DataFrame:

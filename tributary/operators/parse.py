@@ -37,17 +37,23 @@ def unusable(source: str) -> Column:
     return F.col(schemas.CORRUPT).isNotNull() | F.col(key).isNull()
 
 
+def reason(source: str) -> Column:
+    """Why a row cannot be used; null for a good one."""
+    return F.when(F.col(schemas.CORRUPT).isNotNull(), "malformed").when(
+        F.col(schemas.source(source).key).isNull(), "missing key"
+    )
+
+
 def accepted(parsed: DataFrame, source: str) -> DataFrame:
     return parsed.where(~unusable(source)).drop(schemas.CORRUPT)
 
 
 def quarantined(parsed: DataFrame, source: str) -> DataFrame:
     """(source, raw_json, reason, ingested_at); parse with `raw_json` kept."""
-    reason = F.when(F.col(schemas.CORRUPT).isNotNull(), "malformed").otherwise("missing key")
     return parsed.where(unusable(source)).select(
         F.lit(source).alias("source"),
         "raw_json",
-        reason.alias("reason"),
+        reason(source).alias("reason"),
         F.current_timestamp().alias("ingested_at"),
     )
 

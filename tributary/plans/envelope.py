@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.json import to_json_text
 from tributary.operators.audit import catalogue_audit, topic_message_count
-from tributary.operators.parse import accepted, parse, parse_as, quarantined
+from tributary.operators.parse import parse, parse_as, reason
 from tributary.operators.publish import published_count, to_kafka_records
 from tributary.plans import inputs
 from tributary.plans.registry import register
@@ -121,17 +121,15 @@ def damage(records: DataFrame) -> DataFrame:
 
 
 def split_counts(parsed: DataFrame) -> DataFrame:
-    kept = accepted(parsed, "github").groupBy(F.col("type").alias("detail"))
-    aside = quarantined(parsed, "github").groupBy(F.col("reason").alias("detail"))
+    """Both sides counted in one pass over the parsed text."""
+    why = reason("github")
     return (
-        kept.agg(F.count("*").alias("n"))
-        .select(F.lit("accepted").alias("side"), "detail", "n")
-        .withColumn("n_chars", F.lit(None).cast("bigint"))
-        .unionByName(
-            aside.agg(F.count("*").alias("n"), F.sum(F.length("raw_json")).alias("n_chars")).select(
-                F.lit("quarantine").alias("side"), "detail", "n", "n_chars"
-            )
+        parsed.groupBy(
+            F.when(why.isNull(), "accepted").otherwise("quarantine").alias("side"),
+            F.coalesce(why, "type").alias("detail"),
         )
+        .agg(F.count("*").alias("n"), F.sum(F.length("raw_json")).alias("n_chars"))
+        .withColumn("n_chars", F.when(F.col("side") == "quarantine", F.col("n_chars")))
     )
 
 

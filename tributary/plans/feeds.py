@@ -20,7 +20,8 @@ EVENT_PAGES_SQL = f"""
         FROM events, (VALUES (0), (1)) s(shift)
         WHERE shift = 0 OR event_type = 'view'
     ), paged AS (
-        SELECT *, row_number() OVER (PARTITION BY poll, page ORDER BY event_id) - 1 AS pos FROM placed
+        SELECT *, CAST(row_number() OVER (PARTITION BY poll, page ORDER BY event_id) - 1 AS INTEGER) AS pos
+        FROM placed
     )"""
 EVENT_FIELDS_SQL = f"""
     CAST(event_id AS VARCHAR) AS id, {inputs.EVENT_TYPE_SQL} AS type, user_id AS actor_id,
@@ -39,11 +40,13 @@ STORY_FIELDS_SQL = f"""
 STORY_LISTS_SQL = f"""
     listed AS (
         SELECT doc_id // {inputs.IDS_PER_LIST} AS poll, 0 AS list_rank,
-               row_number() OVER (PARTITION BY doc_id // {inputs.IDS_PER_LIST} ORDER BY doc_id) - 1 AS pos,
+               CAST(row_number() OVER (PARTITION BY doc_id // {inputs.IDS_PER_LIST}
+                                       ORDER BY doc_id) - 1 AS INTEGER) AS pos,
                doc_id AS id FROM documents WHERE lang IN ('en', 'fr')
         UNION ALL
         SELECT doc_id // {inputs.IDS_PER_LIST}, 1,
-               row_number() OVER (PARTITION BY doc_id // {inputs.IDS_PER_LIST} ORDER BY doc_id DESC) - 1,
+               CAST(row_number() OVER (PARTITION BY doc_id // {inputs.IDS_PER_LIST}
+                                       ORDER BY doc_id DESC) - 1 AS INTEGER),
                doc_id FROM documents
     )"""
 
@@ -462,12 +465,17 @@ VIDEO_SEARCHES = ["script", "class=", "license"]
     "feed AS (SELECT * FROM popular WHERE pos < 50 UNION ALL SELECT * FROM hits WHERE pos < 10), "
     "firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY list_rank, pos) "
     "AS nth FROM feed) WHERE nth = 1) "
-    f"SELECT list_rank, pos, {VIDEO_FIELDS_SQL} FROM firsts JOIN pages USING (page_id) "
+    f"SELECT list_rank, CAST(pos AS INTEGER) AS pos, {VIDEO_FIELDS_SQL} FROM firsts JOIN pages USING (page_id) "
     "WHERE page_id NOT IN (SELECT item_id FROM benchmark)",
 )
 def video_feed_run(spark: SparkSession, folder: str) -> DataFrame:
-    """The fifty most viewed, then the ten newest of each search, less the history."""
-    details = video_details(spark, folder).drop("envelope", "pos")
+    """The fifty most viewed, then the ten newest of each search, less the history.
+
+    The parsed envelopes are stored once; ranking and searching then read single columns.
+    """
+    stored = f"{folders.work_folder(spark, 'details')}/videos"
+    video_details(spark, folder).drop("envelope", "pos").write.parquet(stored)
+    details = spark.read.parquet(stored)
     views = F.col("statistics.viewCount").cast("bigint")
     popular = positions(
         feeds.most_popular(details.select("id", views.alias("views")), "views", "id", 50), [],

@@ -139,7 +139,10 @@ def dq_of_type(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, folder: str, source: str) -> DataFrame:
-    return conform.CONFORM[source](inputs.bronze_of(spark, folder, source))
+    """A stored silver table: rules that need a scan of their own read columns, not JSON."""
+    path = f"{folders.work_folder(spark, 'silver')}/{source}_silver"
+    conform.CONFORM[source](inputs.bronze_of(spark, folder, source)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 EVENT_SILVER_SQL = f"(SELECT {EVENT_FIELDS_SQL} FROM events)"

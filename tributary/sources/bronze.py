@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tributary import schemas
 
+ADDED = "source STRING, ingested_at TIMESTAMP, partition_date DATE"
+QUARANTINE = "source STRING, raw_json STRING, reason STRING, ingested_at TIMESTAMP"
+
 
 def leaf_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/bronze/source={schemas.source(source).name}"
@@ -31,16 +34,23 @@ def quarantine_checkpoint_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/quarantine-source={schemas.source(source).name}"
 
 
-def read_leaf(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_leaf(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """As the files say; merging opens the footer of every file, so it is for audits."""
+    return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read(spark: SparkSession, root: str, source: str) -> DataFrame:
-    return read_leaf(spark, leaf_path(root, source))
+def read(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+    """With the declared schema: no footer is read, and files written before a column
+    was added give null for it. `keep` declares record columns stored next to the
+    message, such as `"offset BIGINT"`.
+    """
+    spec = schemas.source(source)
+    columns = ", ".join([*keep, spec.message, ADDED])
+    return spark.read.schema(columns).parquet(leaf_path(root, source))
 
 
 def read_quarantine(spark: SparkSession, root: str, source: str) -> DataFrame:
-    return read_leaf(spark, quarantine_path(root, source))
+    return spark.read.schema(QUARANTINE).parquet(quarantine_path(root, source))
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:

@@ -10,16 +10,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def table_stream(
-    spark: SparkSession, folder: str, name: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, folder: str, name: str, max_files_per_trigger: int = 10000
 ) -> DataFrame:
     """The same table replayed from its first file, as a stream.
 
-    The glob serves a single file as well as a folder of part files. A limit on
-    files per trigger turns a long replay into many small committed batches.
+    The glob serves a single file as well as a folder of part files. The limit on
+    files per trigger turns a long replay into batches that are committed one by
+    one, so that a failure repeats one batch only.
     """
     reader = spark.readStream.schema(table(spark, folder, name).schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(f"{folder}/{name}.[p]arquet")
 
 
