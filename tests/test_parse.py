@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tributary import schemas
 from tributary.operators import parse
+from tributary.operators.publish import write_topic
 from tributary.sources import kafka
 
 STORY = '{"id":%s,"title":"t"}'
@@ -107,6 +108,13 @@ def test_topic_options():
     }
 
 
+def test_batch_options():
+    options = kafka.topic_options("host:9092", "t", max_offsets_per_trigger=5, min_partitions=9)
+    assert (options["maxOffsetsPerTrigger"], options["minPartitions"]) == ("5", "9")
+
+
 def test_connector_is_looked_up_late(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka.read_topic(spark, "host:9092", "github-events")
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_topic(spark.createDataFrame([("k", "v", "t")], "key STRING, value STRING, topic STRING"), "host:9092")

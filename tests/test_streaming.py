@@ -12,7 +12,9 @@ from tributary import folders
 from tributary.operators.conform import silver_rows
 from tributary.operators.parse import bronze_rows
 from tributary.schemas import KAFKA_RECORD
+from tributary.session import STREAMING_OPTIONS
 from tributary.sources import bronze, kafka, listing
+from tributary.sources.tables import table_stream
 from tributary.streaming import ingest
 from tributary.streaming.compact import compact
 from tributary.streaming.dedup import dedup_stream
@@ -159,7 +161,9 @@ def test_compaction_keeps_rows_and_the_source(spark, topic, lake):
 
 
 @pytest.mark.parametrize("spread_by", [None, ["offset"]])
-def test_stream_dedup(spark, lake, spread_by):
+def test_stream_dedup(spark, lake, spread_by, changed):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    changed(**{provider: STREAMING_OPTIONS[provider]})
     folder = f"{lake}/replay"
     land(spark, folder, [story(0)] * 50 + [story(i) for i in range(10)])
     land(spark, folder, [story(0)] * 20 + [story(99)])
@@ -180,6 +184,39 @@ def test_stream_dedup(spark, lake, spread_by):
     assert sorted(r["id"] for r in spark.table(out).collect()) == sorted([*map(str, range(10)), "99"])
 
 
+def test_ingest_sets_aside_what_it_cannot_use(spark, topic, lake):
+    ingest.drain(ingest.start_all({"hackernews": replay(spark, topic)}, lake, ingest.ONCE))
+    assert bronze.read(spark, lake, "hackernews").count() == 5
+    assert bronze.read_quarantine(spark, lake, "hackernews").count() == 2
+
+
+def test_offsets_can_be_kept_and_order_copies(spark, lake):
+    folder = f"{lake}/replay"
+    land(spark, folder, ['{"id":1,"title":"old"}', '{"id":1,"title":"new"}'])
+    ingest.drain(
+        [ingest.start_bronze(replay(spark, folder), "hackernews", lake, ingest.ONCE, ("offset",))]
+    )
+    kept = bronze.read(spark, lake, "hackernews", "offset BIGINT")
+    assert sorted(r["offset"] for r in kept.collect()) == [0, 1]
+    assert [r["title"] for r in silver_rows(kept, "hackernews").collect()] == ["new"]
+
+
+def test_table_of_many_files_is_replayed_in_batches(spark, lake):
+    spark.range(30).repartition(3).write.parquet(f"{lake}/t.parquet")
+    out = f"out_{uuid.uuid4().hex}"
+    query = (
+        table_stream(spark, lake, "t", max_files_per_trigger=1)
+        .writeStream.format("memory")
+        .queryName(out)
+        .option("checkpointLocation", f"{lake}/progress")
+        .trigger(**ingest.ONCE)
+        .start()
+    )
+    ingest.drain([query])
+    assert spark.table(out).count() == 30
+    assert len([p for p in query.recentProgress if p["numInputRows"]]) == 3
+
+
 def test_silver_takes_the_latest_copy(spark):
     rows = [(1, "old", START), (1, "new", START + timedelta(hours=1)), (2, "only", START)]
     frame = spark.createDataFrame(rows, "id BIGINT, title STRING, ingested_at TIMESTAMP")

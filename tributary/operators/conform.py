@@ -79,8 +79,13 @@ CONFORM: dict[str, Callable[[DataFrame], DataFrame]] = {
 def silver_rows(bronze: DataFrame, source: str, *newest_first: str) -> DataFrame:
     """One row per key: delivery is at least once, so bronze may hold repeats.
 
-    `newest_first` names the columns that order the copies, the first deciding.
+    `newest_first` names the columns that order the copies, the first deciding; by
+    default the time of ingestion and then the record offset, where it was kept.
+    Copies equal in all of these are told apart by a hash of their message, so that
+    a lost task that runs again picks the same one.
     """
     spec = schemas.source(source)
-    order = [F.col(c).desc() for c in (newest_first or ("ingested_at",))]
-    return CONFORM[spec.name](first_seen(bronze, [spec.key], order))
+    stored = [c for c in ("ingested_at", "offset") if c in bronze.columns]
+    order = [F.col(c).desc() for c in (newest_first or stored)]
+    message = F.xxhash64(*spec.schema.names)
+    return CONFORM[spec.name](first_seen(bronze, [spec.key], [*order, message]))

@@ -204,12 +204,13 @@ def story_feed(
     """Ranked id lists and fetched items to story messages in feed order.
 
     The mark is applied before repeats are removed: all copies of an id pass it
-    or none does, and the rows below it need no shuffle. Items hold each id once.
+    or none does, and the rows below it need no shuffle. Items hold each id once;
+    they are made messages, with their texts cut, before the join moves them.
     """
     fresh = lists if mark is None else above_mark(lists, "id", mark)
     wanted = first_seen(fresh, ["id"], order)
-    stories = stories_only(look_up(wanted, items, "id"))
-    return take(normalize_story(stories, *order), order, limit)
+    messages = normalize_story(stories_only(items))
+    return take(look_up(wanted, messages, "id"), order, limit)
 
 
 def event_feed(
@@ -249,5 +250,5 @@ def video_feed(
     wanted = first_seen(ids, ["id"], ["list_rank", "pos"])
     if history is not None:
         wanted = not_in_history(wanted, history.select(F.col("key").alias("id")), "id")
-    messages = normalize_video(look_up(wanted, details, "id"), "list_rank", "pos")
-    return take(messages, ["list_rank", "pos"], limit)
+    messages = normalize_video(details).withColumn("id", F.col("video_id"))
+    return take(look_up(wanted, messages, "id").drop("id"), ["list_rank", "pos"], limit)

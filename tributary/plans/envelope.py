@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.json import to_json_text
-from tributary.operators.audit import catalogue_audit, topic_message_count
+from tributary.operators.audit import catalogue_audit, topic_audit, topic_message_count
 from tributary.operators.parse import parse, parse_as, reason
 from tributary.operators.publish import published_count, to_kafka_records
 from tributary.plans import inputs
@@ -40,7 +40,7 @@ def positioned(rows: DataFrame, topic: Column | None = None) -> DataFrame:
         to_json_text(F.struct(*rows.columns)),
         topic if topic is not None else F.col("event_type"),
         F.col("event_id") % 3,
-        F.floor(F.col("event_id") / 3),
+        F.expr("event_id DIV 3"),
     )
 
 
@@ -164,6 +164,18 @@ def message_count(spark: SparkSession, folder: str) -> DataFrame:
     return topic_message_count(positioned(table(spark, folder, "events")))
 
 
+@register(
+    "topic_audit",
+    "SELECT topic, CAST(coalesce(sum(end_offset), 0) AS BIGINT) AS n_messages, "
+    "coalesce(sum(end_offset), 0) > 0 AS success FROM (VALUES ('click'), ('view'), ('refund')) "
+    "t(topic) LEFT JOIN (SELECT event_type AS topic, event_id % 3 AS part, "
+    "max(event_id // 3) + 1 AS end_offset FROM events GROUP BY ALL) USING (topic) GROUP BY topic",
+)
+def audited_topics(spark: SparkSession, folder: str) -> DataFrame:
+    """Two topics with messages and one that has none."""
+    return topic_audit(positioned(table(spark, folder, "events")), ["click", "view", "refund"])
+
+
 @register(
     "topic_catalogue",
     "WITH declared(topic, partitions) AS (VALUES ('hackernews-posts', 3), ('github-events', 3), "

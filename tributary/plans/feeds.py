@@ -127,7 +127,7 @@ def search_result_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Search responses name videos; their details come from the envelopes."""
     pages = table(spark, folder, "pages")
     found = pages.where(~F.startswith(F.col("url"), F.lit("https"))).select(
-        F.floor(F.col("page_id") / inputs.VIDEOS_PER_ENVELOPE).alias("envelope"),
+        F.expr(f"page_id DIV {inputs.VIDEOS_PER_ENVELOPE}").alias("envelope"),
         F.struct(
             F.struct(F.concat(F.lit("v"), F.col("page_id")).alias("videoId")).alias("id")
         ).alias("item"),
@@ -331,11 +331,10 @@ LONG_POLL = 1500
 )
 def page_cap(spark: SparkSession, folder: str) -> DataFrame:
     """Polls of fifteen pages, of which the API serves ten."""
-    event_id = F.col("event_id")
     placed = table(spark, folder, "events").select(
-        F.floor(event_id / LONG_POLL).alias("poll"),
-        (F.floor((event_id % LONG_POLL) / 100) + 1).alias("page"),
-        (event_id % 100).alias("pos"),
+        F.expr(f"event_id DIV {LONG_POLL}").alias("poll"),
+        F.expr(f"(event_id % {LONG_POLL}) DIV 100 + 1").alias("page"),
+        F.expr("event_id % 100").alias("pos"),
         "event_id",
     )
     return feeds.cap_pages(placed)

@@ -68,11 +68,11 @@ def event_items(events: DataFrame) -> DataFrame:
 
 def event_responses(events: DataFrame) -> DataFrame:
     """(poll, page, raw_json): pages of a poll, where a view shows up again on the next page."""
-    in_poll = F.col("event_id") % (EVENTS_PER_PAGE * PAGES_PER_POLL)
-    page = F.floor(in_poll / EVENTS_PER_PAGE) + 1
+    poll_size = EVENTS_PER_PAGE * PAGES_PER_POLL
+    page = F.expr(f"(event_id % {poll_size}) DIV {EVENTS_PER_PAGE} + 1")
     again = F.when(F.col("event_type") == "view", F.array(page, page + 1)).otherwise(F.array(page))
     placed = event_items(events).select(
-        F.floor(F.col("event_id") / (EVENTS_PER_PAGE * PAGES_PER_POLL)).alias("poll"),
+        F.expr(f"event_id DIV {poll_size}").alias("poll"),
         F.explode(again).alias("page"),
         F.struct("event_id", "item").alias("entry"),
     )
@@ -94,7 +94,7 @@ def event_records(events: DataFrame) -> DataFrame:
         F.col("value"),
         F.col("topic"),
         F.col("event_id") % 3,
-        F.floor(F.col("event_id") / 3),
+        F.expr("event_id DIV 3"),
     )
 
 
@@ -103,7 +103,7 @@ def event_records(events: DataFrame) -> DataFrame:
 
 def story_list_responses(documents: DataFrame) -> DataFrame:
     """(poll, list_rank, raw_json): the top list holds two languages, the new list all, newest first."""
-    poll = F.floor(F.col("doc_id") / IDS_PER_LIST).alias("poll")
+    poll = F.expr(f"doc_id DIV {IDS_PER_LIST}").alias("poll")
     top = (
         documents.where(F.col("lang").isin("en", "fr"))
         .groupBy(poll)
@@ -180,7 +180,7 @@ def video_items(pages: DataFrame) -> DataFrame:
 
 def video_responses(pages: DataFrame) -> DataFrame:
     """(envelope, raw_json): `{"items": [...]}` of at most 50 videos."""
-    envelope = F.floor(F.col("page_id") / VIDEOS_PER_ENVELOPE).alias("envelope")
+    envelope = F.expr(f"page_id DIV {VIDEOS_PER_ENVELOPE}").alias("envelope")
     entries = F.sort_array(F.collect_list(F.struct("page_id", "item")))
     items = F.transform(entries, lambda e: e["item"])
     response = F.to_json(F.struct(items.alias("items")))

@@ -11,7 +11,7 @@ from tributary.plans import inputs
 from tributary.plans.envelope import damage
 from tributary.plans.feeds import EVENT_FIELDS_SQL, flat_event
 from tributary.plans.registry import register
-from tributary.sources import bronze
+from tributary.sources import bronze, listing
 from tributary.sources.tables import table_stream
 from tributary.streaming import ingest
 from tributary.streaming.compact import compact
@@ -97,12 +97,25 @@ def timed_multi_query(spark: SparkSession, folder: str) -> DataFrame:
 def landed_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Every source audited for its own columns, one also for a column it does not have."""
     root = folders.work_folder(spark, "lake")
-    ingest.drain(ingest.start_all(source_streams(spark, folder), root, ingest.ONCE))
+    streams = source_streams(spark, folder)
+    ingest.drain(ingest.start_all(streams, root, ingest.ONCE, quarantine=False))
     required = {s: [*schemas.source(s).schema.names, "partition_date"] for s in inputs.MESSAGES}
     required["youtube"].append("duration")
     return landing_audit(spark, root, required).drop("n_files")
 
 
+@register(
+    "object_listing",
+    "SELECT 'github' AS source, count(*) > 0 AS has_files FROM events",
+)
+def object_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Objects below the bronze prefix, by the source in their path."""
+    listed = listing.objects(spark, f"{land_events(spark, folder)}/bronze", "*.parquet")
+    return listing.objects_per_source(listed).select(
+        "source", (F.col("n_files") > 0).alias("has_files")
+    )
+
+
 @register(
     "bronze_compaction",
     f"SELECT {inputs.EVENT_TYPE_SQL} AS type, count(*) AS n, count(DISTINCT event_id) AS n_ids "

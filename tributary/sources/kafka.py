@@ -20,8 +20,13 @@ def topic_options(
     starting_offsets: str = "earliest",
     fail_on_data_loss: bool = False,
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Replay from the start on first run; lost offsets are tolerated by default."""
+    """Replay from the start on first run; lost offsets are tolerated by default.
+
+    `max_offsets_per_trigger` bounds a batch when a long backlog is replayed, and
+    `min_partitions` reads a topic of few partitions with more tasks than that.
+    """
     options = {
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
@@ -30,6 +35,8 @@ def topic_options(
     }
     if max_offsets_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 

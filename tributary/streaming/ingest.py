@@ -66,12 +66,20 @@ def start_quarantine(
     )
 
 
-def start_all(streams: dict[str, DataFrame], root: str, trigger: dict = TRIGGER) -> list[StreamingQuery]:
-    """One independent query per source; if one cannot start, none is left running."""
+def start_all(
+    streams: dict[str, DataFrame], root: str, trigger: dict = TRIGGER, quarantine: bool = True
+) -> list[StreamingQuery]:
+    """One independent query per source, and one for what its bronze table leaves out.
+
+    The second query reads and parses the topic again; without it unusable records
+    are gone when the topic drops them. If one query cannot start, none is left running.
+    """
     started: list[StreamingQuery] = []
     try:
         for source, records in streams.items():
             started.append(start_bronze(records, schemas.source(source).name, root, trigger))
+            if quarantine:
+                started.append(start_quarantine(records, source, root, trigger))
     except BaseException:
         stop_all(started)
         raise
@@ -98,13 +106,14 @@ def ingest(
     root: str,
     trigger: dict = TRIGGER,
     duration: int | None = None,
+    quarantine: bool = True,
 ) -> list[StreamingQuery]:
     """Run the sources until `duration` seconds pass, any query ends, or an interrupt.
 
     Whatever the reason, every query is stopped; a query's error is raised.
     """
     spark.streams.resetTerminated()
-    queries = start_all(streams, root, trigger)
+    queries = start_all(streams, root, trigger, quarantine)
     try:
         if duration is None:
             spark.streams.awaitAnyTermination()
