@@ -103,6 +103,11 @@ def test_session_options():
     assert pyspark.__version__ == session.SPARK_VERSION
 
 
+def test_shuffle_partitions_follow_the_data():
+    assert session.sized_for(1 << 20) == {"spark.sql.shuffle.partitions": "200"}
+    assert session.sized_for(100 << 40) == {"spark.sql.shuffle.partitions": str(100 << 13)}
+
+
 def test_session_builder_reuses_the_session(spark):
     assert session.session("other", options={"spark.sql.shuffle.partitions": "4"}) is not None
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -42,6 +42,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def newest_version(spark: SparkSession, base: str) -> str | None:
+    """The newest `run=` folder below `base` whose write finished."""
+    for name in reversed(children(spark, base)):
+        if name.startswith("run=") and exists(spark, f"{base}/{name}/_SUCCESS"):
+            return f"{base}/{name}"
+    return None
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below `path`; empty when it does not exist."""
     fs, hadoop_path = _file_system(spark, path)

@@ -14,18 +14,20 @@ from tributary import folders
 from tributary.schemas import HISTORY
 
 
+def run_stamp() -> str:
+    return datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
+
+
 def save_history(history: DataFrame, root: str, run: str | None = None) -> str:
     """Write the state of a run and return its folder; run names sort by time."""
-    name = run or datetime.now(timezone.utc).strftime("%Y%m%d%H%M%S%f")
-    path = f"{root.rstrip('/')}/run={name}"
+    path = f"{root.rstrip('/')}/run={run or run_stamp()}"
     history.select("source", "key", "seen_at").write.mode("errorifexists").parquet(path)
     return path
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
     """The newest finished state; empty before the first run."""
-    base = root.rstrip("/")
-    for run in reversed(folders.children(spark, base)):
-        if run.startswith("run=") and folders.exists(spark, f"{base}/{run}/_SUCCESS"):
-            return spark.read.schema(HISTORY).parquet(f"{base}/{run}")
-    return spark.createDataFrame([], HISTORY)
+    newest = folders.newest_version(spark, root.rstrip("/"))
+    if newest is None:
+        return spark.createDataFrame([], HISTORY)
+    return spark.read.schema(HISTORY).parquet(newest)

@@ -51,6 +51,16 @@ def object_store_options(
     }
 
 
+def sized_for(input_bytes: int, partition_bytes: int = 128 << 20, floor: int = 200) -> dict[str, str]:
+    """Shuffle partitions for the bytes a job moves.
+
+    Adaptive execution joins partitions that turn out small, but it cannot make
+    more of them; the default of 200 would give half a terabyte each at 100 TB.
+    A stateful stream keeps the number it was first started with.
+    """
+    return {"spark.sql.shuffle.partitions": str(max(floor, -(-input_bytes // partition_bytes)))}
+
+
 def session(
     app_name: str,
     *,
