@@ -105,7 +105,14 @@ def test_epoch_and_iso(spark):
     assert stamps == [datetime(1970, 1, 1), datetime(2024, 1, 1), None, None]
     rows = ["2024-01-01T00:00:05Z", "", "junk", None]
     assert values(spark, times.iso_to_timestamp("x"), rows) == [datetime(2024, 1, 1, 0, 0, 5), None, None, None]
-    assert values(spark, F.to_date(times.iso_to_timestamp("x")), rows[:1]) == [date(2024, 1, 1)]
+
+
+def test_date_is_that_of_utc(spark, changed):
+    changed(spark__sql__session__timeZone="America/New_York")
+    rows = ["2024-01-01T00:00:05Z", "1969-12-31T23:59:59Z", "2024-01-01T23:59:59Z", None]
+    assert values(spark, times.utc_date(times.iso_to_timestamp("x")), rows) == [
+        date(2024, 1, 1), date(1969, 12, 31), date(2024, 1, 1), None,
+    ]
 
 
 def test_run_name(spark):

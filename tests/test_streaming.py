@@ -102,6 +102,16 @@ def test_leaf_read_ignores_uncommitted_files(spark, topic, lake):
     assert listed[0]["n_files"] > bronze.committed_files(bronze.read(spark, lake, "hackernews")).count()
 
 
+def test_older_files_lack_newer_columns(spark, lake):
+    leaf = bronze.leaf_path(lake, "hackernews")
+    spark.sql("SELECT 1L AS id, 'a' AS title").write.parquet(f"{leaf}/partition_date=2024-01-01")
+    spark.sql("SELECT 2L AS id, 'b' AS title, 5L AS score").write.parquet(f"{leaf}/partition_date=2024-01-02")
+    declared = {r["id"]: r["score"] for r in bronze.read(spark, lake, "hackernews").collect()}
+    assert declared == {1: None, 2: 5}
+    merged = bronze.read_leaf(spark, leaf, merge_schema=True)
+    assert set(merged.columns) == {"id", "title", "score", "partition_date"}
+
+
 def test_failing_query_stops_the_others(spark, topic, lake):
     bad = replay(spark, topic).withColumn(
         "value", F.raise_error(F.lit("broken feed")).cast("binary")

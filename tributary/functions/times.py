@@ -48,6 +48,12 @@ def iso_to_timestamp(c: Column | str) -> Column:
     return F.try_to_timestamp(_column(c))
 
 
+def utc_date(c: Column | str) -> Column:
+    """The date of an instant in UTC, whatever time zone the session shows it in."""
+    days = F.floor(F.unix_seconds(_column(c)) / F.lit(86400))
+    return F.date_from_unix_date(days.cast("int"))
+
+
 def run_name(ts: Column | str) -> Column:
     return F.concat(F.date_format(_column(ts), RUN_STAMP), F.lit(RUN_SUFFIX))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary import schemas
-from tributary.functions.times import epoch_to_timestamp, iso_to_timestamp
+from tributary.functions.times import epoch_to_timestamp, iso_to_timestamp, utc_date
 from tributary.operators.feeds import first_seen
 
 
@@ -25,7 +25,7 @@ def conform_story(bronze: DataFrame) -> DataFrame:
         "url",
         "text",
         posted_at.alias("posted_at"),
-        F.to_date(posted_at).alias("event_date"),
+        utc_date(posted_at).alias("event_date"),
         "source",
         "ingested_at",
     )
@@ -42,7 +42,7 @@ def conform_event(bronze: DataFrame) -> DataFrame:
         F.col("actor.id").alias("actor_id"),
         "payload",
         F.col("public").try_cast("boolean").alias("public"),
-        F.to_date(created_at).alias("event_date"),
+        utc_date(created_at).alias("event_date"),
         "source",
         "ingested_at",
     )
@@ -63,7 +63,7 @@ def conform_video(bronze: DataFrame) -> DataFrame:
         "category_id",
         "comment_count",
         "duration_seconds",
-        F.to_date(published_at).alias("event_date"),
+        utc_date(published_at).alias("event_date"),
         "source",
         "ingested_at",
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -195,7 +197,10 @@ def dq_suite_video(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {f"{s}_silver": silver(spark, folder, s) for s in inputs.MESSAGES}
+    """The three tables, stored at the same time."""
+    with ThreadPoolExecutor(len(inputs.MESSAGES)) as pool:
+        stored = pool.map(lambda source: silver(spark, folder, source), inputs.MESSAGES)
+        return {f"{source}_silver": frame for source, frame in zip(inputs.MESSAGES, stored)}
 
 
 CHECKPOINT_SQL = f"{STORY_CHECKS_SQL} UNION ALL {EVENT_CHECKS_SQL} UNION ALL {VIDEO_CHECKS_SQL}"

@@ -20,6 +20,7 @@ from tributary.functions.times import (
     iso_duration_seconds,
     iso_to_timestamp,
     run_name,
+    utc_date,
 )
 from tributary.plans import inputs
 from tributary.plans.registry import register
@@ -104,7 +105,7 @@ def epoch(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         "event_id",
         F.unix_micros(posted).alias("posted_us"),
-        F.to_date(posted).cast("string").alias("event_date"),
+        utc_date(posted).cast("string").alias("event_date"),
     )
 
 
