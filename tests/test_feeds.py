@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary import folders
 from tributary.operators import feeds, state
+from tributary.operators.parse import accepted, parse
 from tributary.operators.publish import DELIVERY, published_count, to_kafka_records
 from tributary.sources import landed
 
@@ -242,6 +243,20 @@ def test_kafka_records(spark):
     assert DELIVERY["kafka.acks"] == "all"
 
 
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.text(min_size=1), st.text(), st.text()), min_size=1, max_size=10))
+def test_any_text_survives_the_record(spark, rows):
+    items = [
+        (i, title, kind, note, i, i, i, "", title + note)
+        for i, (title, kind, note) in enumerate(rows)
+    ]
+    columns = "id BIGINT, title STRING, type STRING, by STRING, score BIGINT, descendants BIGINT, time BIGINT, url STRING, text STRING"
+    messages = spark.createDataFrame(items, columns)
+    sent = to_kafka_records(messages, "hackernews").withColumnRenamed("value", "raw_json")
+    back = accepted(parse(sent, "hackernews"), "hackernews").orderBy("id").collect()
+    assert [tuple(r) for r in back] == items
+
+
 def test_published_count(spark):
     frame = spark.createDataFrame([("a",), ("a",), ("b",)], "source STRING")
     assert {tuple(r) for r in published_count(frame).collect()} == {("a", 2), ("b", 1)}

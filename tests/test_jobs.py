@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tributary import folders, jobs
 from tributary.__main__ import main
-from tributary.operators import quality, results
+from tributary.operators import quality, results, state
 
 
 @pytest.fixture
@@ -85,6 +85,21 @@ def test_events_skip_the_history(spark, feed, place):
     assert sorted(keys(spark, place)) == ["a", "b", "c"]
 
 
+def test_history_size(spark, feed, place):
+    deliver = jobs.to_replay(f"{place}/replay")
+    names = [f"{n:05d}" for n in range(1200)]
+    pages = [{"page": n // 100 + 1, "events": events(names[n : n + 100])} for n in range(0, 1200, 100)]
+    # Ten pages of a poll are served, and all of their ids are remembered.
+    assert jobs.publish_events(spark, feed("pages", pages), f"{place}/state", deliver) == 1000
+    again = [{"page": 1, "events": events(names[:50] + names[1000:1050])}]
+    assert jobs.publish_events(spark, feed("pages", again), f"{place}/state", deliver) == 50
+    assert state.read_history(spark, f"{place}/state/github").count() == 1050
+    more = [{"page": 1, "events": events(["x"])}]
+    assert jobs.publish_events(spark, feed("pages", more), f"{place}/state", deliver, history_size=10) == 1
+    kept = {r["key"] for r in state.read_history(spark, f"{place}/state/github").collect()}
+    assert len(kept) == 10 and "x" in kept
+
+
 def test_videos_once_per_run_and_history(spark, feed, place):
     deliver = jobs.to_replay(f"{place}/replay")
     details = feed("details", [videos(["v1", "v2"]), videos(["v2", "v3"])])

@@ -73,20 +73,22 @@ def publish_stories(
 
 
 def publish_events(
-    spark: SparkSession, pages: str, state_root: str, deliver: Deliver, limit: int | None = None
+    spark: SparkSession,
+    pages: str,
+    state_root: str,
+    deliver: Deliver,
+    limit: int | None = None,
+    history_size: int | None = None,
 ) -> int:
-    """Event pages as lines `{"page": n, "events": [...]}`; returns how many were sent."""
-    lines = landed.read_lines(spark, pages)
-    paged = lines.select(
-        F.get_json_object("raw_json", "$.page").try_cast("int").alias("page"),
-        F.get_json_object("raw_json", "$.events").alias("raw_json"),
-    )
+    """Event pages as lines `{"page": n, "events": [...]}`; returns how many were sent.
+
+    The state keeps every id published, unless a size bounds it.
+    """
+    paged = landed.numbered_event_pages(landed.read_lines(spark, pages))
     seen = state.read_history(spark, f"{state_root}/github")
-    messages = feeds.event_feed(
-        landed.event_pages(paged, "page"), ["page", "pos"], history=seen, limit=limit
-    )
+    messages = feeds.event_feed(paged, ["page", "pos"], history=seen, limit=limit)
     sent = _send(spark, messages, "github", deliver)
-    _remember(seen, sent, "github", state_root)
+    _remember(seen, sent, "github", state_root, history_size)
     return sent.count()
 
 
@@ -98,6 +100,7 @@ def publish_videos(
     state_root: str,
     deliver: Deliver,
     limit: int | None = None,
+    history_size: int | None = feeds.HISTORY_SIZE,
 ) -> int:
     """The popular envelope, search results in query order, and the details of both."""
     first = landed.video_envelopes(landed.read_lines(spark, popular)).select("pos", "id")
@@ -116,7 +119,7 @@ def publish_videos(
         history=seen, limit=limit,
     )
     sent = _send(spark, messages, "youtube", deliver)
-    _remember(seen, sent, "youtube", state_root)
+    _remember(seen, sent, "youtube", state_root, history_size)
     return sent.count()
 
 
@@ -132,9 +135,12 @@ def _sightings(sent: DataFrame, source: str) -> DataFrame:
     return feeds.seen_now(sent, source, schemas.source(source).key, F.current_timestamp())
 
 
-def _remember(seen: DataFrame, sent: DataFrame, source: str, state_root: str) -> None:
+def _remember(
+    seen: DataFrame, sent: DataFrame, source: str, state_root: str, size: int | None
+) -> None:
     merged = feeds.merge_history(seen, _sightings(sent, source))
-    state.save_history(feeds.bounded_history(merged), f"{state_root}/{source}")
+    kept = feeds.bounded_history(merged, size) if size else merged
+    state.save_history(kept, f"{state_root}/{source}")
 
 
 # --- land -------------------------------------------------------------------

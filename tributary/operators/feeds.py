@@ -75,7 +75,8 @@ def top_per_group(
     The group is ranked in hash buckets first; at most `n` rows of each bucket
     go on to the final ranking, which is exact.
     """
-    count = buckets or int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    configured = frame.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    count = buckets or (int(configured) if configured.isdigit() else 200)
     bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(count)))
     for partition in ([*group, "_bucket"], group):
         rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))

@@ -37,6 +37,14 @@ def event_pages(responses: DataFrame, *carry: str) -> DataFrame:
     return exploded.select(*carry, "pos", "event.*")
 
 
+def numbered_event_pages(lines: DataFrame) -> DataFrame:
+    """Lines `{"page": n, "events": [...]}` to (page, pos, event columns)."""
+    line = F.from_json("raw_json", f"page INT, events {schemas.EVENT_PAGE}")
+    paged = lines.select(F.inline(F.array(line)))
+    exploded = paged.select("page", F.posexplode("events").alias("pos", "event"))
+    return exploded.select("page", "pos", "event.*")
+
+
 def video_envelopes(responses: DataFrame, *carry: str) -> DataFrame:
     """`{"items": [...]}` of video details to (carry, pos, id, snippet, ...)."""
     items = F.from_json("raw_json", schemas.VIDEO_ENVELOPE).getField("items")
