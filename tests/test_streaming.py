@@ -238,6 +238,19 @@ def test_silver_takes_the_latest_copy(spark):
     assert got == {1: "new", 2: "only"}
 
 
+def test_silver_picks_the_same_copy_however_rows_are_spread(spark):
+    rows = spark.range(200).selectExpr(
+        "id % 10 AS id", "concat('t', id) AS title", "'story' AS type", "'' AS by", "0L AS score",
+        "0L AS descendants", "0L AS time", "'' AS url", "'' AS text", "'hackernews' AS source",
+        "timestamp'2024-01-01 00:00:00' AS ingested_at",
+    )
+    picks = [
+        {r["id"]: r["title"] for r in silver_rows(rows.repartition(n), "hackernews").collect()}
+        for n in (1, 3, 7)
+    ]
+    assert len(picks[0]) == 10 and picks[0] == picks[1] == picks[2]
+
+
 def test_sources_union_by_name(spark, topic, lake):
     run_once(spark, topic, lake)
     land(spark, f"{lake}/events", ['{"id":"e1","type":"PushEvent"}'], "github-events")
