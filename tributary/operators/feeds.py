@@ -68,16 +68,14 @@ def top_per_group(
     order: Order,
     n: int,
     spread_by: list[str],
-    buckets: int | None = None,
+    buckets: int = 256,
 ) -> DataFrame:
     """The first `n` rows of each group, for groups too large for one task.
 
     The group is ranked in hash buckets first; at most `n` rows of each bucket
     go on to the final ranking, which is exact.
     """
-    configured = frame.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    count = buckets or (int(configured) if configured.isdigit() else 200)
-    bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(count)))
+    bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)))
     for partition in ([*group, "_bucket"], group):
         rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
         bucketed = bucketed.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

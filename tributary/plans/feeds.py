@@ -36,7 +36,7 @@ TITLE_SQL = "CASE WHEN lang = 'de' THEN '' ELSE split_part(text, chr(10), 1) END
 STORY_FIELDS_SQL = f"""
     doc_id AS id, {TITLE_SQL} AS title, {inputs.STORY_TYPE_SQL} AS type, source AS by,
     CASE WHEN lang = 'es' THEN 0 ELSE n_chars END AS score, CAST(0 AS BIGINT) AS descendants,
-    {inputs.FIRST_EPOCH} + doc_id * 3600 AS time, '' AS url, substr(text, 1, 500) AS text"""
+    {inputs.FIRST_EPOCH} + (doc_id % {inputs.TIME_SPAN}) * 3600 AS time, '' AS url, substr(text, 1, 500) AS text"""
 STORY_LISTS_SQL = f"""
     listed AS (
         SELECT doc_id // {inputs.IDS_PER_LIST} AS poll, 0 AS list_rank,
@@ -53,7 +53,8 @@ STORY_LISTS_SQL = f"""
 SECURE = "url LIKE 'https%'"
 HOST_SQL = "regexp_extract(url, '://([^/]+)/', 1)"
 PUBLISHED_AT_SQL = (
-    "strftime(TIMESTAMP '2024-01-01' + to_minutes(CAST(page_id * 13 AS INTEGER)), '%Y-%m-%dT%H:%M:%SZ')"
+    f"strftime(TIMESTAMP '2024-01-01' + to_minutes(CAST((page_id % {inputs.TIME_SPAN}) * 13 AS INTEGER)), "
+    "'%Y-%m-%dT%H:%M:%SZ')"
 )
 VIDEO_FIELDS_SQL = f"""
     'v' || page_id AS video_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,

@@ -32,6 +32,7 @@ EVENT_TYPE_SQL = (
 STORY_TYPES = {"en": "story", "fr": "story", "es": "comment", "de": "job"}
 STORY_TYPE_SQL = "CASE lang WHEN 'es' THEN 'comment' WHEN 'de' THEN 'job' ELSE 'story' END"
 FIRST_EPOCH = 1704067200
+TIME_SPAN = 1000000  # derived times start over here, so that they stay valid dates in any table
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 IDS_PER_LIST = 500
@@ -127,7 +128,7 @@ def story_columns(documents: DataFrame) -> DataFrame:
         F.col("source").alias("by"),
         F.when(F.col("lang") != "es", F.col("n_chars")).alias("score"),
         F.lit(None).cast("bigint").alias("descendants"),
-        (F.lit(FIRST_EPOCH) + F.col("doc_id") * 3600).alias("time"),
+        (F.lit(FIRST_EPOCH) + F.col("doc_id") % TIME_SPAN * 3600).alias("time"),
         F.lit(None).cast("string").alias("url"),
         "text",
     )
@@ -149,14 +150,17 @@ def story_messages(documents: DataFrame) -> DataFrame:
 
 def video_items(pages: DataFrame) -> DataFrame:
     """(page_id, item): some videos lack tags or a channel id, some counts are not numbers."""
-    minutes = F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, CAST(page_id AS INT) * 13)")
+    published = F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + "
+        f"make_dt_interval(0, 0, CAST(page_id % {TIME_SPAN} AS INT) * 13)"
+    )
     secure = F.startswith(F.col("url"), F.lit("https"))
     path = F.regexp_extract("url", r"://[^/]+/([^?#]*)", 1)
     snippet = F.struct(
         F.regexp_extract("html", r"<title>([^<]*)</title>", 1).alias("title"),
         F.regexp_extract("url", r"://([^/]+)/", 1).alias("channelTitle"),
         F.when(secure, F.md5(F.regexp_extract("url", r"://([^/]+)/", 1))).alias("channelId"),
-        F.date_format(minutes, ISO_SECONDS).alias("publishedAt"),
+        F.date_format(published, ISO_SECONDS).alias("publishedAt"),
         F.col("html").alias("description"),
         F.when(~F.contains(F.col("url"), F.lit("?")), F.split(path, "/")).alias("tags"),
         F.lit(None).cast("string").alias("categoryId"),

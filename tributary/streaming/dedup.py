@@ -12,7 +12,7 @@ def dedup_stream(
     event_time: str,
     delay: str,
     spread_by: list[str] | None = None,
-    buckets: int = 16,
+    buckets: int = 64,
 ) -> DataFrame:
     """One row per key while its state lasts; repeats later than `delay` pass.
 
