@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+import __spark_entry__ as spark_entry
 from tributary.operators import feeds
 from tributary.operators.conform import conform_event
 from tributary.operators.parse import bronze_rows
@@ -66,6 +67,14 @@ def test_no_python_and_no_shuffle_on_the_way_to_silver(spark, plan_of):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+def test_type_filters_reach_the_scan(spark, plan_of):
+    queries = spark_entry.queries()
+    equals = plan_of(queries["type_equals"](spark, "/root/testdata/sf0.001"))
+    assert "EqualTo(event_type,purchase)" in equals
+    in_set = plan_of(queries["type_in_set"](spark, "/root/testdata/sf0.001"))
+    assert "In(event_type, [click,purchase,view])" in in_set
+
+
 def test_scan_reads_only_what_is_used(spark, plan_of):
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = plan_of(feeds.newest(events.select("event_id", "value").where("value > 10"), "value", "event_id", 5))

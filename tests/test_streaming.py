@@ -255,8 +255,7 @@ def test_sources_union_by_name(spark, topic, lake):
     run_once(spark, topic, lake)
     land(spark, f"{lake}/events", ['{"id":"e1","type":"PushEvent"}'], "github-events")
     run_once(spark, f"{lake}/events", lake, "github")
-    github = bronze.read(spark, lake, "github")
-    stories = bronze.read(spark, lake, "hackernews").withColumn("id", F.col("id").cast("string"))
-    both = bronze.union_sources([github, stories])
+    both = bronze.read_all(spark, lake, ["github", "hackernews"])
+    assert {r["id"] for r in both.collect()} == {"e1", "0", "1", "2", "3", "4"}
     assert {tuple(r) for r in both.groupBy("source").count().collect()} == {("github", 1), ("hackernews", 5)}
     assert both.where("source = 'github' AND title IS NULL").count() == 1

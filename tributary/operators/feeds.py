@@ -85,8 +85,9 @@ def top_per_group(
 # --- filters and cursors ----------------------------------------------------
 
 
-def stories_only(items: DataFrame) -> DataFrame:
-    return items.where(F.col("type") == STORY_TYPE)
+def of_type(items: DataFrame, kind: str = STORY_TYPE) -> DataFrame:
+    """Rows of one type; null items and null types drop out."""
+    return items.where(F.col("type") == kind)
 
 
 def published_types(events: DataFrame, types: tuple[str, ...] = EVENT_TYPES) -> DataFrame:
@@ -208,7 +209,7 @@ def story_feed(
     """
     fresh = lists if mark is None else above_mark(lists, "id", mark)
     wanted = first_seen(fresh, ["id"], order)
-    messages = normalize_story(stories_only(items))
+    messages = normalize_story(of_type(items))
     return take(look_up(wanted, messages, "id"), order, limit)
 
 

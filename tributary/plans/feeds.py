@@ -168,25 +168,21 @@ def normalize_video(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(
     "type_equals",
-    "SELECT doc_id AS id, lang FROM documents WHERE lang IN ('en', 'fr')",
+    "SELECT event_id, user_id, event_type AS type FROM events WHERE event_type = 'purchase'",
 )
 def type_equals(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    typed = documents.select(
-        F.col("doc_id").alias("id"), "lang", inputs.lookup(inputs.STORY_TYPES, "lang").alias("type")
-    )
-    return feeds.stories_only(typed).drop("type")
+    """The type is a stored column, so the scan itself gets the filter."""
+    typed = table(spark, folder, "events").select("event_id", "user_id", F.col("event_type").alias("type"))
+    return feeds.of_type(typed, "purchase")
 
 
 @register(
     "type_in_set",
-    f"SELECT event_id, {inputs.EVENT_TYPE_SQL} AS type FROM events WHERE {PUBLISHED_SQL}",
+    f"SELECT event_id, user_id, event_type AS type FROM events WHERE {PUBLISHED_SQL}",
 )
 def type_in_set(spark: SparkSession, folder: str) -> DataFrame:
-    typed = table(spark, folder, "events").select(
-        "event_id", inputs.lookup(inputs.EVENT_TYPE_NAMES, "event_type").alias("type")
-    )
-    return feeds.published_types(typed)
+    typed = table(spark, folder, "events").select("event_id", "user_id", F.col("event_type").alias("type"))
+    return feeds.published_types(typed, ("click", "view", "purchase"))
 
 
 @register(

@@ -89,6 +89,7 @@ def silver_dedup(spark: SparkSession, folder: str) -> DataFrame:
     "SELECT 'youtube', NULL, 'v' || page_id, NULL FROM pages",
 )
 def cross_source_union(spark: SparkSession, folder: str) -> DataFrame:
-    frames = [inputs.bronze_of(spark, folder, s) for s in inputs.MESSAGES]
-    frames[0] = frames[0].withColumn("id", F.col("id").cast("string"))
+    frames = [
+        bronze.with_text_key(inputs.bronze_of(spark, folder, s), s) for s in inputs.MESSAGES
+    ]
     return bronze.union_sources(frames).select("source", "id", "video_id", "type")

@@ -58,8 +58,14 @@ def union_sources(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def with_text_key(frame: DataFrame, source: str) -> DataFrame:
+    """The key as text: sources differ in its type, and a union would turn text into numbers."""
+    key = schemas.source(source).key
+    return frame.withColumn(key, F.col(key).cast("string"))
+
+
 def read_all(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
-    return union_sources([read(spark, root, s) for s in sources])
+    return union_sources([with_text_key(read(spark, root, s), s) for s in sources])
 
 
 def committed_files(frame: DataFrame) -> DataFrame:
