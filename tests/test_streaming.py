@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tributary import folders
 from tributary.operators.conform import silver_rows
-from tributary.operators.parse import bronze_rows
+from tributary.operators.parse import bronze_rows, landed_rows
 from tributary.schemas import KAFKA_RECORD
 from tributary.session import STREAMING_OPTIONS
 from tributary.sources import bronze, kafka, listing
@@ -75,7 +75,7 @@ def test_partitioned_by_ingestion_date(spark, topic, lake, plan_of):
 
 
 def test_quarantine_keeps_the_text(spark, topic, lake):
-    ingest.drain([ingest.start_quarantine(replay(spark, topic), "hackernews", lake, ingest.ONCE)])
+    run_once(spark, topic, lake)
     aside = bronze.read_quarantine(spark, lake, "hackernews").collect()
     assert {(r["raw_json"], r["reason"]) for r in aside} == {("garbage", "malformed"), ("{}", "missing key")}
 
@@ -162,10 +162,10 @@ def test_compaction_keeps_rows_and_the_source(spark, topic, lake):
     run_once(spark, topic, lake)
     target = compact(spark, lake, "hackernews", f"{lake}/compacted")
     compacted = bronze.read_leaf(spark, target)
-    assert compacted.count() == bronze.read(spark, lake, "hackernews").count() == 8
-    assert bronze.committed_files(compacted).count() < bronze.committed_files(
-        bronze.read(spark, lake, "hackernews")
-    ).count()
+    assert bronze.read(spark, lake, "hackernews").count() == 8
+    assert compacted.count() == 10 and compacted.where("reason IS NOT NULL").count() == 2
+    before = bronze.committed_files(bronze.read_landed(spark, lake, "hackernews"))
+    assert bronze.committed_files(compacted).count() < before.count()
     with pytest.raises(ValueError, match="already exists"):
         compact(spark, lake, "hackernews", target)
 
@@ -194,10 +194,19 @@ def test_stream_dedup(spark, lake, spread_by, changed):
     assert sorted(r["id"] for r in spark.table(out).collect()) == sorted([*map(str, range(10)), "99"])
 
 
-def test_ingest_sets_aside_what_it_cannot_use(spark, topic, lake):
-    ingest.drain(ingest.start_all({"hackernews": replay(spark, topic)}, lake, ingest.ONCE))
-    assert bronze.read(spark, lake, "hackernews").count() == 5
-    assert bronze.read_quarantine(spark, lake, "hackernews").count() == 2
+def test_both_sides_come_out_of_one_parse(spark, topic, lake, plan_of):
+    batch = landed_rows(kafka.raw_json(spark.read.parquet(topic)), "hackernews")
+    plan = plan_of(batch)
+    assert plan.count("from_json") == 1 and "Exchange" not in plan
+    assert batch.where("reason IS NULL").count() == 5 and batch.where("raw_json IS NOT NULL").count() == 2
+
+
+def test_good_rows_are_read_without_the_text(spark, topic, lake, plan_of):
+    run_once(spark, topic, lake)
+    plan = plan_of(bronze.read(spark, lake, "hackernews").select("id"))
+    assert "ReadSchema: struct<id:bigint,reason:string>" in plan
+    aside = plan_of(bronze.read_quarantine(spark, lake, "hackernews"))
+    assert "IsNotNull(reason)" in aside
 
 
 def test_offsets_can_be_kept_and_order_copies(spark, lake):

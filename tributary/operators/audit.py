@@ -30,16 +30,18 @@ def topic_audit(records: DataFrame, topics: list[str]) -> DataFrame:
 
 
 def landed(frame: DataFrame, source: str, required: list[str]) -> DataFrame:
-    """One row about a bronze leaf: files, rows and required columns."""
+    """One row about a bronze leaf: files, good rows, quarantined rows and required columns."""
     missing = [c for c in required if c not in frame.columns]
     files = bronze.committed_files(frame)
     return files.agg(
         F.count("*").alias("n_files"),
         F.coalesce(F.sum("n_rows"), F.lit(0).cast("bigint")).alias("n_rows"),
+        F.coalesce(F.sum("n_quarantined"), F.lit(0).cast("bigint")).alias("n_quarantined"),
     ).select(
         F.lit(source).alias("source"),
         "n_files",
         "n_rows",
+        "n_quarantined",
         F.lit(",".join(missing)).alias("missing_columns"),
         (F.col("n_files") > 0).alias("has_files"),
         (F.col("n_rows") > 0).alias("has_rows"),
@@ -71,6 +73,7 @@ def _never_landed(spark: SparkSession, source: str, required: list[str]) -> Data
         F.lit(schemas.source(source).name).alias("source"),
         zero.alias("n_files"),
         zero.alias("n_rows"),
+        zero.alias("n_quarantined"),
         F.lit(",".join(required)).alias("missing_columns"),
         F.lit(False).alias("has_files"),
         F.lit(False).alias("has_rows"),

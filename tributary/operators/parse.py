@@ -69,5 +69,19 @@ def enrich(frame: DataFrame, source: str) -> DataFrame:
     )
 
 
+def landed_rows(raw: DataFrame, source: str, *keep: str) -> DataFrame:
+    """Every record once: good rows with their fields, the others also with text and reason.
+
+    Both sides come out of one parse. `raw_json` and `reason` are null for good rows.
+    """
+    parsed = parse(raw, source, "raw_json", *keep)
+    sides = {
+        "raw_json": F.when(unusable(source), F.col("raw_json")),
+        "reason": reason(source),
+    }
+    return enrich(parsed.withColumns(sides).drop(schemas.CORRUPT), source)
+
+
 def bronze_rows(raw: DataFrame, source: str, *keep: str) -> DataFrame:
+    """The good rows alone."""
     return enrich(accepted(parse(raw, source, *keep), source), source)

@@ -63,7 +63,7 @@ def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
 def quarantine_stream(spark: SparkSession, folder: str) -> DataFrame:
     root = folders.work_folder(spark, "lake")
     records = damage(event_stream(spark, folder))
-    ingest.drain([ingest.start_quarantine(records, "github", root, ingest.ONCE)])
+    ingest.drain([ingest.start_bronze(records, "github", root, ingest.ONCE)])
     aside = bronze.read_quarantine(spark, root, "github")
     return aside.groupBy("reason").agg(
         F.count("*").alias("n"), F.sum(F.length("raw_json")).alias("n_chars")
@@ -98,10 +98,10 @@ def landed_audit(spark: SparkSession, folder: str) -> DataFrame:
     """Every source audited for its own columns, one also for a column it does not have."""
     root = folders.work_folder(spark, "lake")
     streams = source_streams(spark, folder)
-    ingest.drain(ingest.start_all(streams, root, ingest.ONCE, quarantine=False))
+    ingest.drain(ingest.start_all(streams, root, ingest.ONCE))
     required = {s: [*schemas.source(s).schema.names, "partition_date"] for s in inputs.MESSAGES}
     required["youtube"].append("duration")
-    return landing_audit(spark, root, required).drop("n_files")
+    return landing_audit(spark, root, required).drop("n_files", "n_quarantined")
 
 
 @register(

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tributary import schemas
 
+# Null for good rows; what cannot be used is kept as text, with the reason.
+ASIDE = "raw_json STRING, reason STRING"
 ADDED = "source STRING, ingested_at TIMESTAMP, partition_date DATE"
-QUARANTINE = "source STRING, raw_json STRING, reason STRING, ingested_at TIMESTAMP"
 
 
 def leaf_path(root: str, source: str) -> str:
@@ -26,31 +27,32 @@ def checkpoint_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/_checkpoints/source={schemas.source(source).name}"
 
 
-def quarantine_path(root: str, source: str) -> str:
-    return f"{root.rstrip('/')}/quarantine/source={schemas.source(source).name}"
-
-
-def quarantine_checkpoint_path(root: str, source: str) -> str:
-    return f"{root.rstrip('/')}/_checkpoints/quarantine-source={schemas.source(source).name}"
-
-
 def read_leaf(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
     """As the files say; merging opens the footer of every file, so it is for audits."""
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
-    """With the declared schema: no footer is read, and files written before a column
-    was added give null for it. `keep` declares record columns stored next to the
-    message, such as `"offset BIGINT"`.
+def read_landed(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+    """Good and quarantined rows of a source, with the declared schema.
+
+    No footer is read, and files written before a column was added give null for
+    it. `keep` declares record columns stored next to the message, such as
+    `"offset BIGINT"`.
     """
-    spec = schemas.source(source)
-    columns = ", ".join([*keep, spec.message, ADDED])
+    columns = ", ".join([*keep, schemas.source(source).message, ASIDE, ADDED])
     return spark.read.schema(columns).parquet(leaf_path(root, source))
 
 
+def read(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+    """The good rows. The text column is not scanned."""
+    landed = read_landed(spark, root, source, *keep)
+    return landed.where("reason IS NULL").drop("raw_json", "reason")
+
+
 def read_quarantine(spark: SparkSession, root: str, source: str) -> DataFrame:
-    return spark.read.schema(QUARANTINE).parquet(quarantine_path(root, source))
+    """What could not be used. Row groups without any are skipped by their statistics."""
+    landed = read_landed(spark, root, source)
+    return landed.where("reason IS NOT NULL").select("source", "raw_json", "reason", "ingested_at")
 
 
 def union_sources(frames: list[DataFrame]) -> DataFrame:
@@ -69,7 +71,8 @@ def read_all(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
 
 
 def committed_files(frame: DataFrame) -> DataFrame:
-    """(file_path, n_rows) of a leaf read; no data column is scanned."""
+    """(file_path, n_rows, n_quarantined) of a leaf read; at most the reason column is scanned."""
+    aside = F.count("reason") if "reason" in frame.columns else F.lit(0).cast("bigint")
     return frame.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
-        F.count("*").alias("n_rows")
+        (F.count("*") - aside).alias("n_rows"), aside.alias("n_quarantined")
     )

@@ -9,13 +9,13 @@ from tributary.sources import bronze
 
 
 def compact(spark: SparkSession, root: str, source: str, target: str) -> str:
-    """Rewrite the committed rows of a source to a new folder, in larger files.
+    """Rewrite the committed rows of a source, good or not, to a new folder, in larger files.
 
     Rows are rebalanced by date: Spark splits a large day over several tasks and
     joins small ones. The stream's own folder is never touched.
     """
     if folders.exists(spark, target):
         raise ValueError(f"{target} already exists")
-    rows = bronze.read(spark, root, source).hint("rebalance", "partition_date")
+    rows = bronze.read_landed(spark, root, source).hint("rebalance", "partition_date")
     rows.write.partitionBy("partition_date").parquet(target)
     return target

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary import folders, schemas
-from tributary.operators.parse import bronze_rows, parse, quarantined
+from tributary.operators.parse import landed_rows
 from tributary.sources import bronze, kafka
 
 # Fixed value: how often a running query looks for new records.
@@ -25,61 +25,35 @@ def guard(spark: SparkSession, sink: str, checkpoint: str) -> None:
         raise ValueError(f"{sink} has a commit log but {checkpoint} has no progress to go with it")
 
 
-def _append(frame: DataFrame, sink: str, checkpoint: str, trigger: dict) -> StreamingQuery:
-    guard(frame.sparkSession, sink, checkpoint)
-    writer = (
-        frame.writeStream.format("parquet")
-        .option("path", sink)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**trigger)
-    )
-    if "partition_date" in frame.columns:
-        writer = writer.partitionBy("partition_date")
-    return writer.start()
-
-
 def start_bronze(
     records: DataFrame, source: str, root: str, trigger: dict = TRIGGER, keep: tuple[str, ...] = ()
 ) -> StreamingQuery:
     """Append a record stream to the source's bronze table.
 
-    Nothing is shuffled: each input split becomes one task and one file. `keep`
-    names record columns (offset, ...) to store next to the message.
+    Good and unusable records are told apart in one parse and committed together,
+    each exactly once. Nothing is shuffled: an input split becomes one task and one
+    file. `keep` names record columns (offset, ...) to store next to the message.
     """
-    rows = bronze_rows(kafka.raw_json(records, *keep), source, *keep)
-    return _append(
-        rows, bronze.leaf_path(root, source), bronze.checkpoint_path(root, source), trigger
-    )
-
-
-def start_quarantine(
-    records: DataFrame, source: str, root: str, trigger: dict = TRIGGER
-) -> StreamingQuery:
-    """Append what bronze leaves out, with its text; its own query and progress."""
-    parsed = parse(kafka.raw_json(records), source, "raw_json")
-    return _append(
-        quarantined(parsed, source),
-        bronze.quarantine_path(root, source),
-        bronze.quarantine_checkpoint_path(root, source),
-        trigger,
+    sink, checkpoint = bronze.leaf_path(root, source), bronze.checkpoint_path(root, source)
+    guard(records.sparkSession, sink, checkpoint)
+    return (
+        landed_rows(kafka.raw_json(records, *keep), source, *keep)
+        .writeStream.format("parquet")
+        .option("path", sink)
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("partition_date")
+        .outputMode("append")
+        .trigger(**trigger)
+        .start()
     )
 
 
-def start_all(
-    streams: dict[str, DataFrame], root: str, trigger: dict = TRIGGER, quarantine: bool = True
-) -> list[StreamingQuery]:
-    """One independent query per source, and one for what its bronze table leaves out.
-
-    The second query reads and parses the topic again; without it unusable records
-    are gone when the topic drops them. If one query cannot start, none is left running.
-    """
+def start_all(streams: dict[str, DataFrame], root: str, trigger: dict = TRIGGER) -> list[StreamingQuery]:
+    """One independent query per source; if one cannot start, none is left running."""
     started: list[StreamingQuery] = []
     try:
         for source, records in streams.items():
             started.append(start_bronze(records, schemas.source(source).name, root, trigger))
-            if quarantine:
-                started.append(start_quarantine(records, source, root, trigger))
     except BaseException:
         stop_all(started)
         raise
@@ -106,14 +80,13 @@ def ingest(
     root: str,
     trigger: dict = TRIGGER,
     duration: int | None = None,
-    quarantine: bool = True,
 ) -> list[StreamingQuery]:
     """Run the sources until `duration` seconds pass, any query ends, or an interrupt.
 
     Whatever the reason, every query is stopped; a query's error is raised.
     """
     spark.streams.resetTerminated()
-    queries = start_all(streams, root, trigger, quarantine)
+    queries = start_all(streams, root, trigger)
     try:
         if duration is None:
             spark.streams.awaitAnyTermination()
