@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tributary import folders
-from tributary.operators import feeds, state
+from tributary.operators import feeds, normalize, state
 from tributary.operators.parse import accepted, parse
 from tributary.operators.publish import DELIVERY, published_count, to_kafka_records
 from tributary.sources import landed
@@ -81,7 +81,7 @@ def test_high_water_mark(spark):
 def test_normalised_story_defaults(spark):
     long = "x" * 600
     texts = [json.dumps({"id": 1, "type": "story"}), json.dumps({"id": 2, "type": "job", "title": None, "text": long})]
-    got = feeds.normalize_story(landed.story_items(responses(spark, texts))).orderBy("id").collect()
+    got = normalize.normalize_story(landed.story_items(responses(spark, texts))).orderBy("id").collect()
     assert got[0].asDict() == {
         "id": 1, "title": "", "type": "story", "by": "", "score": 0, "descendants": 0,
         "time": 0, "url": "", "text": "",
@@ -148,14 +148,14 @@ def details(spark, *found):
 
 def test_normalised_video(spark):
     frame = details(spark, video("v1", tags=["a", "b"]), {"id": "v2"})
-    one, two = feeds.normalize_video(frame).orderBy("video_id").collect()
+    one, two = normalize.normalize_video(frame).orderBy("video_id").collect()
     assert (one["view_count"], one["like_count"], one["comment_count"]) == (5, 0, 0)
     assert one["tags"] == ["a", "b"] and one["duration_seconds"] == 60
     assert two["title"] == "" and two["tags"] == [] and two["duration_seconds"] == 0
 
 
 def test_video_run(spark):
-    known = details(spark, *[video(f"v{n}", views=str(n)) for n in range(5)]).drop("pos")
+    known = normalize.normalize_video(details(spark, *[video(f"v{n}", views=str(n)) for n in range(5)]))
     popular = spark.createDataFrame([(0, 0, "v4"), (0, 1, "v3")], "list_rank INT, pos INT, id STRING")
     found = landed.search_results(
         responses(spark, [json.dumps({"items": [{"id": {"videoId": v}} for v in ("v3", "v1", "gone")]})])

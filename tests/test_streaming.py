@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tributary import folders
+from tributary.operators.audit import landing_audit
 from tributary.operators.conform import silver_rows
 from tributary.operators.parse import bronze_rows, landed_rows
 from tributary.schemas import KAFKA_RECORD
@@ -201,6 +202,12 @@ def test_both_sides_come_out_of_one_parse(spark, topic, lake, plan_of):
     assert batch.where("reason IS NULL").count() == 5 and batch.where("raw_json IS NOT NULL").count() == 2
 
 
+def test_audit_tells_the_sides_apart(spark, topic, lake):
+    run_once(spark, topic, lake)
+    row = landing_audit(spark, lake, {"hackernews": ["id"]}).first()
+    assert (row["n_rows"], row["n_quarantined"], row["has_rows"]) == (5, 2, True)
+
+
 def test_good_rows_are_read_without_the_text(spark, topic, lake, plan_of):
     run_once(spark, topic, lake)
     plan = plan_of(bronze.read(spark, lake, "hackernews").select("id"))

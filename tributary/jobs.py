@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tributary import folders, schemas
 from tributary.functions.times import run_name_at
 from tributary.operators import audit, conform, feeds, publish, quality, results, rules, state
+from tributary.operators.normalize import normalize_video
 from tributary.sources import bronze, kafka, landed
 from tributary.streaming import ingest
 
@@ -115,7 +116,7 @@ def publish_videos(
     )
     seen = state.read_history(spark, f"{state_root}/youtube")
     messages = feeds.video_feed(
-        ranked.where("list_rank = 0"), ranked.where("list_rank > 0"), known.drop("pos"),
+        ranked.where("list_rank = 0"), ranked.where("list_rank > 0"), normalize_video(known),
         history=seen, limit=limit,
     )
     sent = _send(spark, messages, "youtube", deliver)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.numbers import clamp_request
 from tributary.functions.text import matched_queries
-from tributary.operators.normalize import normalize_event, normalize_story, normalize_video
+from tributary.operators.normalize import normalize_event, normalize_story
 
 # Event types that are published, page limits, history size, searches.
 STORY_TYPE = "story"
@@ -241,14 +241,15 @@ def video_feed(
     history: DataFrame | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Popular videos, then search results in query order, to video messages.
+    """Popular videos, then search results in query order, as video messages.
 
-    `popular` and `found` hold (list_rank, pos, id); `details` one row per id.
+    `popular` and `found` hold (list_rank, pos, id); `details` holds the normalised
+    videos, one row per id.
     """
     columns = ["list_rank", "pos", "id"]
     ids = popular.select(*columns).unionByName(found.select(*columns))
     wanted = first_seen(ids, ["id"], ["list_rank", "pos"])
     if history is not None:
         wanted = not_in_history(wanted, history.select(F.col("key").alias("id")), "id")
-    messages = normalize_video(details).withColumn("id", F.col("video_id"))
-    return take(look_up(wanted, messages, "id").drop("id"), ["list_rank", "pos"], limit)
+    messages = look_up(wanted, details.withColumn("id", F.col("video_id")), "id")
+    return take(messages.drop("id"), ["list_rank", "pos"], limit)

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary import folders
-from tributary.operators import feeds, state
+from tributary.functions.text import matched_queries
+from tributary.operators import feeds, normalize, state
 from tributary.plans import inputs
 from tributary.plans.registry import register
 from tributary.sources import landed
@@ -136,7 +137,7 @@ def search_result_lookup(spark: SparkSession, folder: str) -> DataFrame:
     items = F.sort_array(F.collect_list("item"))
     responses = found.groupBy("envelope").agg(F.to_json(F.struct(items.alias("items"))).alias("raw_json"))
     ids = landed.search_results(responses).select(F.col("video_id").alias("id"))
-    messages = feeds.normalize_video(feeds.look_up(ids, video_details(spark, folder), "id"))
+    messages = normalize.normalize_video(feeds.look_up(ids, video_details(spark, folder), "id"))
     return flat_video(messages)
 
 
@@ -146,7 +147,7 @@ def search_result_lookup(spark: SparkSession, folder: str) -> DataFrame:
 @register("normalize_story", f"SELECT {STORY_FIELDS_SQL} FROM documents WHERE length(text) >= 50")
 def normalize_story(spark: SparkSession, folder: str) -> DataFrame:
     responses = inputs.story_item_responses(table(spark, folder, "documents"))
-    return feeds.normalize_story(landed.story_items(responses))
+    return normalize.normalize_story(landed.story_items(responses))
 
 
 @register(
@@ -154,13 +155,13 @@ def normalize_story(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {EVENT_PAGES_SQL} SELECT poll, page, pos, {EVENT_FIELDS_SQL} FROM paged",
 )
 def normalize_event(spark: SparkSession, folder: str) -> DataFrame:
-    messages = feeds.normalize_event(event_pages(spark, folder), "poll", "page", "pos")
+    messages = normalize.normalize_event(event_pages(spark, folder), "poll", "page", "pos")
     return flat_event(messages, "poll", "page", "pos")
 
 
 @register("normalize_video", f"SELECT {VIDEO_FIELDS_SQL} FROM pages")
 def normalize_video(spark: SparkSession, folder: str) -> DataFrame:
-    return flat_video(feeds.normalize_video(video_details(spark, folder)))
+    return flat_video(normalize.normalize_video(video_details(spark, folder)))
 
 
 # --- filters and cursors ----------------------------------------------------
@@ -467,34 +468,29 @@ VIDEO_SEARCHES = ["script", "class=", "license"]
 def video_feed_run(spark: SparkSession, folder: str) -> DataFrame:
     """The fifty most viewed, then the ten newest of each search, less the history.
 
-    The parsed envelopes are stored once; ranking and searching then read single columns.
+    One pass over the envelopes parses them, searches the whole texts and stores the
+    messages with the searches they match; what ranks and looks up reads only those.
     """
-    stored = f"{folders.work_folder(spark, 'details')}/videos"
-    video_details(spark, folder).drop("envelope", "pos").write.parquet(stored)
-    details = spark.read.parquet(stored)
-    views = F.col("statistics.viewCount").cast("bigint")
-    popular = positions(
-        feeds.most_popular(details.select("id", views.alias("views")), "views", "id", 50), [],
-        [F.col("views").desc(), F.col("id")],
-    ).withColumn("list_rank", F.lit(0))
-    texts = details.select(
-        "id",
-        F.col("snippet.title").alias("title"),
-        F.col("snippet.description").alias("description"),
-        F.col("snippet.publishedAt").alias("published"),
+    columns = ["snippet.title", "snippet.description"]
+    details = video_details(spark, folder)
+    searched = details.withColumn("found_by", matched_queries(columns, VIDEO_SEARCHES))
+    stored = f"{folders.work_folder(spark, 'videos')}/messages"
+    normalize.normalize_video(searched, "found_by").write.parquet(stored)
+    videos = spark.read.parquet(stored).withColumn("id", F.col("video_id"))
+
+    most_viewed = feeds.most_popular(
+        videos.select("id", "view_count"), "view_count", "id", feeds.POPULAR_SIZE
     )
-    newest_first = [F.col("published").desc(), F.col("id")]
-    found = feeds.search(texts, ["title", "description"], VIDEO_SEARCHES)
-    found = feeds.top_per_group(
-        found.select("id", "published", "query_rank"), ["query_rank"], newest_first,
-        feeds.SEARCH_SIZE, spread_by=["id"],
-    )
-    hits = positions(found, ["query_rank"], newest_first).withColumn(
+    popular = positions(most_viewed, [], [F.desc("view_count"), "id"]).withColumn("list_rank", F.lit(0))
+    newest_first = [F.desc("published_at"), "id"]
+    found = videos.select("id", "published_at", F.explode("found_by").alias("query_rank"))
+    newest = feeds.top_per_group(found, ["query_rank"], newest_first, feeds.SEARCH_SIZE, ["id"])
+    hits = positions(newest, ["query_rank"], newest_first).withColumn(
         "list_rank", F.col("query_rank") + 1
     )
     published = table(spark, folder, "benchmark")
     history = published.select(F.concat(F.lit("v"), F.col("item_id")).alias("key"))
-    messages = feeds.video_feed(popular, hits, details, history=history)
+    messages = feeds.video_feed(popular, hits, videos.drop("found_by"), history=history)
     return flat_video(messages, "list_rank", "pos")
 
 
