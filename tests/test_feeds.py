@@ -11,6 +11,7 @@ from tributary import folders
 from tributary.operators import feeds, normalize, state
 from tributary.operators.parse import accepted, parse
 from tributary.operators.publish import DELIVERY, published_count, to_kafka_records
+from tributary.schemas import STORY_MESSAGE
 from tributary.sources import landed
 
 LISTS = [(0, "[5,3]"), (1, "[3,9]")]
@@ -250,8 +251,7 @@ def test_any_text_survives_the_record(spark, rows):
         (i, title, kind, note, i, i, i, "", title + note)
         for i, (title, kind, note) in enumerate(rows)
     ]
-    columns = "id BIGINT, title STRING, type STRING, by STRING, score BIGINT, descendants BIGINT, time BIGINT, url STRING, text STRING"
-    messages = spark.createDataFrame(items, columns)
+    messages = spark.createDataFrame(items, STORY_MESSAGE)
     sent = to_kafka_records(messages, "hackernews").withColumnRenamed("value", "raw_json")
     back = accepted(parse(sent, "hackernews"), "hackernews").orderBy("id").collect()
     assert [tuple(r) for r in back] == items

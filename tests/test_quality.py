@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import json
+from collections import Counter
 from datetime import datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tributary import folders
 from tributary.operators import quality, results, rules
@@ -49,6 +52,40 @@ def test_each_rule(spark, rule, expected):
     assert outcome(spark, rule) == expected
 
 
+CELLS = st.tuples(
+    st.one_of(st.none(), st.sampled_from("abc")),
+    st.one_of(st.none(), st.sampled_from("xyz")),
+    st.one_of(st.none(), st.integers(-5, 15)),
+)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(CELLS, max_size=40))
+def test_rules_like_counting_by_hand(spark, rows):
+    suite = Suite(
+        "s",
+        (
+            Rule(rules.NOT_NULL, "k"),
+            Rule(rules.UNIQUE, "k"),
+            Rule(rules.UNIQUE, "n"),
+            Rule(rules.BETWEEN, "n", low=0, high=10),
+            Rule(rules.IN_SET, "v", allowed=("x", "y")),
+        ),
+    )
+    frame = spark.createDataFrame([(*r, None) for r in rows], SCHEMA)
+    got = {r["idx"]: r["n_unexpected"] for r in quality.run_suite(frame, suite, "t").collect()}
+    keys, numbers = Counter(r[0] for r in rows), Counter(r[2] for r in rows)
+    assert got == {
+        0: keys[None],
+        1: sum(n for k, n in keys.items() if k is not None and n > 1),
+        2: sum(n for k, n in numbers.items() if k is not None and n > 1),
+        3: sum(1 for r in rows if r[2] is not None and not 0 <= r[2] <= 10),
+        4: sum(1 for r in rows if r[1] == "z"),
+    }
+    tagged = quality.row_tags(frame, suite).collect()
+    assert sum(len(r["dq_failures"]) for r in tagged) == got[0] + got[3] + got[4]
+
+
 def test_empty_table(spark):
     suite = Suite(
         "s",
@@ -95,7 +132,12 @@ def test_unique_counts_copies_before_the_shuffle(spark, plan_of):
 def test_row_tags(spark):
     suite = Suite(
         "s",
-        (Rule(rules.NOT_NULL, "k"), Rule(rules.UNIQUE, "k"), Rule(rules.BETWEEN, "n", low=0), Rule(rules.EXISTS, "gone")),
+        (
+            Rule(rules.NOT_NULL, "k"),
+            Rule(rules.UNIQUE, "k"),
+            Rule(rules.BETWEEN, "n", low=0),
+            Rule(rules.EXISTS, "gone"),
+        ),
     )
     tagged = quality.row_tags(spark.createDataFrame(ROWS, SCHEMA), suite).collect()
     gone = "expect_column_to_exist:gone"
@@ -169,9 +211,14 @@ def test_suite_and_checkpoint_documents(spark, tmp_path):
     (suites / "by_file.json").write_text(json.dumps(unnamed, indent=2))
     (tmp_path / "checkpoint.json").write_text(json.dumps(document, indent=2))
     read = definitions.read_suites(spark, str(suites))
-    assert read == {
-        "orders_suite": Suite("orders_suite", (Rule(rules.NOT_NULL, "id"), Rule(rules.BETWEEN, "n", low=0, high=10**10))),
-        "by_file": Suite("by_file", (Rule(rules.IN_SET, "t", allowed=("a", "b")), Rule(rules.OF_TYPE, "t", family="INTEGER"))),
-    }
+    assert read["orders_suite"].rules == (
+        Rule(rules.NOT_NULL, "id"),
+        Rule(rules.BETWEEN, "n", low=0, high=10**10),
+    )
+    assert read["by_file"].rules == (
+        Rule(rules.IN_SET, "t", allowed=("a", "b")),
+        Rule(rules.OF_TYPE, "t", family="INTEGER"),
+    )
+    assert set(read) == {s.name for s in read.values()} == {"orders_suite", "by_file"}
     pairs = definitions.read_validations(spark, str(tmp_path / "checkpoint.json"))
     assert pairs == [("b", "orders_suite"), ("a", "by_file")]
