@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
@@ -67,6 +68,29 @@ def test_no_python_and_no_shuffle_on_the_way_to_silver(spark, plan_of):
     assert "Exchange" not in plan and "Python" not in plan
 
 
+# Row by row work: nothing may be shuffled.
+SHUFFLE_FREE = [
+    "kafka_parse_roundtrip", "source_routing", "to_kafka_records", "normalize_story", "type_equals",
+    "type_in_set", "equality_cursor", "keyword_search", "page_cap", "text_prefix", "title_preview",
+    "default_and_null", "iso_duration_seconds", "text_to_count", "request_clamp", "epoch_to_timestamp",
+    "iso_to_timestamp", "payload_extract", "tags_split_join", "run_name", "conform_story",
+    "conform_event", "conform_video", "cross_source_union", "dq_row_tags",
+]
+# One shuffle: a single grouping, ranking or unpartitioned count.
+ONE_SHUFFLE = [
+    "feed_counts", "quarantine_split", "highest_id_per_source", "distinct_in_run", "latest_per_key",
+    "union_feeds_first_wins", "silver_dedup", "dq_column_exists", "dq_between", "dq_in_set",
+    "dq_of_type", "paged_feed_explode", "normalize_event", "normalize_video",
+]
+
+
+@pytest.mark.parametrize("name", SHUFFLE_FREE + ONE_SHUFFLE)
+def test_shuffles_of_a_query(spark, plan_of, name):
+    plan = plan_of(spark_entry.queries()[name](spark, "/root/testdata/sf0.001"))
+    assert plan.count("Exchange") == (0 if name in SHUFFLE_FREE else 1)
+    assert not re.search("Cartesian|NestedLoop|Python|ArrowEval", plan)
+
+
 def test_type_filters_reach_the_scan(spark, plan_of):
     queries = spark_entry.queries()
     equals = plan_of(queries["type_equals"](spark, "/root/testdata/sf0.001"))
