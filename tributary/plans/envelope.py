@@ -89,13 +89,25 @@ def feed_counts(spark: SparkSession, folder: str) -> DataFrame:
     return published_count(bronze.union_sources(frames))
 
 
+ERROR = "event_type = 'error'"
+RECORD_VALUE_SQL = f"""
+    '{{"id":"' || event_id || '","type":"' || {inputs.EVENT_TYPE_SQL}
+    || '","actor":{{"id":' || user_id || ',"login":"'
+    || CASE WHEN {ERROR} THEN '' ELSE 'user' || user_id END
+    || '"}},"repo":"user' || user_id || '/' || event_type
+    || '","created_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+    || '","payload":' || CASE WHEN {ERROR} THEN '{{}}' ELSE '{{"k":' || (props->>'$.k') || '}}' END
+    || ',"public":' || CASE WHEN event_type = 'signup' THEN 'false' ELSE 'true' END || '}}'
+"""
+
+
 @register(
     "quarantine_split",
     f"SELECT 'accepted' AS side, {inputs.EVENT_TYPE_SQL} AS detail, count(*) AS n, "
     "CAST(NULL AS BIGINT) AS n_chars FROM events WHERE event_type NOT IN ('error', 'signup') "
     "GROUP BY event_type UNION ALL "
-    "SELECT 'quarantine', 'malformed', count(*), 20 * count(*) FROM events "
-    "WHERE event_type = 'error' UNION ALL "
+    f"SELECT 'quarantine', 'malformed', count(*), CAST(sum(length({RECORD_VALUE_SQL}) - 1) AS BIGINT) "
+    "FROM events WHERE event_type = 'error' UNION ALL "
     "SELECT 'quarantine', 'missing key', count(*), 2 * count(*) FROM events "
     "WHERE event_type = 'signup'",
 )
@@ -109,11 +121,11 @@ def damaged(events: DataFrame) -> DataFrame:
 
 
 def damage(records: DataFrame) -> DataFrame:
-    """Error events arrive cut short, signups as empty objects."""
+    """Error events arrive without their closing brace, signups as empty objects."""
     text = F.col("value").cast("string")
     kind = F.get_json_object(text, "$.type")
     broken = (
-        F.when(kind == "GollumEvent", F.substring(text, 1, 20))
+        F.when(kind == "GollumEvent", F.substring(text, F.lit(1), F.length(text) - 1))
         .when(kind == "CreateEvent", F.lit("{}"))
         .otherwise(text)
     )
@@ -133,18 +145,6 @@ def split_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-ERROR = "event_type = 'error'"
-RECORD_VALUE_SQL = f"""
-    '{{"id":"' || event_id || '","type":"' || {inputs.EVENT_TYPE_SQL}
-    || '","actor":{{"id":' || user_id || ',"login":"'
-    || CASE WHEN {ERROR} THEN '' ELSE 'user' || user_id END
-    || '"}},"repo":"user' || user_id || '/' || event_type
-    || '","created_at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
-    || '","payload":' || CASE WHEN {ERROR} THEN '{{}}' ELSE '{{"k":' || (props->>'$.k') || '}}' END
-    || ',"public":' || CASE WHEN event_type = 'signup' THEN 'false' ELSE 'true' END || '}}'
-"""
-
-
 @register(
     "to_kafka_records",
     f"SELECT CAST(event_id AS VARCHAR) AS key, {RECORD_VALUE_SQL} AS value, "

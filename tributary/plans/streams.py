@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tributary import folders, schemas
 from tributary.operators.audit import landing_audit
 from tributary.plans import inputs
-from tributary.plans.envelope import damage
+from tributary.plans.envelope import RECORD_VALUE_SQL, damage
 from tributary.plans.feeds import EVENT_FIELDS_SQL, flat_event
 from tributary.plans.registry import register
 from tributary.sources import bronze, listing
@@ -56,7 +56,8 @@ def stream_resume(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(
     "quarantine_stream",
-    "SELECT 'malformed' AS reason, count(*) AS n, 20 * count(*) AS n_chars FROM events "
+    "SELECT 'malformed' AS reason, count(*) AS n, "
+    f"CAST(sum(length({RECORD_VALUE_SQL}) - 1) AS BIGINT) AS n_chars FROM events "
     "WHERE event_type = 'error' UNION ALL SELECT 'missing key', count(*), 2 * count(*) FROM events "
     "WHERE event_type = 'signup'",
 )
