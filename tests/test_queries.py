@@ -7,10 +7,11 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from check import TABLES, rows_of
+from tributary.plans.registry import QUERIES as REGISTERED
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = spark_entry.queries()
-ORACLE = spark_entry.oracle_sql()
+QUERIES = {name: query.build for name, query in REGISTERED.items()}
+ORACLE = {name: query.sql for name, query in REGISTERED.items() if query.sql}
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +24,7 @@ def db():
 
 def test_every_query_has_sql():
     assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLE) <= set(spark_entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
