@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import minhash
+from tributary.llm import decontaminate, lines, minhash, mixing
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -12,3 +13,21 @@ from tributary.sources.tables import table
 @register("op1_minhash_near_duplicates")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@register("op2_benchmark_decontamination", decontaminate.BENCHMARK_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("score")
+
+
+@register("op8_site_line_dedup", lines.PAGES_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    host = F.regexp_extract("url", "://([^/:?#]+)", 1).alias("host")
+    pages = table(spark, folder, "pages").select("page_id", host, lines.html_lines("html").alias("text"))
+    return lines.drop_boilerplate(pages, host="host")
+
+
+@register("op10_source_mixing", mixing.DOCUMENTS_SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).drop("text", "lang", "n_chars")

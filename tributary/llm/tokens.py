@@ -20,6 +20,8 @@ _random = np.random.default_rng(20240229)
 BYTE_VALUES = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
+# For words of letters and digits only: every other ASCII byte parts words too.
+NOT_ALNUM = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 LOWER_VALUES = BYTE_VALUES[LOWER]
@@ -64,7 +66,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
-def _slices(data: np.ndarray, offsets: np.ndarray):
+def _slices(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray):
     """(byte start, byte end) of slices that end between texts or between words."""
     at, end = 0, int(offsets[-1])
     while at < end:
@@ -76,17 +78,19 @@ def _slices(data: np.ndarray, offsets: np.ndarray):
         if cut > at:
             to = cut
         else:  # inside one long text
-            while to < end and not SPACE[data[to]] and to not in offsets:
-                near = np.flatnonzero(SPACE[data[to : to + 65536]])
+            while to < end and not breaks[data[to]] and to not in offsets:
+                near = np.flatnonzero(breaks[data[to : to + 65536]])
                 stop = int(offsets[np.searchsorted(offsets, to, "left")])
                 to = min(stop, to + int(near[0]) if len(near) else to + 65536)
         yield at, to
         at = to
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, lo: int, hi: int, breaks: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends (relative to lo) of the words in data[lo:hi]; no word crosses a text."""
-    space = SPACE[data[lo:hi]]
+    space = breaks[data[lo:hi]]
     begins = ~space
     begins[1:] &= space[:-1]
     ends = ~space
@@ -109,13 +113,13 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return mix(found + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_hashes(column: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(column: pa.Array, lower: bool = True, breaks: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray]:
     """(number of every word, offsets by text): text i has words offsets[i]:offsets[i+1]."""
     data, offsets = buffers(column)
     values = LOWER_VALUES if lower else BYTE_VALUES
     parts, places = [], []
-    for lo, hi in _slices(data, offsets):
-        starts, ends = word_spans(data, offsets, lo, hi)
+    for lo, hi in _slices(data, offsets, breaks):
+        starts, ends = word_spans(data, offsets, lo, hi, breaks)
         parts.append(span_hashes(values[data[lo:hi]], starts, ends))
         places.append(starts + lo)
     hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
