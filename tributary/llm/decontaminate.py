@@ -281,15 +281,12 @@ BENCHMARK_SQL = r"""
         SELECT DISTINCT item_id, translate(text, big, small) AS text FROM benchmark, low WHERE text IS NOT NULL
     ), cut AS (
         SELECT item_id, text,
-            regexp_extract(text, '(?s)^(.*[.!?])[ 	-
-]+[^ 	-
-].*$', 1) AS head FROM i
+            regexp_extract(text, '(?s)^(.*[.!?])[\x20\x09-\x0D]+[^\x20\x09-\x0D].*$', 1) AS head FROM i
     ), sides AS (
         SELECT item_id, 0 AS side, CASE WHEN head = '' THEN text ELSE head END AS part FROM cut
         UNION ALL SELECT item_id, 1, substr(text, length(head) + 1) FROM cut WHERE head <> ''
     ), side_words AS (
-        SELECT item_id, side, regexp_extract_all(part, '[^ 	-
-]+') AS w FROM sides
+        SELECT item_id, side, regexp_extract_all(part, '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS w FROM sides
     ), grams AS (
         SELECT DISTINCT item_id, side, least(5, len(w)) AS width,
             array_to_string(list_slice(w, p, p + least(5, len(w)) - 1), ' ') AS gram
@@ -297,11 +294,9 @@ BENCHMARK_SQL = r"""
     ), needed AS (SELECT item_id, side, count(*) AS n FROM grams GROUP BY item_id, side
     ), item_sides AS (SELECT item_id, count(*) AS n_sides FROM needed GROUP BY item_id
     ), stride AS (
-        SELECT greatest(64, max(len(regexp_extract_all(text, '[^ 	-
-]+')))) AS s FROM i
+        SELECT greatest(64, max(len(regexp_extract_all(text, '[0-9A-Za-z\x{80}-\x{10FFFF}]+')))) AS s FROM i
     ), d AS (
-        SELECT doc_id, regexp_extract_all(translate(text, big, small), '[^ 	-
-]+') AS w FROM documents, low
+        SELECT doc_id, regexp_extract_all(translate(text, big, small), '[0-9A-Za-z\x{80}-\x{10FFFF}]+') AS w FROM documents, low
     ), doc_grams AS (
         SELECT doc_id, width, p - 1 AS p, array_to_string(list_slice(w, p, p + width - 1), ' ') AS gram
         FROM (
