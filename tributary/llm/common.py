@@ -64,6 +64,13 @@ def rows_of(batch: pa.RecordBatch | pa.Table, **columns: object) -> pa.RecordBat
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most `rows` rows, which bounds the arrays made of their texts."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def pack(array: np.ndarray) -> bytes:
     return np.ascontiguousarray(array).tobytes()
 

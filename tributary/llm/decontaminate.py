@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tributary.llm.common import batches_of, written
+from tributary.llm.common import batches_of, pieces, written
 from tributary.llm.tokens import NOT_ALNUM, shingle_hashes, word_hashes
 
 SENTENCE_END = re.compile(r"[.!?](?=[\x20\x09-\x0D]+[^\x20\x09-\x0D])")
@@ -247,7 +247,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
-            for batch in batches:
+            for batch in pieces(batches):
                 words, offsets = word_hashes(batch.column("text"), breaks=NOT_ALNUM)
                 hits = list(search(index, words, offsets, size, stride, overlap))
                 yield pa.RecordBatch.from_arrays(
