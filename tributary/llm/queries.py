@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lines, minhash, mixing, quality
+from tributary.llm import decontaminate, lines, minhash, mixing, quality, toxicity
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -21,6 +21,12 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("score")
 
 
+@register("op3_toxicity_neighbours")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
+
+
 @register("op6_quality_classifier")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
