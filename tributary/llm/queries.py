@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lines, minhash, mixing, quality, toxicity
+from tributary.llm import decontaminate, lines, minhash, mixing, quality, secrets, toxicity
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -27,6 +27,21 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
 
 
+@register("op5_secret_scan")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"))
+    text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    joined = lambda spans: F.array_join(F.transform(spans, text), ",")
+    kinds = [r.name for r in secrets.BASE_RULES]
+    base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
+    counts = [
+        F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds
+    ]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans")
+    )
+
+
 @register("op6_quality_classifier")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
