@@ -149,7 +149,7 @@ class Automaton:
 
     def longest(self, data: bytes, start: int) -> int:
         """End of the longest match that begins at `start`, -1 if none does."""
-        step, kind, dead = self._lists()
+        step, kind, dead = self.lists()
         state, end = 0, -1
         for at in range(start, len(data)):
             state = step[state + kind[data[at]]]
@@ -161,7 +161,7 @@ class Automaton:
 
     def farthest_back(self, data: bytes, end: int, floor: int) -> int:
         """For an automaton of reversed patterns: the leftmost start >= floor of a match that ends at `end`."""
-        step, kind, dead = self._lists()
+        step, kind, dead = self.lists()
         state, start = 0, -1
         for at in range(end - 1, floor - 1, -1):
             state = step[state + kind[data[at]]]
@@ -171,7 +171,7 @@ class Automaton:
                 start = at
         return start
 
-    def _lists(self) -> tuple[list, list, int]:
+    def lists(self) -> tuple[list, list, int]:
         if not hasattr(self, "_cached"):
             self._cached = (self.step.tolist(), self.kind.tolist(), self.dead * self.kinds)
         return self._cached

@@ -34,9 +34,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     joined = lambda spans: F.array_join(F.transform(spans, text), ",")
     kinds = [r.name for r in secrets.BASE_RULES]
     base = F.filter("secrets", lambda s: s["kind"].isin(kinds))
-    counts = [
-        F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds
-    ]
+    of_kind = lambda k: F.filter("secrets", lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{k}") for k in kinds]
     return found.select(
         "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("secrets")).alias("spans")
     )

@@ -54,6 +54,7 @@ MORE_RULES = (
 )
 CUT_AFTER = 2048
 STEPS = 256
+FEW = 48
 
 
 def _shortest(pattern: str) -> str:
@@ -101,6 +102,8 @@ class Scanner:
         shortest_first = lengths[::-1]
         for at in range(0, int(lengths[0]), STEPS):
             alive = len(lengths) - int(np.searchsorted(shortest_first, at, "right"))
+            if alive < FEW:  # a few long parts are walked one after the other
+                break
             reach = begins[None, :alive] + np.arange(at, min(at + STEPS, int(lengths[0])))[:, None]
             block = kinds[np.minimum(reach, len(kinds) - 1)]
             for j in range(len(block)):
@@ -111,12 +114,28 @@ class Scanner:
                     hit = np.flatnonzero(now >= accepting)
                     ends.append(begins[hit] + at + j + 1)
                     marks.append(self.all.accepts[now[hit] // self.all.kinds])
+        else:
+            at, alive = int(lengths[0]), 0
+        for i in range(alive):
+            end, mark = self._walk(kinds[begins[i] + at : begins[i] + lengths[i]].tobytes(), int(state[i]))
+            ends.append(end + begins[i] + at)
+            marks.append(mark)
         if not ends:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         ends, marks = np.concatenate(ends), np.concatenate(marks)
         order = np.argsort(ends, kind="stable")
         return ends[order], marks[order]
 
+    def _walk(self, kinds: bytes, state: int) -> tuple[np.ndarray, np.ndarray]:
+        step = self.all.lists()[0]
+        accepting, ends, marks = self.all.first_accepting * self.all.kinds, [], []
+        for at, kind in enumerate(kinds, 1):
+            state = step[state + kind]
+            if state >= accepting:
+                ends.append(at)
+                marks.append(self.all.accepts[state // self.all.kinds])
+        return np.array(ends, np.int64), np.array(marks, np.int64)
+
     def matches(self, data: bytes, ends: list[int], marks: list[int]) -> list[tuple[int, int, int]]:
         """(start, rule, end) of the counting matches of one text, given its events."""
         found = []
