@@ -1,32 +1,79 @@
-"""The training-text pipeline: stages over `documents`, each written and read again."""
+"""The training-text pipeline: stages over `documents`, each written and read again.
+
+Every stage takes the documents that the one before kept. All but the last return the columns
+of `documents`; the last adds where a document stands in the mix.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tributary.llm import minhash
+from tributary.llm import decontaminate, lines, minhash, mixing, quality
 from tributary.llm.common import ship, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    ship(spark)
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.accepted(docs, model, threshold=0.3)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that too many documents of a source share go; a document left without lines stays, empty."""
+    cleaned = lines.drop_boilerplate(docs, host="source")
+    cleaned = cleaned.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
+    return cleaned.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate component stays, the one of the smallest id."""
+    """One document of each near-duplicate component stays, the one of the smallest id.
+
+    Of rows that repeat a doc_id the one of the smallest text stays; all rows without a
+    doc_id stay.
+    """
     ship(spark)
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    found = written(minhash.near_duplicates(docs).where("kept").select("doc_id"), "pipeline-kept")
+    kept = found.distinct().withColumnRenamed("doc_id", "__kept")
+    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    known = found.where("doc_id IS NOT NULL")
+    if known.count() != known.distinct().count():
+        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+        left = left.withColumn("__place", place).where("__place = 1 OR doc_id IS NULL")
+    return left.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    ship(spark)
+    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(written(found.select("doc_id").distinct(), "pipeline-leaks"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as their source is drawn, with epoch, block and position."""
+    return mixing.mix(docs)
+
 
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_filter", quality_filter),
+    ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
+]
 
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+# The classifier cannot be written in SQL; tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
+    for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return written(STAGES[-1][1](spark, docs, sf_dir), "pipeline-last")
+    return docs

@@ -271,3 +271,14 @@ def score(documents: DataFrame, model: Model, threshold: float) -> DataFrame:
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def accepted(documents: DataFrame, model: Model, threshold: float) -> DataFrame:
+    """The rows of `documents` that score at least `threshold`, with all their columns."""
+    shared = documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            yield batch.filter(pa.array(shared.value.scores(batch.column("text")) >= threshold))
+
+    return documents.mapInArrow(run, documents.schema)
