@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lines, minhash, mixing, quality, secrets, toxicity
+from tributary.llm import decontaminate, lines, minhash, mixing, ngram, quality, secrets, toxicity
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -47,6 +47,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return quality.score(documents, quality.fit(documents, table(spark, folder, "labels")), threshold=0.3)
 
 
+@register("op7_language_model_scores")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram.language_model_scores(table(spark, folder, "documents"))
+
+
 @register("op8_site_line_dedup", lines.PAGES_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     host = F.regexp_extract("url", "://([^/:?#]+)", 1).alias("host")
