@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lines, minhash, mixing, ngram, quality, secrets, toxicity
+from tributary.llm import decontaminate, lines, minhash, mixing, ngram, quality, repeats, secrets, toxicity
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -27,6 +27,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents, toxicity.fit(documents, table(spark, folder, "labels")))
 
 
+@register("op4_repeated_string_removal")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
 @register("op5_secret_scan")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"))
