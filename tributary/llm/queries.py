@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lines, minhash, mixing, ngram, quality, repeats, secrets, toxicity
+from tributary.llm import decontaminate, lines, minhash, mixing, neighbours, ngram, quality, repeats, secrets, toxicity
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -64,6 +64,12 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(pages, host="host")
 
 
+@register("op9_nearest_neighbours")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.nearest_neighbours(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 @register("op10_source_mixing", mixing.DOCUMENTS_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("text", "lang", "n_chars")
