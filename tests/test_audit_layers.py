@@ -90,7 +90,7 @@ def test_model_catalogue(spark):
 
 def test_warehouse_needs_its_driver(spark):
     with pytest.raises(Exception, match="(?i)driver|jdbc"):
-        layers.write_warehouse(spark.range(1), "jdbc:postgresql://host/analytics_db", "t")
+        layers.write_warehouse(spark.range(1), "jdbc:postgresql://host/analytics_db", "t", max_connections=16)
 
 
 def test_session_options():

@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -82,7 +83,7 @@ def test_high_water_mark(spark):
 def test_normalised_story_defaults(spark):
     long = "x" * 600
     texts = [json.dumps({"id": 1, "type": "story"}), json.dumps({"id": 2, "type": "job", "title": None, "text": long})]
-    got = normalize.normalize_story(landed.story_items(responses(spark, texts))).orderBy("id").collect()
+    got = normalize.normalize_story(landed.story_items(responses(spark, texts)), text_length=500).orderBy("id").collect()
     assert got[0].asDict() == {
         "id": 1, "title": "", "type": "story", "by": "", "score": 0, "descendants": 0,
         "time": 0, "url": "", "text": "",
@@ -129,9 +130,12 @@ def test_event_cursors(spark):
 
 def test_page_cap(spark):
     feed = pages(spark, *[[event(f"{n}")] for n in range(12)])
-    assert feeds.event_feed(feed, ["page", "pos"]).count() == 10
+    assert feeds.event_feed(feed, ["page", "pos"]).count() == 12
+    assert feeds.event_feed(feed, ["page", "pos"], max_pages=10).count() == 10
     long = pages(spark, [event(str(n)) for n in range(120)])
-    assert feeds.cap_pages(long).count() == 100
+    assert feeds.cap_pages(long).count() == 120
+    assert feeds.cap_pages(long, rows_per_page=100).count() == 100
+    assert feeds.beyond_pages(long, 10, 100).count() == 20
 
 
 def video(i, title="t", views="5", published="2024-01-01T00:00:00Z", **fields):
@@ -177,7 +181,7 @@ def test_search_carries_the_query(spark):
 
 def test_newest_and_popular(spark):
     frame = spark.createDataFrame([(f"{n:03d}", n % 7) for n in range(90)], "id STRING, n INT")
-    assert feeds.newest(frame, "n", "id", 200).count() == 50
+    assert feeds.newest(frame, "n", "id", 70).count() == 70
     top = [(r["n"], r["id"]) for r in feeds.most_popular(frame, "n", "id", 3).collect()]
     assert top == [(6, "006"), (6, "013"), (6, "020")]
 
@@ -202,7 +206,7 @@ def test_history_is_merged_and_bounded(spark):
     schema = "source STRING, key STRING, seen_at TIMESTAMP"
     merged = feeds.merge_history(spark.createDataFrame(old, schema), spark.createDataFrame(seen, schema))
     assert merged.count() == 1201
-    kept = feeds.bounded_history(merged)
+    kept = feeds.bounded_history(merged, 1000)
     keys = {r["key"] for r in kept.where("source = 'youtube'").collect()}
     assert len(keys) == 1000 and "k0000" in keys
     assert keys == {"k0000", *(f"k{n:04d}" for n in range(201, 1200))}
@@ -218,12 +222,21 @@ def test_history_survives_runs(spark):
     second = first.withColumn("key", F.lit("b"))
     path = state.save_history(state.read_history(spark, root).unionByName(second), root, "002")
     assert {r["key"] for r in state.read_history(spark, root).collect()} == {"a", "b"}
-    # A run that did not finish has no success mark, and the state before it stays.
-    spark.createDataFrame([], first.schema).write.option(
-        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
-    ).parquet(f"{root}/run=003")
-    assert folders.exists(spark, f"{path}/_SUCCESS")
+    # A run that did not finish has no mark of ours, and the state before it stays.
+    spark.createDataFrame([], first.schema).write.parquet(f"{root}/run=003")
+    assert folders.exists(spark, f"{path}/{folders.FINISHED}")
     assert {r["key"] for r in state.read_history(spark, root).collect()} == {"a", "b"}
+    # Appended runs count on top of the newest whole state, and hold their own ids only.
+    state.append_history(first.withColumn("key", F.lit("c")), root, "004")
+    assert {r["key"] for r in state.read_history(spark, root).collect()} == {"a", "b", "c"}
+    assert state.runs_since_compaction(spark, root) == 1
+
+
+def test_versions_of_which_none_is_finished_are_an_error(spark):
+    root = folders.work_folder(spark, "state-test")
+    spark.createDataFrame([], "source STRING, key STRING, seen_at TIMESTAMP").write.parquet(f"{root}/run=001")
+    with pytest.raises(ValueError, match="is finished"):
+        state.read_history(spark, root)
 
 
 def test_seen_now_has_the_state_schema(spark):

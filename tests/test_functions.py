@@ -51,14 +51,14 @@ def test_duration_of_generated_parts(spark, parts):
 def test_prefix_counts_code_points(spark):
     long = "é\U0001f600" * 400
     rows = [long, None, "", "short"]
-    assert values(spark, text.text_prefix("x"), rows) == [long[:500], "", "", "short"]
+    assert values(spark, text.text_prefix("x", 500), rows) == [long[:500], "", "", "short"]
     assert values(spark, text.title_preview("x"), [long, None]) == [long[:60], None]
 
 
 @settings(max_examples=5, deadline=None)
 @given(st.lists(st.text(max_size=700), min_size=1, max_size=10))
 def test_prefix_like_python(spark, texts):
-    assert values(spark, text.text_prefix("x"), texts) == [t[:500] for t in texts]
+    assert values(spark, text.text_prefix("x", 500), texts) == [t[:500] for t in texts]
 
 
 def test_defaults(spark):
@@ -75,8 +75,8 @@ def test_text_to_count(spark):
 
 
 def test_minimum_of_two(spark):
-    assert values(spark, numbers.clamp("x"), [10, 50, 200], "x INT") == [10, 50, 50]
-    assert [numbers.clamp_request(n) for n in (10, 50, 200)] == [10, 50, 50]
+    assert values(spark, numbers.clamp("x", 50), [10, 50, 200], "x INT") == [10, 50, 50]
+    assert [numbers.clamp_request(n, 50) for n in (10, 50, 200)] == [10, 50, 50]
 
 
 def test_ids_split_and_join(spark):

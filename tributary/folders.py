@@ -42,12 +42,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+FINISHED = "_FINISHED"
+
+
+def finish(spark: SparkSession, path: str) -> None:
+    """Mark a folder as completely written; our own mark, as Spark's can be switched off."""
+    fs, hadoop_path = _file_system(spark, f"{path}/{FINISHED}")
+    fs.create(hadoop_path, True).close()
+
+
+def finished_versions(spark: SparkSession, base: str) -> list[str]:
+    """The finished `run=` folders below `base`, oldest first.
+
+    Versions of which none is finished are an error: taken for no version at all they would
+    make the next run start over.
+    """
+    names = [name for name in children(spark, base) if name.startswith("run=")]
+    done = [f"{base}/{n}" for n in names if exists(spark, f"{base}/{n}/{FINISHED}")]
+    if names and not done:
+        raise ValueError(f"no version below {base} is finished: {names}")
+    return done
+
+
 def newest_version(spark: SparkSession, base: str) -> str | None:
-    """The newest `run=` folder below `base` whose write finished."""
-    for name in reversed(children(spark, base)):
-        if name.startswith("run=") and exists(spark, f"{base}/{name}/_SUCCESS"):
-            return f"{base}/{name}"
-    return None
+    """The newest `run=` folder below `base` whose write finished, None if there is no version."""
+    return (finished_versions(spark, base) or [None])[-1]
 
 
 def children(spark: SparkSession, path: str) -> list[str]:

@@ -15,11 +15,11 @@ def to_count(c: Column | str) -> Column:
     return F.coalesce(column.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
-def clamp(c: Column | str, ceiling: int = REQUEST_CEILING) -> Column:
+def clamp(c: Column | str, ceiling: int) -> Column:
     column = F.col(c) if isinstance(c, str) else c
     return F.least(column, F.lit(ceiling))
 
 
-def clamp_request(n: int, ceiling: int = REQUEST_CEILING) -> int:
+def clamp_request(n: int, ceiling: int) -> int:
     """The same for a limit that is part of the plan rather than of the data."""
     return min(n, ceiling)

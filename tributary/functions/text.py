@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,8 +40,10 @@ def default_true(c: Column | str) -> Column:
     return F.coalesce(_column(c), F.lit(True))
 
 
-def text_prefix(c: Column | str, length: int = TEXT_LENGTH) -> Column:
-    """First `length` code points; null becomes the empty string."""
+def text_prefix(c: Column | str, length: int | None = None) -> Column:
+    """First `length` code points, all if it is None; null becomes the empty string."""
+    if length is None:
+        return default_text(c)
     return F.substring(default_text(c), 1, length)
 
 
@@ -71,16 +75,12 @@ def contains_ignoring_case(c: Column | str, needle: str) -> Column:
 def matched_queries(columns: Iterable[Column | str], queries: list[str]) -> Column:
     """Positions of the queries found in any of the columns, in query order.
 
-    The lowered texts are bound to a lambda variable, so that each text is lowered
-    once however many queries there are. Nothing is joined.
+    Plain `contains` on the lowered texts stays inside generated code, which lowers
+    each text once. Nothing is joined.
     """
-    lowered = F.array(*[F.lower(default_text(c)) for c in columns])
-    wanted = F.array(*[F.lit(q.lower()) for q in queries])
-    ranks = F.array(*[F.lit(rank) for rank in range(len(queries))])
-
-    def found_in(texts: Column) -> Column:
-        return F.filter(
-            ranks, lambda rank: F.exists(texts, lambda text: F.contains(text, F.get(wanted, rank)))
-        )
-
-    return F.get(F.transform(F.array(lowered), found_in), F.lit(0))
+    lowered = [F.lower(default_text(c)) for c in columns]
+    ranks = [
+        F.when(reduce(or_, [F.contains(text, F.lit(q.lower())) for text in lowered]), F.lit(rank))
+        for rank, q in enumerate(queries)
+    ]
+    return F.array_compact(F.array(*ranks))

@@ -49,10 +49,12 @@ def publish_stories(
     state_root: str,
     deliver: Deliver,
     limit: int | None = None,
+    text_length: int | None = None,
 ) -> int:
     """Ranked id lists, in the order given, and fetched items; returns how many were sent.
 
-    The state is the highest id published.
+    The state holds every id sent. What a limit leaves out, or an item that was not fetched,
+    is sent by a later run that finds it.
     """
     ranked = feeds.union_feeds([landed.read_lines(spark, path) for path in lists])
     seen = state.read_history(spark, f"{state_root}/hackernews")
@@ -60,16 +62,12 @@ def publish_stories(
         landed.story_lists(ranked, "list_rank"),
         landed.story_items(landed.read_lines(spark, items)),
         ["list_rank", "pos"],
-        mark=feeds.highest_id(seen, "key"),
+        history=seen,
         limit=limit,
+        text_length=text_length,
     )
     sent = _send(spark, messages, "hackernews", deliver)
-    now_seen = seen.unionByName(_sightings(sent, "hackernews"))
-    highest = now_seen.groupBy("source").agg(
-        F.max(F.col("key").try_cast("bigint")).cast("string").alias("key"),
-        F.max("seen_at").alias("seen_at"),
-    )
-    state.save_history(highest, f"{state_root}/hackernews")
+    _remember(spark, sent, "hackernews", state_root, None)
     return sent.count()
 
 
@@ -80,16 +78,20 @@ def publish_events(
     deliver: Deliver,
     limit: int | None = None,
     history_size: int | None = None,
+    max_pages: int | None = None,
+    rows_per_page: int | None = None,
 ) -> int:
     """Event pages as lines `{"page": n, "events": [...]}`; returns how many were sent.
 
-    The state keeps every id published, unless a size bounds it.
+    All pages are taken and the state keeps every id published, unless a size bounds them.
     """
     paged = landed.numbered_event_pages(landed.read_lines(spark, pages))
     seen = state.read_history(spark, f"{state_root}/github")
-    messages = feeds.event_feed(paged, ["page", "pos"], history=seen, limit=limit)
+    messages = feeds.event_feed(
+        paged, ["page", "pos"], history=seen, limit=limit, max_pages=max_pages, rows_per_page=rows_per_page
+    )
     sent = _send(spark, messages, "github", deliver)
-    _remember(seen, sent, "github", state_root, history_size)
+    _remember(spark, sent, "github", state_root, history_size)
     return sent.count()
 
 
@@ -101,7 +103,8 @@ def publish_videos(
     state_root: str,
     deliver: Deliver,
     limit: int | None = None,
-    history_size: int | None = feeds.HISTORY_SIZE,
+    history_size: int | None = None,
+    text_length: int | None = None,
 ) -> int:
     """The popular envelope, search results in query order, and the details of both."""
     first = landed.video_envelopes(landed.read_lines(spark, popular)).select("pos", "id")
@@ -110,17 +113,16 @@ def publish_videos(
         for path in searches
     ]
     ranked = feeds.union_feeds([first, *found])
-    known = landed.video_envelopes(landed.read_lines(spark, details))
-    known = feeds.first_seen(
-        known.where("id IS NOT NULL"), ["id"], ["pos", F.xxhash64("snippet", "statistics")]
-    )
+    known = normalize_video(landed.video_envelopes(landed.read_lines(spark, details)), "pos", text_length=text_length)
+    told_apart = F.xxhash64(*[c for c in known.columns if c != "pos"])
+    known = feeds.first_seen(known.where("video_id IS NOT NULL"), ["video_id"], ["pos", told_apart]).drop("pos")
     seen = state.read_history(spark, f"{state_root}/youtube")
     messages = feeds.video_feed(
-        ranked.where("list_rank = 0"), ranked.where("list_rank > 0"), normalize_video(known),
+        ranked.where("list_rank = 0"), ranked.where("list_rank > 0"), known,
         history=seen, limit=limit,
     )
     sent = _send(spark, messages, "youtube", deliver)
-    _remember(seen, sent, "youtube", state_root, history_size)
+    _remember(spark, sent, "youtube", state_root, history_size)
     return sent.count()
 
 
@@ -137,11 +139,14 @@ def _sightings(sent: DataFrame, source: str) -> DataFrame:
 
 
 def _remember(
-    seen: DataFrame, sent: DataFrame, source: str, state_root: str, size: int | None
+    spark: SparkSession, sent: DataFrame, source: str, state_root: str, size: int | None
 ) -> None:
-    merged = feeds.merge_history(seen, _sightings(sent, source))
-    kept = feeds.bounded_history(merged, size) if size else merged
-    state.save_history(kept, f"{state_root}/{source}")
+    """Append the ids of this run; a bound, or many runs, make one run of all of them."""
+    root = f"{state_root}/{source}"
+    state.append_history(_sightings(sent, source), root)
+    if size or state.runs_since_compaction(spark, root) >= state.COMPACT_AFTER:
+        everything = feeds.merge_history(state.read_history(spark, root).limit(0), state.read_history(spark, root))
+        state.save_history(feeds.bounded_history(everything, size) if size else everything, root)
 
 
 # --- land -------------------------------------------------------------------
@@ -184,6 +189,7 @@ def build_silver(spark: SparkSession, root: str, source: str) -> str:
     base = f"{root.rstrip('/')}/silver/{schemas.source(source).name}_silver"
     path = f"{base}/run={state.run_stamp()}"
     conform.silver_rows(bronze.read(spark, root, source), source).write.parquet(path)
+    folders.finish(spark, path)
     return path
 
 

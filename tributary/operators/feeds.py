@@ -12,11 +12,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.functions.numbers import clamp_request
 from tributary.functions.text import matched_queries
 from tributary.operators.normalize import normalize_event, normalize_story
 
-# Event types that are published, page limits, history size, searches.
+# Event types that are published, searches.
 STORY_TYPE = "story"
 EVENT_TYPES = (
     "PushEvent",
@@ -28,11 +27,6 @@ EVENT_TYPES = (
     "PullRequestReviewEvent",
     "ReleaseEvent",
 )
-MAX_PAGES = 10
-ROWS_PER_PAGE = 100
-HISTORY_SIZE = 1000
-POPULAR_SIZE = 50
-SEARCH_SIZE = 10
 SEARCH_QUERIES = ("technology", "data engineering", "python programming")
 
 Order = list[str | Column]
@@ -68,13 +62,16 @@ def top_per_group(
     order: Order,
     n: int,
     spread_by: list[str],
-    buckets: int = 256,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The first `n` rows of each group, for groups too large for one task.
 
     The group is ranked in hash buckets first; at most `n` rows of each bucket
-    go on to the final ranking, which is exact.
+    go on to the final ranking, which is exact. Beyond 1,000 rows Spark no longer
+    limits a group before it shuffles, so by default there are as many buckets as
+    keep one bucket of a group within a shuffle partition's share of the rows.
     """
+    buckets = buckets or max(256, 4 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)))
     for partition in ([*group, "_bucket"], group):
         rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
@@ -153,19 +150,32 @@ def take(feed: DataFrame, order: Order, n: int | None) -> DataFrame:
 
 
 def cap_pages(
-    events: DataFrame, max_pages: int = MAX_PAGES, rows_per_page: int = ROWS_PER_PAGE
+    events: DataFrame, max_pages: int | None = None, rows_per_page: int | None = None
 ) -> DataFrame:
-    """The part of each poll the API serves; pages count from 1, positions from 0."""
-    return events.where((F.col("page") <= max_pages) & (F.col("pos") < rows_per_page))
+    """The part of each poll that an API serves; pages count from 1, positions from 0.
+
+    Without a limit everything stays. `beyond_pages` gives what a limit leaves out.
+    """
+    return events.where(_served(max_pages, rows_per_page))
+
+
+def beyond_pages(events: DataFrame, max_pages: int | None, rows_per_page: int | None) -> DataFrame:
+    """The rows that `cap_pages` with the same limits leaves out."""
+    return events.where(~_served(max_pages, rows_per_page))
+
+
+def _served(max_pages: int | None, rows_per_page: int | None) -> Column:
+    page = F.lit(True) if max_pages is None else F.coalesce(F.col("page") <= max_pages, F.lit(False))
+    return page if rows_per_page is None else page & F.coalesce(F.col("pos") < rows_per_page, F.lit(False))
 
 
 def newest(frame: DataFrame, published: str, key: str, n: int) -> DataFrame:
-    return frame.orderBy(F.col(published).desc(), key).limit(clamp_request(n))
+    return frame.orderBy(F.col(published).desc(), key).limit(n)
 
 
 def most_popular(frame: DataFrame, views: str | Column, key: str, n: int) -> DataFrame:
     column = F.col(views) if isinstance(views, str) else views
-    return frame.orderBy(column.desc(), key).limit(clamp_request(n))
+    return frame.orderBy(column.desc(), key).limit(n)
 
 
 # --- seen-id history --------------------------------------------------------
@@ -177,7 +187,7 @@ def merge_history(history: DataFrame, seen: DataFrame) -> DataFrame:
     return both.groupBy("source", "key").agg(F.max("seen_at").alias("seen_at"))
 
 
-def bounded_history(history: DataFrame, size: int = HISTORY_SIZE) -> DataFrame:
+def bounded_history(history: DataFrame, size: int) -> DataFrame:
     """The newest `size` ids of each source."""
     order: Order = [F.col("seen_at").desc(), "key"]
     return top_per_group(history, ["source"], order, size, spread_by=["key"])
@@ -200,17 +210,21 @@ def story_feed(
     order: list[str],
     mark: DataFrame | None = None,
     limit: int | None = None,
+    history: DataFrame | None = None,
+    text_length: int | None = None,
 ) -> DataFrame:
     """Ranked id lists and fetched items to story messages in feed order.
 
-    The mark is applied before repeats are removed: all copies of an id pass it
+    Ids of the history are left out. The mark is applied before repeats are removed: all copies of an id pass it
     or none does, and the rows below it need no shuffle. Items hold each id once;
-    they are made messages, with their texts cut, before the join moves them.
+    they are made messages before the join moves them.
     """
     fresh = lists if mark is None else above_mark(lists, "id", mark)
-    wanted = first_seen(fresh, ["id"], order)
-    messages = normalize_story(of_type(items))
-    return take(look_up(wanted, messages, "id"), order, limit)
+    wanted = first_seen(fresh.where("id IS NOT NULL"), ["id"], [*order, "id"])
+    if history is not None:
+        wanted = not_in_history(wanted, history.select(F.col("key").try_cast("bigint").alias("id")), "id")
+    messages = normalize_story(of_type(items), text_length=text_length)
+    return take(look_up(wanted, messages, "id"), [*order, "id"], limit)
 
 
 def event_feed(
@@ -219,19 +233,21 @@ def event_feed(
     history: DataFrame | None = None,
     last: str | None = None,
     limit: int | None = None,
-    max_pages: int = MAX_PAGES,
+    max_pages: int | None = None,
+    rows_per_page: int | None = None,
 ) -> DataFrame:
-    """Exploded event pages to event messages in feed order.
+    """Exploded event pages to event messages in feed order, of all pages unless limited.
 
     Repeats go before the type filter: the first copy of an id decides.
     """
-    served = cap_pages(events, max_pages)
+    served = cap_pages(events, max_pages, rows_per_page)
     if last is not None:
         served = not_last(served, "id", last)
-    first = first_seen(served.where("id IS NOT NULL"), ["id"], order)
+    payload = F.xxhash64("type", "created_at", F.to_json(F.struct("payload")))
+    first = first_seen(served.where("id IS NOT NULL"), ["id"], [*order, payload])
     if history is not None:
         first = not_in_history(first, history.select(F.col("key").alias("id")), "id")
-    return take(normalize_event(published_types(first), *order), order, limit)
+    return take(normalize_event(published_types(first), *order), [*order, "id"], limit)
 
 
 def video_feed(
@@ -252,4 +268,4 @@ def video_feed(
     if history is not None:
         wanted = not_in_history(wanted, history.select(F.col("key").alias("id")), "id")
     messages = look_up(wanted, details.withColumn("id", F.col("video_id")), "id")
-    return take(messages.drop("id"), ["list_rank", "pos"], limit)
+    return take(messages, ["list_rank", "pos", "id"], limit).drop("id")

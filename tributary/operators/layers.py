@@ -65,7 +65,8 @@ def write_warehouse(
     table: str,
     properties: dict[str, str] | None = None,
     mode: str = "append",
-    max_connections: int = 16,
+    *,
+    max_connections: int,
     batch_size: int = 10000,
 ) -> None:
     """Load a table into the analytics database; needs its driver on the classpath.

@@ -20,7 +20,8 @@ from tributary.functions.text import (
 from tributary.functions.times import iso_duration_seconds
 
 
-def normalize_story(items: DataFrame, *carry: str) -> DataFrame:
+def normalize_story(items: DataFrame, *carry: str, text_length: int | None = None) -> DataFrame:
+    """Texts stay whole unless `text_length` cuts them."""
     return items.select(
         *carry,
         "id",
@@ -31,7 +32,7 @@ def normalize_story(items: DataFrame, *carry: str) -> DataFrame:
         default_count("descendants").alias("descendants"),
         default_count("time").alias("time"),
         default_text("url").alias("url"),
-        text_prefix("text").alias("text"),
+        text_prefix("text", text_length).alias("text"),
     )
 
 
@@ -52,7 +53,8 @@ def normalize_event(events: DataFrame, *carry: str) -> DataFrame:
     )
 
 
-def normalize_video(items: DataFrame, *carry: str) -> DataFrame:
+def normalize_video(items: DataFrame, *carry: str, text_length: int | None = None) -> DataFrame:
+    """Descriptions stay whole unless `text_length` cuts them."""
     return items.select(
         *carry,
         F.col("id").alias("video_id"),
@@ -60,7 +62,7 @@ def normalize_video(items: DataFrame, *carry: str) -> DataFrame:
         default_text("snippet.channelTitle").alias("channel"),
         default_text("snippet.channelId").alias("channel_id"),
         default_text("snippet.publishedAt").alias("published_at"),
-        text_prefix("snippet.description").alias("description"),
+        text_prefix("snippet.description", text_length).alias("description"),
         default_tags("snippet.tags").alias("tags"),
         default_text("snippet.categoryId").alias("category_id"),
         to_count("statistics.viewCount").alias("view_count"),

@@ -6,13 +6,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tributary import folders
-from tributary.functions.text import matched_queries
+from tributary.functions.numbers import REQUEST_CEILING, clamp_request
+from tributary.functions.text import TEXT_LENGTH, matched_queries
 from tributary.operators import feeds, normalize, state
 from tributary.plans import inputs
 from tributary.plans.registry import register
 from tributary.sources import landed
 from tributary.sources.tables import table
 
+# Page limits, history size, and rows of a popular and of a search list.
+MAX_PAGES = 10
+ROWS_PER_PAGE = 100
+HISTORY_SIZE = 1000
+POPULAR_SIZE = 50
+SEARCH_SIZE = 10
+
 IN_POLL = inputs.EVENTS_PER_PAGE * inputs.PAGES_PER_POLL
 EVENT_PAGES_SQL = f"""
     placed AS (
@@ -37,7 +45,8 @@ TITLE_SQL = "CASE WHEN lang = 'de' THEN '' ELSE split_part(text, chr(10), 1) END
 STORY_FIELDS_SQL = f"""
     doc_id AS id, {TITLE_SQL} AS title, {inputs.STORY_TYPE_SQL} AS type, source AS by,
     CASE WHEN lang = 'es' THEN 0 ELSE n_chars END AS score, CAST(0 AS BIGINT) AS descendants,
-    {inputs.FIRST_EPOCH} + (doc_id % {inputs.TIME_SPAN}) * 3600 AS time, '' AS url, substr(text, 1, 500) AS text"""
+    {inputs.FIRST_EPOCH} + (doc_id % {inputs.TIME_SPAN}) * 3600 AS time, '' AS url, text"""
+CUT_STORY_FIELDS_SQL = STORY_FIELDS_SQL.removesuffix("text") + "substr(text, 1, 500) AS text"
 STORY_LISTS_SQL = f"""
     listed AS (
         SELECT doc_id // {inputs.IDS_PER_LIST} AS poll, 0 AS list_rank,
@@ -60,7 +69,7 @@ PUBLISHED_AT_SQL = (
 VIDEO_FIELDS_SQL = f"""
     'v' || page_id AS video_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
     {HOST_SQL} AS channel, CASE WHEN {SECURE} THEN md5({HOST_SQL}) ELSE '' END AS channel_id,
-    {PUBLISHED_AT_SQL} AS published_at, substr(html, 1, 500) AS description,
+    {PUBLISHED_AT_SQL} AS published_at, html AS description,
     CASE WHEN contains(url, '?') THEN ''
          ELSE array_to_string(string_split(regexp_extract(url, '://[^/]+/([^?#]*)', 1), '/'), ',') END AS tags,
     '' AS category_id, CAST(length(html) AS BIGINT) * 1000000 AS view_count,
@@ -68,6 +77,8 @@ VIDEO_FIELDS_SQL = f"""
     CASE WHEN {SECURE} THEN 0 ELSE page_id END AS comment_count,
     CASE WHEN {SECURE} THEN (page_id % 3) * 3600 + (page_id % 60) * 60 ELSE 0 END AS duration_seconds"""
 
+CUT_VIDEO_FIELDS_SQL = VIDEO_FIELDS_SQL.replace("html AS description", "substr(html, 1, 500) AS description")
+
 
 def flat_event(messages: DataFrame, *carry: str) -> DataFrame:
     return messages.select(
@@ -123,7 +134,7 @@ def paged_feed_explode(spark: SparkSession, folder: str) -> DataFrame:
 
 @register(
     "search_result_lookup",
-    f"SELECT {VIDEO_FIELDS_SQL} FROM pages WHERE NOT {SECURE}",
+    f"SELECT {CUT_VIDEO_FIELDS_SQL} FROM pages WHERE NOT {SECURE}",
 )
 def search_result_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Search responses name videos; their details come from the envelopes."""
@@ -137,17 +148,17 @@ def search_result_lookup(spark: SparkSession, folder: str) -> DataFrame:
     items = F.sort_array(F.collect_list("item"))
     responses = found.groupBy("envelope").agg(F.to_json(F.struct(items.alias("items"))).alias("raw_json"))
     ids = landed.search_results(responses).select(F.col("video_id").alias("id"))
-    messages = normalize.normalize_video(feeds.look_up(ids, video_details(spark, folder), "id"))
-    return flat_video(messages)
+    details = normalize.normalize_video(video_details(spark, folder), text_length=TEXT_LENGTH)
+    return flat_video(feeds.look_up(ids, details.withColumn("id", F.col("video_id")), "id"))
 
 
 # --- normalise --------------------------------------------------------------
 
 
-@register("normalize_story", f"SELECT {STORY_FIELDS_SQL} FROM documents WHERE length(text) >= 50")
+@register("normalize_story", f"SELECT {CUT_STORY_FIELDS_SQL} FROM documents WHERE doc_id % 97 <> 0")
 def normalize_story(spark: SparkSession, folder: str) -> DataFrame:
     responses = inputs.story_item_responses(table(spark, folder, "documents"))
-    return normalize.normalize_story(landed.story_items(responses))
+    return normalize.normalize_story(landed.story_items(responses), text_length=TEXT_LENGTH)
 
 
 @register(
@@ -159,9 +170,9 @@ def normalize_event(spark: SparkSession, folder: str) -> DataFrame:
     return flat_event(messages, "poll", "page", "pos")
 
 
-@register("normalize_video", f"SELECT {VIDEO_FIELDS_SQL} FROM pages")
+@register("normalize_video", f"SELECT {CUT_VIDEO_FIELDS_SQL} FROM pages")
 def normalize_video(spark: SparkSession, folder: str) -> DataFrame:
-    return flat_video(normalize.normalize_video(video_details(spark, folder)))
+    return flat_video(normalize.normalize_video(video_details(spark, folder), text_length=TEXT_LENGTH))
 
 
 # --- filters and cursors ----------------------------------------------------
@@ -335,7 +346,7 @@ def page_cap(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("event_id % 100").alias("pos"),
         "event_id",
     )
-    return feeds.cap_pages(placed)
+    return feeds.cap_pages(placed, MAX_PAGES, ROWS_PER_PAGE)
 
 
 @register(
@@ -346,7 +357,7 @@ def newest_n(spark: SparkSession, folder: str) -> DataFrame:
     """Asks for a hundred; the API's ceiling is fifty."""
     events = table(spark, folder, "events").select("event_id", "user_id", "ts")
     micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
-    return feeds.newest(events, "ts", "event_id", 100).select("event_id", "user_id", micros.alias("ts_us"))
+    return feeds.newest(events, "ts", "event_id", clamp_request(100, REQUEST_CEILING)).select("event_id", "user_id", micros.alias("ts_us"))
 
 
 @register(
@@ -378,7 +389,7 @@ def seen_orders(spark: SparkSession, folder: str) -> DataFrame:
     earlier = sightings.where(f"seen_at < {day}")
     latest = sightings.where(f"seen_at >= {day}")
     merged = feeds.merge_history(earlier, latest)
-    return feeds.bounded_history(merged)
+    return feeds.bounded_history(merged, HISTORY_SIZE)
 
 
 @register(
@@ -416,8 +427,8 @@ def seen_state_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {STORY_LISTS_SQL}, "
     "firsts AS (SELECT id, poll, list_rank, pos FROM (SELECT *, row_number() OVER "
     "(PARTITION BY id ORDER BY poll, list_rank, pos) AS nth FROM listed) WHERE nth = 1) "
-    f"SELECT poll, list_rank, pos, {STORY_FIELDS_SQL} FROM firsts "
-    "JOIN documents ON firsts.id = doc_id WHERE length(text) >= 50 AND lang IN ('en', 'fr') "
+    f"SELECT poll, list_rank, pos, {CUT_STORY_FIELDS_SQL} FROM firsts "
+    "JOIN documents ON firsts.id = doc_id WHERE doc_id % 97 <> 0 AND lang IN ('en', 'fr') "
     "AND doc_id > (SELECT max(item_id) FROM benchmark)",
 )
 def story_feed_run(spark: SparkSession, folder: str) -> DataFrame:
@@ -426,7 +437,7 @@ def story_feed_run(spark: SparkSession, folder: str) -> DataFrame:
     lists = landed.story_lists(inputs.story_list_responses(documents), "poll", "list_rank")
     items = landed.story_items(inputs.story_item_responses(documents))
     mark = feeds.highest_id(table(spark, folder, "benchmark"), "item_id")
-    return feeds.story_feed(lists, items, ["poll", "list_rank", "pos"], mark=mark)
+    return feeds.story_feed(lists, items, ["poll", "list_rank", "pos"], mark=mark, text_length=TEXT_LENGTH)
 
 
 @register(
@@ -462,7 +473,7 @@ VIDEO_SEARCHES = ["script", "class=", "license"]
     "feed AS (SELECT * FROM popular WHERE pos < 50 UNION ALL SELECT * FROM hits WHERE pos < 10), "
     "firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY list_rank, pos) "
     "AS nth FROM feed) WHERE nth = 1) "
-    f"SELECT list_rank, CAST(pos AS INTEGER) AS pos, {VIDEO_FIELDS_SQL} FROM firsts JOIN pages USING (page_id) "
+    f"SELECT list_rank, CAST(pos AS INTEGER) AS pos, {CUT_VIDEO_FIELDS_SQL} FROM firsts JOIN pages USING (page_id) "
     "WHERE page_id NOT IN (SELECT item_id FROM benchmark)",
 )
 def video_feed_run(spark: SparkSession, folder: str) -> DataFrame:
@@ -475,16 +486,16 @@ def video_feed_run(spark: SparkSession, folder: str) -> DataFrame:
     details = video_details(spark, folder)
     searched = details.withColumn("found_by", matched_queries(columns, VIDEO_SEARCHES))
     stored = f"{folders.work_folder(spark, 'videos')}/messages"
-    normalize.normalize_video(searched, "found_by").write.parquet(stored)
+    normalize.normalize_video(searched, "found_by", text_length=TEXT_LENGTH).write.parquet(stored)
     videos = spark.read.parquet(stored).withColumn("id", F.col("video_id"))
 
     most_viewed = feeds.most_popular(
-        videos.select("id", "view_count"), "view_count", "id", feeds.POPULAR_SIZE
+        videos.select("id", "view_count"), "view_count", "id", POPULAR_SIZE
     )
     popular = positions(most_viewed, [], [F.desc("view_count"), "id"]).withColumn("list_rank", F.lit(0))
     newest_first = [F.desc("published_at"), "id"]
     found = videos.select("id", "published_at", F.explode("found_by").alias("query_rank"))
-    newest = feeds.top_per_group(found, ["query_rank"], newest_first, feeds.SEARCH_SIZE, ["id"])
+    newest = feeds.top_per_group(found, ["query_rank"], newest_first, SEARCH_SIZE, ["id"])
     hits = positions(newest, ["query_rank"], newest_first).withColumn(
         "list_rank", F.col("query_rank") + 1
     )

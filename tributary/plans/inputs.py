@@ -135,9 +135,9 @@ def story_columns(documents: DataFrame) -> DataFrame:
 
 
 def story_item_responses(documents: DataFrame) -> DataFrame:
-    """(raw_json): one response per item; the fetch of a very short text gave `null`."""
+    """(raw_json): one response per item; the fetch of every 97th gave `null`."""
     items = story_columns(documents)
-    response = F.when(F.length("text") >= 50, F.to_json(F.struct(*items.columns)))
+    response = F.when(F.col("id") % 97 != 0, F.to_json(F.struct(*items.columns)))
     return items.select(F.coalesce(response, F.lit("null")).alias("raw_json"))
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.json import payload_value
-from tributary.functions.numbers import clamp, to_count
+from tributary.functions.numbers import REQUEST_CEILING, clamp, to_count
 from tributary.functions.text import (
+    TEXT_LENGTH,
     default_text,
     join_ids,
     null_if_empty,
@@ -31,7 +32,7 @@ EPOCH_SECONDS = "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)"
 
 @register("text_prefix", "SELECT doc_id, substr(text, 1, 500) AS text FROM documents")
 def prefix(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", text_prefix("text").alias("text"))
+    return table(spark, folder, "documents").select("doc_id", text_prefix("text", TEXT_LENGTH).alias("text"))
 
 
 @register("title_preview", "SELECT doc_id, substr(text, 1, 60) AS title FROM documents")
@@ -92,7 +93,7 @@ def text_to_count(spark: SparkSession, folder: str) -> DataFrame:
 )
 def request_clamp(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "lineitem")
-    return rows.select("l_orderkey", "l_linenumber", clamp("l_suppkey").alias("n"))
+    return rows.select("l_orderkey", "l_linenumber", clamp("l_suppkey", REQUEST_CEILING).alias("n"))
 
 
 @register(
