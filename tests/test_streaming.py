@@ -145,7 +145,7 @@ def test_timed_run_ends_on_time(spark, topic, lake):
 def test_rows_read(spark, topic, lake):
     query = ingest.start_bronze(replay(spark, topic), "hackernews", lake, ingest.ONCE)
     ingest.drain([query])
-    assert ingest.rows_read(query) == 7
+    assert ingest.rows_landed(spark, lake, "hackernews") == 7
 
 
 def test_batch_and_stream_agree(spark, topic, lake):
@@ -161,14 +161,20 @@ def test_compaction_keeps_rows_and_the_source(spark, topic, lake):
         run_once(spark, topic, lake)
         land(spark, topic, [story(i)])
     run_once(spark, topic, lake)
-    target = compact(spark, lake, "hackernews", f"{lake}/compacted")
-    compacted = bronze.read_leaf(spark, target)
-    assert bronze.read(spark, lake, "hackernews").count() == 8
+    before = bronze.committed_files(bronze.read_landed(spark, lake, "hackernews")).count()
+    wanted = sorted(map(str, bronze.read_landed(spark, lake, "hackernews").collect()))
+    target = compact(spark, lake, "hackernews")
+    compacted = bronze.read_leaf(spark, f"{target}/rows")
     assert compacted.count() == 10 and compacted.where("reason IS NOT NULL").count() == 2
-    before = bronze.committed_files(bronze.read_landed(spark, lake, "hackernews"))
-    assert bronze.committed_files(compacted).count() < before.count()
-    with pytest.raises(ValueError, match="already exists"):
-        compact(spark, lake, "hackernews", target)
+    assert set(bronze.POSITION) <= set(compacted.columns)
+    assert bronze.committed_files(compacted).count() < before
+    # Readers take the compaction and what lands after it, each row once.
+    assert sorted(map(str, bronze.read_landed(spark, lake, "hackernews").collect())) == wanted
+    land(spark, topic, [story(50)])
+    run_once(spark, topic, lake)
+    assert bronze.read(spark, lake, "hackernews").count() == 9
+    compact(spark, lake, "hackernews")
+    assert bronze.read(spark, lake, "hackernews").count() == 9
 
 
 @pytest.mark.parametrize("spread_by", [None, ["offset"]])

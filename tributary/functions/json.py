@@ -33,7 +33,8 @@ def object_text(fields: list[str], raw_field: str | None = None) -> Column:
     """JSON object of the named columns, in order.
 
     `raw_field` holds JSON object text already and is put in as it is, so that it
-    stays an object and keeps its own key order. It is written as null first and
+    stays an object and keeps its own key order; what does not parse is written as a text
+    value. It is written as null first and
     then replaced; quotes inside text values are escaped, so the mark occurs once.
     """
     if raw_field is None or raw_field not in fields:
@@ -41,7 +42,7 @@ def object_text(fields: list[str], raw_field: str | None = None) -> Column:
     nothing = F.lit(None).cast("string").alias(raw_field)
     frame = to_json_text(F.struct(*[nothing if f == raw_field else F.col(f) for f in fields]))
     member = F.concat(F.lit(f'"{raw_field}":'), F.col(raw_field))
-    is_object = F.startswith(F.col(raw_field), F.lit("{")) & F.endswith(F.col(raw_field), F.lit("}"))
+    is_object = F.startswith(F.col(raw_field), F.lit("{")) & F.try_parse_json(raw_field).isNotNull()
     return F.when(is_object, F.replace(frame, F.lit(f'"{raw_field}":null'), member)).otherwise(
         to_json_text(F.struct(*fields))
     )

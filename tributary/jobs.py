@@ -16,7 +16,7 @@ from tributary import folders, schemas
 from tributary.functions.times import run_name_at
 from tributary.operators import audit, conform, feeds, publish, quality, results, rules, state
 from tributary.operators.normalize import normalize_video
-from tributary.sources import bronze, kafka, landed
+from tributary.sources import bronze, definitions, kafka, landed
 from tributary.streaming import ingest
 
 Deliver = Callable[[DataFrame], None]
@@ -30,14 +30,14 @@ def to_broker(bootstrap: str) -> Deliver:
 
 
 def to_replay(folder: str) -> Deliver:
-    """Append the records as Parquet in the broker's schema, for a run without a broker."""
+    """Append the records as Parquet in the broker's schema, a folder per topic, for a run without a broker."""
 
     def deliver(records: DataFrame) -> None:
         unknown = F.lit(None)
         shaped = kafka.records(
             records, "key", F.col("value"), F.col("topic"), unknown, unknown
         )
-        shaped.write.mode("append").parquet(folder)
+        shaped.write.mode("append").partitionBy("topic").parquet(folder)
 
     return deliver
 
@@ -56,11 +56,11 @@ def publish_stories(
     The state holds every id sent. What a limit leaves out, or an item that was not fetched,
     is sent by a later run that finds it.
     """
-    ranked = feeds.union_feeds([landed.read_lines(spark, path) for path in lists])
+    ranked = feeds.union_feeds([_lines(spark, path, "story_list", state_root) for path in lists])
     seen = state.read_history(spark, f"{state_root}/hackernews")
     messages = feeds.story_feed(
         landed.story_lists(ranked, "list_rank"),
-        landed.story_items(landed.read_lines(spark, items)),
+        landed.story_items(_lines(spark, items, "story_item", state_root)),
         ["list_rank", "pos"],
         history=seen,
         limit=limit,
@@ -85,7 +85,7 @@ def publish_events(
 
     All pages are taken and the state keeps every id published, unless a size bounds them.
     """
-    paged = landed.numbered_event_pages(landed.read_lines(spark, pages))
+    paged = landed.numbered_event_pages(_lines(spark, pages, "numbered_event_page", state_root))
     seen = state.read_history(spark, f"{state_root}/github")
     messages = feeds.event_feed(
         paged, ["page", "pos"], history=seen, limit=limit, max_pages=max_pages, rows_per_page=rows_per_page
@@ -107,13 +107,13 @@ def publish_videos(
     text_length: int | None = None,
 ) -> int:
     """The popular envelope, search results in query order, and the details of both."""
-    first = landed.video_envelopes(landed.read_lines(spark, popular)).select("pos", "id")
+    first = landed.video_envelopes(_lines(spark, popular, "video_envelope", state_root)).select("pos", "id")
     found = [
-        landed.search_results(landed.read_lines(spark, path)).withColumnRenamed("video_id", "id")
+        landed.search_results(_lines(spark, path, "search_envelope", state_root)).withColumnRenamed("video_id", "id")
         for path in searches
     ]
     ranked = feeds.union_feeds([first, *found])
-    known = normalize_video(landed.video_envelopes(landed.read_lines(spark, details)), "pos", text_length=text_length)
+    known = normalize_video(landed.video_envelopes(_lines(spark, details, "video_envelope", state_root)), "pos", text_length=text_length)
     told_apart = F.xxhash64(*[c for c in known.columns if c != "pos"])
     known = feeds.first_seen(known.where("video_id IS NOT NULL"), ["video_id"], ["pos", told_apart]).drop("pos")
     seen = state.read_history(spark, f"{state_root}/youtube")
@@ -126,6 +126,14 @@ def publish_videos(
     return sent.count()
 
 
+def _lines(spark: SparkSession, path: str, kind: str, state_root: str) -> DataFrame:
+    """The good lines of a landed file; the others are kept below `state_root` with the reason."""
+    good, bad = landed.split_lines(landed.read_lines(spark, path), kind)
+    bad = bad.select("kind", "raw_json", "reason", F.lit(path).alias("path"), F.current_timestamp().alias("seen_at"))
+    bad.write.mode("append").parquet(f"{state_root.rstrip('/')}/quarantine")
+    return good
+
+
 def _send(spark: SparkSession, messages: DataFrame, source: str, deliver: Deliver) -> DataFrame:
     stored = folders.work_folder(spark, f"publish-{source}")
     messages.write.parquet(stored)
@@ -152,21 +160,33 @@ def _remember(
 # --- land -------------------------------------------------------------------
 
 
-def topic_streams(spark: SparkSession, bootstrap: str, **options) -> dict[str, DataFrame]:
+def topic_streams(
+    spark: SparkSession, bootstrap: str, max_offsets_per_trigger: int = 10_000_000, **options
+) -> dict[str, DataFrame]:
+    """A stream per topic; a backlog is read in batches of at most so many records."""
     return {
-        s.name: kafka.read_topic(spark, bootstrap, s.topic, **options)
+        s.name: kafka.read_topic(
+            spark, bootstrap, s.topic, max_offsets_per_trigger=max_offsets_per_trigger, **options
+        )
         for s in schemas.SOURCES.values()
     }
 
 
-def replay_streams(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The records of a replay folder, each source its own topic."""
-    return {
-        s.name: spark.readStream.schema(schemas.KAFKA_RECORD)
-        .parquet(folder)
-        .where(F.col("topic") == s.topic)
-        for s in schemas.SOURCES.values()
-    }
+def replay_streams(
+    spark: SparkSession, folder: str, max_files_per_trigger: int = 1000
+) -> dict[str, DataFrame]:
+    """The records of a replay folder, each source from its own topic's part, in bounded batches.
+
+    A topic without any record yet is left out.
+    """
+    streams = {}
+    for s in schemas.SOURCES.values():
+        path = f"{folder.rstrip('/')}/topic={s.topic}"
+        if folders.exists(spark, path):
+            reader = spark.readStream.schema(schemas.KAFKA_RECORD.replace("topic STRING, ", ""))
+            reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+            streams[s.name] = reader.parquet(path).withColumn("topic", F.lit(s.topic))
+    return streams
 
 
 def land(
@@ -184,28 +204,64 @@ def land_available(streams: dict[str, DataFrame], root: str) -> None:
 # --- conform and check ------------------------------------------------------
 
 
-def build_silver(spark: SparkSession, root: str, source: str) -> str:
-    """Rebuild a silver table as a new version; readers see it once it is complete."""
-    base = f"{root.rstrip('/')}/silver/{schemas.source(source).name}_silver"
+def build_silver(spark: SparkSession, root: str, source: str, full: bool = False) -> str:
+    """Write a new version of a silver table; readers see it once it is complete.
+
+    After the first version only bronze rows of later batches are read, parsed and ranked,
+    and what they replace is taken out of the version before. `full` starts over. The table
+    is partitioned by the date of the event.
+    """
+    base = _silver_base(root, source)
     path = f"{base}/run={state.run_stamp()}"
-    conform.silver_rows(bronze.read(spark, root, source), source).write.parquet(path)
+    before = None if full else folders.newest_version(spark, base)
+    rows = silver_after(spark, root, source, before)
+    rows.hint("rebalance", "event_date").write.partitionBy("event_date").parquet(f"{path}/rows")
+    # Every batch that was ingested by the newest instant in the table is part of it.
+    newest = spark.read.parquet(f"{path}/rows").agg(F.max("ingested_at").alias("upto"))
+    newest.write.parquet(f"{path}/upto")
     folders.finish(spark, path)
     return path
 
 
+def silver_after(spark: SparkSession, root: str, source: str, before: str | None) -> DataFrame:
+    """The rows of the version that follows the one in folder `before`."""
+    upto = spark.read.parquet(f"{before}/upto").first().upto if before else None
+    if upto is None:
+        return conform.silver_rows(bronze.read(spark, root, source), source)
+    new = bronze.read(spark, root, source, after=upto)
+    return conform.silver_update(spark.read.parquet(f"{before}/rows"), new, source)
+
+
+def _silver_base(root: str, source: str) -> str:
+    return f"{root.rstrip('/')}/silver/{schemas.source(source).name}_silver"
+
+
 def read_silver(spark: SparkSession, root: str, source: str) -> DataFrame:
-    base = f"{root.rstrip('/')}/silver/{schemas.source(source).name}_silver"
+    base = _silver_base(root, source)
     newest = folders.newest_version(spark, base)
     if newest is None:
         raise ValueError(f"no finished version below {base}")
-    return spark.read.parquet(newest)
+    return spark.read.parquet(f"{newest}/rows")
 
 
-def check_silver(spark: SparkSession, root: str, moment: datetime | None = None) -> DataFrame:
-    """Run the checkpoint over the silver tables, store its results and return them."""
-    run = run_name_at(moment or datetime.now(timezone.utc))
+def check_silver(
+    spark: SparkSession,
+    root: str,
+    moment: datetime | None = None,
+    suites: str | None = None,
+    checkpoint: str | None = None,
+) -> DataFrame:
+    """Run the checkpoint over the silver tables, store its results and return them.
+
+    `suites` and `checkpoint` are paths of JSON documents that replace the built-in rules, and
+    the pairs and the run name that go with them.
+    """
+    moment = moment or datetime.now(timezone.utc)
+    run = definitions.read_run_name(spark, checkpoint, moment) if checkpoint else run_name_at(moment)
+    pairs = definitions.read_validations(spark, checkpoint) if checkpoint else rules.VALIDATIONS
+    known = definitions.read_suites(spark, suites) if suites else rules.SUITES
     tables = {f"{s}_silver": read_silver(spark, root, s) for s in schemas.SOURCES}
-    checked = quality.run_checkpoint(tables, rules.SUITES, rules.VALIDATIONS, run)
+    checked = quality.run_checkpoint(tables, known, pairs, run)
     return results.store_results(checked, f"{root.rstrip('/')}/quality", run)
 
 

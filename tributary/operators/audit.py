@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,10 @@ def topic_audit(records: DataFrame, topics: list[str]) -> DataFrame:
 def landed(frame: DataFrame, source: str, required: list[str]) -> DataFrame:
     """One row about a bronze leaf: files, good rows, quarantined rows and required columns."""
     missing = [c for c in required if c not in frame.columns]
-    files = bronze.committed_files(frame)
+    listed = bronze.committed_paths(frame)
+    counted = bronze.committed_files(frame)
+    name = F.substring_index("file_path", "/", -1).alias("file_name")
+    files = listed.join(counted.select(name, "n_rows", "n_quarantined"), "file_name", "left")
     return files.agg(
         F.count("*").alias("n_files"),
         F.coalesce(F.sum("n_rows"), F.lit(0).cast("bigint")).alias("n_rows"),
@@ -59,14 +63,25 @@ def landing_audit(
     """
     parts = []
     for source, columns in required.items():
-        if folders.exists(spark, bronze.leaf_path(root, source)):
-            frame = bronze.read_leaf(spark, bronze.leaf_path(root, source), merge_schema)
-            parts.append(landed(frame, source, columns))
-        else:
-            parts.append(_never_landed(spark, source, columns))
+        frame = _leaf_or_none(spark, bronze.leaf_path(root, source), merge_schema)
+        parts.append(
+            _never_landed(spark, source, columns) if frame is None else landed(frame, source, columns)
+        )
     return reduce(DataFrame.unionByName, parts)
 
 
+def _leaf_or_none(spark: SparkSession, path: str, merge_schema: bool) -> DataFrame | None:
+    """The leaf, None if there is no folder or no committed file in it to take columns from."""
+    if not folders.exists(spark, path):
+        return None
+    try:
+        return bronze.read_leaf(spark, path, merge_schema)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
 def _never_landed(spark: SparkSession, source: str, required: list[str]) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     return spark.range(1).select(

@@ -76,16 +76,30 @@ CONFORM: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def silver_update(
+    silver: DataFrame, new: DataFrame, source: str
+) -> DataFrame:
+    """Silver after the bronze rows of later batches: their newest copy of a key replaces the stored one.
+
+    Only the new rows are ranked. The stored ones are kept by an anti join, which the planner
+    turns into a broadcast of the new keys while they measure small.
+    """
+    key = schemas.source(source).key
+    fresh = silver_rows(new, source)
+    return silver.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
+
+
 def silver_rows(bronze: DataFrame, source: str, *newest_first: str) -> DataFrame:
     """One row per key: delivery is at least once, so bronze may hold repeats.
 
     `newest_first` names the columns that order the copies, the first deciding; by
-    default the time of ingestion and then the record offset, where it was kept.
+    default the time of ingestion, then the record's offset and time, where kept: copies of a
+    key stand in one partition, and a batch has one time of ingestion.
     Copies equal in all of these are told apart by a hash of their message, so that
     a lost task that runs again picks the same one.
     """
     spec = schemas.source(source)
-    stored = [c for c in ("ingested_at", "offset") if c in bronze.columns]
-    order = [F.col(c).desc() for c in (newest_first or stored)]
+    stored = [c for c in ("ingested_at", "offset", "timestamp") if c in bronze.columns]
+    order = [F.col(c).desc_nulls_last() for c in (newest_first or stored)]
     message = F.xxhash64(*spec.schema.names)
     return CONFORM[spec.name](first_seen(bronze, [spec.key], [*order, message]))

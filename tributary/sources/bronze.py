@@ -6,16 +6,20 @@ a read of the folder above would also see files that were never committed.
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary import schemas
+from tributary import folders, schemas
 
 # Null for good rows; what cannot be used is kept as text, with the reason.
 ASIDE = "raw_json STRING, reason STRING"
 ADDED = "source STRING, ingested_at TIMESTAMP, partition_date DATE"
+# Where the record stood in its topic: later copies of a key stand further on.
+POSITION = ("partition", "offset", "timestamp")
+POSITION_SCHEMA = "partition INT, offset BIGINT, timestamp TIMESTAMP"
 
 
 def leaf_path(root: str, source: str) -> str:
@@ -32,20 +36,47 @@ def read_leaf(spark: SparkSession, path: str, merge_schema: bool = False) -> Dat
     return spark.read.option("mergeSchema", merge_schema).parquet(path)
 
 
-def read_landed(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+def compacted_path(root: str, source: str) -> str:
+    return f"{root.rstrip('/')}/compacted/source={schemas.source(source).name}"
+
+
+def read_landed(
+    spark: SparkSession, root: str, source: str, *keep: str, after: datetime | None = None
+) -> DataFrame:
     """Good and quarantined rows of a source, with the declared schema.
 
-    No footer is read, and files written before a column was added give null for
-    it. `keep` declares record columns stored next to the message, such as
-    `"offset BIGINT"`.
+    Rows come from the newest finished compaction and from what was landed after it. No
+    footer is read, and files written before a column was added give null for it. `keep`
+    declares further columns stored next to the message, those of the position are always there. `after` leaves out what was
+    ingested up to an instant, by date before a file is opened.
+    """
+    further = [c for c in keep if c.split()[0].strip("`") not in POSITION]
+    columns = ", ".join([*further, schemas.source(source).message, POSITION_SCHEMA, ASIDE, ADDED])
+    leaf = spark.read.schema(columns).parquet(leaf_path(root, source))
+    newest = folders.newest_version(spark, compacted_path(root, source))
+    if newest is None:
+        return ingested_after(leaf, after)
+    upto = spark.read.schema("upto TIMESTAMP").parquet(f"{newest}/upto").first().upto
+    rewritten = spark.read.schema(columns).parquet(f"{newest}/rows")
+    return ingested_after(rewritten, after).unionByName(ingested_after(ingested_after(leaf, upto), after))
+
+
+def ingested_after(rows: DataFrame, instant: datetime | None) -> DataFrame:
+    """Rows of later micro-batches; a batch has one instant, and its date is a folder.
+
+    The dates are those of the session that landed the rows.
     """
-    columns = ", ".join([*keep, schemas.source(source).message, ASIDE, ADDED])
-    return spark.read.schema(columns).parquet(leaf_path(root, source))
+    if instant is None:
+        return rows
+    day = F.date_sub(F.lit(instant).cast("timestamp").cast("date"), 1)  # sessions may differ in time zone
+    return rows.where((F.col("partition_date") >= day) & (F.col("ingested_at") > F.lit(instant)))
 
 
-def read(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+def read(
+    spark: SparkSession, root: str, source: str, *keep: str, after: datetime | None = None
+) -> DataFrame:
     """The good rows. The text column is not scanned."""
-    landed = read_landed(spark, root, source, *keep)
+    landed = read_landed(spark, root, source, *keep, after=after)
     return landed.where("reason IS NULL").drop("raw_json", "reason")
 
 
@@ -70,8 +101,14 @@ def read_all(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
     return union_sources([with_text_key(read(spark, root, s), s) for s in sources])
 
 
+def committed_paths(frame: DataFrame) -> DataFrame:
+    """(file_name) of the files a read goes over, also of those without rows, as the table lists them."""
+    names = [(path.rsplit("/", 1)[-1],) for path in frame.inputFiles()]
+    return frame.sparkSession.createDataFrame(names, "file_name STRING")
+
+
 def committed_files(frame: DataFrame) -> DataFrame:
-    """(file_path, n_rows, n_quarantined) of a leaf read; at most the reason column is scanned."""
+    """(file_path, n_rows, n_quarantined) of the files with rows; at most the reason column is scanned."""
     aside = F.count("reason") if "reason" in frame.columns else F.lit(0).cast("bigint")
     return frame.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         (F.count("*") - aside).alias("n_rows"), aside.alias("n_quarantined")

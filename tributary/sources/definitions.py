@@ -6,6 +6,9 @@ one into the driver is bounded by the document, not by the data.
 
 from __future__ import annotations
 
+import json
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +21,7 @@ TOPIC_SETTINGS = (
 CATALOGUE = f"topics {TOPIC_SETTINGS}, common_config MAP<STRING, BIGINT>"
 SUITE = (
     "expectation_suite_name STRING, expectations ARRAY<STRUCT<expectation_type: STRING, "
-    "kwargs: STRUCT<column: STRING, min_value: BIGINT, max_value: BIGINT, "
-    "value_set: ARRAY<STRING>, type_: STRING>>>"
+    "kwargs: MAP<STRING, STRING>>>"
 )
 CHECKPOINT = (
     "name STRING, run_name_template STRING, validations ARRAY<STRUCT<"
@@ -54,19 +56,41 @@ def rule_rows(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+ARGUMENTS = {"column", "min_value", "max_value", "value_set", "type_"}
+
+
+def bound(text: str | None) -> int | float | str | None:
+    """A bound as written: a whole number, another number, or text such as a date."""
+    if text is None or text == "null":
+        return None
+    for kind in (int, float):
+        try:
+            return kind(text)
+        except ValueError:
+            continue
+    return text
+
+
+def rule_of(kind: str, arguments: dict[str, str]) -> Rule:
+    """A rule from its JSON arguments; one that is not understood is an error, never left out."""
+    unknown = {k for k, v in arguments.items() if v is not None} - ARGUMENTS
+    if unknown:
+        raise ValueError(f"{kind} has arguments that are not understood: {sorted(unknown)}")
+    allowed = arguments.get("value_set")
+    return Rule(
+        kind,
+        arguments["column"],
+        low=bound(arguments.get("min_value")),
+        high=bound(arguments.get("max_value")),
+        allowed=tuple(json.loads(allowed)) if allowed is not None else None,
+        family=arguments.get("type_"),
+    )
+
+
 def read_suites(spark: SparkSession, path: str) -> dict[str, Suite]:
     rules: dict[str, list[Rule]] = {}
     for row in rule_rows(spark, path).orderBy("suite", "idx").collect():
-        k = row["kwargs"]
-        rule = Rule(
-            row["type"],
-            k["column"],
-            low=k["min_value"],
-            high=k["max_value"],
-            allowed=tuple(k["value_set"]) if k["value_set"] is not None else None,
-            family=k["type_"],
-        )
-        rules.setdefault(row["suite"], []).append(rule)
+        rules.setdefault(row["suite"], []).append(rule_of(row["type"], row["kwargs"] or {}))
     return {name: Suite(name, tuple(found)) for name, found in rules.items()}
 
 
@@ -90,3 +114,11 @@ def read_validations(spark: SparkSession, path: str) -> list[tuple[str, str]]:
     """(asset, suite) pairs in document order."""
     rows = validation_rows(spark, path).orderBy("idx").collect()
     return [(r["asset"], r["suite"]) for r in rows]
+
+
+def read_run_name(spark: SparkSession, path: str, moment: datetime) -> str:
+    """The checkpoint's run-name template at a moment."""
+    template = validation_rows(spark, path).select("run_name_template").first().run_name_template
+    if template is None:
+        raise ValueError(f"{path} has no run_name_template")
+    return moment.strftime(template)

@@ -7,10 +7,12 @@ is bounded by the API's page size, so exploding it never makes a large row group
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary import schemas
+from tributary.functions.json import READ_OPTIONS
+from tributary.functions.text import WHITESPACE
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -57,3 +59,41 @@ def search_results(responses: DataFrame, *carry: str) -> DataFrame:
     items = F.from_json("raw_json", schemas.SEARCH_ENVELOPE).getField("items")
     exploded = responses.select(*carry, F.posexplode(items).alias("pos", "item"))
     return exploded.select(*carry, "pos", F.col("item.id.videoId").alias("video_id"))
+
+
+# What a line of each landed feed has to be: its outer sign and its schema.
+LINES = {
+    "story_list": ("[", schemas.STORY_LIST),
+    "story_item": ("{", schemas.STORY_ITEM),
+    "event_page": ("[", schemas.EVENT_PAGE),
+    "numbered_event_page": ("{", f"page INT, events {schemas.EVENT_PAGE}"),
+    "video_envelope": ("{", schemas.VIDEO_ENVELOPE),
+    "search_envelope": ("{", schemas.SEARCH_ENVELOPE),
+}
+
+
+def line_reason(kind: str, text: str = "raw_json") -> Column:
+    """Why a landed line cannot be used, null for a good one.
+
+    A `null` response is good: the service answered that there is nothing.
+    """
+    sign, schema = LINES[kind]
+    line = F.btrim(F.col(text), F.lit(WHITESPACE))
+    malformed = F.try_parse_json(text).isNull() | F.col(text).isNull()
+    if sign == "{":
+        read = F.from_json(text, f"{schema}, {schemas.CORRUPT} STRING", READ_OPTIONS)
+        misfit = read.getField(schemas.CORRUPT).isNotNull()
+    else:
+        misfit = F.from_json(text, schema).isNull()
+    return (
+        F.when(line == "null", F.lit(None).cast("string"))
+        .when(malformed, "malformed")
+        .when(~F.startswith(line, F.lit(sign)) | misfit, "unexpected shape")
+    )
+
+
+def split_lines(lines: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
+    """(good lines, quarantined lines with source kind and reason); together they are all lines."""
+    judged = lines.withColumn("reason", line_reason(kind))
+    bad = judged.where("reason IS NOT NULL").withColumn("kind", F.lit(kind))
+    return judged.where("reason IS NULL").drop("reason"), bad

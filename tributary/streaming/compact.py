@@ -3,19 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from tributary import folders
+from tributary.operators.state import run_stamp
 from tributary.sources import bronze
 
 
-def compact(spark: SparkSession, root: str, source: str, target: str) -> str:
-    """Rewrite the committed rows of a source, good or not, to a new folder, in larger files.
+def compact(spark: SparkSession, root: str, source: str) -> str:
+    """Write the committed rows of a source, good or not, as a new version in larger files.
 
-    Rows are rebalanced by date: Spark splits a large day over several tasks and
+    The version says up to which micro-batch it holds everything, and readers take it and
+    what landed after. All columns of the leaf are kept. An earlier version is read for what
+    it holds. Rows are rebalanced by date: Spark splits a large day over several tasks and
     joins small ones. The stream's own folder is never touched.
     """
-    if folders.exists(spark, target):
-        raise ValueError(f"{target} already exists")
-    rows = bronze.read_landed(spark, root, source).hint("rebalance", "partition_date")
-    rows.write.partitionBy("partition_date").parquet(target)
-    return target
+    rows = bronze.read_landed(spark, root, source)
+    stored = bronze.read_leaf(spark, bronze.leaf_path(root, source)).schema
+    further = [f"{f.name} {f.dataType.simpleString()}" for f in stored if f.name not in rows.columns]
+    if further:
+        rows = bronze.read_landed(spark, root, source, *further)
+    upto = rows.agg(F.max("ingested_at").alias("upto")).first().upto
+    if upto is None:
+        raise ValueError(f"nothing has landed for {source}")
+    path = f"{bronze.compacted_path(root, source)}/run={run_stamp()}"
+    whole = rows.where(F.col("ingested_at") <= F.lit(upto)).hint("rebalance", "partition_date")
+    whole.write.partitionBy("partition_date").parquet(f"{path}/rows")
+    spark.createDataFrame([(upto,)], "upto TIMESTAMP").write.parquet(f"{path}/upto")
+    folders.finish(spark, path)
+    return path

@@ -26,13 +26,17 @@ def guard(spark: SparkSession, sink: str, checkpoint: str) -> None:
 
 
 def start_bronze(
-    records: DataFrame, source: str, root: str, trigger: dict = TRIGGER, keep: tuple[str, ...] = ()
+    records: DataFrame,
+    source: str,
+    root: str,
+    trigger: dict = TRIGGER,
+    keep: tuple[str, ...] = bronze.POSITION,
 ) -> StreamingQuery:
     """Append a record stream to the source's bronze table.
 
     Good and unusable records are told apart in one parse and committed together,
     each exactly once. Nothing is shuffled: an input split becomes one task and one
-    file. `keep` names record columns (offset, ...) to store next to the message.
+    file. `keep` names record columns to store next to the message.
     """
     sink, checkpoint = bronze.leaf_path(root, source), bronze.checkpoint_path(root, source)
     guard(records.sparkSession, sink, checkpoint)
@@ -99,6 +103,9 @@ def ingest(
     return queries
 
 
-def rows_read(query: StreamingQuery) -> int:
-    """Records a query has taken in, over the progress reports the session keeps."""
-    return sum(p["numInputRows"] for p in query.recentProgress)
+def rows_landed(spark: SparkSession, root: str, source: str) -> int:
+    """Records a source has committed, good or not, however many batches that took.
+
+    Counted from the files' own statistics; a query only keeps its last reports.
+    """
+    return bronze.read_landed(spark, root, source).count()
