@@ -112,14 +112,10 @@ RECORD_VALUE_SQL = f"""
     "WHERE event_type = 'signup'",
 )
 def quarantine_split(spark: SparkSession, folder: str) -> DataFrame:
-    records = inputs.event_records(damaged(table(spark, folder, "events")))
+    records = inputs.event_records(table(spark, folder, "events"))
     return split_counts(parse(kafka.raw_json(damage(records)), "github", "raw_json"))
 
 
-def damaged(events: DataFrame) -> DataFrame:
-    return events
-
-
 def damage(records: DataFrame) -> DataFrame:
     """Error events arrive without their closing brace, signups as empty objects."""
     text = F.col("value").cast("string")
@@ -184,7 +180,11 @@ def audited_topics(spark: SparkSession, folder: str) -> DataFrame:
     "AS topic, CAST(count(DISTINCT event_id % 3) AS INTEGER) AS partitions FROM events GROUP BY 1) "
     "SELECT topic, CAST(d.partitions AS BIGINT) AS declared_partitions, "
     "CAST(f.partitions AS BIGINT) AS found_partitions, "
-    "coalesce(d.partitions = f.partitions, false) AS success "
+    "CASE WHEN d.partitions IS NOT NULL THEN 86400000 END AS declared_retention_ms, "
+    "CASE WHEN f.partitions IS NOT NULL THEN 86400000 END AS found_retention_ms, "
+    "CASE WHEN topic IN ('github-events', 'youtube-videos') THEN 'delete' END AS declared_cleanup_policy, "
+    "CASE WHEN f.partitions IS NOT NULL THEN 'delete' END AS found_cleanup_policy, "
+    "coalesce(d.partitions = f.partitions AND topic = 'github-events', false) AS success "
     "FROM declared d FULL OUTER JOIN found f USING (topic)",
 )
 def catalogue(spark: SparkSession, folder: str) -> DataFrame:
@@ -192,9 +192,17 @@ def catalogue(spark: SparkSession, folder: str) -> DataFrame:
     declared = topic_catalogue(document.select("d.*"))
     topic = F.coalesce(inputs.lookup(TOPICS, "event_type"), F.lit("unrouted"))
     found = topic_message_count(positioned(table(spark, folder, "events"), topic))
-    found = found.select("topic", F.col("n_partitions").cast("int").alias("partitions"))
-    return catalogue_audit(declared, found, ["partitions"]).select(
+    # What a broker reports for topics that were made with its defaults.
+    found = found.select(
+        "topic",
+        F.col("n_partitions").cast("int").alias("partitions"),
+        F.lit(86400000).cast("bigint").alias("retention_ms"),
+        F.lit("delete").alias("cleanup_policy"),
+    )
+    settings = ["partitions", "retention_ms", "cleanup_policy"]
+    return catalogue_audit(declared, found, settings).select(
         "topic",
+        *[f"{side}_{s}" for s in settings[1:] for side in ("declared", "found")],
         F.col("declared_partitions").cast("bigint").alias("declared_partitions"),
         F.col("found_partitions").cast("bigint").alias("found_partitions"),
         "success",

@@ -509,3 +509,67 @@ def positions(frame: DataFrame, group: list[str], order: list) -> DataFrame:
     """Number the rows of short ranked lists from 0."""
     window = Window.partitionBy(*group).orderBy(*order)
     return frame.withColumn("pos", F.row_number().over(window) - 1)
+
+
+# --- runs that follow each other, and what cannot be read -------------------
+
+
+@register(
+    "story_feed_two_runs",
+    f"WITH {STORY_LISTS_SQL}, ids AS (SELECT DISTINCT id FROM listed) "
+    f"SELECT {STORY_FIELDS_SQL} FROM ids JOIN documents ON id = doc_id "
+    "WHERE doc_id % 97 <> 0 AND lang IN ('en', 'fr')",
+)
+def story_feed_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A run with a limit, then one without: every id is sent exactly once."""
+    documents = table(spark, folder, "documents")
+    lists = landed.story_lists(inputs.story_list_responses(documents), "poll", "list_rank")
+    items = landed.story_items(inputs.story_item_responses(documents))
+    order, root = ["poll", "list_rank", "pos"], folders.work_folder(spark, "state")
+    sent = folders.work_folder(spark, "sent")
+    for limit in (40, None):
+        run = feeds.story_feed(lists, items, order, history=state.read_history(spark, root), limit=limit)
+        path = f"{sent}/run={limit or 0}"
+        run.drop(*order).write.parquet(path)
+        seen = feeds.seen_now(spark.read.parquet(path), "hackernews", "id", F.current_timestamp())
+        state.append_history(seen, root)
+    return spark.read.parquet(f"{sent}/run=40", f"{sent}/run=0")
+
+
+@register(
+    "event_feed_all_pages",
+    f"SELECT event_id // {LONG_POLL} AS poll, (event_id % {LONG_POLL}) // 100 + 1 AS page, "
+    f"CAST(event_id % 100 AS INTEGER) AS pos, {EVENT_FIELDS_SQL} FROM events WHERE {PUBLISHED_SQL}",
+)
+def event_feed_all_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Polls of fifteen pages, of which nothing is left out unless a caller says so."""
+    items = inputs.event_items(table(spark, folder, "events"))
+    order = ["poll", "page", "pos"]
+    placed = items.select(
+        F.expr(f"event_id DIV {LONG_POLL}").alias("poll"),
+        F.expr(f"(event_id % {LONG_POLL}) DIV 100 + 1").alias("page"),
+        F.expr("CAST(event_id % 100 AS INT)").alias("pos"),
+        "item.*",
+    )
+    placed = placed.withColumn("payload", F.to_json("payload"))
+    return flat_event(feeds.event_feed(placed, order), *order)
+
+
+@register(
+    "landed_quarantine",
+    "SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'malformed' WHEN doc_id % 5 = 1 THEN 'unexpected shape' "
+    "ELSE 'good' END AS side FROM documents",
+)
+def landed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Item lines cut short, lines of another shape, `null` answers and good ones; none vanishes."""
+    documents = table(spark, folder, "documents").select("doc_id", F.struct(F.col("doc_id").alias("id"), "text").alias("item"))
+    line = F.to_json("item")
+    kind = F.col("doc_id") % 5
+    broken = (
+        F.when(kind == 0, F.substring(line, 1, 8))
+        .when(kind == 1, F.concat(F.lit("["), line, F.lit("]")))
+        .when(kind == 2, F.lit("null"))
+        .otherwise(line)
+    )
+    good, bad = landed.split_lines(documents.select("doc_id", broken.alias("raw_json")), "story_item")
+    return good.select("doc_id", F.lit("good").alias("side")).union(bad.select("doc_id", "reason"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from tributary.operators.rules import Rule, Suite
 from tributary.plans import inputs
 from tributary.plans.feeds import EVENT_FIELDS_SQL
 from tributary.plans.registry import register
+from tributary.sources import definitions
 from tributary.sources.tables import table
 
 
@@ -264,3 +267,62 @@ def dq_row_tags(spark: SparkSession, folder: str) -> DataFrame:
     return tagged.select(
         "l_orderkey", "l_linenumber", F.array_join("dq_failures", ",").alias("failures")
     )
+
+
+# --- suites and a checkpoint from documents ---------------------------------
+
+LINE_RULES = [
+    {"expectation_type": rules.NOT_NULL, "kwargs": {"column": "l_orderkey"}},
+    {"expectation_type": rules.BETWEEN, "kwargs": {"column": "l_discount", "min_value": 0.025, "max_value": 10}},
+    {"expectation_type": rules.IN_SET, "kwargs": {"column": "l_returnflag", "value_set": ["A", "N"]}},
+    {"expectation_type": rules.OF_TYPE, "kwargs": {"column": "l_shipdate", "type_": "TIMESTAMP"}},
+]
+LINE_CHECKS_SQL = suite_sql(
+    "lines", "lineitem", "lineitem",
+    [(rules.NOT_NULL, "l_orderkey", "count(*) FILTER (l_orderkey IS NULL)"),
+     (rules.BETWEEN, "l_discount", "count(*) FILTER (l_discount < 0.025 OR l_discount > 10)"),
+     (rules.IN_SET, "l_returnflag", "count(*) FILTER (l_returnflag NOT IN ('A', 'N'))"),
+     (rules.OF_TYPE, "l_shipdate", "0")],
+)
+
+
+def document(spark: SparkSession, content: dict) -> str:
+    """A JSON document in a work folder."""
+    path = folders.work_folder(spark, "definitions")
+    spark.createDataFrame([(json.dumps(content),)], "value STRING").coalesce(1).write.text(path)
+    return path
+
+
+@register("dq_suite_from_json", LINE_CHECKS_SQL)
+def dq_suite_from_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Rules read from a document, one with a fractional bound."""
+    path = document(spark, {"expectation_suite_name": "lines", "expectations": LINE_RULES})
+    suite = definitions.read_suites(spark, path)["lines"]
+    return quality.run_suite(table(spark, folder, "lineitem"), suite, "lineitem")
+
+
+@register(
+    "dq_checkpoint_from_json",
+    "SELECT run_name, suite, idx, metric, value FROM (SELECT '20240101-lines' AS run_name, suite, idx, n_rows, "
+    f"n_unexpected FROM ({LINE_CHECKS_SQL})) UNPIVOT (value FOR metric IN (n_rows, n_unexpected))",
+)
+def dq_checkpoint_from_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Suite, pairs and run name from documents; the stored parameters are read back."""
+    suites = document(spark, {"expectation_suite_name": "lines", "expectations": LINE_RULES})
+    checkpoint = document(
+        spark,
+        {
+            "name": "lines", "run_name_template": "%Y%m%d-lines",
+            "validations": [
+                {"batch_request": {"data_asset_name": "lineitem"}, "expectation_suite_name": "lines"}
+            ],
+        },
+    )
+    run = definitions.read_run_name(spark, checkpoint, datetime(2024, 1, 1))
+    tables = {"lineitem": table(spark, folder, "lineitem")}
+    checked = quality.run_checkpoint(
+        tables, definitions.read_suites(spark, suites), definitions.read_validations(spark, checkpoint), run
+    )
+    store = folders.work_folder(spark, "quality")
+    results.store_results(checked, store, run)
+    return results.read_parameters(spark, store).select("run_name", "suite", "idx", "metric", "value")

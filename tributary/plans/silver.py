@@ -5,12 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary import folders, jobs, schemas
 from tributary.operators import conform, feeds
+from tributary.operators.parse import bronze_rows
+from tributary.operators.publish import to_kafka_records
 from tributary.plans import inputs
 from tributary.plans.feeds import EVENT_FIELDS_SQL, STORY_FIELDS_SQL, VIDEO_FIELDS_SQL
 from tributary.plans.registry import register
-from tributary.sources import bronze
+from tributary.sources import bronze, kafka
 from tributary.sources.tables import table
+from tributary.streaming import ingest
 
 
 @register(
@@ -69,18 +73,53 @@ def latest_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return latest.select("user_id", "event_id", "event_type", "value", micros.alias("ts_us"))
 
 
+def older_and_newer(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event message as two records of one batch: an older one of another kind, then the real one."""
+    messages = inputs.event_messages(table(spark, folder, "events"))
+    older = messages.withColumn("type", F.lit("OldEvent")).withColumn("payload", F.lit("{}"))
+    records = [
+        kafka.records(
+            to_kafka_records(sent, "github", "event_id"), "key", F.col("value"), F.col("topic"),
+            F.col("event_id") % 3, F.expr(f"2 * (event_id DIV 3) + {later}"),
+        )
+        for later, sent in enumerate((older, messages))
+    ]
+    return records[0].unionByName(records[1])
+
+
 @register(
     "silver_dedup",
     f"SELECT id, type, actor_login, repo AS repo_name, payload FROM "
     f"(SELECT {EVENT_FIELDS_SQL} FROM events)",
 )
 def silver_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every message delivered twice ends up in silver once."""
-    once = inputs.bronze_of(spark, folder, "github")
-    silver = conform.silver_rows(once.unionByName(once), "github")
+    """An older and a newer copy of each key in one batch: the newer one is in silver."""
+    raw = kafka.raw_json(older_and_newer(spark, folder), *bronze.POSITION)
+    silver = conform.silver_rows(bronze_rows(raw, "github", *bronze.POSITION), "github")
     return silver.select("id", "type", "actor_login", "repo_name", "payload")
 
 
+@register(
+    "silver_incremental",
+    f"SELECT id, type, actor_login, repo AS repo_name, payload, event_date FROM "
+    f"(SELECT strftime(ts, '%Y-%m-%d') AS event_date, {EVENT_FIELDS_SQL} FROM events)",
+)
+def silver_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Old copies of half the keys are landed and built, then all real ones; the second build reads those only."""
+    root, replay = folders.work_folder(spark, "lake"), folders.work_folder(spark, "replay")
+    records = older_and_newer(spark, folder)
+    halves = [records.where("offset % 2 = 0 AND offset % 4 = 0"), records.where("offset % 2 = 1")]
+    for half in halves:
+        half.write.mode("append").parquet(replay)
+        stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(replay)
+        ingest.drain([ingest.start_bronze(stream, "github", root, ingest.ONCE)])
+        jobs.build_silver(spark, root, "github")
+    silver = jobs.read_silver(spark, root, "github")
+    return silver.select(
+        "id", "type", "actor_login", "repo_name", "payload", F.col("event_date").cast("string").alias("event_date")
+    )
+
+
 @register(
     "cross_source_union",
     "SELECT 'hackernews' AS source, CAST(doc_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS video_id, "
