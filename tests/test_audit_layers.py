@@ -131,3 +131,14 @@ def test_registry():
     assert schemas.source("github").topic == "github-events"
     with pytest.raises(ValueError):
         schemas.source("GitHub")
+
+
+def test_a_leaf_without_a_committed_file_fails_and_does_not_raise(spark):
+    from tributary.operators.audit import landing_audit
+    from tributary.sources import bronze
+
+    root = folders.work_folder(spark, "empty-leaf")
+    fs, path = folders._file_system(spark, bronze.leaf_path(root, "github"))
+    fs.mkdirs(path)
+    row = landing_audit(spark, root, {"github": ["id"]}).first()
+    assert (row["n_files"], row["has_files"], row["has_rows"], row["has_columns"]) == (0, False, False, False)

@@ -118,3 +118,24 @@ def test_connector_is_looked_up_late(spark):
         kafka.read_topic(spark, "host:9092", "github-events")
     with pytest.raises(Exception, match="(?i)kafka"):
         write_topic(spark.createDataFrame([("k", "v", "t")], "key STRING, value STRING, topic STRING"), "host:9092")
+
+
+def test_payload_that_does_not_parse_is_written_as_text(spark):
+    import json
+
+    from tributary.functions.json import object_text
+
+    rows = spark.createDataFrame([("1", "{not json}"), ("2", '{"a":1}')], "id STRING, payload STRING")
+    made = rows.select(object_text(["id", "payload"], "payload").alias("t")).collect()
+    assert [json.loads(r["t"])["payload"] for r in made] == ["{not json}", {"a": 1}]
+
+
+def test_no_landed_line_vanishes(spark):
+    from tributary.sources import landed
+
+    lines = ['{"id": 1}', "garbage", "[1]", "null", "", '{"id": "x"}']
+    frame = spark.createDataFrame([(x,) for x in lines], "raw_json STRING")
+    good, bad = landed.split_lines(frame, "story_item")
+    assert good.count() + bad.count() == len(lines)
+    found = {r["raw_json"]: r["reason"] for r in bad.collect()}
+    assert found == {"garbage": "malformed", "": "malformed", "[1]": "unexpected shape", '{"id": "x"}': "unexpected shape"}

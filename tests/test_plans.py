@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
+from tributary import folders
 from tributary.operators import feeds
 from tributary.operators.conform import conform_event
 from tributary.operators.parse import bronze_rows
+from tributary.sources import bronze
 
 
 def test_first_seen_limits_before_the_shuffle(spark, plan_of):
@@ -104,3 +107,22 @@ def test_scan_reads_only_what_is_used(spark, plan_of):
     plan = plan_of(feeds.newest(events.select("event_id", "value").where("value > 10"), "value", "event_id", 5))
     assert "ReadSchema: struct<event_id:bigint,value:double>" in plan
     assert "GreaterThan(value,10.0)" in plan
+
+
+def test_top_per_group_beyond_the_group_limit_is_spread(spark, plan_of, changed):
+    changed(spark__sql__shuffle__partitions="200")
+    frame = spark.range(9000).withColumn("g", F.col("id") % 2)
+    top = feeds.top_per_group(frame, ["g"], [F.desc("id")], 1500, ["id"])
+    assert "WindowGroupLimit" not in plan_of(top) and "800" in plan_of(top)
+    assert top.count() == 3000
+
+
+def test_second_silver_build_reads_new_dates_only(spark, plan_of):
+    schema = "id STRING, ingested_at TIMESTAMP, partition_date DATE"
+    path = folders.work_folder(spark, "dates")
+    rows = [("a", datetime(2024, 1, 1), date(2024, 1, 1)), ("b", datetime(2024, 2, 1), date(2024, 2, 1))]
+    spark.createDataFrame(rows, schema).write.partitionBy("partition_date").parquet(path)
+    later = bronze.ingested_after(spark.read.schema(schema).parquet(path), datetime(2024, 1, 15))
+    assert [r["id"] for r in later.collect()] == ["b"]
+    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(later)).group(1)
+    assert "partition_date" in filters

@@ -222,3 +222,14 @@ def test_suite_and_checkpoint_documents(spark, tmp_path):
     assert set(read) == {s.name for s in read.values()} == {"orders_suite", "by_file"}
     pairs = definitions.read_validations(spark, str(tmp_path / "checkpoint.json"))
     assert pairs == [("b", "orders_suite"), ("a", "by_file")]
+
+
+@pytest.mark.parametrize("extra", [{"mostly": 0.9}, {"strict_min": True}])
+def test_arguments_that_are_not_understood_are_errors(extra):
+    with pytest.raises(ValueError, match="not understood"):
+        definitions.rule_of(rules.BETWEEN, {"column": "x", "min_value": "0.5", **extra})
+
+
+def test_bounds_keep_their_value():
+    rule = definitions.rule_of(rules.BETWEEN, {"column": "x", "min_value": "0.5", "max_value": "10"})
+    assert (rule.low, rule.high) == (0.5, 10)
