@@ -125,14 +125,16 @@ def mix(
     taken = inside.withColumn("upto", F.col("before") + running).where("upto <= rest")
     ends = taken.groupBy("source").agg(F.max("position").alias("cut_position"))
     plan = _join(_join(plan, cut, "left"), ends, "left")
-    plan = written(plan.select("source", "epochs", "cut_block", "cut_position"), "mixing-plan")
+    # Names that no column of the documents should have.
+    names = ("epochs", "cut_block", "cut_position")
+    plan = written(plan.select("source", *[F.col(c).alias(f"__{c}") for c in names]), "mixing-plan")
 
-    drawn = _join(docs, plan).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("epochs"))))
+    drawn = _join(docs, plan).withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__epochs"))))
     drawn = drawn.withColumn("position", _digest(seed, F.col("epoch"), "doc_id"))
     drawn = drawn.withColumn("block", _block(F.col("position"), blocks))
-    whole_epoch = F.col("epoch") < F.col("epochs")
-    in_part = (F.col("block") < F.col("cut_block")) | (
-        (F.col("block") == F.col("cut_block")) & F.coalesce(F.col("position") <= F.col("cut_position"), F.lit(False))
+    whole_epoch = F.col("epoch") < F.col("__epochs")
+    in_part = (F.col("block") < F.col("__cut_block")) | (
+        (F.col("block") == F.col("__cut_block")) & F.coalesce(F.col("position") <= F.col("__cut_position"), F.lit(False))
     )
     return drawn.where(whole_epoch | in_part).select(
         *columns, "n_tokens", F.col("epoch").cast("int").alias("epoch"), "block", "position"

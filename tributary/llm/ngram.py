@@ -251,6 +251,8 @@ def deleted_histogram(chunks: DataFrame, n_tokens: int, texts: int) -> DataFrame
 
 def mixture_weights(cells: list, n_distinct: int, rounds: int = 60) -> np.ndarray:
     """(BUCKETS, 3) weights of pair, single and equal share, by expectation-maximisation."""
+    if not cells:  # nothing was learned
+        return np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
     weights = np.tile([0.0, 0.5, 0.5], (BUCKETS, 1))
     rows = np.array([(r.bucket, r.pair_cell, r.single_cell, r.n) for r in cells], np.float64).reshape(-1, 4)
     value = lambda c: np.where(c > 0, np.exp(-(c - 1) / STEP), 0.0)
