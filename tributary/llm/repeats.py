@@ -272,7 +272,9 @@ def cell_spans(table: pa.Table, length: int, gram: int) -> pa.Table:
 def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048) -> DataFrame:
     """(row, start, end): spans of (row, text) that cover every byte of a repeated window, and no other.
 
-    Rows must have names of their own. Spans may overlap. Null texts are empty.
+    Rows must have names of their own. Spans may overlap, and reach beyond the end of a text:
+    one that has fewer than `length` bytes inside the text does not count (see `merged`). Null
+    texts are empty.
     """
     spark = documents.sparkSession
     counts = anchor_rows(documents, length, gram).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -285,15 +287,12 @@ def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, c
     )
     contexts = written(contexts, "repeats-contexts")
     several = contexts.where("n > 1").select("hash", "context")
-    sizes = documents.select("row", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("bytes"))
-    whole = shared.join(several, ["hash", "context"]).join(sizes, "row")
-    whole = whole.select(
+    whole = shared.join(several, ["hash", "context"]).select(
         "row",
         F.greatest(F.col("pos") - (length - gram), F.lit(0)).alias("start"),
-        F.least(F.col("pos") + length, F.col("bytes")).alias("end"),
+        (F.col("pos") + length).alias("end"),
     )
-    # Overlapping spans of a text in one row keep the result small.
-    whole = written(whole.where(F.col("end") - F.col("start") >= length), "repeats-whole")
+    whole = written(whole, "repeats-whole")
 
     mixed = contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     wanted = contexts.join(mixed.select("hash"), "hash").select(
@@ -330,15 +329,17 @@ def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, c
     return whole.union(found.where("window_a IS NULL").select("row", "start", "end")).union(across)
 
 
-def merged(spans: list, size: int) -> list[tuple[int, int]]:
-    """Disjoint, ascending, with gaps between them."""
+def merged(spans: list, size: int, length: int) -> list[tuple[int, int]]:
+    """Disjoint, ascending, with gaps between them, inside a text of `size` bytes."""
     out: list[list[int]] = []
-    for s, e in sorted(spans):
+    for s, e in sorted((s, min(e, size)) for s, e in spans):
+        if e - s < length:
+            continue
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
             out.append([s, e])
-    return [(s, min(e, size)) for s, e in out]
+    return [(s, e) for s, e in out]
 
 
 def remove_repeats(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048) -> DataFrame:
@@ -365,7 +366,7 @@ def remove_repeats(documents: DataFrame, *, length: int = 200, gram: int = 64, c
             sizes, removed, counts, kept, digests = np.diff(offsets), [], [], [], []
             for i, found in enumerate(batch.column("spans").to_pylist()):
                 text = data[offsets[i] : offsets[i + 1]].tobytes()
-                cuts = merged([(s["start"], s["end"]) for s in found or []], len(text))
+                cuts = merged([(s["start"], s["end"]) for s in found or []], len(text), length)
                 at, left = 0, []
                 for s, e in cuts:
                     left.append(text[at:s])
