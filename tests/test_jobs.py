@@ -150,3 +150,44 @@ def test_end_to_end_from_the_command_line(spark, feed, place, capsys):
 def test_unbuilt_silver_is_an_error(spark, place):
     with pytest.raises(ValueError, match="no finished version"):
         jobs.read_silver(spark, place, "github")
+
+
+def test_store_options_come_from_the_command_line(monkeypatch):
+    from tributary.__main__ import parser, store_options
+
+    monkeypatch.setenv("MY_KEY", "k")
+    monkeypatch.setenv("MY_SECRET", "s")
+    line = "silver --root s3a://lake --store-endpoint http://host:9000 --store-access-key-variable MY_KEY"
+    args = parser().parse_args([*line.split(), "--store-secret-key-variable", "MY_SECRET"])
+    options = store_options(args)
+    assert options["spark.hadoop.fs.s3a.endpoint"] == "http://host:9000"
+    assert options["spark.hadoop.fs.s3a.access.key"] == "k" and options["spark.hadoop.fs.s3a.secret.key"] == "s"
+    assert store_options(parser().parse_args("silver --root x".split())) is None
+
+
+def test_unreadable_lines_are_kept(spark, feed, place, tmp_path):
+    path = tmp_path / "items"
+    path.write_text(json.dumps(stories([1])[0]) + "\ngarbage\n")
+    sent = jobs.publish_stories(spark, [feed("top", [[1, 2]])], str(path), f"{place}/state", jobs.to_replay(f"{place}/replay"))
+    assert sent == 1
+    aside = spark.read.parquet(f"{place}/state/quarantine").collect()
+    assert [(r["kind"], r["raw_json"], r["reason"]) for r in aside] == [("story_item", "garbage", "malformed")]
+
+
+def test_newest_copy_of_a_batch_is_in_silver(spark, feed, place):
+    """Copies sent by two runs and landed in one batch; then a third that only the second build reads."""
+    deliver = jobs.to_replay(f"{place}/replay")
+
+    def run(score):
+        items = feed("items", [{**s, "score": score} for s in stories([1, 2, 3, 5])])
+        return jobs.publish_stories(spark, [feed("top", [[1, 2, 3, 5]])], items, f"{place}/state{score}", deliver)
+
+    assert run(1) == run(2) == 4
+    jobs.land_available(jobs.replay_streams(spark, f"{place}/replay"), f"{place}/lake")
+    jobs.build_silver(spark, f"{place}/lake", "hackernews")
+    scores = lambda: {r["score"] for r in jobs.read_silver(spark, f"{place}/lake", "hackernews").collect()}
+    assert scores() == {2}
+    run(3)
+    jobs.land_available(jobs.replay_streams(spark, f"{place}/replay"), f"{place}/lake")
+    jobs.build_silver(spark, f"{place}/lake", "hackernews")
+    assert scores() == {3} and jobs.read_silver(spark, f"{place}/lake", "hackernews").count() == 4
