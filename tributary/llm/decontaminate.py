@@ -47,23 +47,17 @@ def question_answer(text: str) -> tuple[str, str]:
 class Index:
     ids: np.ndarray  # item ids, by position
     terms: np.ndarray  # sorted word numbers
-    starts: np.ndarray  # postings of term t: starts[t]:starts[t + 1]
-    items: np.ndarray  # posting item, ascending
-    weights: np.ndarray  # posting weight
     block: int
+    weights: np.ndarray  # (blocks, terms, items of the block): postings of a block
     maxima: np.ndarray  # (terms, blocks) largest weight of the term in the block
     best: np.ndarray  # largest weight of the term
-    thresholds: np.ndarray  # by item
+    thresholds: np.ndarray  # (blocks, items of the block)
     block_threshold: np.ndarray  # smallest threshold in the block
     grams: list[tuple[np.ndarray, np.ndarray]]  # distinct runs of question and answer
     widths: list[tuple[int, int]]  # words in a run of question and answer
     longest: int  # words of the longest item
     sieve: np.ndarray  # which low bits any term has
 
-    @property
-    def least(self) -> float:
-        return float(self.thresholds.min())
-
 
 def _runs(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(words, size))
@@ -86,37 +80,32 @@ def build_index(
             grams.append((_runs(q, size), _runs(a, size)))
     if not kept:
         return None
-    # Items that share words should share blocks: order them by their rarest word.
     every = [np.concatenate(d) for d in docs]
     terms, df = np.unique(np.concatenate([np.unique(d) for d in every]), return_counts=True)
-    rarest = [min((int(df[t]), int(t)) for t in np.searchsorted(terms, np.unique(d))) for d in every]
-    order = sorted(range(len(kept)), key=lambda i: (rarest[i], i))
-    kept, docs, grams, every = ([x[i] for i in order] for x in (kept, docs, grams, every))
     n, mean = len(kept), sum(map(len, every)) / len(kept)
     idf = np.log1p((n - df + 0.5) / (df + 0.5))
-    post_t, post_i, post_w, thresholds = [], [], [], np.zeros(n)
+    postings, thresholds = [], np.zeros(n)
     for i, words in enumerate(every):
         t, tf = np.unique(words, return_counts=True)
         at = np.searchsorted(terms, t)
         w = idf[at] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * len(words) / mean))
-        post_t.append(at)
-        post_i.append(np.full(len(at), i))
-        post_w.append(w)
+        postings.append((at, w))
         thresholds[i] = _threshold(docs[i], t, w, size, overlap)
-    post_t, post_i, post_w = map(np.concatenate, (post_t, post_i, post_w))
-    order = np.lexsort((post_i, post_t))
-    post_t, post_i, post_w = post_t[order], post_i[order], post_w[order]
+    # Items of like thresholds share blocks, so that a low one does not keep others alive.
+    order = sorted(range(n), key=lambda i: (thresholds[i], i))
+    kept, docs, grams, every, postings = ([x[i] for i in order] for x in (kept, docs, grams, every, postings))
     blocks = -(-n // block)
-    maxima = np.zeros((len(terms), blocks), np.float32)
-    np.maximum.at(maxima, (post_t, post_i // block), post_w.astype(np.float32))
-    maxima *= np.float32(1.00001)  # rounded up, so that it stays a bound
+    weights = np.zeros((blocks, len(terms), block), np.float32)
+    for i, (at, w) in enumerate(postings):
+        weights[i // block, at, i % block] = w * 1.00001  # rounded up, so that bounds and thresholds hold
     padded = np.full(blocks * block, np.inf)
-    padded[:n] = thresholds
+    padded[:n] = thresholds[order]
+    padded = padded.reshape(blocks, block)
+    maxima = np.ascontiguousarray(weights.max(axis=2).T)
     sieve = np.zeros(1 << 20, bool)
     sieve[terms & np.uint64((1 << 20) - 1)] = True
     return Index(
-        np.array(kept), terms, np.searchsorted(post_t, np.arange(len(terms) + 1)), post_i, post_w, block,
-        maxima, maxima.max(axis=1), thresholds, padded.reshape(blocks, block).min(axis=1), grams,
+        np.array(kept), terms, block, weights, maxima, maxima.max(axis=1), padded, padded.min(axis=1), grams,
         [(min(size, len(q)), min(size, len(a))) for q, a in docs], max(map(len, every)), sieve,
     )
 
@@ -170,44 +159,37 @@ def search(index: Index, words: np.ndarray, offsets: np.ndarray, size: int, stri
     row, part, starts, ends, terms = passages(index, words, offsets, stride)
     if len(starts) == 0:
         return
-    bound = np.add.reduceat(index.best[terms], starts)
-    alive = np.flatnonzero(bound >= float(index.thresholds.min()) * 0.999)
-    step = max(1, 4_000_000 // (index.maxima.shape[1] * 2 * stride))
-    for at in range(0, len(alive), step):
-        some = alive[at : at + step]
-        lengths = ends[some] - starts[some]
-        first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-        own = terms[np.repeat(starts[some] - first, lengths) + np.arange(lengths.sum())]
-        bounds = np.add.reduceat(index.maxima[own], first, axis=0)
-        live = bounds >= index.block_threshold * 0.999
-        for k in np.flatnonzero(live.any(axis=1)):
-            p = some[k]
-            lo = offsets[row[p]] + part[p] * stride
-            text = words[lo : min(lo + 2 * stride, offsets[row[p] + 1])]
-            for item, score in _verified(index, terms[starts[p] : ends[p]], np.flatnonzero(live[k]), text, overlap):
-                yield int(row[p]), int(part[p]), item, score
-
-
-def _verified(index: Index, own: np.ndarray, blocks: np.ndarray, text: np.ndarray, overlap: float):
-    """Items of the live blocks that reach their threshold and stand in the passage."""
-    runs: dict[int, np.ndarray] = {}
-    for b in blocks:
-        first = b * index.block
-        count = min(index.block, len(index.ids) - first)
-        scores = np.zeros(count)
-        for t in own[index.maxima[own, b] > 0]:
-            s, e = index.starts[t], index.starts[t + 1]
-            s, e = s + np.searchsorted(index.items[s:e], [first, first + count])
-            scores[index.items[s:e] - first] += index.weights[s:e]
-        for item in np.flatnonzero(scores >= index.thresholds[first : first + count]) + first:
-            enough = True
-            for grams, width in zip(index.grams[item], index.widths[item], strict=True):
-                if enough and len(grams):
-                    if width not in runs:
-                        runs[width] = _runs(text, width)
-                    enough = len(np.intersect1d(grams, runs[width], assume_unique=True)) >= overlap * len(grams)
-            if enough:
-                yield int(item), float(scores[item - first])
+    alive = np.flatnonzero(np.add.reduceat(index.best[terms], starts) >= index.block_threshold.min())
+    blocks = index.maxima.shape[1]
+    for some in np.array_split(alive, max(1, int((ends - starts)[alive].sum()) * blocks // 4_000_000)):
+        if len(some) == 0:
+            continue
+        own, first = _gathered(terms, starts[some], ends[some])
+        live = np.add.reduceat(index.maxima[own], first, axis=0) >= index.block_threshold
+        for b in np.flatnonzero(live.any(axis=0)):
+            p = some[live[:, b]]
+            own, first = _gathered(terms, starts[p], ends[p])
+            scores = np.add.reduceat(index.weights[b][own], first, axis=0)
+            for k, item in zip(*np.nonzero(scores >= index.thresholds[b]), strict=True):
+                i, j = int(row[p[k]]), int(part[p[k]])
+                lo = offsets[i] + j * stride
+                if _verified(index, b * index.block + item, words[lo : min(lo + 2 * stride, offsets[i + 1])], overlap):
+                    yield i, j, int(b * index.block + item), float(scores[k, item])
+
+
+def _gathered(terms: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of some passages in one array, and where each passage begins in it."""
+    lengths = ends - starts
+    first = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+    return terms[np.repeat(starts - first, lengths) + np.arange(lengths.sum())], first
+
+
+def _verified(index: Index, item: int, text: np.ndarray, overlap: float) -> bool:
+    """Whether the passage holds enough runs of the item's question and of its answer."""
+    for grams, width in zip(index.grams[item], index.widths[item], strict=True):
+        if len(grams) and len(np.intersect1d(grams, _runs(text, width), assume_unique=True)) < overlap * len(grams):
+            return False
+    return True
 
 
 def contaminated(
@@ -217,8 +199,8 @@ def contaminated(
     size: int = 5,
     overlap: float = 0.5,
     stride: int = 64,
-    block: int = 16,
-    items_at_once: int = 2000,
+    block: int = 8,
+    items_at_once: int = 1000,
 ) -> DataFrame:
     """(doc_id, item_id, first_passage, n_passages, score): test items that documents hold.
 
