@@ -217,7 +217,7 @@ def nearest_neighbours(
     trees: int = 6,
     turns: int = 6,
     beam: int = 320,
-    wide: int = 32,
+    wide: int = 64,
     rounds: int = 40,
     again: int = 64,
 ) -> DataFrame:
