@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KEY = "a long, b long"
+from tributary.llm.common import written
 
 
 def _key(line: Column) -> Column:
@@ -56,7 +56,9 @@ def drop_boilerplate(
     of a null host keep theirs. Repeated rows count as pages of their own. Other columns are
     carried along; columns named n_lines or n_dropped are replaced.
     """
-    found = boilerplate(pages, host, text, ratio, min_pages)
+    # Stored, so that its size is known when the join is planned: small, it goes to the pages
+    # and no text is shuffled; large, the join by host is one that splits a hot host.
+    found = written(boilerplate(pages, host, text, ratio, min_pages), "lines-boilerplate")
     found = found.select(F.col("host").alias("__host"), F.col("keys").alias("__keys"))
     columns = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     joined = pages.select(*columns).join(found, F.col(host) == F.col("__host"), "left")
