@@ -23,15 +23,16 @@ def components(links: DataFrame, rounds: int = 64) -> DataFrame:
     steps = []
     for turn in range(rounds):
         both = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).union(edges.select("b", "a"))
-        degrees = both.groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        # Stored, so that the join below has plain rows on both sides and a hub can be split.
+        degrees = written(both.groupBy("node").agg(F.count(F.lit(1)).alias("degree")), "components-degrees")
+        if degrees.isEmpty():
+            break
         rank = F.struct("degree", F.xxhash64(F.lit(turn), "near").alias("h"), F.col("near").alias("to"))
         ranked = both.union(degrees.select("node", F.col("node").alias("near"))).join(
             degrees.withColumnRenamed("node", "near"), "near"
         )
         first = ranked.groupBy("node").agg(F.max(rank).alias("r")).select("node", F.col("r.to").alias("to"))
         first = written(first, "components-first")
-        if first.isEmpty():
-            break
         second = first.select(F.col("node").alias("to"), F.col("to").alias("next"))
         step = first.join(second, "to").select("node", F.col("next").alias("to"))
         steps.append(step)
