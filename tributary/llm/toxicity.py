@@ -47,9 +47,7 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray  # example ids, in index order
     labels: np.ndarray
-    starts: np.ndarray  # postings of (block, term) in block * terms + term order
-    post_item: np.ndarray
-    post_weight: np.ndarray
+    weights_of: np.ndarray  # (terms, blocks, BLOCK): postings of each term, block by block
     maxima: np.ndarray  # (terms, blocks)
     k: int
     fit: np.ndarray | None = None
@@ -62,18 +60,18 @@ class Index:
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(positions, cosines) of the k nearest examples with a positive cosine."""
         bounds = weights @ self.maxima[terms]
-        n_terms, items, sims, least = len(self.terms), [], [], 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or bounds[b] < least - 1e-6:
+        order = np.argsort(-bounds, kind="stable")[: int((bounds > 0).sum())]
+        items, sims, least, at, step = [], [], 0.0, 0, 4
+        while at < len(order):
+            blocks = order[at : at + step]
+            blocks = blocks[bounds[blocks] >= least - 1e-9]
+            if len(blocks) == 0:
                 break
-            scores = np.zeros(BLOCK)
-            for t, w in zip(terms, weights, strict=True):
-                s, e = self.starts[b * n_terms + t], self.starts[b * n_terms + t + 1]
-                scores[self.post_item[s:e] - b * BLOCK] += w * self.post_weight[s:e]
-            if b * BLOCK <= without < (b + 1) * BLOCK:
-                scores[without - b * BLOCK] = 0
-            good = np.flatnonzero((scores > 0) & (scores >= least))
-            items.append(good + b * BLOCK)
+            at, step = at + step, 32
+            scores = np.tensordot(weights, self.weights_of[terms[:, None], blocks[None, :]], 1).ravel()
+            item = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            good = (scores > 0) & (scores >= least - 1e-9) & (item != without)
+            items.append(item[good])
             sims.append(scores[good])
             found = np.concatenate(sims)
             if len(found) >= self.k:
@@ -123,34 +121,25 @@ def build_index(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example:
     weight = (1 + np.log(count)) * idf[term]
     norm = np.sqrt(np.bincount(example, weights=weight**2, minlength=n))
     weight = weight / norm[example]
-    # Examples that share their heaviest word stand together, which tightens the maxima.
-    heaviest = np.full(n, n_terms)
+    # Examples without a word of the vocabulary are near nothing and stay out of the index.
+    # Those that share their heaviest word stand together, which tightens the maxima.
     order = np.lexsort((-weight, example))
     first = order[np.concatenate(([True], example[order][1:] != example[order][:-1]))] if len(order) else order
-    heaviest[example[first]] = term[first]
-    place = np.empty(n, np.int64)
-    arranged = np.lexsort((ids, heaviest))
-    place[arranged] = np.arange(n)
-    item, blocks = place[example], -(-n // BLOCK)
-    cell = (item // BLOCK) * n_terms + term
-    order = np.lexsort((item, cell))
-    maxima = np.zeros((n_terms, blocks))
-    np.maximum.at(maxima, (term, item // BLOCK), weight)
-    index = Index(
-        terms, idf, ids[arranged], labels[arranged],
-        np.searchsorted(cell[order], np.arange(blocks * n_terms + 1)), item[order], weight[order], maxima, k,
-    )
-    votes, has = np.zeros((n, 2)), np.zeros(n, bool)
-    order = np.argsort(item, kind="stable")
-    for s, e in zip(np.searchsorted(item[order], np.arange(n)), np.searchsorted(item[order], np.arange(n), "right"), strict=True):
-        if e > s:
-            own = int(item[order[s]])
-            has[own] = True
-            votes[own] = index.vote(*index.nearest(term[order[s:e]], weight[order[s:e]], without=own))
-    y = index.labels.astype(float)
-    alone = ~has
-    index.without = float((y[alone].sum() + 0.5) / (alone.sum() + 1)) if alone.any() else float(y.mean())
-    index.fit = _logistic(_inputs(votes[has]), y[has]) if has.any() else np.zeros(3)
+    indexed = example[first]
+    arranged = indexed[np.lexsort((ids[indexed], term[first]))]
+    place = np.full(n, -1)
+    place[arranged] = np.arange(len(arranged))
+    blocks = -(-len(arranged) // BLOCK)
+    weights_of = np.zeros((n_terms, blocks, BLOCK))
+    weights_of[term, place[example] // BLOCK, place[example] % BLOCK] = weight
+    index = Index(terms, idf, ids[arranged], labels[arranged], weights_of, weights_of.max(axis=2, initial=0), k)
+    votes = np.zeros((len(arranged), 2))
+    cuts = np.searchsorted(example[order], arranged), np.searchsorted(example[order], arranged, "right")
+    for own, (s, e) in enumerate(zip(*cuts, strict=True)):
+        votes[own] = index.vote(*index.nearest(term[order[s:e]], weight[order[s:e]], without=own))
+    y, alone = index.labels.astype(float), labels[place < 0]
+    index.without = float((alone.sum() + 0.5) / (len(alone) + 1)) if len(alone) else float(labels.mean())
+    index.fit = _logistic(_inputs(votes), y) if len(arranged) else np.zeros(3)
     return index
 
 
