@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
+import time
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -43,10 +45,13 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
 def release(spark: SparkSession) -> None:
     """Let the JVM drop the shuffle files of finished steps.
 
-    Spark removes them once the driver has collected the objects that refer to them,
-    which a small driver heap may otherwise put off until the disk is full.
+    Spark removes them once the driver has collected the objects that refer to them, first
+    Python's and then its own, which it may otherwise put off until the disk is full.
     """
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def by_partition(spark: SparkSession, frame: DataFrame, *keys: str) -> DataFrame:

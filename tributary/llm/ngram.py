@@ -310,6 +310,7 @@ def language_model_scores(documents: DataFrame, *, held_out: int = 1, parts: int
         answered = written(answers(requests(packed, parts.bit_length() - 1)), "ngram-answers")
         release(spark)
         chunks = written(counted(packed, answered), "ngram-counted")
+        release(spark)
     whole = answered.where("chunk IS NULL").agg(F.sum("n_tokens").alias("n"), F.sum("n_distinct").alias("v")).first()
     n_tokens, n_distinct = int(whole.n or 0), int(whole.v or 0)
     training = texts.where("train").count()
