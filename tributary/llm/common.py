@@ -1,4 +1,4 @@
-"""What the operators share: written steps, null handling and column checks."""
+"""What the operators share: written steps, batch sizes, folds and shipping of the code."""
 
 from __future__ import annotations
 
@@ -10,8 +10,6 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
-import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,21 +52,11 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.2)
 
 
-def by_partition(spark: SparkSession, frame: DataFrame, *keys: str) -> DataFrame:
-    """Deal rows by key into the session's shuffle partitions."""
-    return frame.repartition(*[F.col(k) for k in keys])
-
-
 def fold(column: str, parts: int = 5) -> Column:
     """crc32 of the id as text, modulo `parts`; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
-def rows_of(batch: pa.RecordBatch | pa.Table, **columns: object) -> pa.RecordBatch:
-    """A record batch from arrays by name."""
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
-
-
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
     """The batches in parts of at most `rows` rows, which bounds the arrays made of their texts."""
     for batch in batches:
@@ -76,22 +64,6 @@ def pieces(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.R
             yield batch.slice(at, rows)
 
 
-def pack(array: np.ndarray) -> bytes:
-    return np.ascontiguousarray(array).tobytes()
-
-
-def groups(keys: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(start, end) of the runs of equal values in a sorted array."""
-    if len(keys):
-        cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
-        bounds = np.concatenate(([0], cuts, [len(keys)]))
-        yield from zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
-
-
-def empty_frame(names: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({n: [] for n in names})
-
-
 _shipped: set[str] = set()
 
 
