@@ -9,11 +9,13 @@ suffixes of a whole corpus do not fit anywhere, so the work is cut where content
 2. Contexts. The bytes around an anchor that windows with this anchor can cover are its context.
    Anchors whose hash is alone are done. Equal contexts are counted, not compared: if one
    occurs twice, all of it is repeated. What is left are different contexts of one hash, one of
-   each, and of these only those that share a core, the bytes that a run of windows has in common.
-3. Expansion. Contexts of one hash meet in a task. Their suffixes are sorted, and backward
-   extension on the Burrows-Wheeler transform goes breadth first through the intervals of
-   suffixes with a common prefix; it gives the places where neighbours part after 0, 1, 2 ...
-   bytes and stops at `length`. Neighbours that it did not part share a window.
+   each; of a hash with very many, only those that share a core go on, the bytes that a run of
+   windows has in common.
+3. Expansion. Contexts of one hash meet in a task, aligned at their anchors; a byte and its
+   column are one letter. Their suffixes are sorted, and backward extension on the
+   Burrows-Wheeler transform goes breadth first through the intervals of suffixes with a
+   common prefix; it gives the places where neighbours part after 0, 1, 2 ... bytes and stops
+   at `length`. Neighbours that it did not part share a window.
 4. A hash with very many contexts is cut into cells of `cell` contexts. Each cell goes through
    step 3 and reports its windows by hash; those of several cells are repeated too.
 """
@@ -114,57 +116,70 @@ def context_rows(found: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 200):
             data, offsets = buffers(batch.column("text"))
-            columns: dict[str, list] = {k: [] for k in ("hash", "context", "n", "row", "first", "anchor", "bytes", "cores")}
-            rows = batch.column("row").to_pylist()
-            for i, wanted in enumerate(batch.column("wanted").to_pylist()):
-                text = data[offsets[i] : offsets[i + 1]]
-                for w in wanted:
-                    first, last = max(0, w["pos"] - (length - gram)), min(len(text), w["pos"] + length)
-                    piece, anchor = text[first:last], w["pos"] - first
-                    # Window s begins s bytes after the full left end, which may lie before the text.
-                    shift = (length - gram) - anchor
-                    s, e = np.maximum(runs[1:] - 1 - shift, 0), np.minimum(runs[:-1] + length - shift, len(piece))
-                    good = (e - s >= length - (runs[1:] - runs[:-1]) + 1) & (runs[1:] > shift) & (runs[:-1] + length - shift <= len(piece))
-                    values = BYTE_VALUES[piece]
-                    cores = [int(c) if g else None for c, g in zip(span_hashes(values, np.minimum(s, e), e).view(np.int64), good, strict=True)]
-                    for name, value in zip(columns, (w["hash"], w["context"], w["n"], rows[i], first, anchor, piece.tobytes(), cores), strict=True):
-                        columns[name].append(value)
-            types = [pa.int64(), pa.int64(), pa.int64(), batch.column("row").type, pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns.values(), types, strict=True)], names=list(columns))
+            column = batch.column("wanted")
+            wanted = column.flatten()
+            text = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+            pos = wanted.field("pos").to_numpy() + offsets[text]
+            first = np.maximum(offsets[text], pos - (length - gram))
+            last = np.minimum(offsets[text + 1], pos + length)
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)))))
+            # Window s begins s bytes after the full left end, which may lie before the text.
+            full = pos - (length - gram)
+            cores = []
+            for low, high in zip(runs[:-1], runs[1:], strict=True):
+                s, e = np.maximum(full + high - 1, first), np.minimum(full + low + length, last)
+                good = (full + high > first) & (full + low + length <= last)
+                s = np.minimum(s, e)
+                core = mix((sums[e] - sums[s]) * powers(INVERSE, len(data) + 1)[s] + (e - s).astype(np.uint64))
+                cores.append(pa.array(core.view(np.int64), mask=~good))
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.arange(len(pos) + 1, dtype=np.int32) * RANGES),
+                pa.chunked_array(cores).combine_chunks().take(pa.array(np.arange(RANGES * len(pos)).reshape(RANGES, -1).T.ravel())),
+            )
+            sizes = last - first
+            ends = np.concatenate(([0], np.cumsum(sizes)))
+            flat = data[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
+            contents = pa.Array.from_buffers(pa.binary(), len(pos), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(flat)])
+            columns = {k: wanted.field(k) for k in ("hash", "context", "n")} | {
+                "row": batch.column("row").take(pa.array(text)),
+                "first": pa.array(first - offsets[text]),
+                "anchor": pa.array(pos - first),
+                "bytes": contents,
+                "cores": lists,
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kind = found.schema["row"].dataType.simpleString()
     schema = f"hash long, context long, n long, row {kind}, first long, anchor long, bytes binary, cores array<long>"
     return found.select("row", "text", "wanted").mapInArrow(run, schema)
 
 
-def sorted_suffixes(data: np.ndarray, separator: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """Suffix order of parts that each end in a separator; separators differ and come first.
+def suffix_order(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(part, column) of all suffixes of aligned parts, by column and then by content.
 
-    Ranks by a few symbols, doubled until they cover the longest part.
+    Part i has symbols[i, begin[i]:end[i]] and a separator of its own after them; separators
+    come first, as column -1. A symbol together with its column counts as one letter, so this
+    is the suffix order over that alphabet. It is found column by column from the right: a
+    suffix ranks by its first symbol and then by the rank of the suffix after it.
     """
-    n = len(data)
-    parts = int(owner[-1]) + 1
-    ends = np.flatnonzero(separator)
-    to_end = ends[owner] - np.arange(n)
-    symbol = np.where(separator, 0, data.astype(np.int64) + 1)
-    key = np.zeros(n, np.int64)
-    wide = 6 if parts < 30_000 else 4  # what fits 63 bits beside the number of a part
-    for j in range(wide):
-        here = np.zeros(n, np.int64)
-        here[: max(0, n - j)] = symbol[j:]
-        key = key * 257 + np.where(to_end >= j, here, 0)
-    key = key * (parts + 1) + np.where(to_end < wide, owner + 1, 0)
-    rank = np.unique(key, return_inverse=True)[1]
-    width, longest = wide, int(to_end.max()) + 1
-    while width < longest and rank.max() < n - 1:
-        ahead = np.zeros(n, np.int64)
-        ahead[: max(0, n - width)] = rank[width:] + 1
-        # Past its separator a suffix is already alone.
-        rank = np.unique(rank * (n + 1) + np.where(to_end >= width, ahead, 0), return_inverse=True)[1]
-        width *= 2
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
-    return order
+    n, width = symbols.shape
+    rank, parts, columns = np.arange(n), [], []
+    for column in range(width - 1, -1, -1):
+        here = np.flatnonzero((begin <= column) & (column < end))
+        here = here[np.argsort(symbols[here, column].astype(np.int64) * (2 * n + 2) + rank[here])]
+        rank[here] = n + np.arange(len(here))
+        parts.append(here)
+        columns.append(np.full(len(here), column))
+    return np.concatenate([np.arange(n), *parts[::-1]]), np.concatenate([np.full(n, -1), *columns[::-1]])
+
+
+def _ascending(places: np.ndarray, n: int) -> np.ndarray:
+    """Different numbers below n in order; many of them by marking rather than by sorting."""
+    if len(places) < n // 100:
+        return np.sort(places)
+    marks = np.zeros(n, bool)
+    marks[places] = True
+    return np.flatnonzero(marks)
 
 
 def parted_below(bwt: np.ndarray, limit: int) -> np.ndarray:
@@ -190,11 +205,15 @@ def parted_below(bwt: np.ndarray, limit: int) -> np.ndarray:
         if len(low) == 0:
             break
         sizes = high - low + 1
-        at = np.repeat(low - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
-        last = following[at] > np.repeat(high, sizes)
-        first = preceding[at] < np.repeat(low, sizes)
+        if sizes.max() == 1:  # single suffixes, as most are after some rounds
+            at = low
+            last = first = np.ones(len(low), bool)
+        else:
+            at = np.repeat(low - np.concatenate(([0], np.cumsum(sizes)[:-1])), sizes) + np.arange(sizes.sum())
+            last = following[at] > np.repeat(high, sizes)
+            first = preceding[at] < np.repeat(low, sizes)
         # The k-th first and the k-th last in the order they go to are of one interval.
-        new_high, new_low = np.sort(to[at[last]]), np.sort(to[at[first]])
+        new_high, new_low = _ascending(to[at[last]], n), _ascending(to[at[first]], n)
         # A prefix of depth + 1 symbols ends here; suffixes part after `depth` symbols.
         fresh = ~parted[new_high + 1]
         if depth == 0:
@@ -204,69 +223,82 @@ def parted_below(bwt: np.ndarray, limit: int) -> np.ndarray:
     return parted[:-1]
 
 
-def repeated_windows(parts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(part, offset, class) of all windows; equal windows have one class."""
-    lengths = np.array([len(p) for p in parts], np.int64)
-    data = np.frombuffer(b"\0".join(parts) + b"\0", np.uint8)
-    owner = np.repeat(np.arange(len(parts)), lengths + 1)
-    starts = np.concatenate(([0], np.cumsum(lengths + 1)))
-    separator = np.zeros(len(data), bool)
-    separator[starts[1:] - 1] = True
-    order = sorted_suffixes(data, separator, owner)
-    symbol = np.where(separator, owner, data.astype(np.int64) + len(parts))
-    run = np.cumsum(parted_below(symbol[order - 1], length))  # the first suffix is preceded by the last separator
-    offset = order - starts[owner[order]]
-    whole = offset + length <= lengths[owner[order]]
-    return owner[order][whole], offset[whole], run[whole]
+def repeated_windows(parts: list[bytes], begin: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(part, offset, class) of all windows, class by class; equal windows of one column are one class.
+
+    begin[i] is the column of the first byte of part i, which has one byte at least.
+    """
+    sizes = np.array([len(p) for p in parts], np.int64)
+    end = begin + sizes
+    symbols = np.zeros((len(parts), int(end.max())), np.uint8)
+    flat = np.repeat(np.arange(len(parts)) * symbols.shape[1] + begin, sizes)
+    flat += np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    symbols.ravel()[flat] = np.frombuffer(b"".join(parts), np.uint8)
+    part, column = suffix_order(symbols, begin, end)
+    before = np.where(column < 0, end[part], column) - 1
+    letter = len(parts) + before * 256 + symbols[part, np.maximum(before, 0)]
+    bwt = np.where(before < begin[part], (part - 1) % len(parts), letter)
+    run = np.cumsum(parted_below(bwt, length))
+    whole = (column >= 0) & (column + length <= end[part])
+    return part[whole], (column - begin[part])[whole], run[whole]
 
 
 def cell_spans(table: pa.Table, length: int, gram: int) -> pa.Table:
     """Repeated spans of the single contexts of a cell, and, of a hash in several cells, its windows."""
     rows = table.to_pylist()
     rows.sort(key=lambda r: (r["hash"], r["context"]))
-    part, offset, run = repeated_windows([r["bytes"] for r in rows], length)
+    begin = np.array([length - gram - r["anchor"] for r in rows], np.int64)
+    part, offset, run = repeated_windows([r["bytes"] for r in rows], begin, length)
     first = np.array([r["first"] for r in rows], np.int64)
     many = np.array([r["n"] > 1 for r in rows])
     names = {}
     document = np.array([names.setdefault(r["row"], len(names)) for r in rows], np.int64)
     place = (document[part] << 40) + first[part] + offset
     # A class is repeated if it starts at two places, or stands in a context that occurs twice.
-    _, group = np.unique(run, return_inverse=True)
-    n = int(group.max()) + 1 if len(group) else 0
-    lowest, highest = np.full(n, np.iinfo(np.int64).max), np.full(n, -1)
-    np.minimum.at(lowest, group, place)
-    np.maximum.at(highest, group, place)
-    twice = (lowest != highest) | (np.bincount(group, weights=many[part], minlength=n) > 0)
-    out: dict[str, list] = {k: [] for k in ("row", "start", "end", "window_a", "window_b", "twice")}
-
-    def put(rows_at, start, end, a=None, b=None, flag=None) -> None:
-        for name, value in zip(out, (rows_at, start, end, a, b, flag), strict=True):
-            out[name].append(value)
-
+    begins = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1]))) if len(run) else np.zeros(0, np.int64)
+    group = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(run))))
+    twice = np.zeros(0, bool)
+    if len(begins):
+        twice = np.minimum.reduceat(place, begins) != np.maximum.reduceat(place, begins)
+        twice |= np.maximum.reduceat(many[part], begins)
     marked = twice[group] & ~many[part]
     order = np.lexsort((offset[marked], part[marked]))
     p, o = part[marked][order], offset[marked][order]
-    if len(p):
-        begins = np.concatenate(([True], (p[1:] != p[:-1]) | (o[1:] > o[:-1] + length)))
-        lasts = np.append(np.flatnonzero(begins)[1:], len(p)) - 1
-        for s, e in zip(np.flatnonzero(begins), lasts, strict=True):
-            put(rows[p[s]]["row"], int(first[p[s]] + o[s]), int(first[p[e]] + o[e]) + length)
+    # Windows of a context that touch become one span.
+    starts = np.flatnonzero(np.concatenate(([True], (p[1:] != p[:-1]) | (o[1:] > o[:-1] + length)))) if len(p) else p
+    lasts = np.append(starts[1:], len(p)) - 1 if len(p) else p
+    spans = [(p[starts], first[p[starts]] + o[starts], first[p[starts]] + o[lasts] + length, None, None, None)]
     if rows[0]["cells"] > 1:
-        _, example = np.unique(group, return_index=True)
-        hashes = np.zeros((len(example), 2), np.uint64)
-        for i in np.unique(part[example]):
-            own = np.flatnonzero(part[example] == i)
-            s = offset[example[own]]
-            piece = np.frombuffer(rows[i]["bytes"], np.uint8)
-            hashes[own, 0] = span_hashes(BYTE_VALUES[piece], s, s + length)
-            hashes[own, 1] = span_hashes(BYTE_VALUES[piece] ^ np.uint64(0xA5A5A5A5A5A5A5A5), s, s + length)
-        for g, e in enumerate(example):
-            start = int(first[part[e]] + offset[e])
-            alone = not twice[g]
-            a, b = hashes[g].view(np.int64).tolist()
-            put(rows[part[e]]["row"] if alone else None, start, start + length, a, b, bool(twice[g]))
-    types = [table.schema.field("row").type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-    return pa.table([pa.array(v, t) for v, t in zip(out.values(), types, strict=True)], names=list(out))
+        example = begins[np.argsort(part[begins], kind="stable")]
+        own = part[example]
+        hashes = np.zeros((2, len(example)), np.uint64)
+        cuts = np.searchsorted(own, np.arange(len(rows) + 1))
+        for i in np.flatnonzero(np.diff(cuts)):
+            s, e = cuts[i], cuts[i + 1]
+            values, at = BYTE_VALUES[np.frombuffer(rows[i]["bytes"], np.uint8)], offset[example[s:e]]
+            hashes[0, s:e] = span_hashes(values, at, at + length)
+            hashes[1, s:e] = span_hashes(values ^ np.uint64(0xA5A5A5A5A5A5A5A5), at, at + length)
+        again = twice[group[example]]
+        at = first[own] + offset[example]
+        spans.append((np.where(again, -1, own), at, at + length, *hashes.view(np.int64), again))
+    named = pa.array([r["row"] for r in rows], table.schema.field("row").type)
+    parts = []
+    for at, start, end, a, b, flag in spans:
+        empty = lambda kind, n=len(at): pa.nulls(n, kind)
+        parts.append(
+            pa.table(
+                [
+                    named.take(pa.array(at, mask=at < 0)),
+                    pa.array(start, pa.int64()),
+                    pa.array(end, pa.int64()),
+                    empty(pa.int64()) if a is None else pa.array(a),
+                    empty(pa.int64()) if b is None else pa.array(b),
+                    empty(pa.bool_()) if flag is None else pa.array(flag),
+                ],
+                names=["row", "start", "end", "window_a", "window_b", "twice"],
+            )
+        )
+    return pa.concat_tables(parts)
 
 
 def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048) -> DataFrame:
@@ -295,27 +327,29 @@ def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, c
     whole = written(whole, "repeats-whole")
 
     mixed = contexts.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    mixed = written(mixed, "repeats-mixed")
     wanted = contexts.join(mixed.select("hash"), "hash").select(
         F.col("one.row").alias("row"), F.struct("hash", "context", "n", F.col("one.pos").alias("pos")).alias("w")
     )
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     pieces_of = written(context_rows(documents.join(wanted, "row"), length, gram), "repeats-pieces")
     release(spark)
-    cores = pieces_of.select("hash", "context", F.posexplode("cores").alias("place", "core")).where("core IS NOT NULL")
-    common = cores.groupBy("hash", "place", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    alive = cores.join(common.drop("n"), ["hash", "place", "core"]).select("hash", "context").distinct()
-    alive = pieces_of.drop("cores").join(alive, ["hash", "context"])
-    alive = written(alive, "repeats-alive")
-    total = alive.count()
-    if total == 0:
-        return whole
-    per_hash = alive.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds"))
-    placed = alive.join(per_hash, "hash").withColumn("cells", F.ceil(F.col("kinds") / cell))
-    bins = max(1, -(-total // cell))
-    own = F.pmod(F.xxhash64(F.lit(3), "context"), F.col("cells"))
-    # Small hashes share a cell with others; a large one has cells of its own.
-    group = F.when(F.col("cells") > 1, F.xxhash64("hash", own)).otherwise(F.pmod(F.xxhash64(F.lit(4), "hash"), F.lit(bins)))
-    placed = placed.withColumn("group", F.struct(F.col("cells") > 1, group))
+    few = mixed.where(F.col("kinds") <= cell).agg(F.sum("kinds").alias("n")).first().n or 0
+    large = written(mixed.where(F.col("kinds") > cell).select("hash"), "repeats-large")
+    # Hashes of few contexts share cells.
+    bin_of = F.pmod(F.xxhash64(F.lit(4), "hash"), F.lit(max(1, -(-few // cell))))
+    placed = pieces_of.drop("cores").join(large, "hash", "left_anti")
+    placed = placed.withColumn("cells", F.lit(1).cast("long")).withColumn("group", F.struct(F.lit(False).alias("large"), bin_of.alias("at")))
+    if not large.isEmpty():
+        # Of a hash of many contexts only those that share a core go on, in cells of their own.
+        cores = pieces_of.join(large, "hash").select("hash", "context", F.posexplode("cores").alias("place", "core"))
+        cores = cores.where("core IS NOT NULL")
+        common = cores.groupBy("hash", "place", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+        alive = written(cores.join(common, ["hash", "place", "core"]).select("hash", "context").distinct(), "repeats-alive")
+        cells = alive.groupBy("hash").agg(F.ceil(F.count(F.lit(1)) / cell).alias("cells"))
+        own = F.xxhash64("hash", F.pmod(F.xxhash64(F.lit(3), "context"), F.col("cells")))
+        alive = alive.join(cells, "hash").withColumn("group", F.struct(F.lit(True).alias("large"), own.alias("at")))
+        placed = placed.unionByName(pieces_of.drop("cores").join(written(alive, "repeats-cells"), ["hash", "context"]))
     kind = documents.schema["row"].dataType.simpleString()
     schema = f"row {kind}, start long, end long, window_a long, window_b long, twice boolean"
     found = placed.groupBy("group").applyInArrow(lambda t: cell_spans(t, length, gram), schema)
