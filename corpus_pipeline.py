@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from tributary.llm import decontaminate, lines, minhash, mixing, quality
 from tributary.llm.common import ship, written
 
+SOURCE_SHARE, SOURCE_DOCUMENTS = 0.02, 10
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -25,8 +27,12 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that too many documents of a source share go; a document left without lines stays, empty."""
-    cleaned = lines.drop_boilerplate(docs, host="source")
+    """Lines that too many documents of a source share go; a document left without lines stays, empty.
+
+    A source is far larger than a site, so besides the rule for sites a line goes that more than
+    SOURCE_SHARE of the documents of a source hold, and at least SOURCE_DOCUMENTS of them.
+    """
+    cleaned = lines.drop_boilerplate(docs, host="source", also=(SOURCE_SHARE, SOURCE_DOCUMENTS))
     cleaned = cleaned.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*docs.columns)
 

@@ -120,3 +120,16 @@ def test_stages_with_odd_rows(spark):
 def test_run_is_the_stages_in_order(spark, stages):
     wanted = sorted(map(str, stages[-1][2].drop("text").collect()))
     assert sorted(map(str, corpus_pipeline.run(spark, FOLDER).drop("text").collect())) == wanted
+
+
+def test_planted_lines_of_a_large_source_go(spark):
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    own = lambda i: f"only line {i}\nanother of {i}"
+    # 12 of 300 documents share a line, 9 of 300 another, 8 of 20 a third in a small source.
+    texts = {i: own(i) + ("\nSubscribe now " if i < 12 else "\nrare phrase" if i < 21 else "") for i in range(300)}
+    small = {i: own(i) + ("\nSmall print" if i < 308 else "") for i in range(300, 320)}
+    data = [(i, t, "en", "large", len(t)) for i, t in texts.items()] + [(i, t, "en", "small", len(t)) for i, t in small.items()]
+    after = rows(corpus_pipeline.line_dedup(spark, spark.createDataFrame(data, schema), FOLDER))
+    for i, t in (texts | small).items():
+        want = t if 12 <= i < 300 or i >= 308 else own(i)
+        assert after[i]["text"] == want and after[i]["n_chars"] == len(want)

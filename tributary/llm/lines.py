@@ -2,14 +2,17 @@
 
 For each host, the number of its pages that hold a line is divided by the number of its
 pages. A line is boilerplate of that host when the quotient exceeds `ratio` and at least
-`min_pages` pages hold it. Everything is a DataFrame expression. Lines are counted by two
+`min_pages` pages hold it; `also` names a second such pair, for hosts as large as a source,
+of which a shared line takes a small part only. Everything is a DataFrame expression. Lines are counted by two
 64-bit hashes with partial aggregation, so a host with a third of all pages is spread over
-all tasks. A host has at most (mean lines per page / ratio) boilerplate lines, which go back
+all tasks. A host has at most (mean lines per page / least ratio) boilerplate lines, which go back
 to its pages in one join; texts themselves are never grouped.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,20 +36,30 @@ def line_counts(pages: DataFrame, host: str, text: str) -> DataFrame:
     return held.groupBy("host", "k.a", "k.b").agg(F.count(F.lit(1)).alias("n_pages"))
 
 
-def boilerplate(pages: DataFrame, host: str, text: str, ratio: float, min_pages: int) -> DataFrame:
+def boilerplate(
+    pages: DataFrame, host: str, text: str, ratio: float, min_pages: int, also: tuple[float, int] | None = None
+) -> DataFrame:
     """(host, keys): the boilerplate line keys of each host that has any."""
     totals = (
         pages.where(F.col(host).isNotNull())
         .groupBy(F.col(host).alias("host"))
         .agg(F.count(F.lit(1)).alias("total"))
     )
-    common = line_counts(pages, host, text).where(F.col("n_pages") >= min_pages).join(totals, "host")
-    common = common.where(F.col("n_pages") / F.col("total") > ratio)
+    pairs = [(ratio, min_pages), *([also] if also else [])]
+    common = line_counts(pages, host, text).where(F.col("n_pages") >= min(least for _, least in pairs)).join(totals, "host")
+    share = F.col("n_pages") / F.col("total")
+    common = common.where(reduce(Column.__or__, [(share > part) & (F.col("n_pages") >= least) for part, least in pairs]))
     return common.groupBy("host").agg(F.collect_set(F.struct("a", "b")).alias("keys"))
 
 
 def drop_boilerplate(
-    pages: DataFrame, *, host: str, text: str = "text", ratio: float = 0.3, min_pages: int = 3
+    pages: DataFrame,
+    *,
+    host: str,
+    text: str = "text",
+    ratio: float = 0.3,
+    min_pages: int = 3,
+    also: tuple[float, int] | None = None,
 ) -> DataFrame:
     """`pages` with `text` without its host's boilerplate lines, and n_lines, n_dropped.
 
@@ -58,7 +71,7 @@ def drop_boilerplate(
     """
     # Stored, so that its size is known when the join is planned: small, it goes to the pages
     # and no text is shuffled; large, the join by host is one that splits a hot host.
-    found = written(boilerplate(pages, host, text, ratio, min_pages), "lines-boilerplate")
+    found = written(boilerplate(pages, host, text, ratio, min_pages, also), "lines-boilerplate")
     found = found.select(F.col("host").alias("__host"), F.col("keys").alias("__keys"))
     columns = [c for c in pages.columns if c not in ("n_lines", "n_dropped")]
     joined = pages.select(*columns).join(found, F.col(host) == F.col("__host"), "left")
