@@ -217,6 +217,28 @@ def test_nearest_examples_are_exact():
             assert np.allclose(sim, [-c for c, _ in want])
 
 
+def test_cosines_are_of_all_words(spark, documents):
+    texts = [f"alpha{i % 7} beta{i % 11} gamma{i % 5} delta{i} delta{i}" + (" vile" if i % 4 == 0 else "") for i in range(60)]
+    texts += ["alpha1 beta2 never seen", "vile alpha3 gamma4", "nothing known"]
+    docs = documents(list(enumerate(texts)))
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(60)], "doc_id BIGINT, quality INT, toxic INT")
+    scored = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels, k=5)).collect()}
+    train = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
+    df = Counter(w for i in train for w in set(texts[i].split()))
+
+    def unit(text):
+        v = {w: (1 + math.log(c)) * (math.log((1 + len(train)) / (1 + df[w])) + 1) for w, c in Counter(text.split()).items()}
+        return {w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()}
+
+    for i, text in enumerate(texts):
+        own = unit(text)
+        cosines = {j: sum(x * own.get(w, 0) for w, x in unit(texts[j]).items()) for j in train}
+        want = sorted((-round(c, 12), j) for j, c in cosines.items() if c > 0)[:5]
+        assert [e["example"] for e in scored[i]["evidence"]] == [j for _, j in want]
+        assert np.allclose([e["cosine"] for e in scored[i]["evidence"]], [-c for c, _ in want])
+    assert scored[0]["evidence"] and not scored[62]["evidence"]
+
+
 def test_pooling_does_not_depend_on_the_batch(spark):
     import pyarrow as pa
 

@@ -1,21 +1,22 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled documents is the index. Its vocabulary are the words whose
-presence goes with the toxic label, chosen by a chi-square test on the sample; a document is
-the TF-IDF vector of those words over its whole text. Examples stand in blocks, and each
-word keeps the largest weight it has in a block. For a document the block maxima bound the
-cosine of every block; blocks are scored from the highest bound down until no block left can
-hold one of the `k` nearest, so the neighbours are exact, ties by smaller id.
-
-The neighbours vote with the square of their cosine. Votes and the nearest cosine become a
-probability by a logistic fit on the examples, each voted on by the others. A document without a
-word of the vocabulary gets the share of toxic examples without one. Scoring is one pass
-without a shuffle, and the neighbours are returned as evidence.
+A bounded sample of labelled documents is the index, over all words of its texts. A document
+is the TF-IDF vector of all its words; words that no example has count in its length. Words
+that many examples hold stand in a matrix, the others in postings, and a document's cosine to
+every example is the sum of both, so the neighbours are exact, ties by smaller id.
+
+The neighbours vote with the square of their cosine. The vote, the nearest cosine and the
+strongest word become a probability by a logistic fit on the examples, each seen without
+itself. The strength of a word is the smoothed logarithm of how much commoner toxic examples
+are among those that hold it. A document that shares no word with the index gets the share of
+toxic examples without words. Scoring is one pass without a shuffle, and the neighbours are
+returned as evidence.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,21 +25,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import fold, pieces, written
+from tributary.llm.common import fold, pieces
 from tributary.llm.labelled import labelled_sample
 from tributary.llm.tokens import NOT_ALNUM, word_hashes
 
-BLOCK = 64
+COMMON = 0.1  # a word in more than this share of the examples stands in the matrix
+SMOOTH = 20.0  # examples of the usual mix that a word's strength is smoothed with
 
 
-def term_counts(words: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, term, count) of the vocabulary's words, by text and term."""
-    at = np.searchsorted(terms, words)
-    at[at == len(terms)] = 0
-    hit = np.flatnonzero(terms[at] == words) if len(terms) else np.zeros(0, np.int64)
-    text = np.searchsorted(offsets, hit, "right") - 1
-    key, count = np.unique(text * max(1, len(terms)) + at[hit], return_counts=True)
-    return key // max(1, len(terms)), key % max(1, len(terms)), count
+def word_counts(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets by text, word, count) of the distinct words of each text."""
+    found = [np.unique(words[s:e], return_counts=True) for s, e in zip(offsets[:-1], offsets[1:], strict=True)]
+    cuts = np.concatenate(([0], np.cumsum([len(w) for w, _ in found]))).astype(np.int64)
+    word = np.concatenate([w for w, _ in found]) if found else np.zeros(0, np.uint64)
+    return cuts, word, np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
 
 
 @dataclass
@@ -47,57 +47,74 @@ class Index:
     idf: np.ndarray
     ids: np.ndarray  # example ids, in index order
     labels: np.ndarray
-    weights_of: np.ndarray  # (terms, blocks, BLOCK): postings of each term, block by block
-    maxima: np.ndarray  # (terms, blocks)
+    column: np.ndarray  # of each term: its row of `matrix`, or -1
+    matrix: np.ndarray  # (common terms, examples)
+    starts: np.ndarray  # postings of the other terms
+    items: np.ndarray
+    values: np.ndarray
+    strength: np.ndarray  # of each term
+    df: np.ndarray
+    toxic: np.ndarray  # of each term: toxic examples with it
+    share: float  # of toxic examples
     k: int
     fit: np.ndarray | None = None
     without: float = 0.0
 
-    def weights(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def weights(self, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray | tuple = ()) -> np.ndarray:
+        """Weights of the terms in a unit vector; `unknown` has the counts of words in no example."""
         w = (1 + np.log(counts)) * self.idf[terms]
-        return w / np.linalg.norm(w)
+        rest = (1 + np.log(np.asarray(unknown, float))) * (math.log(1 + len(self.ids)) + 1)
+        return w / math.sqrt(w @ w + rest @ rest)
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(positions, cosines) of the k nearest examples with a positive cosine."""
-        bounds = weights @ self.maxima[terms]
-        order = np.argsort(-bounds, kind="stable")[: int((bounds > 0).sum())]
-        items, sims, least, at, step = [], [], 0.0, 0, 4
-        while at < len(order):
-            blocks = order[at : at + step]
-            blocks = blocks[bounds[blocks] >= least - 1e-9]
-            if len(blocks) == 0:
-                break
-            at, step = at + step, 32
-            scores = np.tensordot(weights, self.weights_of[terms[:, None], blocks[None, :]], 1).ravel()
-            item = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            good = (scores > 0) & (scores >= least - 1e-9) & (item != without)
-            items.append(item[good])
-            sims.append(scores[good])
-            found = np.concatenate(sims)
-            if len(found) >= self.k:
-                least = np.partition(found, len(found) - self.k)[len(found) - self.k]
-        if not items:
-            return np.zeros(0, np.int64), np.zeros(0)
-        item, sim = np.concatenate(items), np.round(np.concatenate(sims), 12)
-        best = np.lexsort((self.ids[item], -sim))[: self.k]
-        return item[best], sim[best]
+        return next(self.nearest_of([(terms, weights, without)]))
+
+    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray, int]], at_once: int = 32) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """`nearest` for each of the texts."""
+        n = len(self.ids)
+        for at in range(0, len(texts), at_once):
+            some = texts[at : at + at_once]
+            dense = np.zeros((len(some), len(self.matrix)))
+            for i, (terms, weights, _) in enumerate(some):
+                column = self.column[terms]
+                dense[i, column[column >= 0]] = weights[column >= 0]
+            for scores, (terms, weights, without) in zip(dense @ self.matrix, some, strict=True):
+                rare = self.column[terms] < 0
+                first, size = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
+                ends = np.cumsum(size)
+                place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+                if len(place):
+                    scores += np.bincount(self.items[place], self.values[place] * np.repeat(weights[rare], size), n)
+                if without >= 0:
+                    scores[without] = 0
+                least = np.partition(scores, n - self.k)[n - self.k] - 1e-9 if n > self.k else 0
+                item = np.flatnonzero((scores > 0) & (scores >= least))
+                sim = np.round(scores[item], 12)
+                best = np.lexsort((self.ids[item], -sim))[: self.k]
+                yield item[best], sim[best]
 
     def vote(self, item: np.ndarray, sim: np.ndarray) -> tuple[float, float]:
-        if len(item) == 0:
+        if len(item) == 0 or sim[0] == 0:
             return 0.0, 0.0
         w = sim * sim
         return float((w * self.labels[item]).sum() / w.sum()), float(sim[0])
 
-    def score(self, item: np.ndarray, sim: np.ndarray) -> float:
+    def score(self, item: np.ndarray, sim: np.ndarray, terms: np.ndarray) -> float:
         if len(item) == 0:
             return self.without
-        vote, top = self.vote(item, sim)
-        return 1 / (1 + math.exp(-float(_inputs(np.array([[vote, top]])) @ self.fit)))
+        inputs = _inputs(np.array([[*self.vote(item, sim), self.strength[terms].max()]]))
+        return 1 / (1 + math.exp(-min(30.0, max(-30.0, float((inputs @ self.fit)[0])))))
+
+
+def _strength(toxic: np.ndarray, seen: np.ndarray, share: float) -> np.ndarray:
+    """How much commoner toxic examples are among `seen` than among all, as a logarithm."""
+    return np.log((toxic + SMOOTH * share) / ((seen + SMOOTH) * share))
 
 
 def _inputs(votes: np.ndarray) -> np.ndarray:
-    vote, top = votes[:, 0], votes[:, 1]
-    return np.stack([np.ones(len(votes)), vote, vote * top], axis=1)
+    vote, top, strongest = votes[:, 0], votes[:, 1], votes[:, 2]
+    return np.stack([np.ones(len(votes)), vote, vote * top, strongest], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -113,103 +130,142 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def build_index(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> Index:
-    """Index of all examples, given their term counts; the logistic fit votes without the example itself."""
+@dataclass
+class Packed:
+    """What an index is made from, a small part of its size; where it is sent, it arrives as the index."""
+
+    terms: np.ndarray
+    ids: np.ndarray
+    labels: np.ndarray
+    counts: bytes
+    k: int
+    fit: np.ndarray | None = None
+    without: float = 0.0
+
+    def __reduce__(self):
+        return _restored, (self.terms, self.ids, self.labels, self.counts, self.k, self.fit, self.without)
+
+
+def _packed(example: np.ndarray, term: np.ndarray, count: np.ndarray) -> bytes:
+    """The counts by example, terms as differences, each byte of the numbers apart."""
+    pack, out = zlib.compressobj(1), []
+    for x in (np.diff(example, prepend=example[:1] * 0), np.diff(term, prepend=term[:1] * 0), count):
+        x = x.astype(np.int32).view(np.uint8).reshape(-1, 4)
+        out.extend(pack.compress(np.ascontiguousarray(x[:, i])) for i in range(4))
+    return b"".join([*out, pack.flush()])
+
+
+def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    flat = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(3, 4, -1)
+    example, term, count = (np.ascontiguousarray(x.T).view(np.int32).ravel() for x in flat)
+    return np.cumsum(example, dtype=np.int32), np.cumsum(term, dtype=np.int32), count
+
+
+def _restored(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, counts: bytes, k: int, fit: np.ndarray | None, without: float) -> Index:
+    example, term, count = _unpacked(counts)
+    index = _arranged(terms, ids, labels, example, term, count, k)
+    index.fit, index.without = fit, without
+    if fit is None:  # still to be fitted, from the examples' own counts
+        index.counts = example, term, count
+    return index
+
+
+def _arranged(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> Index:
+    """The index of all examples, given their term counts by example, without its fit."""
     n, n_terms = len(ids), len(terms)
     df = np.bincount(term, minlength=n_terms)
     idf = np.log((1 + n) / (1 + df)) + 1
     weight = (1 + np.log(count)) * idf[term]
-    norm = np.sqrt(np.bincount(example, weights=weight**2, minlength=n))
-    weight = weight / norm[example]
-    # Examples without a word of the vocabulary are near nothing and stay out of the index.
-    # Those that share their heaviest word stand together, which tightens the maxima.
-    order = np.lexsort((-weight, example))
-    first = order[np.concatenate(([True], example[order][1:] != example[order][:-1]))] if len(order) else order
-    indexed = example[first]
-    arranged = indexed[np.lexsort((ids[indexed], term[first]))]
-    place = np.full(n, -1)
-    place[arranged] = np.arange(len(arranged))
-    blocks = -(-len(arranged) // BLOCK)
-    weights_of = np.zeros((n_terms, blocks, BLOCK))
-    weights_of[term, place[example] // BLOCK, place[example] % BLOCK] = weight
-    index = Index(terms, idf, ids[arranged], labels[arranged], weights_of, weights_of.max(axis=2, initial=0), k)
-    votes = np.zeros((len(arranged), 2))
-    cuts = np.searchsorted(example[order], arranged), np.searchsorted(example[order], arranged, "right")
-    for own, (s, e) in enumerate(zip(*cuts, strict=True)):
-        votes[own] = index.vote(*index.nearest(term[order[s:e]], weight[order[s:e]], without=own))
-    y, alone = index.labels.astype(float), labels[place < 0]
-    index.without = float((alone.sum() + 0.5) / (len(alone) + 1)) if len(alone) else float(labels.mean())
-    index.fit = _logistic(_inputs(votes), y) if len(arranged) else np.zeros(3)
+    weight /= np.sqrt(np.bincount(example, weights=weight**2, minlength=n))[example]
+    common = df > COMMON * n
+    column = np.where(common, np.cumsum(common) - 1, -1)
+    matrix, dense = np.zeros((int(common.sum()), n)), common[term]
+    matrix[column[term[dense]], example[dense]] = weight[dense]
+    order = np.flatnonzero(~dense)
+    order = order[np.argsort(term[order], kind="stable")]
+    starts = np.concatenate(([0], np.cumsum(np.where(common, 0, df))))
+    y = labels.astype(float)
+    share = (y.sum() + 0.5) / (n + 1)
+    toxic = np.bincount(term, weights=y[example], minlength=n_terms)
+    return Index(
+        terms, idf, ids, labels, column, matrix, starts, example[order].astype(np.int32), weight[order], _strength(toxic, df, share), df, toxic, share, k
+    )
+
+
+def own_votes(index: Index, example: np.ndarray, term: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(example, vote, nearest cosine, strongest word) of the examples `at` that have words, each seen without itself."""
+    first, last = np.searchsorted(example, at), np.searchsorted(example, at, "right")
+    spans = [(int(i), slice(s, e)) for i, s, e in zip(at, first, last, strict=True) if e > s]
+    texts = [(term[x], index.weights(term[x], count[x]), i) for i, x in spans]
+    votes = np.zeros((len(spans), 4))
+    for row, ((i, x), (item, sim)) in enumerate(zip(spans, index.nearest_of(texts), strict=True)):
+        own = _strength(index.toxic[term[x]] - index.labels[i], index.df[term[x]] - 1, index.share)
+        votes[row] = i, *index.vote(item, sim), own.max()
+    return votes
+
+
+def calibrated(index: Index | Packed, votes: np.ndarray) -> None:
+    """Set the logistic fit and the score of a text that shares no word with the examples."""
+    of = votes[:, 0].astype(np.int64)
+    alone = np.delete(index.labels, of)
+    index.without = float((alone.sum() + 0.5) / (len(alone) + 1)) if len(alone) else float(index.labels.mean())
+    index.fit = _logistic(_inputs(votes[:, 1:]), index.labels[of].astype(float)) if len(of) else np.zeros(4)
+
+
+def build_index(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> Index:
+    """Index of all examples, given their term counts by example, with its fit."""
+    index = _arranged(terms, ids, labels, example, term, count, k)
+    calibrated(index, own_votes(index, example, term, count, np.arange(len(ids))))
     return index
 
 
-def fit(
-    documents: DataFrame,
-    labels: DataFrame,
-    label: str = "toxic",
-    *,
-    max_examples: int = 20_000,
-    max_terms: int = 500,
-    least_chi: float = 30.0,
-    k: int = 15,
-) -> Index | None:
-    """Index of at most `max_examples` labelled documents over at most `max_terms` words.
-
-    None without labelled documents. With one label only there is no vocabulary, and every
-    document gets the share of label 1.
-    """
+def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", *, max_examples: int = 20_000, k: int = 15) -> Packed | None:
+    """Index of at most `max_examples` labelled documents over all their words; None without any."""
     sample = labelled_sample(documents, labels, label, max_examples)
     kind = documents.schema["doc_id"].dataType.simpleString()
 
-    def presence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches):
-            words, offsets = word_hashes(batch.column("text"), breaks=NOT_ALNUM)
-            marks = batch.column("label").to_numpy(zero_copy_only=False)
-            found = [np.unique(words[offsets[i] : offsets[i + 1]]) for i in range(batch.num_rows)]
-            toxic = np.repeat(marks > 0, [len(f) for f in found])
-            term, inverse = np.unique(np.concatenate(found), return_inverse=True)
-            a = np.bincount(inverse, weights=toxic, minlength=len(term)).astype(np.int64)
-            b = np.bincount(inverse, weights=~toxic, minlength=len(term)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(a), pa.array(b)], names=["term", "a", "b"])
-
-    sizes = sample.agg(F.sum((F.col("label") > 0).cast("long")).alias("p"), F.count(F.lit(1)).alias("n")).first()
-    if not sizes.n:
-        return None
-    p, q = float(sizes.p), float(sizes.n - sizes.p)
-    counts = sample.select("text", "label").mapInArrow(presence, "term long, a long, b long")
-    counts = counts.groupBy("term").agg(F.sum("a").cast("double").alias("a"), F.sum("b").cast("double").alias("b"))
-    # Chi-square of presence against the label, for words that are commoner in toxic documents.
-    cross = F.lit(q) * F.col("a") - F.lit(p) * F.col("b")
-    seen = F.col("a") + F.col("b")
-    chi = F.lit(p + q) * cross * cross / (F.lit(max(1.0, p * q)) * seen * (F.lit(p + q) - seen + 1e-9))
-    chosen = counts.where((seen >= 3) & (cross > 0)).withColumn("chi", chi).where(F.col("chi") >= least_chi)
-    chosen = chosen.orderBy(F.desc("chi"), "term").limit(max_terms).select("term").collect()
-    terms = np.sort(np.array([r.term for r in chosen], np.int64).view(np.uint64))
-
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            words, offsets = word_hashes(batch.column("text"), breaks=NOT_ALNUM)
-            text, term, count = term_counts(words, offsets, terms)
-            cuts = np.searchsorted(text, np.arange(batch.num_rows + 1))
-            packed = [np.stack([term[s:e], count[s:e]]).astype(np.int64).tobytes() for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array(packed, pa.binary())], names=["doc_id", "label", "x"]
-            )
-
-    rows = written(sample.mapInArrow(vectors, f"doc_id {kind}, label int, x binary"), "toxicity-vectors")
-    rows = rows.orderBy("doc_id").collect()
-    parts = [np.frombuffer(r.x, np.int64).reshape(2, -1) for r in rows]
-    example = np.repeat(np.arange(len(rows)), [x.shape[1] for x in parts])
-    term, count = np.concatenate(parts, axis=1)
+            cuts, word, count = word_counts(*word_hashes(batch.column("text"), breaks=NOT_ALNUM))
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            packed = [[word[s:e].tobytes() for s, e in spans], [zlib.compress(count[s:e].astype(np.int32).tobytes(), 1) for s, e in spans]]
+            columns = [batch.column("doc_id"), batch.column("label"), *(pa.array(x, pa.binary()) for x in packed)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "words", "counts"])
+
+    rows = sample.mapInArrow(vectors, f"doc_id {kind}, label int, words binary, counts binary").collect()
+    rows.sort(key=lambda r: r.doc_id)
+    if not rows:
+        return None
     ids, marks = np.array([r.doc_id for r in rows]), np.array([int(r.label > 0) for r in rows])
-    return build_index(terms, ids, marks, example, term, count, k)
+    example = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r.words) // 8 for r in rows])
+    words = np.frombuffer(b"".join([r.words for r in rows]), np.uint64)
+    count = np.frombuffer(b"".join([zlib.decompress(r.counts) for r in rows]), np.int32)
+    del rows
+    terms = np.unique(words)
+    term = np.searchsorted(terms, words).astype(np.int32)
+    del words
+    index = Packed(terms, ids, marks, _packed(example, term, count), k)
+    spark = documents.sparkSession
+    shared = spark.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            votes = own_votes(shared.value, *shared.value.counts, batch.column("id").to_numpy())
+            columns = [votes[:, 0].astype(np.int64), *votes[:, 1:].T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=["id", "vote", "top", "strongest"])
+
+    parts = max(1, min(24, len(ids) // 500))
+    votes = spark.range(0, len(ids), 1, parts).mapInArrow(run, "id long, vote double, top double, strongest double").collect()
+    shared.destroy()
+    calibrated(index, np.array(sorted(tuple(v) for v in votes)).reshape(-1, 4))
+    return index
 
 
-def score(documents: DataFrame, index: Index | None, threshold: float = 0.5) -> DataFrame:
+def score(documents: DataFrame, index: Packed | Index | None, threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) for every row of `documents`.
 
     `evidence` lists the nearest examples with their cosine and label. Null and empty texts
-    have no words and are scored like other documents without one of the vocabulary's; with
+    have no words and are scored like other documents that share none with an example; with
     no index at all every score is 0. A null doc_id counts as the empty text for `held_out`.
     Repeated rows are scored alike; other columns are ignored.
     """
@@ -222,13 +278,19 @@ def score(documents: DataFrame, index: Index | None, threshold: float = 0.5) ->
             n = batch.num_rows
             scores, evidence = np.full(n, index.without if index else 0.0), [[] for _ in range(n)]
             if index is not None and len(index.terms):
-                words, offsets = word_hashes(batch.column("text"), breaks=NOT_ALNUM)
-                text, term, count = term_counts(words, offsets, index.terms)
-                cuts = np.searchsorted(text, np.arange(n + 1))
-                for i in np.flatnonzero(cuts[1:] > cuts[:-1]):
-                    s, e = cuts[i], cuts[i + 1]
-                    item, sim = index.nearest(term[s:e], index.weights(term[s:e], count[s:e]))
-                    scores[i] = index.score(item, sim)
+                cuts, word, count = word_counts(*word_hashes(batch.column("text"), breaks=NOT_ALNUM))
+                term = np.searchsorted(index.terms, word)
+                term[term == len(index.terms)] = 0
+                known = index.terms[term] == word
+                texts, at = [], []
+                for i, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    has = known[s:e]
+                    if has.any():
+                        own = term[s:e][has]
+                        texts.append((own, index.weights(own, count[s:e][has], count[s:e][~has]), -1))
+                        at.append(i)
+                for i, (own, _, _), (item, sim) in zip(at, texts, index.nearest_of(texts), strict=True):
+                    scores[i] = index.score(item, sim, own)
                     evidence[i] = [
                         {"example": a, "cosine": b, "label": c}
                         for a, b, c in zip(index.ids[item].tolist(), sim.tolist(), index.labels[item].tolist(), strict=True)
