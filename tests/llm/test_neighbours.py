@@ -50,3 +50,16 @@ def test_unusable_vectors_and_few_candidates(spark):
     }
     assert neighbours.nearest_neighbours(frame.limit(0), frame.limit(0)).collect() == []
     assert neighbours.nearest_neighbours(frame.limit(1), frame.limit(1)).collect() == []
+
+
+def test_outliers_beside_tight_clusters(spark):
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(2, 64))
+    x = np.concatenate([centres[i % 2] + 0.01 * rng.normal(size=(1, 64)) for i in range(2100)] + [rng.normal(size=(12, 64))])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    short = neighbours.short_vectors(frame.selectExpr("xxhash64(embedding) AS node", "embedding AS v"))
+    edges = neighbours.start_edges(short, len(x), 32, 6).groupBy("node").count().collect()
+    assert len(edges) == len(x) and min(r["count"] for r in edges) >= 32
+    found = neighbours.nearest_neighbours(frame, frame.where("vec_id >= 2090"), turns=2).collect()
+    counts = {q: sum(r["query_id"] == q for r in found) for q in range(2090, 2112)}
+    assert set(counts.values()) == {5}

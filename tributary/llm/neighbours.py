@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by NN-descent and greedy search of the graph.
 
 Equal vectors are one node. The graph starts from exact neighbours inside cells of random
-hyperplanes, several times over, and is improved in rounds: every node brings a bounded
+hyperplanes, several times over, and inside cells by hash, which give edges to a node that is
+alone in the others as well. It is improved in rounds: every node brings a bounded
 sample of its neighbours, forward and reverse, together, each fresh pair among them is
 compared, and a node keeps its `degree` nearest. Rounds are joins and windows over written
 edge tables; a task only sees the sampled lists of some nodes. Vectors travel as bytes, one
@@ -65,15 +66,18 @@ def short_vectors(nodes: DataFrame) -> DataFrame:
 
 
 def start_edges(short: DataFrame, n: int, degree: int, trees: int) -> DataFrame:
-    """(node, near, sim): the nearest inside cells of random hyperplanes."""
+    """(node, near, sim): the nearest inside cells of random hyperplanes, and of one dealing by hash."""
+    dealt = max(1, n // CELL)
     bits = max(0, math.ceil(math.log2(max(1, n) / CELL)))
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _unit(_matrix(batch.column("vec"), np.int8))
-            for tree in range(trees):
+            for tree in range(trees + 1):
                 planes = np.random.default_rng(tree).normal(size=(x.shape[1], bits))
                 code = ((x @ planes > 0) @ (1 << np.arange(bits, dtype=np.int64))) if bits else np.zeros(len(x), np.int64)
+                if tree == trees:  # a node's number is a hash
+                    code = batch.column("node").to_numpy() % dealt
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), tree)), pa.array(code.astype(np.int64)), *batch.columns], names=["tree", "code", "node", "vec"]
                 )
