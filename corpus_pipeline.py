@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import decontaminate, lines, minhash, mixing, quality
@@ -37,28 +37,42 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return cleaned.select(*docs.columns)
 
 
+def _named(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """The rows with a name each, `__row`: the doc_id where every row has one of its own, which is told."""
+    ids = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    if ids.rows == ids.ids:
+        return docs.withColumn("__row", F.col("doc_id")), True
+    # names for the rows, fixed by writing them
+    return written(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows"), False
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component stays, the one of the smallest id.
 
-    Of rows that repeat a doc_id the one of the smallest text stays; all rows without a
-    doc_id stay.
+    Rows that repeat a doc_id with another text are documents of their own, and of those that
+    repeat its text as well one stays; all rows without a doc_id stay.
     """
     ship(spark)
-    found = written(minhash.near_duplicates(docs).where("kept").select("doc_id"), "pipeline-kept")
-    kept = found.distinct().withColumnRenamed("doc_id", "__kept")
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    known = found.where("doc_id IS NOT NULL")
-    if known.count() != known.distinct().count():
-        place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-        left = left.withColumn("__place", place).where("__place = 1 OR doc_id IS NULL")
-    return left.select(*docs.columns)
+    rows, plain = _named(docs)
+    if plain:
+        kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("__row"))
+        return rows.join(written(kept, "pipeline-kept"), "__row", "left_semi").select(*docs.columns)
+    known = rows.where("doc_id IS NOT NULL")
+    first = written(known.groupBy("doc_id", "text").agg(F.min("__row").alias("__row")).select("__row"), "pipeline-first")
+    once = known.join(first, "__row", "left_semi").select(F.struct("doc_id", "__row").alias("doc_id"), "text")
+    kept = written(minhash.near_duplicates(once).where("kept").select("doc_id.__row"), "pipeline-kept")
+    left = known.join(kept, "__row", "left_semi").select(*docs.columns)
+    return left.union(rows.where("doc_id IS NULL").select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Rows that hold a benchmark item go, whatever their doc_id."""
     ship(spark)
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(written(found.select("doc_id").distinct(), "pipeline-leaks"), "doc_id", "left_anti").select(*docs.columns)
+    rows, _ = _named(docs)
+    named = rows.select(F.col("__row").alias("doc_id"), "text")
+    found = decontaminate.contaminated(named, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaks = written(found.select(F.col("doc_id").alias("__row")).distinct(), "pipeline-leaks")
+    return rows.join(leaks, "__row", "left_anti").select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

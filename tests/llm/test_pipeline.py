@@ -133,3 +133,14 @@ def test_planted_lines_of_a_large_source_go(spark):
     for i, t in (texts | small).items():
         want = t if 12 <= i < 300 or i >= 308 else own(i)
         assert after[i]["text"] == want and after[i]["n_chars"] == len(want)
+
+
+def test_rows_are_judged_by_themselves(spark):
+    schema = spark.read.parquet(f"{FOLDER}/documents.parquet").schema
+    item = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 60").first()["text"]
+    one, two, three = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    data = [(5, one), (5, two), (5, two), (6, two), (7, item), (7, three), (None, item), (None, three)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], schema)
+    texts = lambda stage: sorted((r["doc_id"] or 0, r["text"]) for r in stage(spark, docs, FOLDER).collect())
+    assert texts(corpus_pipeline.near_dedup) == sorted([(0, item), (0, three), (5, one), (5, two), (7, item), (7, three)])
+    assert texts(corpus_pipeline.decontamination) == sorted([(0, three), (5, one), (5, two), (5, two), (6, two), (7, three)])
