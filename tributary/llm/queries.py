@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import decontaminate, lines, minhash, mixing, neighbours, ngram, quality, repeats, secrets, toxicity
+from tributary.llm import (
+    decontaminate,
+    lines,
+    merkle,
+    minhash,
+    mixing,
+    neighbours,
+    ngram,
+    quality,
+    repeats,
+    secrets,
+    structure_sql,
+    toxicity,
+    turns,
+    urls,
+)
 from tributary.llm.registry import register
 from tributary.sources.tables import table
 
@@ -73,3 +88,52 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @register("op10_source_mixing", mixing.DOCUMENTS_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).drop("text", "lang", "n_chars")
+
+
+# the contract's site rules, and patterns for the farms among the hosts
+URL_RULES = [
+    ("site", "org/", "allow"),
+    ("site", "example.org/es/", "block"),
+    ("site", "example.org/en/1", "block"),
+    ("site", "com/fr/", "allow"),
+    ("site", "com/de/", "block"),
+    ("pattern", "||casino-win.", "block"),
+    ("pattern", "||ads-track.", "block"),
+    ("pattern", "||free-bets.", "block"),
+    ("pattern", "||spam-farm.", "block"),
+    ("pattern", "||cheap-pills.", "block"),
+    ("pattern", "/en/*.html^*utm_source=", "block"),
+    ("pattern", "||free-bets.*/de/", "allow"),
+]
+
+
+@register("op11_url_filters", structure_sql.URLS_SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, urls.RULE_SCHEMA)
+    judged = urls.judge(table(spark, folder, "pages").select("page_id", "url"), rules)
+    site = F.when(F.col("judged.kind") == "site", F.col("judged.rule")).alias("rule")
+    return judged.select("page_id", "judged.host", "judged.path", site, "judged.verdict")
+
+
+@register("op12_merkle_manifest", structure_sql.MANIFEST_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    claimed = {"text": F.when(tampered, lowered).otherwise(F.col("text"))}
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    manifest = merkle.build(documents, fields, key="doc_id", group="source", claimed=claimed)
+    return merkle.verify(manifest).withColumnRenamed("key", "doc_id")
+
+
+@register("op13_conversation_repair")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    _, found = turns.repair(turns.damage(conversations))
+    ids = conversations.select("conv_id").distinct().withColumn("conv", turns.conv_key(F.col("conv_id")))
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(found, "conv", "left").select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
