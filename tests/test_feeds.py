@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 from datetime import datetime, timedelta
 
 import pytest
@@ -235,6 +236,12 @@ def test_history_survives_runs(spark):
 def test_versions_of_which_none_is_finished_are_an_error(spark):
     root = folders.work_folder(spark, "state-test")
     spark.createDataFrame([], "source STRING, key STRING, seen_at TIMESTAMP").write.parquet(f"{root}/run=001")
+    assert state.read_history(spark, root).count() == 0  # a first run that died: nothing yet
+    seen = spark.createDataFrame([("s", "a", datetime(2024, 1, 1))], "source STRING, key STRING, seen_at TIMESTAMP")
+    path = state.append_history(seen, root, "002")
+    assert state.read_history(spark, root).count() == 1
+    for found in (Path(path) / "_FINISHED", Path(path) / "._FINISHED.crc"):
+        found.unlink(missing_ok=True)
     with pytest.raises(ValueError, match="is finished"):
         state.read_history(spark, root)
 

@@ -7,9 +7,13 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tributary import folders, jobs
+from tributary import dated, folders, jobs
 from tributary.__main__ import main
 from tributary.operators import quality, results, state
+from tributary.schemas import KAFKA_RECORD
+from tributary.sources import bronze
+from tributary.streaming import ingest
+from tributary.streaming.compact import compact
 
 
 @pytest.fixture
@@ -191,3 +195,154 @@ def test_newest_copy_of_a_batch_is_in_silver(spark, feed, place):
     jobs.land_available(jobs.replay_streams(spark, f"{place}/replay"), f"{place}/lake")
     jobs.build_silver(spark, f"{place}/lake", "hackernews")
     assert scores() == {3} and jobs.read_silver(spark, f"{place}/lake", "hackernews").count() == 4
+
+
+def lines_of(tmp_path, name, texts):
+    path = tmp_path / name
+    path.write_text("\n".join(texts))
+    return str(path)
+
+
+def test_elements_are_judged_one_by_one(spark, feed, place, tmp_path):
+    good = events("ab")
+    broken = [None, 7, {"type": "PushEvent"}, {"id": "x", "actor": [1]}]
+    lines = [
+        json.dumps({"page": 1, "events": [good[0], *broken, good[1]]}),
+        json.dumps({"error": "rate limit"}),
+        json.dumps({"page": 2, "events": {}}),
+        json.dumps({"page": 3, "events": []}),
+        "null", "", "garbage",
+    ]
+    pages = lines_of(tmp_path, "pages", lines)
+    assert jobs.publish_events(spark, pages, f"{place}/state", jobs.to_replay(f"{place}/replay")) == 2
+    aside = jobs.read_quarantine(spark, f"{place}/state").orderBy("line", "pos").collect()
+    assert [(r.pos, r.reason) for r in aside] == [
+        (1, "null element"), (2, "unexpected shape"), (3, "missing key"), (4, "misfit"),
+        (None, "error response"), (None, "unexpected shape"), (None, "malformed"), (None, "malformed"),
+    ]
+    assert json.loads(aside[3].raw_json) == broken[3]
+
+
+def test_ids_of_a_list_are_numbers(spark, feed, place, tmp_path):
+    lists = [lines_of(tmp_path, "top", ['[3, "4", null, 1.5, {"id": 2}, 1]'])]
+    items = feed("items", [*stories([1, 2, 3]), {"title": "no id"}, None, {**stories([3])[0], "title": "later"}])
+    sent = jobs.publish_stories(spark, lists, items, f"{place}/state", jobs.to_replay(f"{place}/replay"))
+    assert sent == 2  # id 3 was fetched twice
+    titles = spark.read.parquet(f"{place}/replay").select(F.get_json_object(F.col("value").cast("string"), "$.title"))
+    assert sorted(r[0] for r in titles.collect()) == ["later", "t1"]
+    reasons = [r.reason for r in jobs.read_quarantine(spark, f"{place}/state").orderBy("path", "line", "pos").collect()]
+    assert reasons == ["missing key", "unexpected shape", "null element", "unexpected shape", "unexpected shape"]
+
+
+@pytest.mark.parametrize("dies", ["before", "after"])
+def test_a_run_that_died_is_finished_by_the_next(spark, feed, place, dies):
+    replay = jobs.to_replay(f"{place}/replay")
+
+    def failing(records, run):
+        if dies == "after":
+            replay(records, run)
+        raise RuntimeError("lost")
+
+    def run(ids, deliver):
+        items = feed("items", stories([1, 2, 3, 5]))
+        return jobs.publish_stories(spark, [feed("top", [ids])], items, f"{place}/state", deliver)
+
+    with pytest.raises(RuntimeError):
+        run([1, 2], failing)
+    assert state.read_history(spark, f"{place}/state/hackernews").count() == 0
+    assert run([2, 3], replay) == 1  # 1 and 2 go out under the dead run's name first
+    assert run([1, 2, 3, 5], replay) == 1
+    assert sorted(map(int, keys(spark, place))) == [1, 2, 3, 5]
+
+
+def test_a_first_run_that_died_blocks_nothing(spark, feed, place):
+    """Folders without a mark, of a history, an outbox and a silver table."""
+    for base in ("state/hackernews/run=1+", "state/outbox/hackernews/run=1", "lake/silver/hackernews_silver/run=1"):
+        spark.range(1).write.parquet(f"{place}/{base}/rows")
+    deliver = jobs.to_replay(f"{place}/replay")
+    items = feed("items", stories([1, 2, 3]))
+    assert jobs.publish_stories(spark, [feed("top", [[1, 2, 3]])], items, f"{place}/state", deliver) == 3
+    jobs.land_available(jobs.replay_streams(spark, f"{place}/replay"), f"{place}/lake")
+    jobs.build_silver(spark, f"{place}/lake", "hackernews")
+    assert jobs.read_silver(spark, f"{place}/lake", "hackernews").count() == 3
+
+
+def records(spark, texts):
+    rows = [(f"k{i}".encode(), t.encode(), i) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "key BINARY, value BINARY, offset BIGINT")
+    return frame.selectExpr("key", "value", "'hackernews-posts' AS topic", "0 AS partition", "offset",
+                            "timestamp'2024-01-01' AS timestamp", "0 AS timestampType")
+
+
+def land_texts(spark, place, texts):
+    records(spark, texts).write.mode("append").parquet(f"{place}/topic")
+    stream = spark.readStream.schema(KAFKA_RECORD).parquet(f"{place}/topic")
+    jobs.land_available({"hackernews": stream}, f"{place}/lake")
+
+
+def test_silver_before_the_first_good_row(spark, place):
+    land_texts(spark, place, ["broken"])
+    for source in ("hackernews", "github", "youtube"):  # two never landed at all
+        jobs.build_silver(spark, f"{place}/lake", source)
+        assert jobs.read_silver(spark, f"{place}/lake", source).count() == 0
+    checked = jobs.check_silver(spark, f"{place}/lake")
+    assert checked.count() > 0 and checked.where("n_unexpected > 0").count() == 0
+    land_texts(spark, place, [json.dumps(s) for s in stories([1, 2])])
+    jobs.build_silver(spark, f"{place}/lake", "hackernews")
+    assert jobs.read_silver(spark, f"{place}/lake", "hackernews").count() == 2
+
+
+def test_untouched_dates_keep_their_files(spark, place):
+    lake, day = f"{place}/lake", 86400
+
+    def story(i, at, score=1):
+        return json.dumps({"id": i, "type": "story", "title": "t", "score": score, "time": 1704067200 + at * day})
+
+    def files():
+        silver = jobs.read_silver(spark, lake, "hackernews")
+        rows = silver.select("id", "score", F.col("event_date").cast("string"), F.col("_metadata.file_path").alias("file")).collect()
+        return {r.id: (r.score, r.event_date, r.file) for r in rows}
+
+    land_texts(spark, place, [story(i, i % 4) for i in range(12)])
+    jobs.build_silver(spark, lake, "hackernews")
+    first = files()
+    # one row of the first day is replaced, one moves from the second day to a new one
+    land_texts(spark, place, [story(0, 0, score=5), story(1, 9)])
+    jobs.build_silver(spark, lake, "hackernews")
+    second = files()
+    assert len(second) == 12 and second[0][0] == 5 and second[1][1] == "2024-01-10"
+    for i in range(12):
+        same = second[i][2] == first[i][2]
+        assert same == (i % 4 in (2, 3)), i
+    assert jobs.build_silver(spark, lake, "hackernews") and files() == second  # nothing new, nothing written
+    jobs.build_silver(spark, lake, "hackernews", full=True)
+    assert {i: r[:2] for i, r in files().items()} == {i: r[:2] for i, r in second.items()}
+
+
+def test_compaction_rewrites_new_dates_only(spark, place):
+    lake = f"{place}/lake"
+    ingest_at = lambda day: F.lit(f"2024-01-0{day} 12:00:00").cast("timestamp")
+    for day in (3, 2, 2):  # the second batch is earlier than the first
+        records(spark, [json.dumps(s) for s in stories([day])]).write.mode("append").parquet(f"{place}/topic")
+        stream = spark.readStream.schema(KAFKA_RECORD).parquet(f"{place}/topic")
+        ingest.drain([ingest.start_bronze(stream, "hackernews", lake, ingest.ONCE, at=ingest_at(day))])
+        version = compact(spark, lake, "hackernews")
+        assert bronze.read(spark, lake, "hackernews").count() == bronze.read_leaf(spark, bronze.leaf_path(lake, "hackernews")).count()
+    named = dated.folders_of(spark, version)
+    assert sorted(n.split("=")[-1] for n in named) == ["2024-01-02", "2024-01-03"]
+    assert len({n.split("/")[0] for n in named}) == 2 and bronze.read(spark, lake, "hackernews").count() == 3
+
+
+def test_commit_log_goes_on_over_its_own_compaction(spark, place, changed):
+    changed(**{"spark__sql__streaming__fileSink__log__compactInterval": "3", "spark__sql__streaming__fileSink__log__cleanupDelay": "1"})
+    lake, version = f"{place}/lake", None
+    for i in range(8):
+        land_texts(spark, place, [json.dumps(s) for s in stories([i + 1])])
+        tail = bronze.since(spark, lake, "hackernews", version)
+        new = 1 if version else i + 1
+        assert tail.batch == i and tail.files.count() == i + 1 and tail.rows.count() == new
+        if i % 2:
+            version = jobs.build_silver(spark, lake, "hackernews")
+        else:
+            version = None
+    assert jobs.read_silver(spark, lake, "hackernews").count() == 8

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import re
-from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
-from tributary import folders
+from tributary import folders, jobs, schemas
 from tributary.operators import feeds
 from tributary.operators.conform import conform_event
 from tributary.operators.parse import bronze_rows
 from tributary.sources import bronze
+from tributary.streaming import ingest
 
 
 def test_first_seen_limits_before_the_shuffle(spark, plan_of):
@@ -117,12 +118,32 @@ def test_top_per_group_beyond_the_group_limit_is_spread(spark, plan_of, changed)
     assert top.count() == 3000
 
 
-def test_second_silver_build_reads_new_dates_only(spark, plan_of):
-    schema = "id STRING, ingested_at TIMESTAMP, partition_date DATE"
-    path = folders.work_folder(spark, "dates")
-    rows = [("a", datetime(2024, 1, 1), date(2024, 1, 1)), ("b", datetime(2024, 2, 1), date(2024, 2, 1))]
-    spark.createDataFrame(rows, schema).write.partitionBy("partition_date").parquet(path)
-    later = bronze.ingested_after(spark.read.schema(schema).parquet(path), datetime(2024, 1, 15))
-    assert [r["id"] for r in later.collect()] == ["b"]
-    filters = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(later)).group(1)
-    assert "partition_date" in filters
+def test_second_read_opens_new_files_only(spark, lake_of_two_batches):
+    lake, version = lake_of_two_batches
+    tail = bronze.since(spark, lake, "hackernews", version)
+    assert tail.batch == 1 and tail.files.count() == 2
+    assert [r["id"] for r in tail.rows.collect()] == [2]
+    known = [r.file_name for r in spark.read.parquet(f"{version}/files").collect()]
+    for path in Path(bronze.leaf_path(lake, "hackernews")).rglob("*.parquet"):
+        if path.name in known:
+            path.write_text("not a table")  # so a read that opened it would fail
+    assert [r["id"] for r in bronze.since(spark, lake, "hackernews", version).rows.collect()] == [2]
+
+
+@pytest.fixture
+def lake_of_two_batches(spark):
+    """One story, a version that knows it, then another story."""
+    lake, topic = folders.work_folder(spark, "lake"), folders.work_folder(spark, "topic")
+    for i in (1, 2):
+        message = f'{{"id": {i}, "title": "t", "type": "story", "score": 1, "time": 1704067200}}'
+        record = spark.range(1).select(
+            F.lit(b"k").alias("key"), F.lit(message).cast("binary").alias("value"), F.lit("t").alias("topic"),
+            F.lit(0).alias("partition"), F.lit(i).cast("bigint").alias("offset"), F.current_timestamp().alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        )
+        record.write.mode("append").parquet(topic)
+        stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(topic)
+        ingest.drain([ingest.start_bronze(stream, "hackernews", lake, ingest.ONCE)])
+        if i == 1:
+            version = jobs.build_silver(spark, lake, "hackernews")
+    return lake, version

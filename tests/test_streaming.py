@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tributary import folders
+from tributary import dated, folders
 from tributary.operators.audit import landing_audit
 from tributary.operators.conform import silver_rows
 from tributary.operators.parse import bronze_rows, landed_rows
@@ -164,7 +164,9 @@ def test_compaction_keeps_rows_and_the_source(spark, topic, lake):
     before = bronze.committed_files(bronze.read_landed(spark, lake, "hackernews")).count()
     wanted = sorted(map(str, bronze.read_landed(spark, lake, "hackernews").collect()))
     target = compact(spark, lake, "hackernews")
-    compacted = bronze.read_leaf(spark, f"{target}/rows")
+    data = f"{bronze.compacted_path(lake, 'hackernews')}/data"
+    assert len(dated.folders_of(spark, target)) == 1
+    compacted = bronze.read_leaf(spark, f"{data}/{dated.folders_of(spark, target)[0].split('/')[0]}")
     assert compacted.count() == 10 and compacted.where("reason IS NOT NULL").count() == 2
     assert set(bronze.POSITION) <= set(compacted.columns)
     assert bronze.committed_files(compacted).count() < before

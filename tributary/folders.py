@@ -44,24 +44,40 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 FINISHED = "_FINISHED"
+EVER_FINISHED = "_EVER_FINISHED"
 
 
-def finish(spark: SparkSession, path: str) -> None:
-    """Mark a folder as completely written; our own mark, as Spark's can be switched off."""
-    fs, hadoop_path = _file_system(spark, f"{path}/{FINISHED}")
+def touch(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
     fs.create(hadoop_path, True).close()
 
 
+def finish(spark: SparkSession, path: str) -> None:
+    """Mark a version as completely written; our own mark, as Spark's can be switched off.
+
+    The folder above it then says that a version was finished once.
+    """
+    touch(spark, f"{path}/{FINISHED}")
+    if not exists(spark, f"{path.rsplit('/', 1)[0]}/{EVER_FINISHED}"):
+        touch(spark, f"{path.rsplit('/', 1)[0]}/{EVER_FINISHED}")
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    return exists(spark, f"{path}/{FINISHED}")
+
+
 def finished_versions(spark: SparkSession, base: str) -> list[str]:
     """The finished `run=` folders below `base`, oldest first.
 
-    Versions of which none is finished are an error: taken for no version at all they would
-    make the next run start over.
+    A first run that died leaves a version that is not finished: there is none yet. But once one
+    was finished, versions of which none is are an error: taken for no version at all they would make
+    the next run start over.
     """
-    names = [name for name in children(spark, base) if name.startswith("run=")]
-    done = [f"{base}/{n}" for n in names if exists(spark, f"{base}/{n}/{FINISHED}")]
-    if names and not done:
-        raise ValueError(f"no version below {base} is finished: {names}")
+    names = children(spark, base)
+    runs = [name for name in names if name.startswith("run=")]
+    done = [f"{base}/{n}" for n in runs if is_finished(spark, f"{base}/{n}")]
+    if runs and not done and EVER_FINISHED in names:
+        raise ValueError(f"no version below {base} is finished any more: {runs}")
     return done
 
 

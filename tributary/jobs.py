@@ -12,32 +12,41 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary import folders, schemas
+from tributary import dated, folders, schemas
 from tributary.functions.times import run_name_at
 from tributary.operators import audit, conform, feeds, publish, quality, results, rules, state
 from tributary.operators.normalize import normalize_video
 from tributary.sources import bronze, definitions, kafka, landed
 from tributary.streaming import ingest
 
-Deliver = Callable[[DataFrame], None]
+# Sends the records of a run; the name of the run is the same when a dead run is repeated.
+Deliver = Callable[[DataFrame, str], None]
 
 
 # --- publish ----------------------------------------------------------------
 
 
 def to_broker(bootstrap: str) -> Deliver:
-    return lambda records: publish.write_topic(records, bootstrap)
+    """To a broker, where a repeated run is sent again with the same keys."""
+    return lambda records, run: publish.write_topic(records, bootstrap)
 
 
 def to_replay(folder: str) -> Deliver:
-    """Append the records as Parquet in the broker's schema, a folder per topic, for a run without a broker."""
+    """Append the records as Parquet in the broker's schema, a folder per topic, for a run without a broker.
 
-    def deliver(records: DataFrame) -> None:
+    A run that is there already is not written again.
+    """
+
+    def deliver(records: DataFrame, run: str) -> None:
+        spark, mark = records.sparkSession, f"{folder}/_delivered/run={run}"
+        if folders.is_finished(spark, mark):
+            return
         unknown = F.lit(None)
         shaped = kafka.records(
             records, "key", F.col("value"), F.col("topic"), unknown, unknown
         )
         shaped.write.mode("append").partitionBy("topic").parquet(folder)
+        folders.finish(spark, mark)
 
     return deliver
 
@@ -54,21 +63,20 @@ def publish_stories(
     """Ranked id lists, in the order given, and fetched items; returns how many were sent.
 
     The state holds every id sent. What a limit leaves out, or an item that was not fetched,
-    is sent by a later run that finds it.
+    is sent by a later run that finds it. Of an item fetched twice the later copy counts.
     """
-    ranked = feeds.union_feeds([_lines(spark, path, "story_list", state_root) for path in lists])
-    seen = state.read_history(spark, f"{state_root}/hackernews")
+    outbox = Outbox(spark, "hackernews", state_root, deliver)
+    ranked = feeds.union_feeds([outbox.elements(path, "story_list").select("pos", "id") for path in lists])
+    fetched = outbox.elements(items, "story_item").drop("page", "pos")
     messages = feeds.story_feed(
-        landed.story_lists(ranked, "list_rank"),
-        landed.story_items(_lines(spark, items, "story_item", state_root)),
+        ranked,
+        feeds.newest_items(fetched, "id", "line"),
         ["list_rank", "pos"],
-        history=seen,
+        history=outbox.history(),
         limit=limit,
         text_length=text_length,
     )
-    sent = _send(spark, messages, "hackernews", deliver)
-    _remember(spark, sent, "hackernews", state_root, None)
-    return sent.count()
+    return outbox.send(messages)
 
 
 def publish_events(
@@ -85,14 +93,12 @@ def publish_events(
 
     All pages are taken and the state keeps every id published, unless a size bounds them.
     """
-    paged = landed.numbered_event_pages(_lines(spark, pages, "numbered_event_page", state_root))
-    seen = state.read_history(spark, f"{state_root}/github")
+    outbox = Outbox(spark, "github", state_root, deliver, history_size)
     messages = feeds.event_feed(
-        paged, ["page", "pos"], history=seen, limit=limit, max_pages=max_pages, rows_per_page=rows_per_page
-    )
-    sent = _send(spark, messages, "github", deliver)
-    _remember(spark, sent, "github", state_root, history_size)
-    return sent.count()
+        outbox.elements(pages, "numbered_event_page").drop("line"), ["page", "pos"], history=outbox.history(),
+        limit=limit, max_pages=max_pages, rows_per_page=rows_per_page,
+    )
+    return outbox.send(messages)
 
 
 def publish_videos(
@@ -107,54 +113,88 @@ def publish_videos(
     text_length: int | None = None,
 ) -> int:
     """The popular envelope, search results in query order, and the details of both."""
-    first = landed.video_envelopes(_lines(spark, popular, "video_envelope", state_root)).select("pos", "id")
+    outbox = Outbox(spark, "youtube", state_root, deliver, history_size)
+    first = outbox.elements(popular, "video_envelope").select("pos", "id")
     found = [
-        landed.search_results(_lines(spark, path, "search_envelope", state_root)).withColumnRenamed("video_id", "id")
-        for path in searches
+        outbox.elements(path, "search_envelope").select("pos", F.col("id.videoId").alias("id")) for path in searches
     ]
     ranked = feeds.union_feeds([first, *found])
-    known = normalize_video(landed.video_envelopes(_lines(spark, details, "video_envelope", state_root)), "pos", text_length=text_length)
-    told_apart = F.xxhash64(*[c for c in known.columns if c != "pos"])
-    known = feeds.first_seen(known.where("video_id IS NOT NULL"), ["video_id"], ["pos", told_apart]).drop("pos")
-    seen = state.read_history(spark, f"{state_root}/youtube")
+    known = normalize_video(outbox.elements(details, "video_envelope"), "pos", "line", text_length=text_length)
+    known = feeds.newest_items(known.drop("pos"), "video_id", "line")
     messages = feeds.video_feed(
         ranked.where("list_rank = 0"), ranked.where("list_rank > 0"), known,
-        history=seen, limit=limit,
+        history=outbox.history(), limit=limit,
     )
-    sent = _send(spark, messages, "youtube", deliver)
-    _remember(spark, sent, "youtube", state_root, history_size)
-    return sent.count()
-
-
-def _lines(spark: SparkSession, path: str, kind: str, state_root: str) -> DataFrame:
-    """The good lines of a landed file; the others are kept below `state_root` with the reason."""
-    good, bad = landed.split_lines(landed.read_lines(spark, path), kind)
-    bad = bad.select("kind", "raw_json", "reason", F.lit(path).alias("path"), F.current_timestamp().alias("seen_at"))
-    bad.write.mode("append").parquet(f"{state_root.rstrip('/')}/quarantine")
-    return good
+    return outbox.send(messages)
 
 
-def _send(spark: SparkSession, messages: DataFrame, source: str, deliver: Deliver) -> DataFrame:
-    stored = folders.work_folder(spark, f"publish-{source}")
-    messages.write.parquet(stored)
-    sent = spark.read.schema(messages.schema).parquet(stored)
-    deliver(publish.to_kafka_records(sent, source))
-    return sent
+COMMITTED = "_COMMITTED"
 
 
-def _sightings(sent: DataFrame, source: str) -> DataFrame:
-    return feeds.seen_now(sent, source, schemas.source(source).key, F.current_timestamp())
+class Outbox:
+    """One run of publishing: what it reads, what it sends and what it remembers.
 
+    A run first writes its messages and a mark, its intent, then delivers them, appends their ids to the
+    history and is committed. A run that died after its intent is finished by the next one before that reads
+    the history: the same messages under the same run name, whatever the feeds hold by then. One that died earlier
+    has sent nothing.
+    """
 
-def _remember(
-    spark: SparkSession, sent: DataFrame, source: str, state_root: str, size: int | None
-) -> None:
-    """Append the ids of this run; a bound, or many runs, make one run of all of them."""
-    root = f"{state_root}/{source}"
-    state.append_history(_sightings(sent, source), root)
-    if size or state.runs_since_compaction(spark, root) >= state.COMPACT_AFTER:
-        everything = feeds.merge_history(state.read_history(spark, root).limit(0), state.read_history(spark, root))
-        state.save_history(feeds.bounded_history(everything, size) if size else everything, root)
+    def __init__(
+        self, spark: SparkSession, source: str, state_root: str, deliver: Deliver, history_size: int | None = None
+    ):
+        self.spark, self.source, self.deliver, self.size = spark, source, deliver, history_size
+        self.root = state_root.rstrip("/")
+        self.run, self.read = state.run_stamp(), 0
+        for name in folders.children(spark, f"{self.root}/outbox/{source}"):
+            path = f"{self.root}/outbox/{source}/{name}"
+            if folders.is_finished(spark, path) and not folders.exists(spark, f"{path}/{COMMITTED}"):
+                self._complete(path, name.removeprefix("run="))
+
+    def elements(self, path: str, kind: str) -> DataFrame:
+        """(line, page, pos, fields) of the good elements of a landed file; the others are kept below the state.
+
+        The file is read and judged once; `line` tells later responses from earlier ones.
+        """
+        stored = folders.work_folder(self.spark, f"landed-{kind}")
+        lines = landed.read_lines(self.spark, path).withColumn("line", F.monotonically_increasing_id())
+        judged = landed.elements(lines, kind, "line")
+        judged.write.parquet(stored)
+        judged = self.spark.read.schema(judged.schema).parquet(stored)
+        aside = f"{self.root}/quarantine/run={self.run}-{self.source}-{self.read}"
+        self.read += 1
+        bad = landed.bad_elements(judged, kind, "line")
+        bad.withColumns({"path": F.lit(path), "seen_at": F.current_timestamp()}).write.parquet(aside)
+        folders.finish(self.spark, aside)
+        return landed.good_elements(judged, "line", "page", "pos")
+
+    def history(self) -> DataFrame:
+        return state.read_history(self.spark, f"{self.root}/{self.source}")
+
+    def send(self, messages: DataFrame) -> int:
+        path = f"{self.root}/outbox/{self.source}/run={self.run}"
+        messages.write.parquet(f"{path}/messages")
+        folders.finish(self.spark, path)
+        return self._complete(path, self.run)
+
+    def _complete(self, path: str, run: str) -> int:
+        sent = self.spark.read.parquet(f"{path}/messages")
+        self.deliver(publish.to_kafka_records(sent, self.source), f"{self.source}-{run}")
+        seen = feeds.seen_now(sent, self.source, schemas.source(self.source).key, F.current_timestamp())
+        history = f"{self.root}/{self.source}"
+        state.append_history(seen, history, run)
+        if self.size or state.runs_since_compaction(self.spark, history) >= state.COMPACT_AFTER:
+            known = feeds.each_once(state.read_history(self.spark, history))
+            state.save_history(feeds.bounded_history(known, self.size) if self.size else known, history)
+        folders.touch(self.spark, f"{path}/{COMMITTED}")
+        return sent.count()
+
+
+def read_quarantine(spark: SparkSession, state_root: str) -> DataFrame:
+    """(kind, pos, raw_json, reason, path, seen_at, line) of what finished reads put aside."""
+    columns = "line BIGINT, kind STRING, pos INT, raw_json STRING, reason STRING, path STRING, seen_at TIMESTAMP"
+    paths = folders.finished_versions(spark, f"{state_root.rstrip('/')}/quarantine")
+    return spark.read.schema(columns).parquet(*paths) if paths else spark.createDataFrame([], columns)
 
 
 # --- land -------------------------------------------------------------------
@@ -207,41 +247,44 @@ def land_available(streams: dict[str, DataFrame], root: str) -> None:
 def build_silver(spark: SparkSession, root: str, source: str, full: bool = False) -> str:
     """Write a new version of a silver table; readers see it once it is complete.
 
-    After the first version only bronze rows of later batches are read, parsed and ranked,
-    and what they replace is taken out of the version before. `full` starts over. The table
-    is partitioned by the date of the event.
+    After the first version only files committed since are read, parsed and ranked. The table is partitioned
+    by the date of the event, and only dates that get a row or lose one to a newer copy are written
+    again; of the stored rows of other dates the build reads just the keys. `full` starts over. A source without a
+    good row gives an empty table.
     """
-    base = _silver_base(root, source)
-    path = f"{base}/run={state.run_stamp()}"
+    base, run = _silver_base(root, source), state.run_stamp()
     before = None if full else folders.newest_version(spark, base)
-    rows = silver_after(spark, root, source, before)
-    rows.hint("rebalance", "event_date").write.partitionBy("event_date").parquet(f"{path}/rows")
-    # Every batch that was ingested by the newest instant in the table is part of it.
-    newest = spark.read.parquet(f"{path}/rows").agg(F.max("ingested_at").alias("upto"))
-    newest.write.parquet(f"{path}/upto")
+    tail = bronze.since(spark, root, source, before)
+    stored = folders.work_folder(spark, f"silver-{source}")
+    conform.silver_rows(bronze.good(tail.rows), source).write.parquet(stored)
+    fresh = spark.read.schema(conform.silver_schema(spark, source)).parquet(stored)
+    touched, rows = dated.dates(fresh, DATE), fresh
+    if before:
+        touched |= dated.dates(conform.replaced(_silver(spark, base, before, source), fresh, source), DATE)
+        rows = conform.silver_update(_silver(spark, base, before, source, touched), fresh, source)
+    path = dated.write(spark, base, run, rows, DATE, touched, before)
+    tail.files.write.parquet(f"{path}/files")
     folders.finish(spark, path)
     return path
 
 
-def silver_after(spark: SparkSession, root: str, source: str, before: str | None) -> DataFrame:
-    """The rows of the version that follows the one in folder `before`."""
-    upto = spark.read.parquet(f"{before}/upto").first().upto if before else None
-    if upto is None:
-        return conform.silver_rows(bronze.read(spark, root, source), source)
-    new = bronze.read(spark, root, source, after=upto)
-    return conform.silver_update(spark.read.parquet(f"{before}/rows"), new, source)
+DATE = "event_date"
 
 
 def _silver_base(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/silver/{schemas.source(source).name}_silver"
 
 
+def _silver(spark: SparkSession, base: str, version: str, source: str, only: set[str] | None = None) -> DataFrame:
+    return dated.read(spark, base, version, conform.silver_schema(spark, source), DATE, only)
+
+
 def read_silver(spark: SparkSession, root: str, source: str) -> DataFrame:
     base = _silver_base(root, source)
     newest = folders.newest_version(spark, base)
     if newest is None:
         raise ValueError(f"no finished version below {base}")
-    return spark.read.parquet(f"{newest}/rows")
+    return _silver(spark, base, newest, source)
 
 
 def check_silver(

@@ -30,10 +30,13 @@ def topic_audit(records: DataFrame, topics: list[str]) -> DataFrame:
     return counted.select("topic", messages.alias("n_messages"), (messages > 0).alias("success"))
 
 
-def landed(frame: DataFrame, source: str, required: list[str]) -> DataFrame:
-    """One row about a bronze leaf: files, good rows, quarantined rows and required columns."""
+def landed(frame: DataFrame, source: str, required: list[str], files: DataFrame) -> DataFrame:
+    """One row about a bronze leaf: files, good rows, quarantined rows and required columns.
+
+    `files` is the commit log: it also has the files without rows, and no list of files goes through the driver.
+    """
     missing = [c for c in required if c not in frame.columns]
-    listed = bronze.committed_paths(frame)
+    listed = files.select("file_name")
     counted = bronze.committed_files(frame)
     name = F.substring_index("file_path", "/", -1).alias("file_name")
     files = listed.join(counted.select(name, "n_rows", "n_quarantined"), "file_name", "left")
@@ -65,7 +68,9 @@ def landing_audit(
     for source, columns in required.items():
         frame = _leaf_or_none(spark, bronze.leaf_path(root, source), merge_schema)
         parts.append(
-            _never_landed(spark, source, columns) if frame is None else landed(frame, source, columns)
+            _never_landed(spark, source, columns)
+            if frame is None
+            else landed(frame, source, columns, bronze.commit_log(spark, bronze.leaf_path(root, source)))
         )
     return reduce(DataFrame.unionByName, parts)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tributary import schemas
 from tributary.functions.times import epoch_to_timestamp, iso_to_timestamp, utc_date
@@ -76,19 +77,28 @@ CONFORM: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def silver_update(
-    silver: DataFrame, new: DataFrame, source: str
-) -> DataFrame:
-    """Silver after the bronze rows of later batches: their newest copy of a key replaces the stored one.
+def replaced(silver: DataFrame, fresh: DataFrame, source: str) -> DataFrame:
+    """The stored rows whose key has a newer copy in `fresh`."""
+    key = schemas.source(source).key
+    return silver.join(fresh.select(key), key, "left_semi")
+
+
+def silver_update(silver: DataFrame, fresh: DataFrame, source: str) -> DataFrame:
+    """Stored rows after `fresh`, the silver rows of later batches: a newer copy of a key replaces the stored one.
 
-    Only the new rows are ranked. The stored ones are kept by an anti join, which the planner
-    turns into a broadcast of the new keys while they measure small.
+    The stored ones are kept by an anti join, which the planner turns into a broadcast of the new keys
+    while they measure small.
     """
     key = schemas.source(source).key
-    fresh = silver_rows(new, source)
     return silver.join(fresh.select(key), key, "left_anti").select(*fresh.columns).unionByName(fresh)
 
 
+def silver_schema(spark: SparkSession, source: str) -> StructType:
+    """What silver rows of a source look like, with or without a row."""
+    columns = f"{schemas.source(source).message}, source STRING, ingested_at TIMESTAMP"
+    return silver_rows(spark.createDataFrame([], columns), source).schema
+
+
 def silver_rows(bronze: DataFrame, source: str, *newest_first: str) -> DataFrame:
     """One row per key: delivery is at least once, so bronze may hold repeats.
 

@@ -183,8 +183,12 @@ def most_popular(frame: DataFrame, views: str | Column, key: str, n: int) -> Dat
 
 def merge_history(history: DataFrame, seen: DataFrame) -> DataFrame:
     """Union of earlier and new (source, key, seen_at), each key once, last sighting kept."""
-    both = history.unionByName(seen)
-    return both.groupBy("source", "key").agg(F.max("seen_at").alias("seen_at"))
+    return each_once(history.unionByName(seen))
+
+
+def each_once(history: DataFrame) -> DataFrame:
+    """A history that may name a key several times, each key with its last sighting."""
+    return history.groupBy("source", "key").agg(F.max("seen_at").alias("seen_at"))
 
 
 def bounded_history(history: DataFrame, size: int) -> DataFrame:
@@ -204,6 +208,12 @@ def seen_now(feed: DataFrame, source: str, key: str, seen_at: Column) -> DataFra
 # --- whole runs -------------------------------------------------------------
 
 
+def newest_items(items: DataFrame, key: str, landed_at: str) -> DataFrame:
+    """Of an item that was fetched more than once the one that landed last; equal positions go by a hash."""
+    fields = F.xxhash64(*[F.to_json(F.struct(c)) for c in items.columns if c != landed_at])
+    return first_seen(items, [key], [F.col(landed_at).desc(), fields]).drop(landed_at)
+
+
 def story_feed(
     lists: DataFrame,
     items: DataFrame,
@@ -216,8 +226,8 @@ def story_feed(
     """Ranked id lists and fetched items to story messages in feed order.
 
     Ids of the history are left out. The mark is applied before repeats are removed: all copies of an id pass it
-    or none does, and the rows below it need no shuffle. Items hold each id once;
-    they are made messages before the join moves them.
+    or none does, and the rows below it need no shuffle. Items hold each id once (`newest_items`
+    sees to that); they are made messages before the join moves them.
     """
     fresh = lists if mark is None else above_mark(lists, "id", mark)
     wanted = first_seen(fresh.where("id IS NOT NULL"), ["id"], [*order, "id"])

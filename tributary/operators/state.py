@@ -33,8 +33,10 @@ def append_history(seen: DataFrame, root: str, run: str | None = None) -> str:
 
 
 def _save(history: DataFrame, path: str) -> str:
-    history.select("source", "key", "seen_at").write.mode("errorifexists").parquet(path)
-    folders.finish(history.sparkSession, path)
+    """A run is saved once: what a dead attempt left is written over, what is finished stays."""
+    if not folders.is_finished(history.sparkSession, path):
+        history.select("source", "key", "seen_at").write.mode("overwrite").parquet(path)
+        folders.finish(history.sparkSession, path)
     return path
 
 

@@ -427,7 +427,7 @@ def seen_state_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {STORY_LISTS_SQL}, "
     "firsts AS (SELECT id, poll, list_rank, pos FROM (SELECT *, row_number() OVER "
     "(PARTITION BY id ORDER BY poll, list_rank, pos) AS nth FROM listed) WHERE nth = 1) "
-    f"SELECT poll, list_rank, pos, {CUT_STORY_FIELDS_SQL} FROM firsts "
+    f"SELECT poll, list_rank, pos, {STORY_FIELDS_SQL} FROM firsts "
     "JOIN documents ON firsts.id = doc_id WHERE doc_id % 97 <> 0 AND lang IN ('en', 'fr') "
     "AND doc_id > (SELECT max(item_id) FROM benchmark)",
 )
@@ -437,7 +437,7 @@ def story_feed_run(spark: SparkSession, folder: str) -> DataFrame:
     lists = landed.story_lists(inputs.story_list_responses(documents), "poll", "list_rank")
     items = landed.story_items(inputs.story_item_responses(documents))
     mark = feeds.highest_id(table(spark, folder, "benchmark"), "item_id")
-    return feeds.story_feed(lists, items, ["poll", "list_rank", "pos"], mark=mark, text_length=TEXT_LENGTH)
+    return feeds.story_feed(lists, items, ["poll", "list_rank", "pos"], mark=mark)
 
 
 @register(
@@ -521,10 +521,12 @@ def positions(frame: DataFrame, group: list[str], order: list) -> DataFrame:
     "WHERE doc_id % 97 <> 0 AND lang IN ('en', 'fr')",
 )
 def story_feed_two_runs(spark: SparkSession, folder: str) -> DataFrame:
-    """A run with a limit, then one without: every id is sent exactly once."""
+    """A run with a limit, then one without: every id is sent exactly once, though each item was fetched twice."""
     documents = table(spark, folder, "documents")
     lists = landed.story_lists(inputs.story_list_responses(documents), "poll", "list_rank")
-    items = landed.story_items(inputs.story_item_responses(documents))
+    item = landed.story_items(inputs.story_item_responses(documents)).withColumn("line", F.lit(1))
+    earlier = item.withColumn("title", F.lit("earlier")).withColumn("line", F.lit(0))
+    items = feeds.newest_items(earlier.unionByName(item), "id", "line")
     order, root = ["poll", "list_rank", "pos"], folders.work_folder(spark, "state")
     sent = folders.work_folder(spark, "sent")
     for limit in (40, None):
@@ -573,3 +575,41 @@ def landed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     )
     good, bad = landed.split_lines(documents.select("doc_id", broken.alias("raw_json")), "story_item")
     return good.select("doc_id", F.lit("good").alias("side")).union(bad.select("doc_id", "reason"))
+
+
+ELEMENT_SIDES_SQL = (
+    "CASE WHEN envelope % 7 = 3 THEN 'error response' WHEN page_id % 11 = 0 THEN 'null element' "
+    "WHEN page_id % 11 = 1 THEN 'unexpected shape' WHEN page_id % 11 = 2 THEN 'missing key' "
+    "WHEN page_id % 11 = 3 THEN 'misfit' ELSE 'good' END"
+)
+
+
+@register(
+    "landed_elements_quarantine",
+    f"WITH placed AS (SELECT page_id, page_id // {inputs.VIDEOS_PER_ENVELOPE} AS envelope, row_number() OVER "
+    f"(PARTITION BY page_id // {inputs.VIDEOS_PER_ENVELOPE} ORDER BY page_id) - 1 AS place FROM pages) "
+    f"SELECT DISTINCT envelope, CASE WHEN envelope % 7 <> 3 THEN CAST(place AS INTEGER) END AS pos, {ELEMENT_SIDES_SQL} AS side, "
+    f"CASE WHEN {ELEMENT_SIDES_SQL} = 'good' THEN 'v' || page_id END AS id FROM placed",
+)
+def landed_elements_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Envelopes where some videos are null, numbers, without an id or of another shape, and some that tell of an error:
+    good and bad elements are all the elements."""
+    videos = inputs.video_items(table(spark, folder, "pages"))
+    kind = F.col("page_id") % 11
+    text = (
+        F.when(kind == 0, "null")
+        .when(kind == 1, "7")
+        .when(kind == 2, '{"snippet": {"title": "t"}}')
+        .when(kind == 3, '{"id": "v", "snippet": [1]}')
+        .otherwise(F.to_json("item"))
+    )
+    envelope = F.expr(f"page_id DIV {inputs.VIDEOS_PER_ENVELOPE}").alias("envelope")
+    texts = F.transform(F.sort_array(F.collect_list(F.struct("page_id", text.alias("text")))), lambda e: e["text"])
+    response = F.concat(F.lit('{"items":['), F.array_join(texts, ","), F.lit("]}"))
+    responses = videos.groupBy(envelope).agg(response.alias("raw_json"))
+    failed = F.lit('{"error": {"code": 403, "message": "quota"}}')
+    responses = responses.withColumn("raw_json", F.when(F.col("envelope") % 7 == 3, failed).otherwise(F.col("raw_json")))
+    judged = landed.elements(responses, "video_envelope", "envelope")
+    good = landed.good_elements(judged, "envelope", "pos").select("envelope", "pos", F.lit("good").alias("side"), "id")
+    bad = landed.bad_elements(judged, "video_envelope", "envelope")
+    return good.union(bad.select("envelope", "pos", "reason", F.lit(None).cast("string")))

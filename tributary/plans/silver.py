@@ -120,6 +120,30 @@ def silver_incremental(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register(
+    "silver_touched_dates",
+    "SELECT strftime(ts, '%Y-%m-%d') AS event_date, count(*) AS n_rows, "
+    "bool_or(event_id % 4 = 1 AND event_id % 100 = 1) AS rewritten FROM events GROUP BY 1",
+)
+def silver_touched_dates(spark: SparkSession, folder: str) -> DataFrame:
+    """All events are built, then newer copies of a few; only the dates of these are in a folder of the second run."""
+    root, replay = folders.work_folder(spark, "lake"), folders.work_folder(spark, "replay")
+    records = inputs.event_records(table(spark, folder, "events"))
+    few = records.where("CAST(CAST(key AS STRING) AS BIGINT) % 100 = 1 AND CAST(CAST(key AS STRING) AS BIGINT) % 4 = 1")
+    built = []
+    for part in (records, few.withColumn("offset", F.col("offset") + 1)):
+        part.write.mode("append").parquet(replay)
+        stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(replay)
+        ingest.drain([ingest.start_bronze(stream, "github", root, ingest.ONCE)])
+        built.append(jobs.build_silver(spark, root, "github"))
+    silver = jobs.read_silver(spark, root, "github")
+    run = F.regexp_extract("_metadata.file_path", "(run=[^/]*)/event_date=", 1)
+    last = built[-1].rsplit("/", 1)[-1]
+    return silver.groupBy(F.col("event_date").cast("string").alias("event_date")).agg(
+        F.count("*").alias("n_rows"), F.bool_or(run == last).alias("rewritten")
+    )
+
+
 @register(
     "cross_source_union",
     "SELECT 'hackernews' AS source, CAST(doc_id AS VARCHAR) AS id, CAST(NULL AS VARCHAR) AS video_id, "

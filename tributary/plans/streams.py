@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary import folders, schemas
+from tributary import folders, jobs, schemas
 from tributary.operators.audit import landing_audit
 from tributary.plans import inputs
 from tributary.plans.envelope import RECORD_VALUE_SQL, damage
@@ -138,6 +138,32 @@ def bronze_compaction(spark: SparkSession, folder: str) -> DataFrame:
     return flat_event(landed, "partition", "offset").withColumn("public", F.col("public").cast("boolean"))
 
 
+@register(
+    "bronze_clock_step",
+    f"SELECT layer, id, type, actor_login, payload FROM (SELECT {EVENT_FIELDS_SQL} FROM events), "
+    "(VALUES ('bronze'), ('silver')) l(layer)",
+)
+def bronze_clock_step(spark: SparkSession, folder: str) -> DataFrame:
+    """Half of the events land under a clock two days ahead and go into a compaction and silver; the rest land with the
+    clock set back, before them by date and time, and are in both all the same."""
+    root, replay = folders.work_folder(spark, "lake"), folders.work_folder(spark, "replay")
+    events = table(spark, folder, "events")
+    for test, ahead in (("event_id % 2 = 0", 2), ("event_id % 2 = 1", 0)):
+        inputs.event_records(events.where(test)).write.mode("append").parquet(replay)
+        stream = spark.readStream.schema(schemas.KAFKA_RECORD).parquet(replay)
+        at = F.current_timestamp() + F.make_dt_interval(days=F.lit(ahead))
+        ingest.drain([ingest.start_bronze(stream, "github", root, ingest.ONCE, at=at)])
+        if ahead:
+            compact(spark, root, "github")
+        jobs.build_silver(spark, root, "github")
+    sides = [("bronze", bronze.read(spark, root, "github")), ("silver", jobs.read_silver(spark, root, "github"))]
+    columns = ["id", "type", "payload"]
+    logins = {"bronze": "actor.login", "silver": "actor_login"}
+    return bronze.union_sources(
+        [rows.select(F.lit(side).alias("layer"), *columns, F.col(logins[side]).alias("actor_login")) for side, rows in sides]
+    )
+
+
 @register("stream_dedup", "SELECT DISTINCT user_id FROM events")
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Users seen in a stream, once each; the delay covers the whole replay."""

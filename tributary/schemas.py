@@ -31,18 +31,21 @@ VIDEO_MESSAGE = (
 # integer field would turn "12" into null.
 STORY_LIST = "ARRAY<BIGINT>"
 STORY_ITEM = STORY_MESSAGE
-EVENT_PAGE = (
-    "ARRAY<STRUCT<id: STRING, type: STRING, actor: STRUCT<id: BIGINT, display_login: STRING>, "
-    "repo: STRUCT<name: STRING>, created_at: STRING, payload: STRING, public: BOOLEAN>>"
+EVENT_ITEM = (
+    "id: STRING, type: STRING, actor: STRUCT<id: BIGINT, display_login: STRING>, "
+    "repo: STRUCT<name: STRING>, created_at: STRING, payload: STRING, public: BOOLEAN"
 )
-VIDEO_ENVELOPE = (
-    "items ARRAY<STRUCT<id: STRING, "
+EVENT_PAGE = f"ARRAY<STRUCT<{EVENT_ITEM}>>"
+VIDEO_ITEM = (
+    "id: STRING, "
     "snippet: STRUCT<title: STRING, channelTitle: STRING, channelId: STRING, publishedAt: STRING, "
     "description: STRING, tags: ARRAY<STRING>, categoryId: STRING>, "
     "statistics: STRUCT<viewCount: STRING, likeCount: STRING, commentCount: STRING>, "
-    "contentDetails: STRUCT<duration: STRING>>>"
+    "contentDetails: STRUCT<duration: STRING>"
 )
-SEARCH_ENVELOPE = "items ARRAY<STRUCT<id: STRUCT<videoId: STRING>>>"
+VIDEO_ENVELOPE = f"items ARRAY<STRUCT<{VIDEO_ITEM}>>"
+SEARCH_ITEM = "id: STRUCT<videoId: STRING>"
+SEARCH_ENVELOPE = f"items ARRAY<STRUCT<{SEARCH_ITEM}>>"
 
 KAFKA_RECORD = (
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, "

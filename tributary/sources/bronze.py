@@ -1,4 +1,4 @@
-"""Bronze tables: paths, leaf reads, unions, committed files.
+"""Bronze tables: paths, the commit log, leaf reads, unions, committed files.
 
 A leaf folder has its own commit log and is the only thing that is ever read:
 a read of the folder above would also see files that were never committed.
@@ -6,13 +6,14 @@ a read of the folder above would also see files that were never committed.
 
 from __future__ import annotations
 
-from datetime import datetime
+import re
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary import folders, schemas
+from tributary import dated, folders, schemas
 
 # Null for good rows; what cannot be used is kept as text, with the reason.
 ASIDE = "raw_json STRING, reason STRING"
@@ -40,46 +41,105 @@ def compacted_path(root: str, source: str) -> str:
     return f"{root.rstrip('/')}/compacted/source={schemas.source(source).name}"
 
 
-def read_landed(
-    spark: SparkSession, root: str, source: str, *keep: str, after: datetime | None = None
-) -> DataFrame:
-    """Good and quarantined rows of a source, with the declared schema.
+# --- what has been committed ------------------------------------------------
 
-    Rows come from the newest finished compaction and from what was landed after it. No
-    footer is read, and files written before a column was added give null for it. `keep`
-    declares further columns stored next to the message, those of the position are always there. `after` leaves out what was
-    ingested up to an instant, by date before a file is opened.
+
+def newest_batch(spark: SparkSession, leaf: str) -> int:
+    """The number of the last committed micro-batch, -1 before the first."""
+    return max((int(name.split(".")[0]) for name in _log_names(spark, leaf)), default=-1)
+
+
+def _log_names(spark: SparkSession, leaf: str) -> list[str]:
+    return [n for n in folders.children(spark, f"{leaf}/_spark_metadata") if re.fullmatch(r"\d+(\.compact)?", n)]
+
+
+def commit_log(spark: SparkSession, leaf: str) -> DataFrame:
+    """(batch, file_name, size) of every committed file, from the sink's own log.
+
+    Now and then the sink writes all earlier entries into one file; they have the number of the batch
+    that did. So a number says until when a file was committed, and files of two reads are
+    told apart by their names, which are unique.
+    """
+    numbers = {int(name.split(".")[0]): name for name in _log_names(spark, leaf)}
+    whole = max((n for n, name in numbers.items() if name.endswith(".compact")), default=-1)
+    entries = []
+    for number in sorted(n for n in numbers if n >= whole):
+        # Spark's own readers leave the folder of the log out, so its lines come as text
+        lines = spark.sparkContext.textFile(f"{leaf}/_spark_metadata/{numbers[number]}")
+        entry = spark.read.schema("path STRING, size BIGINT, action STRING").json(lines)
+        entries.append(entry.where("action = 'add'").withColumn("batch", F.lit(number).cast("bigint")))
+    if not entries:
+        return spark.createDataFrame([], "batch BIGINT, file_name STRING, size BIGINT")
+    return reduce(DataFrame.unionByName, entries).select(
+        "batch", F.substring_index("path", "/", -1).alias("file_name"), "size"
+    )
+
+
+@dataclass(frozen=True)
+class Tail:
+    """Rows of the files that a version did not know, all files known now, and the batch up to which they go."""
+
+    rows: DataFrame
+    files: DataFrame
+    batch: int
+
+
+def since(spark: SparkSession, root: str, source: str, version: str | None, *keep: str) -> Tail:
+    """What was committed after the version in folder `version` was made; everything without one.
+
+    A version keeps the names of the files it was made from, so no clock decides what is new. Rows, files and
+    number are of the same batch. Only the new files are opened.
     """
+    leaf, columns = leaf_path(root, source), _columns(source, *keep)
+    while True:  # until no batch is committed between looking and reading
+        batch = newest_batch(spark, leaf)
+        names = folders.children(spark, leaf)
+        if batch < 0 and ("_spark_metadata" in names or not names):
+            nothing = spark.createDataFrame([], "file_name STRING")
+            return Tail(spark.createDataFrame([], columns), nothing, batch)
+        rows = spark.read.schema(columns).parquet(leaf)
+        if batch < 0:  # written by a batch job, so without a log
+            files = rows.select("_metadata.file_name").distinct()
+        else:
+            files = commit_log(spark, leaf).select("file_name")
+        if newest_batch(spark, leaf) == batch:
+            break
+    if version is None:
+        return Tail(rows, files, batch)
+    known = spark.read.schema("file_name STRING").parquet(f"{version}/files")
+    new = [r.file_name for r in files.join(known, "file_name", "left_anti").collect()]
+    return Tail(rows.where(F.col("_metadata.file_name").isin(new)), files, batch)
+
+
+def _columns(source: str, *keep: str) -> str:
     further = [c for c in keep if c.split()[0].strip("`") not in POSITION]
-    columns = ", ".join([*further, schemas.source(source).message, POSITION_SCHEMA, ASIDE, ADDED])
-    leaf = spark.read.schema(columns).parquet(leaf_path(root, source))
-    newest = folders.newest_version(spark, compacted_path(root, source))
-    if newest is None:
-        return ingested_after(leaf, after)
-    upto = spark.read.schema("upto TIMESTAMP").parquet(f"{newest}/upto").first().upto
-    rewritten = spark.read.schema(columns).parquet(f"{newest}/rows")
-    return ingested_after(rewritten, after).unionByName(ingested_after(ingested_after(leaf, upto), after))
+    return ", ".join([*further, schemas.source(source).message, POSITION_SCHEMA, ASIDE, ADDED])
 
 
-def ingested_after(rows: DataFrame, instant: datetime | None) -> DataFrame:
-    """Rows of later micro-batches; a batch has one instant, and its date is a folder.
+def read_landed(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+    """Good and quarantined rows of a source, with the declared schema.
 
-    The dates are those of the session that landed the rows.
+    Rows come from the newest finished compaction and from the files committed since. No
+    footer is read, and files written before a column was added give null for it. `keep`
+    declares further columns stored next to the message, those of the position are always there.
     """
-    if instant is None:
-        return rows
-    day = F.date_sub(F.lit(instant).cast("timestamp").cast("date"), 1)  # sessions may differ in time zone
-    return rows.where((F.col("partition_date") >= day) & (F.col("ingested_at") > F.lit(instant)))
+    base = compacted_path(root, source)
+    newest = folders.newest_version(spark, base)
+    tail = since(spark, root, source, newest, *keep).rows
+    if newest is None:
+        return tail
+    return dated.read(spark, base, newest, _columns(source, *keep), "partition_date").unionByName(tail)
 
 
-def read(
-    spark: SparkSession, root: str, source: str, *keep: str, after: datetime | None = None
-) -> DataFrame:
+def good(landed: DataFrame) -> DataFrame:
     """The good rows. The text column is not scanned."""
-    landed = read_landed(spark, root, source, *keep, after=after)
     return landed.where("reason IS NULL").drop("raw_json", "reason")
 
 
+def read(spark: SparkSession, root: str, source: str, *keep: str) -> DataFrame:
+    return good(read_landed(spark, root, source, *keep))
+
+
 def read_quarantine(spark: SparkSession, root: str, source: str) -> DataFrame:
     """What could not be used. Row groups without any are skipped by their statistics."""
     landed = read_landed(spark, root, source)
@@ -101,12 +161,6 @@ def read_all(spark: SparkSession, root: str, sources: list[str]) -> DataFrame:
     return union_sources([with_text_key(read(spark, root, s), s) for s in sources])
 
 
-def committed_paths(frame: DataFrame) -> DataFrame:
-    """(file_name) of the files a read goes over, also of those without rows, as the table lists them."""
-    names = [(path.rsplit("/", 1)[-1],) for path in frame.inputFiles()]
-    return frame.sparkSession.createDataFrame(names, "file_name STRING")
-
-
 def committed_files(frame: DataFrame) -> DataFrame:
     """(file_path, n_rows, n_quarantined) of the files with rows; at most the reason column is scanned."""
     aside = F.count("reason") if "reason" in frame.columns else F.lit(0).cast("bigint")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tributary import folders, schemas
@@ -31,18 +32,22 @@ def start_bronze(
     root: str,
     trigger: dict = TRIGGER,
     keep: tuple[str, ...] = bronze.POSITION,
+    at: Column | None = None,
 ) -> StreamingQuery:
     """Append a record stream to the source's bronze table.
 
     Good and unusable records are told apart in one parse and committed together,
     each exactly once. Nothing is shuffled: an input split becomes one task and one
-    file. `keep` names record columns to store next to the message.
+    file. `keep` names record columns to store next to the message. `at` is the time of
+    ingestion instead of the session's clock; readers do not go by either.
     """
     sink, checkpoint = bronze.leaf_path(root, source), bronze.checkpoint_path(root, source)
     guard(records.sparkSession, sink, checkpoint)
+    rows = landed_rows(kafka.raw_json(records, *keep), source, *keep)
+    if at is not None:
+        rows = rows.withColumn("ingested_at", at).withColumn("partition_date", F.to_date("ingested_at"))
     return (
-        landed_rows(kafka.raw_json(records, *keep), source, *keep)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .option("path", sink)
         .option("checkpointLocation", checkpoint)
         .partitionBy("partition_date")
