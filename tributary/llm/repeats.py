@@ -9,21 +9,25 @@ suffixes of a whole corpus do not fit anywhere, so the work is cut where content
 2. Contexts. The bytes around an anchor that windows with this anchor can cover are its context.
    Anchors whose hash is alone are done. Equal contexts are counted, not compared: if one
    occurs twice, all of it is repeated. What is left are different contexts of one hash, one of
-   each; of a hash with very many, only those that share a core go on, the bytes that a run of
-   windows has in common.
+   each.
 3. Expansion. Contexts of one hash meet in a task, aligned at their anchors; a byte and its
    column are one letter. Their suffixes are sorted, and backward extension on the
    Burrows-Wheeler transform goes breadth first through the intervals of suffixes with a
    common prefix; it gives the places where neighbours part after 0, 1, 2 ... bytes and stops
    at `length`. Neighbours that it did not part share a window.
-4. A hash with very many contexts is cut into cells of `cell` contexts. Each cell goes through
-   step 3 and reports its windows by hash; those of several cells are repeated too.
+4. A hash with more than `cell` contexts is cut by what windows have in common. The windows of a context
+   fall into runs of neighbours. Equal windows of a run have equal cores, the bytes that all windows of
+   the run share, so contexts meet per run and core. Those that agree in the hull of the run, the bytes
+   of all its windows, are counted, not compared, and one of them goes on. If the hulls of one core are
+   still more than `cell`, the run is halved. A run of one window is its own core and hull, so every
+   window's holders meet somewhere, in a group of at most `cell` for step 3 or in a count.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import pieces, release, written
-from tributary.llm.tokens import BASE, BYTE_VALUES, INVERSE, buffers, mix, powers, span_hashes
+from tributary.llm.tokens import BASE, BYTE_VALUES, INVERSE, buffers, mix, powers
 
 SLICE = 1 << 20
 RANGES = 4
@@ -99,19 +103,11 @@ def anchor_rows(documents: DataFrame, length: int, gram: int) -> DataFrame:
     return documents.select("row", "text").mapInArrow(run, f"hash long, context long, row {kind}, pos long")
 
 
-def _range_starts(length: int, gram: int) -> np.ndarray:
-    """First window (by its distance from the context's full left end) of each run of windows, and the end."""
-    return np.linspace(0, length - gram + 1, RANGES + 1).astype(np.int64)
-
-
 def context_rows(found: DataFrame, length: int, gram: int) -> DataFrame:
-    """(hash, context, n, row, first, anchor, bytes, cores) of wanted contexts, from (row, text, wanted).
+    """(hash, context, n, row, first, anchor, bytes) of wanted contexts, from (row, text, wanted).
 
     `first` is where the context begins in its text, `anchor` where its anchor stands in it.
-    `cores` are hashes of the bytes that each run of windows has in common, null where the
-    context is too short for the run.
     """
-    runs = _range_starts(length, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 200):
@@ -122,20 +118,6 @@ def context_rows(found: DataFrame, length: int, gram: int) -> DataFrame:
             pos = wanted.field("pos").to_numpy() + offsets[text]
             first = np.maximum(offsets[text], pos - (length - gram))
             last = np.minimum(offsets[text + 1], pos + length)
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)))))
-            # Window s begins s bytes after the full left end, which may lie before the text.
-            full = pos - (length - gram)
-            cores = []
-            for low, high in zip(runs[:-1], runs[1:], strict=True):
-                s, e = np.maximum(full + high - 1, first), np.minimum(full + low + length, last)
-                good = (full + high > first) & (full + low + length <= last)
-                s = np.minimum(s, e)
-                core = mix((sums[e] - sums[s]) * powers(INVERSE, len(data) + 1)[s] + (e - s).astype(np.uint64))
-                cores.append(pa.array(core.view(np.int64), mask=~good))
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.arange(len(pos) + 1, dtype=np.int32) * RANGES),
-                pa.chunked_array(cores).combine_chunks().take(pa.array(np.arange(RANGES * len(pos)).reshape(RANGES, -1).T.ravel())),
-            )
             sizes = last - first
             ends = np.concatenate(([0], np.cumsum(sizes)))
             flat = data[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])]
@@ -145,15 +127,96 @@ def context_rows(found: DataFrame, length: int, gram: int) -> DataFrame:
                 "first": pa.array(first - offsets[text]),
                 "anchor": pa.array(pos - first),
                 "bytes": contents,
-                "cores": lists,
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kind = found.schema["row"].dataType.simpleString()
-    schema = f"hash long, context long, n long, row {kind}, first long, anchor long, bytes binary, cores array<long>"
+    schema = f"hash long, context long, n long, row {kind}, first long, anchor long, bytes binary"
     return found.select("row", "text", "wanted").mapInArrow(run, schema)
 
 
+def run_rows(parts: DataFrame, length: int, gram: int) -> DataFrame:
+    """(hash, context, many, row, low, high, core, hull, start, end) of runs of windows, from contexts with (low, high).
+
+    Window w begins in column w, its distance from the left end that a context has if its text does not
+    end before. A run has the windows from `low` to `high` - 1; without any of them in the context there is no row.
+    `start` and `end` bound its hull in the text.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = buffers(batch.column("bytes"))
+            low, high, anchor, first = (batch.column(c).to_numpy() for c in ("low", "high", "anchor", "first"))
+            begin, size = length - gram - anchor, np.diff(offsets)
+            there = np.maximum(low, begin) <= np.minimum(high - 1, begin + size - length)
+            shift = offsets[:-1] - begin  # from columns to places in the data
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)))))
+            back = powers(INVERSE, len(data) + 1)
+
+            def hashed(s: np.ndarray, e: np.ndarray) -> np.ndarray:
+                return (sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64)  # noqa: B023
+
+            start, end = np.maximum(low, begin)[there], np.minimum(high - 1 + length, begin + size)[there]
+            inner = mix(hashed((high - 1 + shift)[there], (low + length + shift)[there]))
+            outer = mix(hashed(start + shift[there], end + shift[there]) + (start - low[there]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            keep = pa.array(np.flatnonzero(there))
+            to_text = first[there] - begin[there]
+            columns = {k: batch.column(k).take(keep) for k in ("hash", "context", "many", "row", "low", "high")} | {
+                "core": pa.array(inner.view(np.int64)), "hull": pa.array(outer.view(np.int64)),
+                "start": pa.array(start + to_text), "end": pa.array(end + to_text),
+            }
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+    kind = parts.schema["row"].dataType.simpleString()
+    schema = f"hash long, context long, many boolean, row {kind}, low long, high long, core long, hull long, start long, end long"
+    return parts.select("hash", "context", "many", "row", "first", "anchor", "bytes", "low", "high").mapInArrow(run, schema)
+
+
+RUN = ["hash", "low", "high", "core"]
+
+
+def cut_runs(contexts: DataFrame, length: int, gram: int, cell: int) -> tuple[DataFrame, DataFrame]:
+    """(repeated spans, parts) of contexts of hashes that have too many for one task.
+
+    Parts are like contexts, cut to the hull of a run, with a `group`: at most `cell` of one run and core.
+    """
+    starts = np.linspace(0, length - gram + 1, RANGES + 1).astype(int).tolist()
+    runs = F.array(*[F.struct(F.lit(s).cast("long").alias("low"), F.lit(e).cast("long").alias("high")) for s, e in zip(starts[:-1], starts[1:], strict=True)])
+    parts = contexts.select("*", (F.col("n") > 1).alias("many"), F.inline(runs))
+    spans, small = [], []
+    while True:
+        rows = written(run_rows(parts, length, gram), "repeats-runs")
+        hulls = rows.groupBy(*RUN, "hull").agg(
+            F.count(F.lit(1)).alias("n"), F.max("many").alias("many"), F.min("context").alias("context")
+        )
+        hulls = written(hulls, "repeats-hulls")
+        spans.append(rows.join(hulls.where("n > 1").select(*RUN, "hull"), [*RUN, "hull"]).select("row", "start", "end"))
+        kinds = hulls.groupBy(*RUN).agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+        several = hulls.join(kinds, RUN).select(*RUN, "kinds", "context", (F.col("many") | (F.col("n") > 1)).alias("many"))
+        several = written(several, "repeats-cores")
+        small.append(several.where(F.col("kinds") <= cell))
+        large = several.where(F.col("kinds") > cell)
+        if large.isEmpty():
+            break
+        middle = F.floor((F.col("low") + F.col("high")) / 2)
+        halves = F.array(F.struct("low", middle.alias("high")), F.struct(middle.alias("low"), "high"))
+        own = large.select("hash", "context", "many", F.inline(halves).alias("low", "high")).where("low < high")
+        parts = contexts.join(own, ["hash", "context"])
+    found = written(reduce(DataFrame.unionByName, small), "repeats-small")
+    bins = max(1, -(-found.count() // cell))
+    group = F.struct(F.lit(True).alias("large"), F.pmod(F.xxhash64(F.lit(3), *RUN), F.lit(bins)).alias("at"))
+    whole = contexts.join(found, ["hash", "context"])
+    begin = length - gram - F.col("anchor")
+    left = F.greatest(F.col("low") - begin, F.lit(0))
+    right = F.least(F.col("high") - 1 + length - begin, F.octet_length("bytes"))
+    cut = whole.select(
+        "hash", "context", F.when(F.col("many"), 2).otherwise(1).cast("long").alias("n"), "row", (F.col("first") + left).alias("first"),
+        (F.col("anchor") - left).alias("anchor"), F.substring("bytes", left.cast("int") + 1, (right - left).cast("int")).alias("bytes"),
+        group.alias("group"),
+    )
+    return reduce(DataFrame.union, spans), cut
+
+
 def suffix_order(symbols: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(part, column) of all suffixes of aligned parts, by column and then by content.
 
@@ -244,9 +307,9 @@ def repeated_windows(parts: list[bytes], begin: np.ndarray, length: int) -> tupl
 
 
 def cell_spans(table: pa.Table, length: int, gram: int) -> pa.Table:
-    """Repeated spans of the single contexts of a cell, and, of a hash in several cells, its windows."""
+    """Repeated spans of the contexts of a cell that occur once."""
     rows = table.to_pylist()
-    rows.sort(key=lambda r: (r["hash"], r["context"]))
+    rows.sort(key=lambda r: (r["hash"], r["context"], r["first"]))
     begin = np.array([length - gram - r["anchor"] for r in rows], np.int64)
     part, offset, run = repeated_windows([r["bytes"] for r in rows], begin, length)
     first = np.array([r["first"] for r in rows], np.int64)
@@ -267,38 +330,10 @@ def cell_spans(table: pa.Table, length: int, gram: int) -> pa.Table:
     # Windows of a context that touch become one span.
     starts = np.flatnonzero(np.concatenate(([True], (p[1:] != p[:-1]) | (o[1:] > o[:-1] + length)))) if len(p) else p
     lasts = np.append(starts[1:], len(p)) - 1 if len(p) else p
-    spans = [(p[starts], first[p[starts]] + o[starts], first[p[starts]] + o[lasts] + length, None, None, None)]
-    if rows[0]["cells"] > 1:
-        example = begins[np.argsort(part[begins], kind="stable")]
-        own = part[example]
-        hashes = np.zeros((2, len(example)), np.uint64)
-        cuts = np.searchsorted(own, np.arange(len(rows) + 1))
-        for i in np.flatnonzero(np.diff(cuts)):
-            s, e = cuts[i], cuts[i + 1]
-            values, at = BYTE_VALUES[np.frombuffer(rows[i]["bytes"], np.uint8)], offset[example[s:e]]
-            hashes[0, s:e] = span_hashes(values, at, at + length)
-            hashes[1, s:e] = span_hashes(values ^ np.uint64(0xA5A5A5A5A5A5A5A5), at, at + length)
-        again = twice[group[example]]
-        at = first[own] + offset[example]
-        spans.append((np.where(again, -1, own), at, at + length, *hashes.view(np.int64), again))
     named = pa.array([r["row"] for r in rows], table.schema.field("row").type)
-    parts = []
-    for at, start, end, a, b, flag in spans:
-        empty = lambda kind, n=len(at): pa.nulls(n, kind)
-        parts.append(
-            pa.table(
-                [
-                    named.take(pa.array(at, mask=at < 0)),
-                    pa.array(start, pa.int64()),
-                    pa.array(end, pa.int64()),
-                    empty(pa.int64()) if a is None else pa.array(a),
-                    empty(pa.int64()) if b is None else pa.array(b),
-                    empty(pa.bool_()) if flag is None else pa.array(flag),
-                ],
-                names=["row", "start", "end", "window_a", "window_b", "twice"],
-            )
-        )
-    return pa.concat_tables(parts)
+    at = p[starts]
+    columns = [named.take(pa.array(at)), pa.array(first[at] + o[starts], pa.int64()), pa.array(first[at] + o[lasts] + length, pa.int64())]
+    return pa.table(columns, names=["row", "start", "end"])
 
 
 def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048) -> DataFrame:
@@ -338,29 +373,14 @@ def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, c
     large = written(mixed.where(F.col("kinds") > cell).select("hash"), "repeats-large")
     # Hashes of few contexts share cells.
     bin_of = F.pmod(F.xxhash64(F.lit(4), "hash"), F.lit(max(1, -(-few // cell))))
-    placed = pieces_of.drop("cores").join(large, "hash", "left_anti")
-    placed = placed.withColumn("cells", F.lit(1).cast("long")).withColumn("group", F.struct(F.lit(False).alias("large"), bin_of.alias("at")))
+    placed = pieces_of.join(large, "hash", "left_anti")
+    placed = placed.withColumn("group", F.struct(F.lit(False).alias("large"), bin_of.alias("at")))
     if not large.isEmpty():
-        # Of a hash of many contexts only those that share a core go on, in cells of their own.
-        cores = pieces_of.join(large, "hash").select("hash", "context", F.posexplode("cores").alias("place", "core"))
-        cores = cores.where("core IS NOT NULL")
-        common = cores.groupBy("hash", "place", "core").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-        alive = written(cores.join(common, ["hash", "place", "core"]).select("hash", "context").distinct(), "repeats-alive")
-        cells = alive.groupBy("hash").agg(F.ceil(F.count(F.lit(1)) / cell).alias("cells"))
-        own = F.xxhash64("hash", F.pmod(F.xxhash64(F.lit(3), "context"), F.col("cells")))
-        alive = alive.join(cells, "hash").withColumn("group", F.struct(F.lit(True).alias("large"), own.alias("at")))
-        placed = placed.unionByName(pieces_of.drop("cores").join(written(alive, "repeats-cells"), ["hash", "context"]))
+        spans, cut = cut_runs(written(pieces_of.join(large, "hash"), "repeats-many"), length, gram, cell)
+        whole, placed = whole.union(spans), placed.unionByName(cut)
     kind = documents.schema["row"].dataType.simpleString()
-    schema = f"row {kind}, start long, end long, window_a long, window_b long, twice boolean"
-    found = placed.groupBy("group").applyInArrow(lambda t: cell_spans(t, length, gram), schema)
-    found = written(found, "repeats-found")
-    windows = found.where("window_a IS NOT NULL")
-    again = windows.groupBy("window_a", "window_b").agg(
-        F.max("twice").alias("any"), F.count_distinct("row", "start").alias("places"), F.count("row").alias("n")
-    )
-    again = again.where("any OR places > 1").select("window_a", "window_b")
-    across = windows.where("NOT twice").join(again, ["window_a", "window_b"]).select("row", "start", "end")
-    return whole.union(found.where("window_a IS NULL").select("row", "start", "end")).union(across)
+    found = placed.groupBy("group").applyInArrow(lambda t: cell_spans(t, length, gram), f"row {kind}, start long, end long")
+    return whole.union(written(found, "repeats-found"))
 
 
 def merged(spans: list, size: int, length: int) -> list[tuple[int, int]]:
