@@ -82,6 +82,32 @@ def test_repeats_like_brute_force(documents, cell):
     assert [tuple(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in found] == removed(texts, 200)
 
 
+def test_repeats_of_one_byte_and_of_a_short_period(documents):
+    """Long texts whose windows repeat everywhere, whole texts of over 100,000 bytes among other texts."""
+    rng = random.Random(11)
+    prose = lambda n: "".join(rng.choice("abcde \n") for _ in range(n))
+    texts = ["z" * 110_000, "abcdefg" * 15_000, prose(500) + "z" * 300 + prose(200), prose(900), "cdefgab" * 40 + prose(300)]
+    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=3).orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in found] == removed(texts, 200)
+
+
+@pytest.mark.parametrize("cell", [2, 5])
+def test_hot_hashes_are_cut_by_their_cores(documents, cell):
+    """One passage in many texts, whole, cut at either end, with one byte changed, and beside equal neighbours."""
+    rng = random.Random(cell)
+    prose = lambda n: "".join(rng.choice("abcdeé \n") for _ in range(n))
+    passage, before, after = prose(420), prose(150), prose(150)
+    texts = []
+    for i in range(90):
+        cut = passage[rng.randint(0, 240) :] if i % 3 == 0 else passage[: rng.randint(190, 420)] if i % 3 == 1 else passage
+        at = rng.randint(0, len(cut) - 1)
+        if i % 4 == 0:
+            cut = cut[:at] + "#" + cut[at + 1 :]
+        texts.append((before if i % 5 == 0 else prose(rng.randint(0, 200))) + cut + (after if i % 7 == 0 else prose(rng.randint(0, 200))))
+    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=cell).orderBy("doc_id").collect()
+    assert [tuple(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in found] == removed(texts, 200)
+
+
 def test_repeats_with_repeated_and_missing_ids(documents):
     text = "".join(random.Random(9).choice("abcdef ") for _ in range(400))
     found = repeats.remove_repeats(documents([(1, text), (1, text), (None, text[:250]), (2, "x")])).collect()
