@@ -15,12 +15,12 @@ suffixes of a whole corpus do not fit anywhere, so the work is cut where content
    Burrows-Wheeler transform goes breadth first through the intervals of suffixes with a
    common prefix; it gives the places where neighbours part after 0, 1, 2 ... bytes and stops
    at `length`. Neighbours that it did not part share a window.
-4. A hash with more than `cell` contexts is cut by what windows have in common. The windows of a context
+4. A hash with more than `hot` contexts is cut by what windows have in common. The windows of a context
    fall into runs of neighbours. Equal windows of a run have equal cores, the bytes that all windows of
    the run share, so contexts meet per run and core. Those that agree in the hull of the run, the bytes
    of all its windows, are counted, not compared, and one of them goes on. If the hulls of one core are
-   still more than `cell`, the run is halved. A run of one window is its own core and hull, so every
-   window's holders meet somewhere, in a group of at most `cell` for step 3 or in a count.
+   still more than `hot`, the run is halved. A run of one window is its own core and hull, so every
+   window's holders meet somewhere, in a group of at most `hot` for step 3 or in a count.
 """
 
 from __future__ import annotations
@@ -175,10 +175,11 @@ def run_rows(parts: DataFrame, length: int, gram: int) -> DataFrame:
 RUN = ["hash", "low", "high", "core"]
 
 
-def cut_runs(contexts: DataFrame, length: int, gram: int, cell: int) -> tuple[DataFrame, DataFrame]:
-    """(repeated spans, parts) of contexts of hashes that have too many for one task.
+def cut_runs(contexts: DataFrame, length: int, gram: int, cell: int, hot: int) -> tuple[DataFrame, DataFrame]:
+    """(repeated spans, parts) of contexts of hot hashes.
 
-    Parts are like contexts, cut to the hull of a run, with a `group`: at most `cell` of one run and core.
+    Parts are like contexts, cut to the hull of a run, with a `group`. Of one run and core there are at most `hot`,
+    and a group holds about `cell` parts.
     """
     starts = np.linspace(0, length - gram + 1, RANGES + 1).astype(int).tolist()
     runs = F.array(*[F.struct(F.lit(s).cast("long").alias("low"), F.lit(e).cast("long").alias("high")) for s, e in zip(starts[:-1], starts[1:], strict=True)])
@@ -194,8 +195,8 @@ def cut_runs(contexts: DataFrame, length: int, gram: int, cell: int) -> tuple[Da
         kinds = hulls.groupBy(*RUN).agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
         several = hulls.join(kinds, RUN).select(*RUN, "kinds", "context", (F.col("many") | (F.col("n") > 1)).alias("many"))
         several = written(several, "repeats-cores")
-        small.append(several.where(F.col("kinds") <= cell))
-        large = several.where(F.col("kinds") > cell)
+        small.append(several.where(F.col("kinds") <= hot))
+        large = several.where(F.col("kinds") > hot)
         if large.isEmpty():
             break
         middle = F.floor((F.col("low") + F.col("high")) / 2)
@@ -336,7 +337,7 @@ def cell_spans(table: pa.Table, length: int, gram: int) -> pa.Table:
     return pa.table(columns, names=["row", "start", "end"])
 
 
-def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048) -> DataFrame:
+def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048, hot: int = 256) -> DataFrame:
     """(row, start, end): spans of (row, text) that cover every byte of a repeated window, and no other.
 
     Rows must have names of their own. Spans may overlap, and reach beyond the end of a text:
@@ -369,14 +370,14 @@ def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, c
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     pieces_of = written(context_rows(documents.join(wanted, "row"), length, gram), "repeats-pieces")
     release(spark)
-    few = mixed.where(F.col("kinds") <= cell).agg(F.sum("kinds").alias("n")).first().n or 0
-    large = written(mixed.where(F.col("kinds") > cell).select("hash"), "repeats-large")
+    few = mixed.where(F.col("kinds") <= hot).agg(F.sum("kinds").alias("n")).first().n or 0
+    large = written(mixed.where(F.col("kinds") > hot).select("hash"), "repeats-large")
     # Hashes of few contexts share cells.
     bin_of = F.pmod(F.xxhash64(F.lit(4), "hash"), F.lit(max(1, -(-few // cell))))
     placed = pieces_of.join(large, "hash", "left_anti")
     placed = placed.withColumn("group", F.struct(F.lit(False).alias("large"), bin_of.alias("at")))
     if not large.isEmpty():
-        spans, cut = cut_runs(written(pieces_of.join(large, "hash"), "repeats-many"), length, gram, cell)
+        spans, cut = cut_runs(written(pieces_of.join(large, "hash"), "repeats-many"), length, gram, cell, hot)
         whole, placed = whole.union(spans), placed.unionByName(cut)
     kind = documents.schema["row"].dataType.simpleString()
     found = placed.groupBy("group").applyInArrow(lambda t: cell_spans(t, length, gram), f"row {kind}, start long, end long")
@@ -396,7 +397,7 @@ def merged(spans: list, size: int, length: int) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def remove_repeats(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048) -> DataFrame:
+def remove_repeats(documents: DataFrame, *, length: int = 200, gram: int = 64, cell: int = 2048, hot: int = 256) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_sha256) for every row.
 
     Texts are taken as UTF-8 bytes, null as empty; `kept` has the bytes that stay, which may
@@ -409,7 +410,7 @@ def remove_repeats(documents: DataFrame, *, length: int = 200, gram: int = 64, c
         texts = texts.withColumn("row", F.col("doc_id"))
     else:  # names for the rows, fixed by writing them
         texts = written(texts.withColumn("row", F.monotonically_increasing_id()), "repeats-rows")
-    spans = repeated_spans(texts, length=length, gram=gram, cell=cell).distinct()
+    spans = repeated_spans(texts, length=length, gram=gram, cell=cell, hot=hot).distinct()
     spans = spans.groupBy("row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     spans = written(spans, "repeats-spans")
     release(documents.sparkSession)
