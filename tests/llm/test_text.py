@@ -78,7 +78,7 @@ def test_repeats_like_brute_force(documents, cell):
     passages = [prose(n) for n in (199, 200, 201, 260, 700)]
     texts = [prose(rng.randint(0, 300)) + rng.choice(passages) + prose(rng.randint(0, 300)) for _ in range(60)]
     texts += ["a" * 450, "ab" * 300, None, "", "short", texts[0], passages[4] * 2, "\0" * 199]
-    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=cell).orderBy("doc_id").collect()
+    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=cell, hot=min(cell, 256)).orderBy("doc_id").collect()
     assert [tuple(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in found] == removed(texts, 200)
 
 
@@ -87,7 +87,7 @@ def test_repeats_of_one_byte_and_of_a_short_period(documents):
     rng = random.Random(11)
     prose = lambda n: "".join(rng.choice("abcde \n") for _ in range(n))
     texts = ["z" * 110_000, "abcdefg" * 15_000, prose(500) + "z" * 300 + prose(200), prose(900), "cdefgab" * 40 + prose(300)]
-    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=3).orderBy("doc_id").collect()
+    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=3, hot=3).orderBy("doc_id").collect()
     assert [tuple(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in found] == removed(texts, 200)
 
 
@@ -104,7 +104,7 @@ def test_hot_hashes_are_cut_by_their_cores(documents, cell):
         if i % 4 == 0:
             cut = cut[:at] + "#" + cut[at + 1 :]
         texts.append((before if i % 5 == 0 else prose(rng.randint(0, 200))) + cut + (after if i % 7 == 0 else prose(rng.randint(0, 200))))
-    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=cell).orderBy("doc_id").collect()
+    found = repeats.remove_repeats(documents(list(enumerate(texts))), cell=cell, hot=min(cell, 256)).orderBy("doc_id").collect()
     assert [tuple(r[c] for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")) for r in found] == removed(texts, 200)
 
 
