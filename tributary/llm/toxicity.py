@@ -1,16 +1,20 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
-A bounded sample of labelled documents is the index, over all words of its texts. A document
-is the TF-IDF vector of all its words; words that no example has count in its length. Words
-that many examples hold stand in a matrix, the others in postings, and a document's cosine to
-every example is the sum of both, so the neighbours are exact, ties by smaller id.
-
-The neighbours vote with the square of their cosine. The vote, the nearest cosine and the
-strongest word become a probability by a logistic fit on the examples, each seen without
-itself. The strength of a word is the smoothed logarithm of how much commoner toxic examples
-are among those that hold it. A document that shares no word with the index gets the share of
-toxic examples without words. Scoring is one pass without a shuffle, and the neighbours are
-returned as evidence.
+A bounded sample of labelled documents is the index. A document is read in passages of `passage` words, as a few
+words among hundreds make a document toxic and would hardly move the cosine of its whole text. A passage
+is the TF-IDF vector of its words; words that no example has count in its length, and words that more than
+`max_share` of the examples hold are stop words. Its neighbours are the `k` examples of the largest cosine,
+ties by smaller id.
+
+Postings stand in blocks of BLOCK examples with the largest weight of the term in the block. A passage's
+terms give every block an upper bound, and the k-th best posting of its best term a score that k examples
+reach; only blocks whose bound reaches it are scored, and of these only what reaches the k-th best block is
+ranked. So the neighbours are exact.
+
+The neighbours of a passage vote with their cosine relative to the nearest, together with SMOOTH votes of the
+usual mix, and the votes of a document's passages (the largest, the means of the three largest, of the
+largest eighth and of all, and their number) become a probability by a logistic fit on the examples, each read
+without itself. Scoring is one pass without a shuffle. The neighbours of the strongest passage are the evidence.
 """
 
 from __future__ import annotations
@@ -29,8 +33,10 @@ from tributary.llm.common import fold, pieces
 from tributary.llm.labelled import labelled_sample
 from tributary.llm.tokens import NOT_ALNUM, word_hashes
 
-COMMON = 0.1  # a word in more than this share of the examples stands in the matrix
-SMOOTH = 20.0  # examples of the usual mix that a word's strength is smoothed with
+BLOCK = 64
+SMOOTH = 2.0
+AT_ONCE = 256  # passages, so that their scores stay in the cache
+NO_WORD = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def word_counts(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,80 +47,151 @@ def word_counts(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return cuts, word, np.concatenate([c for _, c in found]) if found else np.zeros(0, np.int64)
 
 
+def passages(words: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text of each passage; passage, word, count of its distinct words); a text without words is one empty passage."""
+    sizes = np.diff(offsets)
+    parts = np.maximum(1, -(-sizes // size))
+    text = np.repeat(np.arange(len(sizes)), parts)
+    first = np.repeat(np.cumsum(parts) - parts, sizes)
+    inside = np.arange(len(words)) - np.repeat(offsets[:-1], sizes)
+    grid = np.full((len(text), size), NO_WORD, np.uint64)
+    grid[first + inside // size, inside % size] = words
+    grid.sort(axis=1)
+    fresh = grid != NO_WORD
+    fresh[:, 1:] &= grid[:, 1:] != grid[:, :-1]
+    passage, column = np.nonzero(fresh)
+    word = grid[passage, column]
+    return text, passage, word, (grid[passage] == word[:, None]).sum(axis=1)
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each of `first` on, as many as `size` says."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
+
+
 @dataclass
 class Index:
     terms: np.ndarray  # sorted word numbers
-    idf: np.ndarray
-    ids: np.ndarray  # example ids, in index order
+    idf: np.ndarray  # 0 for stop words
+    ids: np.ndarray  # example ids, ascending
     labels: np.ndarray
-    column: np.ndarray  # of each term: its row of `matrix`, or -1
-    matrix: np.ndarray  # (common terms, examples)
-    starts: np.ndarray  # postings of the other terms
-    items: np.ndarray
+    starts: np.ndarray  # of each term: its blocks
+    block: np.ndarray
+    most: np.ndarray  # largest weight of the term in the block
+    at: np.ndarray  # of each block of a term, and one more: its postings
+    slots: np.ndarray  # of each posting: its example's place in the block
     values: np.ndarray
-    strength: np.ndarray  # of each term
-    df: np.ndarray
-    toxic: np.ndarray  # of each term: toxic examples with it
+    reached: np.ndarray  # of each term: the weight that k + 1 examples reach, or 0
     share: float  # of toxic examples
     k: int
+    passage: int
     fit: np.ndarray | None = None
-    without: float = 0.0
 
     def weights(self, terms: np.ndarray, counts: np.ndarray, unknown: np.ndarray | tuple = ()) -> np.ndarray:
         """Weights of the terms in a unit vector; `unknown` has the counts of words in no example."""
         w = (1 + np.log(counts)) * self.idf[terms]
-        rest = (1 + np.log(np.asarray(unknown, float))) * (math.log(1 + len(self.ids)) + 1)
-        return w / math.sqrt(w @ w + rest @ rest)
+        rest = (1 + np.log(np.asarray(unknown, float))) * self.unknown
+        return w / max(math.sqrt(w @ w + rest @ rest), 1e-300)
+
+    @property
+    def unknown(self) -> float:
+        return math.log(1 + len(self.ids)) + 1
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(positions, cosines) of the k nearest examples with a positive cosine."""
-        return next(self.nearest_of([(terms, weights, without)]))
-
-    def nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray, int]], at_once: int = 32) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """`nearest` for each of the texts."""
-        n = len(self.ids)
-        for at in range(0, len(texts), at_once):
-            some = texts[at : at + at_once]
-            dense = np.zeros((len(some), len(self.matrix)))
-            for i, (terms, weights, _) in enumerate(some):
-                column = self.column[terms]
-                dense[i, column[column >= 0]] = weights[column >= 0]
-            for scores, (terms, weights, without) in zip(dense @ self.matrix, some, strict=True):
-                rare = self.column[terms] < 0
-                first, size = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
-                ends = np.cumsum(size)
-                place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
-                if len(place):
-                    scores += np.bincount(self.items[place], self.values[place] * np.repeat(weights[rare], size), n)
-                if without >= 0:
-                    scores[without] = 0
-                least = np.partition(scores, n - self.k)[n - self.k] - 1e-9 if n > self.k else 0
-                item = np.flatnonzero((scores > 0) & (scores >= least))
-                sim = np.round(scores[item], 12)
-                best = np.lexsort((self.ids[item], -sim))[: self.k]
-                yield item[best], sim[best]
-
-    def vote(self, item: np.ndarray, sim: np.ndarray) -> tuple[float, float]:
-        if len(item) == 0 or sim[0] == 0:
-            return 0.0, 0.0
-        w = sim * sim
-        return float((w * self.labels[item]).sum() / w.sum()), float(sim[0])
-
-    def score(self, item: np.ndarray, sim: np.ndarray, terms: np.ndarray) -> float:
-        if len(item) == 0:
-            return self.without
-        inputs = _inputs(np.array([[*self.vote(item, sim), self.strength[terms].max()]]))
-        return 1 / (1 + math.exp(-min(30.0, max(-30.0, float((inputs @ self.fit)[0])))))
-
-
-def _strength(toxic: np.ndarray, seen: np.ndarray, share: float) -> np.ndarray:
-    """How much commoner toxic examples are among `seen` than among all, as a logarithm."""
-    return np.log((toxic + SMOOTH * share) / ((seen + SMOOTH) * share))
-
-
-def _inputs(votes: np.ndarray) -> np.ndarray:
-    vote, top, strongest = votes[:, 0], votes[:, 1], votes[:, 2]
-    return np.stack([np.ones(len(votes)), vote, vote * top, strongest], axis=1)
+        _, item, sim = self.search(np.zeros(len(terms), np.int64), terms, weights, np.array([without]))
+        return item, sim
+
+    def search(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, without: np.ndarray):
+        """(query, position, cosine) of the k nearest examples of each query, by query and then nearest first.
+
+        `query` ascends; `without` has for each query an example that does not count, or -1.
+        """
+        blocks = -(-len(self.ids) // BLOCK)
+        used = weights > 0
+        query, terms, weights = query[used], terms[used], weights[used]
+        if not len(query):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        least = np.zeros(len(without))
+        heads = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1])))
+        least[query[heads]] = np.maximum.reduceat(weights * self.reached[terms], heads)
+        least -= 1e-9
+        size = self.starts[terms + 1] - self.starts[terms]
+        entry = _ranges(self.starts[terms], size)
+        weight = np.repeat(weights, size)
+        cell = np.repeat(query * blocks, size) + self.block[entry]
+        bound = np.bincount(cell, self.most[entry] * weight, len(without) * blocks)
+        keep = (bound.reshape(-1, blocks) >= least[:, None]).ravel() & (bound > 0)
+        row = np.cumsum(keep) - 1
+        kept = keep[cell]
+        entry, weight, cell = entry[kept], weight[kept], cell[kept]
+        size = self.at[entry + 1] - self.at[entry]
+        place = _ranges(self.at[entry], size)
+        scores = np.bincount(
+            np.repeat(row[cell] * BLOCK, size) + self.slots[place],
+            self.values[place] * np.repeat(weight, size), (row[-1] + 1) * BLOCK,
+        ).reshape(-1, BLOCK)
+        # the best scores of k + 1 blocks are those of as many examples
+        cells = np.flatnonzero(keep)
+        if blocks > self.k:
+            highest = np.zeros(len(keep))
+            highest[cells] = scores.max(axis=1)
+            other = np.partition(highest.reshape(-1, blocks), blocks - self.k - 1, axis=1)[:, blocks - self.k - 1]
+            least = np.maximum(least, other - 1e-9)
+        hit = np.flatnonzero((scores >= least[cells // blocks][:, None]) & (scores > 0))
+        of = cells[hit // BLOCK]
+        query, item, sim = of // blocks, of % blocks * BLOCK + hit % BLOCK, np.round(scores.ravel()[hit], 12)
+        good = (sim > 0) & (item != without[query])
+        query, item, sim = query[good], item[good], sim[good]
+        order = np.lexsort((item, -sim, query))
+        query, item, sim = query[order], item[order], sim[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        return query[rank < self.k], item[rank < self.k], sim[rank < self.k]
+
+    def votes(self, found: tuple[np.ndarray, np.ndarray, np.ndarray], queries: int) -> np.ndarray:
+        """Share of toxic neighbours of each query, weighted by cosine."""
+        query, item, sim = found
+        heads = np.searchsorted(query, query)
+        weight = sim / sim[heads] if len(sim) else sim
+        toxic = np.bincount(query, weight * self.labels[item], queries)
+        return (toxic + SMOOTH * self.share) / (np.bincount(query, weight, queries) + SMOOTH)
+
+    def read(self, column: pa.Array, without: np.ndarray | None = None):
+        """(inputs of the fit, evidence) of texts; `without` has for each an example that does not count, or -1."""
+        text, passage, word, count = passages(*word_hashes(column, breaks=NOT_ALNUM), self.passage)
+        n, queries = len(column), len(text)
+        term = np.minimum(np.searchsorted(self.terms, word), max(0, len(self.terms) - 1))
+        known = self.terms[term] == word if len(self.terms) else np.zeros(len(word), bool)
+        weight = (1 + np.log(count)) * np.where(known, self.idf[term] if len(self.terms) else 0.0, self.unknown)
+        norm = np.sqrt(np.bincount(passage, weight**2, queries))
+        passage, term, weight = passage[known], term[known], weight[known] / norm[passage[known]].clip(1e-300)
+        skip = np.full(queries, -1) if without is None else without[text]
+        vote, near = np.full(queries, self.share), []
+        for at in range(0, queries, AT_ONCE):
+            s, e = np.searchsorted(passage, [at, at + AT_ONCE])
+            some = skip[at : at + AT_ONCE]
+            found = self.search(passage[s:e] - at, term[s:e], weight[s:e], some)
+            vote[at : at + AT_ONCE] = self.votes(found, len(some))
+            near.append((found[0] + at, *found[1:]))
+        query, item, sim = (np.concatenate(x) for x in zip(*near, strict=True)) if near else (np.zeros(0, np.int64),) * 3
+        order = np.lexsort((np.arange(queries), -vote, text))
+        sums = np.concatenate(([0.0], np.cumsum(vote[order])))
+        heads = np.searchsorted(text, np.arange(n))
+        total = np.diff(np.append(heads, queries))
+
+        def mean(of: np.ndarray) -> np.ndarray:
+            return (sums[heads + of] - sums[heads]) / of
+
+        largest = [vote[order[heads]], mean(np.minimum(3, total)), mean(np.maximum(1, total // 8)), mean(total)]
+        odds = [np.log(v / (1 - v)) for v in largest]
+        best = order[heads]
+        s, e = np.searchsorted(query, best), np.searchsorted(query, best, "right")
+        evidence = [(item[a:b], sim[a:b]) for a, b in zip(s, e, strict=True)]
+        return np.stack([np.ones(n), *odds, np.log(total)], axis=1), evidence
+
+    def score(self, inputs: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(inputs @ self.fit, -30, 30)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -138,12 +215,11 @@ class Packed:
     ids: np.ndarray
     labels: np.ndarray
     counts: bytes
-    k: int
+    settings: dict
     fit: np.ndarray | None = None
-    without: float = 0.0
 
     def __reduce__(self):
-        return _restored, (self.terms, self.ids, self.labels, self.counts, self.k, self.fit, self.without)
+        return _restored, (self.terms, self.ids, self.labels, self.counts, self.settings, self.fit)
 
 
 def _packed(example: np.ndarray, term: np.ndarray, count: np.ndarray) -> bytes:
@@ -161,65 +237,45 @@ def _unpacked(packed: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(example, dtype=np.int32), np.cumsum(term, dtype=np.int32), count
 
 
-def _restored(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, counts: bytes, k: int, fit: np.ndarray | None, without: float) -> Index:
-    example, term, count = _unpacked(counts)
-    index = _arranged(terms, ids, labels, example, term, count, k)
-    index.fit, index.without = fit, without
-    if fit is None:  # still to be fitted, from the examples' own counts
-        index.counts = example, term, count
+def _restored(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, counts: bytes, settings: dict, fit: np.ndarray | None) -> Index:
+    index = build_index(terms, ids, labels, *_unpacked(counts), **settings)
+    index.fit = fit
     return index
 
 
-def _arranged(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> Index:
-    """The index of all examples, given their term counts by example, without its fit."""
+def build_index(
+    terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray,
+    k: int, passage: int = 6, max_share: float = 0.1,
+) -> Index:
+    """Index of all examples, given their term counts by example; its fit is still to be set."""
     n, n_terms = len(ids), len(terms)
     df = np.bincount(term, minlength=n_terms)
-    idf = np.log((1 + n) / (1 + df)) + 1
+    idf = np.where(df > max_share * n, 0.0, np.log((1 + n) / (1 + df)) + 1)
     weight = (1 + np.log(count)) * idf[term]
-    weight /= np.sqrt(np.bincount(example, weights=weight**2, minlength=n))[example]
-    common = df > COMMON * n
-    column = np.where(common, np.cumsum(common) - 1, -1)
-    matrix, dense = np.zeros((int(common.sum()), n)), common[term]
-    matrix[column[term[dense]], example[dense]] = weight[dense]
-    order = np.flatnonzero(~dense)
+    weight /= np.sqrt(np.bincount(example, weights=weight**2, minlength=n))[example].clip(1e-300)
+    order = np.flatnonzero(weight > 0)
     order = order[np.argsort(term[order], kind="stable")]
-    starts = np.concatenate(([0], np.cumsum(np.where(common, 0, df))))
-    y = labels.astype(float)
-    share = (y.sum() + 0.5) / (n + 1)
-    toxic = np.bincount(term, weights=y[example], minlength=n_terms)
+    term, items, values = term[order].astype(np.int64), example[order].astype(np.int64), weight[order]
+    blocks = term * (n // BLOCK + 1) + items // BLOCK
+    at = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))) if len(blocks) else np.zeros(0, np.int64)
+    most = np.maximum.reduceat(values, at) if len(at) else np.zeros(0)
+    # the (k + 1)-th largest weight of each term: k examples reach it even if one of them does not count
+    falling = np.lexsort((-values, term))
+    first = np.searchsorted(term, np.arange(n_terms))
+    many = np.searchsorted(term, np.arange(n_terms), "right") - first > k
+    reached = np.zeros(n_terms)
+    reached[many] = values[falling[first[many] + k]]
+    share = (labels.sum() + 0.5) / (n + 1)
     return Index(
-        terms, idf, ids, labels, column, matrix, starts, example[order].astype(np.int32), weight[order], _strength(toxic, df, share), df, toxic, share, k
-    )
-
-
-def own_votes(index: Index, example: np.ndarray, term: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """(example, vote, nearest cosine, strongest word) of the examples `at` that have words, each seen without itself."""
-    first, last = np.searchsorted(example, at), np.searchsorted(example, at, "right")
-    spans = [(int(i), slice(s, e)) for i, s, e in zip(at, first, last, strict=True) if e > s]
-    texts = [(term[x], index.weights(term[x], count[x]), i) for i, x in spans]
-    votes = np.zeros((len(spans), 4))
-    for row, ((i, x), (item, sim)) in enumerate(zip(spans, index.nearest_of(texts), strict=True)):
-        own = _strength(index.toxic[term[x]] - index.labels[i], index.df[term[x]] - 1, index.share)
-        votes[row] = i, *index.vote(item, sim), own.max()
-    return votes
-
+        terms, idf, ids, labels, np.searchsorted(term[at], np.arange(n_terms + 1)), items[at] // BLOCK, most,
+        np.append(at, len(items)), items % BLOCK, values, reached, share, k, passage,
+    )
 
-def calibrated(index: Index | Packed, votes: np.ndarray) -> None:
-    """Set the logistic fit and the score of a text that shares no word with the examples."""
-    of = votes[:, 0].astype(np.int64)
-    alone = np.delete(index.labels, of)
-    index.without = float((alone.sum() + 0.5) / (len(alone) + 1)) if len(alone) else float(index.labels.mean())
-    index.fit = _logistic(_inputs(votes[:, 1:]), index.labels[of].astype(float)) if len(of) else np.zeros(4)
 
-
-def build_index(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray, k: int) -> Index:
-    """Index of all examples, given their term counts by example, with its fit."""
-    index = _arranged(terms, ids, labels, example, term, count, k)
-    calibrated(index, own_votes(index, example, term, count, np.arange(len(ids))))
-    return index
-
-
-def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", *, max_examples: int = 20_000, k: int = 15) -> Packed | None:
+def fit(
+    documents: DataFrame, labels: DataFrame, label: str = "toxic", *,
+    max_examples: int = 6_000, k: int = 15, passage: int = 6, max_share: float = 0.1,
+) -> Packed | None:
     """Index of at most `max_examples` labelled documents over all their words; None without any."""
     sample = labelled_sample(documents, labels, label, max_examples)
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -244,28 +300,36 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", *, max_ex
     terms = np.unique(words)
     term = np.searchsorted(terms, words).astype(np.int32)
     del words
-    index = Packed(terms, ids, marks, _packed(example, term, count), k)
-    spark = documents.sparkSession
-    shared = spark.sparkContext.broadcast(index)
+    settings = {"k": k, "passage": passage, "max_share": max_share}
+    index = Packed(terms, ids, marks, _packed(example, term, count), settings)
+    shared = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            votes = own_votes(shared.value, *shared.value.counts, batch.column("id").to_numpy())
-            columns = [votes[:, 0].astype(np.int64), *votes[:, 1:].T]
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=["id", "vote", "top", "strongest"])
-
-    parts = max(1, min(24, len(ids) // 500))
-    votes = spark.range(0, len(ids), 1, parts).mapInArrow(run, "id long, vote double, top double, strongest double").collect()
+        index = shared.value
+        for batch in pieces(batches, 200):
+            own = np.searchsorted(index.ids, np.array(batch.column("doc_id").to_pylist(), index.ids.dtype))
+            inputs, _ = index.read(batch.column("text"), own)
+            columns = [own, *inputs.T]
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in columns], names=["at", *INPUTS])
+
+    schema = ", ".join(["at long", *[f"{c} double" for c in INPUTS]])
+    # small parts, as most of the work is in the fit of long examples
+    spread = sample.repartition(max(1, min(24, len(ids) // 200)), F.xxhash64("doc_id"))
+    read = spread.mapInArrow(run, schema).collect()
     shared.destroy()
-    calibrated(index, np.array(sorted(tuple(v) for v in votes)).reshape(-1, 4))
+    read = np.array(sorted(tuple(r) for r in read)).reshape(-1, 1 + len(INPUTS))
+    index.fit = _logistic(read[:, 1:], marks[read[:, 0].astype(np.int64)].astype(float))
     return index
 
 
-def score(documents: DataFrame, index: Packed | Index | None, threshold: float = 0.5) -> DataFrame:
+INPUTS = ["one", "most", "three", "eighth", "mean", "number"]
+
+
+def score(documents: DataFrame, index: Packed | None, threshold: float = 0.5) -> DataFrame:
     """(doc_id, held_out, score, predicted, evidence) for every row of `documents`.
 
-    `evidence` lists the nearest examples with their cosine and label. Null and empty texts
-    have no words and are scored like other documents that share none with an example; with
+    `evidence` lists the nearest examples of the strongest passage with their cosine and label. A passage without a
+    neighbour votes with the share of toxic examples; null and empty texts are one such passage. With
     no index at all every score is 0. A null doc_id counts as the empty text for `held_out`.
     Repeated rows are scored alike; other columns are ignored.
     """
@@ -274,27 +338,18 @@ def score(documents: DataFrame, index: Packed | Index | None, threshold: float =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in pieces(batches):
-            n = batch.num_rows
-            scores, evidence = np.full(n, index.without if index else 0.0), [[] for _ in range(n)]
-            if index is not None and len(index.terms):
-                cuts, word, count = word_counts(*word_hashes(batch.column("text"), breaks=NOT_ALNUM))
-                term = np.searchsorted(index.terms, word)
-                term[term == len(index.terms)] = 0
-                known = index.terms[term] == word
-                texts, at = [], []
-                for i, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    has = known[s:e]
-                    if has.any():
-                        own = term[s:e][has]
-                        texts.append((own, index.weights(own, count[s:e][has], count[s:e][~has]), -1))
-                        at.append(i)
-                for i, (own, _, _), (item, sim) in zip(at, texts, index.nearest_of(texts), strict=True):
-                    scores[i] = index.score(item, sim, own)
-                    evidence[i] = [
+        for batch in pieces(batches, 500):
+            scores, evidence = np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
+            if index is not None:
+                inputs, near = index.read(batch.column("text"))
+                scores = index.score(inputs)
+                evidence = [
+                    [
                         {"example": a, "cosine": b, "label": c}
                         for a, b, c in zip(index.ids[item].tolist(), sim.tolist(), index.labels[item].tolist(), strict=True)
                     ]
+                    for item, sim in near
+                ]
             of = pa.struct([("example", batch.column("doc_id").type), ("cosine", pa.float64()), ("label", pa.int32())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(scores), pa.array(evidence, pa.list_(of))], names=["doc_id", "score", "evidence"]
