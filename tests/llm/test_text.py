@@ -226,11 +226,12 @@ def test_classifiers_at_the_edges(spark, documents):
 
 def test_nearest_examples_are_exact():
     rng = np.random.default_rng(4)
-    n, terms = 300, np.sort(rng.integers(0, 1 << 63, 40, dtype=np.uint64))
+    n, terms = 700, np.sort(rng.integers(0, 1 << 63, 40, dtype=np.uint64))
     counts = rng.poisson(0.15, (n, 40))
     example, term = np.nonzero(counts)
     labels = (counts[:, :5].sum(axis=1) > 0).astype(int)
-    index = toxicity.build_index(terms, np.arange(n), labels, example, term, counts[example, term], k=7)
+    index = toxicity.build_index(terms, np.arange(n), labels, example, term, counts[example, term], k=7, max_share=0.25)
+    assert len(index.block) > 7 * 40  # more blocks a term than neighbours
     weight = np.where(counts > 0, 1 + np.log(np.maximum(counts, 1)), 0) * index.idf
     unit = weight / np.maximum(np.linalg.norm(weight, axis=1, keepdims=True), 1e-9)
     for i in range(0, n, 7):
@@ -248,7 +249,7 @@ def test_cosines_are_of_all_words(spark, documents):
     texts += ["alpha1 beta2 never seen", "vile alpha3 gamma4", "nothing known"]
     docs = documents(list(enumerate(texts)))
     labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(60)], "doc_id BIGINT, quality INT, toxic INT")
-    scored = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels, k=5)).collect()}
+    scored = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels, k=5, max_share=1.0)).collect()}
     train = [i for i in range(60) if zlib.crc32(str(i).encode()) % 5]
     df = Counter(w for i in train for w in set(texts[i].split()))
 
@@ -265,6 +266,53 @@ def test_cosines_are_of_all_words(spark, documents):
     assert scored[0]["evidence"] and not scored[62]["evidence"]
 
 
+def test_votes_and_fit_like_plain_python(spark, documents):
+    """Texts of many passages: neighbours, votes, the inputs of the fit and its probabilities."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(90)]
+    texts = []
+    for i in range(150):
+        own = [rng.choice(words) for _ in range(rng.randint(1, 40))]
+        texts.append(" ".join(own[:3] + ["vile"] + own[3:] if i % 5 == 0 else own))
+    docs = documents([*enumerate(texts), (500, None), (501, " ")])
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(150)], "doc_id BIGINT, quality INT, toxic INT")
+    k, size = 6, 4
+    index = toxicity.fit(docs, labels, k=k, passage=size, max_share=0.25)
+    found = {r["doc_id"]: r for r in toxicity.score(docs, index).collect()}
+    train = [i for i in range(150) if zlib.crc32(str(i).encode()) % 5]
+    df = Counter(w for i in train for w in set(texts[i].split()))
+
+    def unit(tokens):
+        idf = lambda w: 0 if df[w] > 0.25 * len(train) else math.log((1 + len(train)) / (1 + df[w])) + 1
+        v = {w: (1 + math.log(c)) * idf(w) for w, c in Counter(tokens).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()} if norm else {}
+
+    examples = {j: unit(texts[j].split()) for j in train}
+    share = (sum(j % 5 == 0 for j in train) + 0.5) / (len(train) + 1)
+
+    def inputs(text, without=None):
+        tokens, votes = (text or "").split(), []
+        for at in range(0, max(1, len(tokens)), size):
+            own = unit(tokens[at : at + size])
+            near = sorted((-round(sum(x * examples[j].get(w, 0) for w, x in own.items()), 12), j) for j in train if j != without)[:k]
+            near = [(-c, j) for c, j in near if c < 0]
+            weights = [c / near[0][0] for c, _ in near]
+            toxic = sum(w for w, (_, j) in zip(weights, near, strict=True) if j % 5 == 0)
+            votes.append((toxic + 2 * share) / (sum(weights) + 2))
+        votes.sort(reverse=True)
+        means = [sum(votes[:m]) / len(votes[:m]) for m in (1, 3, max(1, len(votes) // 8), len(votes))]
+        return [1.0, *[math.log(v / (1 - v)) for v in means], math.log(len(votes))]
+
+    by_hand = np.array([inputs(texts[j], without=j) for j in train])
+    assert np.allclose(index.fit, toxicity._logistic(by_hand, np.array([float(j % 5 == 0) for j in train])), atol=1e-6)
+    for i, text in [*enumerate(texts), (500, None), (501, " ")]:
+        wanted = 1 / (1 + math.exp(-float(np.array(inputs(text)) @ index.fit)))
+        assert abs(found[i]["score"] - wanted) < 1e-6, i
+    assert not found[500]["evidence"]
+    assert toxicity.score(docs.limit(0), index).collect() == []
+
+
 def test_pooling_does_not_depend_on_the_batch(spark):
     import pyarrow as pa
 
