@@ -136,7 +136,7 @@ def context_rows(found: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def run_rows(parts: DataFrame, length: int, gram: int) -> DataFrame:
-    """(hash, context, many, row, low, high, core, hull, start, end) of runs of windows, from contexts with (low, high).
+    """(hash, context, row, many, low, high, core, hull, start, end) of runs of windows, from contexts with `runs`.
 
     Window w begins in column w, its distance from the left end that a context has if its text does not
     end before. A run has the windows from `low` to `high` - 1; without any of them in the context there is no row.
@@ -146,10 +146,13 @@ def run_rows(parts: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = buffers(batch.column("bytes"))
-            low, high, anchor, first = (batch.column(c).to_numpy() for c in ("low", "high", "anchor", "first"))
-            begin, size = length - gram - anchor, np.diff(offsets)
+            runs = batch.column("runs")
+            of = np.repeat(np.arange(batch.num_rows), np.diff(runs.offsets.to_numpy()))
+            low, high = (runs.flatten().field(c).to_numpy() for c in ("low", "high"))
+            anchor, first, size = batch.column("anchor").to_numpy()[of], batch.column("first").to_numpy()[of], np.diff(offsets)[of]
+            begin = length - gram - anchor
             there = np.maximum(low, begin) <= np.minimum(high - 1, begin + size - length)
-            shift = offsets[:-1] - begin  # from columns to places in the data
+            shift = offsets[of] - begin  # from columns to places in the data
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[data] * powers(BASE, len(data)))))
             back = powers(INVERSE, len(data) + 1)
 
@@ -159,17 +162,17 @@ def run_rows(parts: DataFrame, length: int, gram: int) -> DataFrame:
             start, end = np.maximum(low, begin)[there], np.minimum(high - 1 + length, begin + size)[there]
             inner = mix(hashed((high - 1 + shift)[there], (low + length + shift)[there]))
             outer = mix(hashed(start + shift[there], end + shift[there]) + (start - low[there]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-            keep = pa.array(np.flatnonzero(there))
             to_text = first[there] - begin[there]
-            columns = {k: batch.column(k).take(keep) for k in ("hash", "context", "many", "row", "low", "high")} | {
+            columns = {k: batch.column(k).take(pa.array(of[there])) for k in ("hash", "context", "row")} | {
+                "many": runs.flatten().field("many").take(pa.array(np.flatnonzero(there))), "low": pa.array(low[there]), "high": pa.array(high[there]),
                 "core": pa.array(inner.view(np.int64)), "hull": pa.array(outer.view(np.int64)),
                 "start": pa.array(start + to_text), "end": pa.array(end + to_text),
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     kind = parts.schema["row"].dataType.simpleString()
-    schema = f"hash long, context long, many boolean, row {kind}, low long, high long, core long, hull long, start long, end long"
-    return parts.select("hash", "context", "many", "row", "first", "anchor", "bytes", "low", "high").mapInArrow(run, schema)
+    schema = f"hash long, context long, row {kind}, many boolean, low long, high long, core long, hull long, start long, end long"
+    return parts.select("hash", "context", "row", "first", "anchor", "bytes", "runs").mapInArrow(run, schema)
 
 
 RUN = ["hash", "low", "high", "core"]
@@ -182,8 +185,9 @@ def cut_runs(contexts: DataFrame, length: int, gram: int, cell: int, hot: int) -
     and a group holds about `cell` parts.
     """
     starts = np.linspace(0, length - gram + 1, RANGES + 1).astype(int).tolist()
-    runs = F.array(*[F.struct(F.lit(s).cast("long").alias("low"), F.lit(e).cast("long").alias("high")) for s, e in zip(starts[:-1], starts[1:], strict=True)])
-    parts = contexts.select("*", (F.col("n") > 1).alias("many"), F.inline(runs))
+    bounds = [(F.lit(s).cast("long"), F.lit(e).cast("long")) for s, e in zip(starts[:-1], starts[1:], strict=True)]
+    runs = F.array(*[F.struct(low.alias("low"), high.alias("high"), (F.col("n") > 1).alias("many")) for low, high in bounds])
+    parts = contexts.withColumn("runs", runs)
     spans, small = [], []
     while True:
         rows = written(run_rows(parts, length, gram), "repeats-runs")
@@ -202,6 +206,7 @@ def cut_runs(contexts: DataFrame, length: int, gram: int, cell: int, hot: int) -
         middle = F.floor((F.col("low") + F.col("high")) / 2)
         halves = F.array(F.struct("low", middle.alias("high")), F.struct(middle.alias("low"), "high"))
         own = large.select("hash", "context", "many", F.inline(halves).alias("low", "high")).where("low < high")
+        own = own.groupBy("hash", "context").agg(F.collect_list(F.struct("low", "high", "many")).alias("runs"))
         parts = contexts.join(own, ["hash", "context"])
     found = written(reduce(DataFrame.unionByName, small), "repeats-small")
     bins = max(1, -(-found.count() // cell))
@@ -345,10 +350,10 @@ def repeated_spans(documents: DataFrame, *, length: int = 200, gram: int = 64, c
     texts are empty.
     """
     spark = documents.sparkSession
-    counts = anchor_rows(documents, length, gram).groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counts = written(counts.select("hash"), "repeats-hashes")
+    found = written(anchor_rows(documents, length, gram), "repeats-found")
+    counts = written(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "repeats-hashes")
     release(spark)
-    shared = written(anchor_rows(documents, length, gram).join(counts, "hash"), "repeats-anchors")
+    shared = written(found.join(counts, "hash"), "repeats-anchors")
     release(spark)
     contexts = shared.groupBy("hash", "context").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "pos")).alias("one")
