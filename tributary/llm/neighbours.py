@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.folders import work_folder
 from tributary.llm.common import release, written
 
 CELL = 256
@@ -52,6 +53,14 @@ def _unit(bytes_matrix: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, which changes no cosine, so that no square of a component is lost or infinite."""
+    if not x.size:
+        return x
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    return np.ldexp(x, -exponent)
+
+
 def short_vectors(nodes: DataFrame) -> DataFrame:
     """(node, vec): components scaled to signed bytes."""
 
@@ -59,6 +68,7 @@ def short_vectors(nodes: DataFrame) -> DataFrame:
         for batch in batches:
             flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
             x = flat.reshape(batch.num_rows, -1) if batch.num_rows else np.zeros((0, 1))
+            x = _scaled(x)
             x = np.round(127 * (x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300))).astype(np.int8)
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array([r.tobytes() for r in x], pa.binary())], names=["node", "vec"])
 
@@ -253,7 +263,8 @@ def nearest_neighbours(
     graph = f"nn_graph_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = lists.select("node", F.col("l.near").alias("near"), F.col("l.sim").alias("sims"), F.expr("aggregate(l.vec, X'', (a, b) -> concat(a, b))").alias("vecs"))
-    packed.repartition(buckets, "node").write.bucketBy(buckets, "node").sortBy("node").saveAsTable(graph)
+    stored = packed.repartition(buckets, "node").write.option("path", work_folder(spark, "nn-graph"))
+    stored.bucketBy(buckets, "node").sortBy("node").saveAsTable(graph)
     try:
         asked = queries.select(F.col(id_column).alias("id")).distinct().join(rows.select("id", "node"), "id")
         asked = written(asked.select(F.col("id").alias("query_id"), "node"), "nn-queries")
@@ -270,7 +281,7 @@ def nearest_neighbours(
 
     def cosine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = (batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) for c in ("q", "v"))
+            a, b = (_scaled(batch.column(c).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)) for c in ("q", "v"))
             dot = np.einsum("ij,ij->i", a, b)
             score = dot / (np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b)))
             yield pa.RecordBatch.from_arrays([batch.column("query"), batch.column("node"), pa.array(score)], names=["query", "node", "score"])
