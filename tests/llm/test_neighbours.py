@@ -63,3 +63,19 @@ def test_outliers_beside_tight_clusters(spark):
     found = neighbours.nearest_neighbours(frame, frame.where("vec_id >= 2090"), turns=2).collect()
     counts = {q: sum(r["query_id"] == q for r in found) for q in range(2090, 2112)}
     assert set(counts.values()) == {5}
+
+
+def test_tiny_and_huge_components(spark):
+    """Squares that a double cannot hold: nearness is that of the directions."""
+    tiny, huge = 5e-324, 1.5e308
+    rows = [
+        (0, [tiny, 0.0]), (1, [huge, 0.0]), (2, [1e-200, 1e-200]), (3, [huge, huge]), (4, [0.0, 1.0]), (5, [-huge, tiny]),
+        (6, [1e200, -1e200]),
+    ]
+    frame = spark.createDataFrame(rows, "vec_id BIGINT, embedding ARRAY<DOUBLE>")
+    found = neighbours.nearest_neighbours(frame, frame).collect()
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], round(r["score"], 9)) for r in found}
+    half = round(2**-0.5, 9)
+    assert [got[0, r] for r in range(1, 6)] == [(1, 1.0), (2, half), (3, half), (6, half), (4, 0.0)]
+    assert got[2, 1] == (3, 1.0) and got[4, 1] == (2, half) and got[5, 1] == (4, 0.0)
+    assert len(found) == 35 and all(-1 - 1e-9 <= r["score"] <= 1 + 1e-9 for r in found)
