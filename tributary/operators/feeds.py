@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tributary.functions.text import matched_queries
 from tributary.operators.normalize import normalize_event, normalize_story
+from tributary.operators.places import with_places
 
 # Event types that are published, searches.
 STORY_TYPE = "story"
@@ -31,6 +32,8 @@ SEARCH_QUERIES = ("technology", "data engineering", "python programming")
 
 Order = list[str | Column]
 
+WINDOW_LIMIT = 1000  # rows of a group that Spark keeps per task before a shuffle
+
 
 # --- repeats and order ------------------------------------------------------
 
@@ -66,13 +69,15 @@ def top_per_group(
 ) -> DataFrame:
     """The first `n` rows of each group, for groups too large for one task.
 
-    The group is ranked in hash buckets first; at most `n` rows of each bucket
-    go on to the final ranking, which is exact. Beyond 1,000 rows Spark no longer
-    limits a group before it shuffles, so by default there are as many buckets as
-    keep one bucket of a group within a shuffle partition's share of the rows.
+    Up to WINDOW_LIMIT rows Spark limits a group before it shuffles: the group is ranked in hash buckets
+    first, and at most `n` rows of each bucket go on to the final ranking, which is exact. For more,
+    rows are dealt by ranges of group and order and get their place from the counts of the ranges
+    before them, so no task sorts a group, however large `n` is. Rows equal in `order` are told apart by `spread_by`.
     """
-    buckets = buckets or max(256, 4 * int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(buckets)))
+    if n > WINDOW_LIMIT and buckets is None:
+        keys = [F.col(o) if isinstance(o, str) else o for o in [*order, *spread_by]]
+        return with_places(frame, group, keys).where(F.col("place") < n).drop("place")
+    bucketed = frame.withColumn("_bucket", F.pmod(F.xxhash64(*spread_by), F.lit(buckets or 256)))
     for partition in ([*group, "_bucket"], group):
         rank = F.row_number().over(Window.partitionBy(*partition).orderBy(*order))
         bucketed = bucketed.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

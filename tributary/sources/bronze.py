@@ -58,8 +58,13 @@ def commit_log(spark: SparkSession, leaf: str) -> DataFrame:
 
     Now and then the sink writes all earlier entries into one file; they have the number of the batch
     that did. So a number says until when a file was committed, and files of two reads are
-    told apart by their names, which are unique.
+    told apart by their names, which are unique. A leaf that a batch job wrote has no log; its files
+    with rows are all there is, as batch -1.
     """
+    names = folders.children(spark, leaf)
+    if "_spark_metadata" not in names and names:
+        rows = spark.read.schema(ADDED).parquet(leaf)
+        return rows.select(F.lit(-1).cast("bigint").alias("batch"), "_metadata.file_name", F.col("_metadata.file_size").alias("size")).distinct()
     numbers = {int(name.split(".")[0]): name for name in _log_names(spark, leaf)}
     whole = max((n for n, name in numbers.items() if name.endswith(".compact")), default=-1)
     entries = []
@@ -98,10 +103,7 @@ def since(spark: SparkSession, root: str, source: str, version: str | None, *kee
             nothing = spark.createDataFrame([], "file_name STRING")
             return Tail(spark.createDataFrame([], columns), nothing, batch)
         rows = spark.read.schema(columns).parquet(leaf)
-        if batch < 0:  # written by a batch job, so without a log
-            files = rows.select("_metadata.file_name").distinct()
-        else:
-            files = commit_log(spark, leaf).select("file_name")
+        files = commit_log(spark, leaf).select("file_name")
         if newest_batch(spark, leaf) == batch:
             break
     if version is None:
