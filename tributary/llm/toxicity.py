@@ -139,7 +139,7 @@ class Index:
             highest[cells] = scores.max(axis=1)
             other = np.partition(highest.reshape(-1, blocks), blocks - self.k - 1, axis=1)[:, blocks - self.k - 1]
             least = np.maximum(least, other - 1e-9)
-        hit = np.flatnonzero((scores >= least[cells // blocks][:, None]) & (scores > 0))
+        hit = np.flatnonzero(scores >= np.maximum(least, 1e-13)[cells // blocks][:, None])
         of = cells[hit // BLOCK]
         query, item, sim = of // blocks, of % blocks * BLOCK + hit % BLOCK, np.round(scores.ravel()[hit], 12)
         good = (sim > 0) & (item != without[query])
@@ -268,7 +268,7 @@ def build_index(
     share = (labels.sum() + 0.5) / (n + 1)
     return Index(
         terms, idf, ids, labels, np.searchsorted(term[at], np.arange(n_terms + 1)), items[at] // BLOCK, most,
-        np.append(at, len(items)), items % BLOCK, values, reached, share, k, passage,
+        np.append(at, len(items)), (items % BLOCK).astype(np.uint8), values, reached, share, k, passage,
     )
 
 
