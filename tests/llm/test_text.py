@@ -244,6 +244,33 @@ def test_nearest_examples_are_exact():
             assert np.allclose(sim, [-c for c, _ in want])
 
 
+def test_examples_of_a_language_share_blocks():
+    """Languages alternate by id: each term stands in the blocks of its own, and the neighbours are those of brute force."""
+    rng = np.random.default_rng(5)
+    n, each = 1280, 40
+    counts = np.zeros((n, 2 * each), int)
+    for i in range(n):
+        counts[i, i % 2 * each + np.arange(4)] = rng.random(4) < 0.9
+        counts[i, i % 2 * each + 4 + rng.choice(each - 4, 5)] = 1
+    counts[640:] = counts[:640]  # ties, of which the smaller id is nearer
+    example, term = np.nonzero(counts)
+    index = toxicity.build_index(
+        np.arange(2 * each, dtype=np.uint64), np.arange(n) * 3, np.arange(n) % 5 == 0, example, term, counts[example, term], k=7, max_share=0.2
+    )
+    blocks = -(-n // toxicity.BLOCK)
+    assert len(index.block) <= 0.55 * 2 * (each - 4) * blocks
+    unit = np.where(counts > 0, 1, 0) * index.idf
+    unit = unit / np.maximum(np.linalg.norm(unit, axis=1, keepdims=True), 1e-9)
+    asked, without = np.arange(0, n, 9), np.arange(0, n, 9) * (np.arange(0, n, 9) % 2) - (np.arange(0, n, 9) % 2 == 0)
+    query, terms = np.nonzero(unit[asked])
+    found = index.search(query, terms, unit[asked][query, terms], without)
+    cosines = np.round(unit[asked] @ unit.T, 12)
+    want = [sorted((-c, j) for j, c in enumerate(row) if c > 0 and j != own)[:7] for row, own in zip(cosines, without, strict=True)]
+    assert found[0].tolist() == [q for q, near in enumerate(want) for _ in near]
+    assert found[1].tolist() == [j for near in want for _, j in near]
+    assert np.allclose(found[2], [-c for near in want for c, _ in near])
+
+
 def test_cosines_are_of_all_words(spark, documents):
     texts = [f"alpha{i % 7} beta{i % 11} gamma{i % 5} delta{i} delta{i}" + (" vile" if i % 4 == 0 else "") for i in range(60)]
     texts += ["alpha1 beta2 never seen", "vile alpha3 gamma4", "nothing known"]

@@ -6,7 +6,8 @@ is the TF-IDF vector of its words; words that no example has count in its length
 `max_share` of the examples hold are stop words. Its neighbours are the `k` examples of the largest cosine,
 ties by smaller id.
 
-Postings stand in blocks of BLOCK examples with the largest weight of the term in the block. A passage's
+Postings stand in blocks of BLOCK examples with the largest weight of the term in the block. Examples of one
+language and of like length share blocks, so that a term has few; no result depends on that order. A passage's
 terms give every block an upper bound, and the k-th best posting of its best term a score that k examples
 reach; only blocks whose bound reaches it are scored, and of these only what reaches the k-th best block is
 ranked. So the neighbours are exact.
@@ -36,6 +37,7 @@ from tributary.llm.tokens import NOT_ALNUM, word_hashes
 BLOCK = 64
 SMOOTH = 2.0
 AT_ONCE = 256  # passages, so that their scores stay in the cache
+SIM_BITS = 40  # of a cosine in units of 1e-12
 NO_WORD = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -70,12 +72,25 @@ def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + size, size)
 
 
+def _set(marks: np.ndarray) -> np.ndarray:
+    """The places of the set marks, which are few; the array's size is a multiple of 8, and 8 are looked at at once."""
+    eights = np.flatnonzero(marks.reshape(-1).view(np.uint64) != 0)
+    found = np.flatnonzero(marks.reshape(-1, 8)[eights])
+    return eights[found >> 3] * 8 + (found & 7)
+
+
+def _heads(query: np.ndarray) -> np.ndarray:
+    """Where each number of an ascending array begins."""
+    return np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1]))) if len(query) else np.zeros(0, np.int64)
+
+
 @dataclass
 class Index:
     terms: np.ndarray  # sorted word numbers
     idf: np.ndarray  # 0 for stop words
     ids: np.ndarray  # example ids, ascending
     labels: np.ndarray
+    order: np.ndarray  # the examples as they stand in the blocks
     starts: np.ndarray  # of each term: its blocks
     block: np.ndarray
     most: np.ndarray  # largest weight of the term in the block
@@ -106,54 +121,66 @@ class Index:
     def search(self, query: np.ndarray, terms: np.ndarray, weights: np.ndarray, without: np.ndarray):
         """(query, position, cosine) of the k nearest examples of each query, by query and then nearest first.
 
-        `query` ascends; `without` has for each query an example that does not count, or -1.
+        `query` ascends; `without` has for each query an example that does not count, or -1. Queries times
+        examples are below 2**22, as a query, a cosine and an example are sorted as one number.
         """
         blocks = -(-len(self.ids) // BLOCK)
-        used = weights > 0
+        used = np.flatnonzero(weights > 0)
         query, terms, weights = query[used], terms[used], weights[used]
         if not len(query):
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         least = np.zeros(len(without))
-        heads = np.flatnonzero(np.concatenate(([True], query[1:] != query[:-1])))
+        heads = _heads(query)
         least[query[heads]] = np.maximum.reduceat(weights * self.reached[terms], heads)
-        least -= 1e-9
+        least = np.maximum(least - 1e-9, 1e-13)
         size = self.starts[terms + 1] - self.starts[terms]
         entry = _ranges(self.starts[terms], size)
         weight = np.repeat(weights, size)
         cell = np.repeat(query * blocks, size) + self.block[entry]
         bound = np.bincount(cell, self.most[entry] * weight, len(without) * blocks)
-        keep = (bound.reshape(-1, blocks) >= least[:, None]).ravel() & (bound > 0)
-        row = np.cumsum(keep) - 1
-        kept = keep[cell]
-        entry, weight, cell = entry[kept], weight[kept], cell[kept]
+        keep = (bound.reshape(-1, blocks) >= least[:, None]).ravel()
+        cells = np.flatnonzero(keep)
+        row = np.zeros(len(keep), np.int64)
+        row[cells] = np.arange(len(cells))
+        kept = np.flatnonzero(keep[cell])
+        entry, weight, row = entry[kept], weight[kept], row[cell[kept]]
         size = self.at[entry + 1] - self.at[entry]
         place = _ranges(self.at[entry], size)
+        # by slot and then cell, so that what follows runs along the cells
         scores = np.bincount(
-            np.repeat(row[cell] * BLOCK, size) + self.slots[place],
-            self.values[place] * np.repeat(weight, size), (row[-1] + 1) * BLOCK,
-        ).reshape(-1, BLOCK)
+            np.multiply(self.slots.take(place), len(cells), dtype=np.int64) + np.repeat(row, size),
+            self.values.take(place) * np.repeat(weight, size), BLOCK * len(cells),
+        ).reshape(BLOCK, len(cells))
         # the best scores of k + 1 blocks are those of as many examples
-        cells = np.flatnonzero(keep)
-        if blocks > self.k:
+        of = cells // blocks
+        many = np.flatnonzero(np.bincount(of, minlength=len(without)) > self.k)
+        if len(many):
             highest = np.zeros(len(keep))
-            highest[cells] = scores.max(axis=1)
-            other = np.partition(highest.reshape(-1, blocks), blocks - self.k - 1, axis=1)[:, blocks - self.k - 1]
-            least = np.maximum(least, other - 1e-9)
-        hit = np.flatnonzero(scores >= np.maximum(least, 1e-13)[cells // blocks][:, None])
-        of = cells[hit // BLOCK]
-        query, item, sim = of // blocks, of % blocks * BLOCK + hit % BLOCK, np.round(scores.ravel()[hit], 12)
-        good = (sim > 0) & (item != without[query])
-        query, item, sim = query[good], item[good], sim[good]
-        order = np.lexsort((item, -sim, query))
-        query, item, sim = query[order], item[order], sim[order]
-        rank = np.arange(len(query)) - np.searchsorted(query, query)
-        return query[rank < self.k], item[rank < self.k], sim[rank < self.k]
+            highest[cells] = scores.max(axis=0)
+            other = np.partition(highest.reshape(-1, blocks)[many], blocks - self.k - 1, axis=1)[:, blocks - self.k - 1]
+            least[many] = np.maximum(least[many], other - 1e-9)
+        hit = _set(scores >= least[of])
+        sim = np.rint(scores.ravel()[hit] * 1e12).astype(np.int64)
+        slot, column = np.divmod(hit, max(1, len(cells)))
+        query, block = np.divmod(cells[column], blocks)
+        item = self.order[block * BLOCK + slot]
+        good = np.flatnonzero((sim > 0) & (item != without[query]))
+        # query, falling cosine and item in one number
+        bits = len(self.ids).bit_length()
+        key = np.sort((((query[good] << SIM_BITS) - sim[good]) << bits) | item[good])
+        item, key = key & ((1 << bits) - 1), key >> bits
+        query = -(-key >> SIM_BITS)
+        sim = (query << SIM_BITS) - key
+        heads = _heads(query)
+        rank = np.arange(len(query)) - np.repeat(heads, np.diff(np.append(heads, len(query))))
+        best = np.flatnonzero(rank < self.k)
+        return query[best], item[best], sim[best] / 1e12
 
     def votes(self, found: tuple[np.ndarray, np.ndarray, np.ndarray], queries: int) -> np.ndarray:
         """Share of toxic neighbours of each query, weighted by cosine."""
         query, item, sim = found
-        heads = np.searchsorted(query, query)
-        weight = sim / sim[heads] if len(sim) else sim
+        heads = _heads(query)
+        weight = sim / np.repeat(sim[heads], np.diff(np.append(heads, len(query))))
         toxic = np.bincount(query, weight * self.labels[item], queries)
         return (toxic + SMOOTH * self.share) / (np.bincount(query, weight, queries) + SMOOTH)
 
@@ -168,11 +195,13 @@ class Index:
         passage, term, weight = passage[known], term[known], weight[known] / norm[passage[known]].clip(1e-300)
         skip = np.full(queries, -1) if without is None else without[text]
         vote, near = np.full(queries, self.share), []
-        for at in range(0, queries, AT_ONCE):
-            s, e = np.searchsorted(passage, [at, at + AT_ONCE])
-            some = skip[at : at + AT_ONCE]
+        # so many that query, cosine and example fit into one number
+        step = min(AT_ONCE, 1 << max(0, 63 - SIM_BITS - len(self.ids).bit_length()))
+        for at in range(0, queries, step):
+            s, e = np.searchsorted(passage, [at, at + step])
+            some = skip[at : at + step]
             found = self.search(passage[s:e] - at, term[s:e], weight[s:e], some)
-            vote[at : at + AT_ONCE] = self.votes(found, len(some))
+            vote[at : at + step] = self.votes(found, len(some))
             near.append((found[0] + at, *found[1:]))
         query, item, sim = (np.concatenate(x) for x in zip(*near, strict=True)) if near else (np.zeros(0, np.int64),) * 3
         order = np.lexsort((np.arange(queries), -vote, text))
@@ -243,6 +272,21 @@ def _restored(terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, counts: by
     return index
 
 
+def _standing(example: np.ndarray, term: np.ndarray, common: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """An order in which examples of one language and length stand together, so that terms have few blocks.
+
+    Languages are told by the signs of the leading components of the commonest stop words.
+    """
+    common = np.sort(common[:100])
+    column = np.searchsorted(common, term).clip(max=max(0, len(common) - 1))
+    used = np.flatnonzero(common[column] == term) if len(common) else np.zeros(0, np.int64)
+    has = np.zeros((len(length), len(common)))
+    has[example[used], column[used]] = 1
+    has -= has.mean(axis=0)
+    leading = np.linalg.eigh(has.T @ has)[1][:, ::-1][:, :4]
+    return np.lexsort((length, (has @ leading > 0) @ (1 << np.arange(leading.shape[1]))))
+
+
 def build_index(
     terms: np.ndarray, ids: np.ndarray, labels: np.ndarray, example: np.ndarray, term: np.ndarray, count: np.ndarray,
     k: int, passage: int = 6, max_share: float = 0.1,
@@ -252,10 +296,14 @@ def build_index(
     df = np.bincount(term, minlength=n_terms)
     idf = np.where(df > max_share * n, 0.0, np.log((1 + n) / (1 + df)) + 1)
     weight = (1 + np.log(count)) * idf[term]
-    weight /= np.sqrt(np.bincount(example, weights=weight**2, minlength=n))[example].clip(1e-300)
+    length = np.sqrt(np.bincount(example, weights=weight**2, minlength=n))
+    weight /= length[example].clip(1e-300)
+    standing = _standing(example, term, np.argsort(-df, kind="stable")[: np.count_nonzero(idf == 0)], length)
+    place = np.empty(n, np.int64)
+    place[standing] = np.arange(n)
     order = np.flatnonzero(weight > 0)
-    order = order[np.argsort(term[order], kind="stable")]
-    term, items, values = term[order].astype(np.int64), example[order].astype(np.int64), weight[order]
+    order = order[np.argsort(term[order].astype(np.int64) * n + place[example[order]])]
+    term, items, values = term[order].astype(np.int64), place[example[order]], weight[order]
     blocks = term * (n // BLOCK + 1) + items // BLOCK
     at = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1]))) if len(blocks) else np.zeros(0, np.int64)
     most = np.maximum.reduceat(values, at) if len(at) else np.zeros(0)
@@ -267,7 +315,7 @@ def build_index(
     reached[many] = values[falling[first[many] + k]]
     share = (labels.sum() + 0.5) / (n + 1)
     return Index(
-        terms, idf, ids, labels, np.searchsorted(term[at], np.arange(n_terms + 1)), items[at] // BLOCK, most,
+        terms, idf, ids, labels, standing, np.searchsorted(term[at], np.arange(n_terms + 1)), items[at] // BLOCK, most,
         np.append(at, len(items)), (items % BLOCK).astype(np.uint8), values, reached, share, k, passage,
     )
 
